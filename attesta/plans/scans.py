@@ -109,7 +109,7 @@ def s9(t):
 @plan("s10_entity_docs", f"""WITH {FACT} SELECT person_id, kind, count(*) AS n,
   string_agg(fact_key, ',' ORDER BY date DESC NULLS LAST, fact_key) AS keys FROM fact GROUP BY person_id, kind""")
 def s10(t):
-    docs = sinks.entity_docs(t.facts())
+    docs = sinks.entity_docs(t.facts(), key_prefix=len("event:"))
     keys = F.array_join(F.transform("facts", lambda f: f["fact_key"]), ",")
     # parts of one kind are read back in part order; here they are shown one by one
     return docs.select("person_id", "kind", F.size("facts").cast("long").alias("n"), keys.alias("keys"))

@@ -21,32 +21,52 @@ def rows_per_block(spark: SparkSession) -> int:
     return int(spark.conf.get(ROWS_PER_BLOCK, "1000000"))
 
 
-def large_groups(df: DataFrame, keys: Sequence[str], pos: Column, limit: int) -> DataFrame:
-    """Keys with more than ``limit`` rows and the range of ``pos`` they cover; at most total / limit rows."""
+def large_groups(df: DataFrame, keys: Sequence[str], pos: Column, tie: Column, limit: int) -> DataFrame:
+    """Keys with more than ``limit`` rows and the ranges of ``pos`` and ``tie`` they cover; at most total / limit rows."""
     return (
         df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"), F.min(pos).alias("__lo"), F.max(pos).alias("__hi"))
+        .agg(
+            F.count(F.lit(1)).alias("__n"),
+            F.min(pos).alias("__lo"),
+            F.max(pos).alias("__hi"),
+            F.min(tie).alias("__tlo"),
+            F.max(tie).alias("__thi"),
+        )
         .filter(F.col("__n") > limit)
     )
 
 
+def text_pos(col: Column | str, skip: int = 0) -> Column:
+    """A number that rises with the text: its six bytes after ``skip`` characters."""
+    col = F.col(col) if isinstance(col, str) else col
+    return F.conv(F.rpad(F.hex(F.substring(col, skip + 1, 6)), 12, "0"), 16, 10).cast("long")
+
+
 class OrderedGroups:
-    """Rows of each group in ascending ``order``; ``pos`` is a number that never falls along that order."""
+    """Rows of each group in ascending ``order``.
+
+    ``pos`` is a whole number that never falls along that order; where many rows share one ``pos``, ``tie`` is a number
+    that never falls among them, so that such rows can be cut apart as well.
+    """
 
-    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], pos: Column | str):
+    def __init__(
+        self, df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], pos: Column | str, tie: Column | str | None = None
+    ):
         self.keys = list(keys)
         self.order = [F.col(o) if isinstance(o, str) else o for o in order]
         pos = F.col(pos) if isinstance(pos, str) else pos
+        tie = F.lit(0) if tie is None else F.col(tie) if isinstance(tie, str) else tie
         limit = rows_per_block(df.sparkSession)
         # one row per key above the limit: never more than total / limit rows, so the broadcast is bounded
-        large = F.broadcast(large_groups(df, self.keys, pos, limit))
-        share = (pos - F.col("__lo")) / (F.col("__hi") - F.col("__lo") + 1)
+        large = F.broadcast(large_groups(df, self.keys, pos, tie, limit))
+        within = (tie - F.col("__tlo")) / (F.col("__thi") - F.col("__tlo") + 1)
+        share = (pos - F.col("__lo") + within) / (F.col("__hi") - F.col("__lo") + 1)
         block = F.floor(share * F.ceil(F.col("__n") / F.lit(limit))).cast("long")
         self.df = (
             df.join(large, self.keys, "left")
             .withColumn(HOT, F.col("__n").isNotNull())
             .withColumn(BLOCK, F.coalesce(block, F.lit(0).cast("long")))
-            .drop("__n", "__lo", "__hi")
+            .drop("__n", "__lo", "__hi", "__tlo", "__thi")
         )
 
     @property
