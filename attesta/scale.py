@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BLOCK = "attesta.rows.per.block"
-BLOCK, HOT = "__block", "__hot"
+BLOCK, HOT = "__blk", "__hot"
 
 
 def rows_per_block(spark: SparkSession) -> int:
