@@ -12,11 +12,12 @@ from attesta.operators import sequence as seq
 
 
 def read_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Parquet files as a stream, with the schema of the files present."""
+    """Parquet files as a stream, with the schema of the files present; ``path`` may be a folder or one file."""
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    folder, _, name = path.rpartition("/")
+    return reader.parquet(f"{folder}/{{{name}}}")  # a pattern, as a plain path would have to be a folder
 
 
 def run_available(query: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None] | None = None, path: str | None = None) -> None:
