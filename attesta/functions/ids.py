@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from attesta.scale import lookup
+
 
 def mint_id(source: Column, key: Column) -> Column:
     """Own id from the source and its key: ``p`` and ten hex digits of the SHA-1."""
@@ -74,4 +76,4 @@ def publisher_of(df: DataFrame, url: str, publishers: DataFrame) -> DataFrame:
         .groupBy("host")
         .agg(F.min_by("label", "at").alias("publisher"))
     )
-    return df.withColumn("host", host).join(hits, "host", "left")
+    return lookup(df.withColumn("host", host), hits, ["host"])

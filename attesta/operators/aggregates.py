@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attesta.scale import OrderedGroups
+from attesta.scale import OrderedGroups, lookup
 
 PART = 10_000  # offsets listed in one row
 
@@ -86,7 +86,7 @@ def attendance_by_session(persons: DataFrame, meetings: DataFrame, lists: DataFr
     sessions = meetings.groupBy("council", "session").agg(
         F.count(F.lit(1)).alias("meetings"), F.bool_or("leave_printed").alias("printed")
     )
-    dated = lists.join(meetings.select("council", "meeting", "session"), ["council", "meeting"])
+    dated = lookup(lists, meetings.select("council", "meeting", "session"), ["council", "meeting"], "inner")
     listed = dated.groupBy("council", "session", "person").agg(
         *[F.count_if(F.col("status") == s).alias(s) for s in ("present", "leave", "duty")]
     )
@@ -153,7 +153,7 @@ def mode_or_null(df: DataFrame, key: Sequence[str], value: str, tie: str = "null
 def modal_offset(df: DataFrame, key: Sequence[str], value: Column) -> DataFrame:
     """Rows with a flag: does the row's offset equal the most frequent one of its group?"""
     d = df.withColumn("offset", value)
-    return d.join(mode_or_null(d, key, "offset", tie="least"), list(key)).withColumn("ok", F.col("offset") == F.col("mode"))
+    return lookup(d, mode_or_null(d, key, "offset", tie="least"), key, "inner").withColumn("ok", F.col("offset") == F.col("mode"))
 
 
 def median_outliers(df: DataFrame, key: Sequence[str], date: str, days: int = 45) -> DataFrame:
@@ -162,7 +162,7 @@ def median_outliers(df: DataFrame, key: Sequence[str], date: str, days: int = 45
     The aggregate keeps counts per distinct date, so a large group costs its number of dates, not of rows.
     """
     med = df.groupBy(*key).agg(F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY unix_date({date}) DESC)").alias("m"))
-    j = df.join(med, list(key)).withColumn("median", F.date_from_unix_date(F.col("m").cast("int"))).drop("m")
+    j = lookup(df, med, key, "inner").withColumn("median", F.date_from_unix_date(F.col("m").cast("int"))).drop("m")
     return j.withColumn("outlier", F.abs(F.datediff(date, "median")) > days)
 
 

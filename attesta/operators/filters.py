@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from attesta.scale import lookup
+
 
 def is_current(term_ok: Column, *leave_fields: Column) -> Column:
     """Current when the term matches and none of the leave fields is set."""
@@ -45,4 +47,4 @@ def readable(text: Column, script: str, least: float = 0.5, garble: str = "�",
 def since(facts: DataFrame, targets: DataFrame, key: str, date: str, start: str) -> DataFrame:
     """Facts from each target's own start on; one start per target."""
     first = targets.groupBy(key).agg(F.min(start).alias("__since"))
-    return facts.join(first, key).filter(F.col(date) >= F.col("__since")).drop("__since")
+    return lookup(facts, first, [key], "inner").filter(F.col(date) >= F.col("__since")).drop("__since")

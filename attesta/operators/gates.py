@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from attesta.scale import lookup
+
 
 def split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected with its reason)."""
@@ -44,7 +46,8 @@ def row_constraints(
         checks.append(F.when(F.try_parse_json(json).isNull(), F.lit(f"{json} is no JSON")))
     out = df.select(ident, F.explode(F.filter(F.array(*checks), lambda c: c.isNotNull())).alias("violation"))
     for column, parent, key in foreign:
-        orphans = df.filter(F.col(column).isNotNull()).join(parent.select(F.col(key).alias(column)).distinct(), column, "left_anti")
+        known = parent.select(F.col(key).alias(column)).distinct()
+        orphans = lookup(df.filter(F.col(column).isNotNull()), known, [column], "left_anti")
         out = out.unionByName(orphans.select(ident, F.lit(f"{column} unknown").alias("violation")))
     return out
 
@@ -162,7 +165,7 @@ def publish_invariants(
     count = lambda df, name: df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check"), "violations")
     fixed = facts.sparkSession.createDataFrame([("sensitive fields", sensitive)], "check string, violations long")
     sides = reconcile(exported.select("person_id"), candidates.select("person_id"), ["person_id"]).filter("side <> 'both'")
-    dangling = facts.join(persons.select("person_id"), "person_id", "left_anti")
+    dangling = lookup(facts, persons.select("person_id").distinct(), ["person_id"], "left_anti")
     parts = [count(facts.filter(no_source), "provenance"), count(sides, "exported set"), count(dangling, "references")]
     for p in parts:
         fixed = fixed.unionByName(p)
@@ -171,13 +174,13 @@ def publish_invariants(
 
 def suspects(rows: DataFrame, roster: DataFrame, group: str, name: str, least: int) -> DataFrame:
     """Unlisted speakers with many rows are reported, never attributed."""
-    unlisted = rows.join(roster.select(name).distinct(), name, "left_anti")
+    unlisted = lookup(rows, roster.select(name).distinct(), [name], "left_anti")
     return unlisted.groupBy(group, name).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
 
 
 def stray(edits: DataFrame, run: DataFrame, key: Sequence[str]) -> DataFrame:
     """Edits that name nothing of this run; none are allowed."""
-    return edits.join(run.select(*key).distinct(), list(key), "left_anti")
+    return lookup(edits, run.select(*key).distinct(), key, "left_anti")
 
 
 def one_summary_row(rows: DataFrame, table: str, page: str, is_summary: Column, meetings: str) -> DataFrame:

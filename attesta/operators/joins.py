@@ -7,13 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attesta.scale import OrderedGroups
+from attesta.scale import OrderedGroups, lookup
 
 
 def suppress(items: DataFrame, withheld: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(published, withheld items kept for the report)."""
     listed = withheld.select(*keys).distinct()
-    return items.join(listed, list(keys), "left_anti"), items.join(listed, list(keys), "left_semi")
+    return lookup(items, listed, keys, "left_anti"), lookup(items, listed, keys, "left_semi")
 
 
 def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -32,14 +32,14 @@ def drop_contradicted(
     a: DataFrame, b: DataFrame, on: Sequence[str], sentence: str
 ) -> DataFrame:
     """Rows of ``b`` without those ``a`` contradicts, and without any row that shares a sentence with one of them."""
-    struck = b.join(a.select(*on).distinct(), list(on), "left_semi").select(sentence).distinct()
-    return b.join(struck, sentence, "left_anti")
+    struck = lookup(b, a.select(*on).distinct(), on, "left_semi").select(sentence).distinct()
+    return lookup(b, struck, [sentence], "left_anti")
 
 
 def sole_owner(claims: DataFrame, item: str, owner: str) -> DataFrame:
     """Claims on items that one owner claims; an item with several owners is dropped for all."""
     owners = claims.groupBy(item).agg(F.min(owner).alias("lo"), F.max(owner).alias("hi"))
-    return claims.join(owners.filter("lo = hi").select(item), item, "left_semi")
+    return lookup(claims, owners.filter("lo = hi").select(item), [item], "left_semi")
 
 
 def all_or_nothing(members: DataFrame, doc: str, resolved: Column) -> DataFrame:
@@ -73,7 +73,7 @@ def day_session_names(media: DataFrame, records: DataFrame, keys: Sequence[str],
     first = records.groupBy(*keys, name).agg(F.min(order).alias("__first"))
     listed = first.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__first", name))).alias("__names"))
     listed = listed.withColumn("names", F.transform("__names", lambda s: s[name])).drop("__names")
-    return media.join(listed, list(keys))
+    return lookup(media, listed, keys, "inner")
 
 
 def best_overlap(
@@ -93,7 +93,7 @@ def best_overlap(
     # the best (score, same date) is an aggregate, so no ranking window over a document's groups is needed
     top = score.groupBy(kind, doc).agg(F.max(F.struct("score", "same_date")).alias("__top"))
     return (
-        score.join(top, [kind, doc])
+        lookup(score, top, [kind, doc], "inner")
         .filter((F.col("score") == F.col("__top.score")) & (F.col("same_date") == F.col("__top.same_date")))
         .drop("__top")
     )
@@ -110,12 +110,9 @@ def enclosing_spans(points: DataFrame, spans: DataFrame, doc: str, pos: str, sta
 
 def first_match(src: DataFrame, media: DataFrame, keys: Sequence[str], order: Sequence[str], take: Sequence[str]) -> DataFrame:
     """First media row per null-safe key, looked up from ``src``; the media side is reduced before the join."""
-    best = media.groupBy(*keys).agg(F.min(F.struct(*order, *take)).alias("__best"))
-    cond = None
-    for k in keys:
-        c = src[k].eqNullSafe(best[k])
-        cond = c if cond is None else cond & c
-    return src.join(best, cond, "left").select(*[src[c] for c in src.columns], *[F.col(f"__best.{c}").alias(c) for c in take])
+    whole = F.struct(*keys).alias("__key")  # structs compare equal where their null fields agree
+    best = media.groupBy(whole).agg(F.min(F.struct(*order, *take)).alias("__best"))
+    return lookup(src.select("*", whole), best, ["__key"]).select(*src.columns, *[F.col(f"__best.{c}").alias(c) for c in take])
 
 
 def covering_file(targets: DataFrame, files: DataFrame, office: str, area: str, number: str) -> DataFrame:
@@ -128,9 +125,9 @@ def covering_file(targets: DataFrame, files: DataFrame, office: str, area: str,
         F.col("office").alias(office), F.explode("areas").alias(area), "lo", "hi", "preference", "path"
     ).select(office, area, F.explode(F.sequence("lo", "hi")).alias(number), "preference", "path")
     best = spread.groupBy(office, area, number).agg(F.min(F.struct("preference", "path")).alias("__f"))
-    return targets.join(best, [office, area, number], "left").select(*targets.columns, F.col("__f.path").alias("path"))
+    return lookup(targets, best, [office, area, number]).select(*targets.columns, F.col("__f.path").alias("path"))
 
 
 def scoped_fixes(rows: DataFrame, fixes: DataFrame, doc: str, raw: str) -> DataFrame:
     """Spelling fixes, each valid only in its own document."""
-    return rows.join(fixes, [doc, raw], "left").withColumn("name", F.coalesce("fixed", raw)).drop("fixed")
+    return lookup(rows, fixes, [doc, raw]).withColumn("name", F.coalesce("fixed", raw)).drop("fixed")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attesta.functions import names
+from attesta.scale import lookup
 
 
 def with_name_keys(df: DataFrame, name: str = "name") -> DataFrame:
@@ -20,11 +21,6 @@ def with_name_keys(df: DataFrame, name: str = "name") -> DataFrame:
     return df.withColumns({"weak": weak, "words": words}).withColumn("folded", names.fold(F.col("weak")))
 
 
-def sole(df: DataFrame, keys: list[str], value: str, n: str, one: str) -> DataFrame:
-    """Rows per key and the smallest value, in one combined aggregate."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(n), F.min(value).alias(one))
-
-
 def new_districts(records: DataFrame, remap: DataFrame) -> DataFrame:
     """Old district → its new districts (one to many); areas without an entry keep their number."""
     table = remap.groupBy("area", "district_n").agg(F.array_sort(F.collect_set("new_n")).alias("new_ns"))
@@ -40,6 +36,16 @@ def districts_overlap(office: Column, area: Column, district_ids: Column, distri
     return F.when(office == "mayor", mayor | council).otherwise(mayor | F.array_contains(district_ids, district_id))
 
 
+def _keyed(df: DataFrame, tiers: dict[str, Column], *carry: str) -> DataFrame:
+    """One row per lookup key, so that several lookups become one join."""
+    keys = F.array(*[F.struct(F.lit(name).alias("tier"), key.alias("key")) for name, key in tiers.items()])
+    return df.select(*carry, F.inline(keys))
+
+
+def _full_key() -> Column:
+    return F.concat_ws("|", "weak", "words")
+
+
 def certain_links(records: DataFrame, candidates: DataFrame) -> DataFrame:
     """(record_id, outcome, reason, person_id, hits).
 
@@ -47,24 +53,30 @@ def certain_links(records: DataFrame, candidates: DataFrame) -> DataFrame:
     key is not unique on both sides, link when the areas overlap, no_overlap otherwise.  ``hits`` counts the candidates
     behind a review row; they are found by (area, weak) in the candidate list.
     """
+    weak, folded = F.col("weak"), F.col("folded")
     r, c = with_name_keys(records), with_name_keys(candidates)
-    exact = c.groupBy("area", "weak", "words").agg(
-        F.count(F.lit(1)).alias("n_exact"), F.min(F.struct("person_id", "district_id")).alias("first")
+    pool = _keyed(c, {"exact": _full_key(), "weak": weak, "folded": folded}, "area", "person_id", "district_id")
+    own = _keyed(r, {"own": weak}, "area").withColumns(
+        {x: F.lit(None).cast("string") for x in ("person_id", "district_id")}
+    )
+    index = pool.unionByName(own).groupBy("area", "tier", "key").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("person_id", "district_id")).alias("first")
     )
-    weak = c.groupBy("area", "weak").agg(F.count(F.lit(1)).alias("n_weak"))
-    folded = c.groupBy("area", "folded").agg(F.count(F.lit(1)).alias("n_folded"))
-    own = r.groupBy("area", "weak").agg(F.count(F.lit(1)).alias("n_own"))
-    j = (
-        r.join(exact, ["area", "weak", "words"], "left")
-        .join(weak, ["area", "weak"], "left")
-        .join(own, ["area", "weak"], "left")
-        .join(folded, ["area", "folded"], "left")
+    asked = _keyed(
+        r, {"exact": _full_key(), "weak": weak, "folded": folded, "own": weak}, "record_id", "area", "office", "district_ids"
     )
-    hit = F.col("n_exact").isNotNull()
-    overlap = districts_overlap(F.col("office"), F.col("area"), F.col("district_ids"), F.col("first.district_id"))
+    found = lookup(asked, index, ["area", "tier", "key"])
+    count = lambda tier: F.coalesce(F.max(F.when(F.col("tier") == tier, F.col("n"))), F.lit(0))
+    j = found.groupBy("record_id").agg(
+        *[count(x).alias(f"n_{x}") for x in ("exact", "weak", "folded", "own")],
+        F.max(F.when(F.col("tier") == "exact", F.col("first"))).alias("first"),
+        F.any_value(F.struct("office", "area", "district_ids")).alias("rec"),
+    )
+    hit = F.col("n_exact") > 0
+    overlap = districts_overlap(F.col("rec.office"), F.col("rec.area"), F.col("rec.district_ids"), F.col("first.district_id"))
     reason = (
-        F.when(~hit & F.col("n_weak").isNotNull(), F.lit("romanization"))
-        .when(~hit & F.col("n_folded").isNotNull(), F.lit("variant"))
+        F.when(~hit & (F.col("n_weak") > 0), F.lit("romanization"))
+        .when(~hit & (F.col("n_folded") > 0), F.lit("variant"))
         .when(~hit, F.lit("unregistered"))
         .when((F.col("n_weak") > 1) | (F.col("n_own") > 1), F.lit("duplicate_name"))
         .when(~overlap, F.lit("no_overlap"))
@@ -72,36 +84,24 @@ def certain_links(records: DataFrame, candidates: DataFrame) -> DataFrame:
     outcome = (
         F.when(F.col("reason").isNull(), "link").when(F.col("reason") == "unregistered", "unregistered").otherwise("review")
     )
-    hits = F.coalesce(F.col("n_exact"), F.col("n_weak"), F.col("n_folded"), F.lit(0))
     return j.withColumn("reason", reason).select(
         "record_id",
         outcome.alias("outcome"),
         "reason",
         F.when(F.col("reason").isNull(), F.col("first.person_id")).alias("person_id"),
-        hits.alias("hits"),
+        F.when(hit, F.col("n_exact")).when(F.col("n_weak") > 0, F.col("n_weak")).otherwise(F.col("n_folded")).alias("hits"),
     )
 
 
 def cascade_match(records: DataFrame, candidates: DataFrame) -> DataFrame:
     """First tier with hits wins (exact, weak, folded); one hit is accepted, several are ambiguous."""
-
-    def tiers(df, ident):
-        k = with_name_keys(df)
-        keys = F.array(
-            F.struct(F.lit(1).alias("tier"), F.concat_ws("|", "weak", "words").alias("key")),
-            F.struct(F.lit(2).alias("tier"), F.col("weak").alias("key")),
-            F.struct(F.lit(3).alias("tier"), F.col("folded").alias("key")),
-        )
-        return k.select(ident, "area", F.inline(keys))
-
-    pool = sole(tiers(candidates, "person_id"), ["area", "tier", "key"], "person_id", "n", "one")
-    best = (
-        tiers(records, "record_id")
-        .join(pool, ["area", "tier", "key"])
-        .groupBy("record_id")
-        .agg(F.min(F.struct("tier", "n", "one")).alias("best"))
-    )
-    out = records.select("record_id").join(best, "record_id", "left")
+    tiers = {"1": _full_key(), "2": F.col("weak"), "3": F.col("folded")}
+    pool = _keyed(with_name_keys(candidates), tiers, "area", "person_id")
+    index = pool.groupBy("area", "tier", "key").agg(F.count(F.lit(1)).alias("n"), F.min("person_id").alias("one"))
+    asked = _keyed(with_name_keys(records), tiers, "record_id", "area")
+    found = lookup(asked, index, ["area", "tier", "key"])
+    hit = F.when(F.col("n").isNotNull(), F.struct(F.col("tier").cast("int").alias("tier"), "n", "one"))
+    out = found.groupBy("record_id").agg(F.min(hit).alias("best"))
     return out.select(
         "record_id",
         F.col("best.tier").alias("tier"),
@@ -112,14 +112,23 @@ def cascade_match(records: DataFrame, candidates: DataFrame) -> DataFrame:
 
 def nationwide_links(records: DataFrame, candidates: DataFrame) -> DataFrame:
     """Uniqueness over the whole country on the folded weak key; an at-large record (null area) is never linked."""
+    folded = F.col("folded")
     r, c = with_name_keys(records), with_name_keys(candidates)
-    named = c.groupBy("folded").agg(F.count(F.lit(1)).alias("n_cand"))
-    own = r.groupBy("folded").agg(F.count(F.lit(1)).alias("n_own"))
-    exact = c.groupBy("weak", "words").agg(F.min(F.struct("person_id", "area")).alias("first"))
-    j = r.join(named, "folded", "left").join(own, "folded", "left").join(exact, ["weak", "words"], "left")
+    pool = _keyed(c, {"named": folded, "exact": _full_key()}, "person_id", "area")
+    own = _keyed(r, {"own": folded}).withColumns({x: F.lit(None).cast("string") for x in ("person_id", "area")})
+    index = pool.unionByName(own).groupBy("tier", "key").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("person_id", "area")).alias("first")
+    )
+    asked = _keyed(r, {"named": folded, "exact": _full_key(), "own": folded}, "record_id", "area")
+    found = lookup(asked.withColumnRenamed("area", "own_area"), index, ["tier", "key"])
+    pick = lambda tier, c: F.max(F.when(F.col("tier") == tier, F.col(c)))
+    j = found.groupBy("record_id").agg(
+        pick("named", "n").alias("n_named"), pick("own", "n").alias("n_own"), pick("exact", "first").alias("first"),
+        F.max("own_area").alias("area"),
+    )
     reason = (
-        F.when(F.col("n_cand").isNull(), F.lit("new"))
-        .when((F.col("n_cand") > 1) | (F.col("n_own") > 1), F.lit("duplicate_name"))
+        F.when(F.col("n_named").isNull(), F.lit("new"))
+        .when((F.col("n_named") > 1) | (F.col("n_own") > 1), F.lit("duplicate_name"))
         .when(F.col("first").isNull(), F.lit("romanization_or_variant"))
         .when(F.col("area").isNull(), F.lit("at_large"))
         .when(F.col("first.area") != F.col("area"), F.lit("other_county"))
@@ -149,7 +158,7 @@ def resolve_identity(records: DataFrame, manual: DataFrame, automatic: DataFrame
 def roster_lookup(df: DataFrame, roster: DataFrame, key: str, ident: str) -> DataFrame:
     """Name key → id when it is held by one id; otherwise a reason."""
     index = roster.groupBy(key).agg(F.min(ident).alias("lo"), F.max(ident).alias("hi"))
-    j = df.join(index, key, "left")
+    j = lookup(df, index, [key])
     only = F.col("lo") == F.col("hi")
     return j.select(
         *df.columns,
@@ -161,7 +170,7 @@ def roster_lookup(df: DataFrame, roster: DataFrame, key: str, ident: str) -> Dat
 def required_lookup(targets: DataFrame, members: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Every target must meet a member on all keys; a miss fails the job."""
     found = members.groupBy(*keys).agg(F.min(value).alias(value))
-    j = targets.join(found, keys, "left")
+    j = lookup(targets, found, keys)
     miss = F.raise_error(F.concat_ws(" ", F.lit("no member for"), *[F.col(k).cast("string") for k in keys]))
     return j.withColumn(value, F.when(F.col(value).isNotNull(), F.col(value)).otherwise(miss.cast("string")))
 
@@ -172,7 +181,7 @@ def unique_parent_fallback(
     """Value by exact code; else the parent's value when the parent has just one; else unmatched."""
     by_code = exact.groupBy(code).agg(F.min(value).alias("by_code"))
     by_parent = exact.groupBy(parent).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    j = rows.join(by_code, code, "left").join(by_parent, parent, "left")
+    j = lookup(lookup(rows, by_code, [code]), by_parent, [parent])
     inherited = F.when(F.col("lo") == F.col("hi"), F.col("lo"))
     return j.select(
         *rows.columns,
@@ -187,7 +196,7 @@ def eligible_district(asked: DataFrame, units: DataFrame) -> DataFrame:
     """(town, village) → its district; the town's district when that is the only one; null otherwise."""
     village = units.groupBy("town", "village").agg(F.min("district").alias("lo"), F.max("district").alias("hi"))
     town = units.groupBy("town").agg(F.min("district").alias("tlo"), F.max("district").alias("thi"))
-    j = asked.join(village, ["town", "village"], "left").join(town, "town", "left")
+    j = lookup(lookup(asked, village, ["town", "village"]), town, ["town"])
     own = F.when(F.col("lo") == F.col("hi"), F.col("lo"))
     whole = F.when(F.col("tlo") == F.col("thi"), F.col("tlo"))
     return j.select(
@@ -233,9 +242,8 @@ def expand_ranges(texts: DataFrame, universe: DataFrame) -> DataFrame:
     t = t.withColumn("unit", named)
     units = universe.groupBy("town", "village").agg(F.count(F.lit(1)).alias("copies"))
     towns = universe.select(F.col("town").alias("unit")).distinct().withColumn("is_town", F.lit(True))
-    j = t.join(towns, "unit", "left").join(
-        units, (t["current"] == units["town"]) & (t["unit"] == units["village"]), "left"
-    )
+    units = units.withColumnsRenamed({"town": "current", "village": "unit"})
+    j = lookup(lookup(t, towns, ["unit"]), units, ["current", "unit"])
     whole = F.col("is_town").isNotNull() & ~F.col("token").contains("+")
     hits = F.when(whole, F.lit(1)).otherwise(F.lit(0)) + F.coalesce(F.col("copies"), F.lit(0))
     return j.select(
@@ -250,7 +258,7 @@ def fill_from_sole_donor(rows: DataFrame, donors: DataFrame, curated: DataFrame,
     """Missing attribute from the only donor with the same key, else from a curated row, else a review reason."""
     d = donors.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("donor"))
     c = curated.select(key, F.col(value).alias("curated"))
-    j = rows.join(d, key, "left").join(c, key, "left")
+    j = lookup(rows, d.join(c, key, "full_outer"), [key])
     given = F.when(F.col("n") == 1, F.col("donor"))
     filled = F.coalesce(F.col(value), given, F.col("curated"))
     reason = F.when(filled.isNull() & F.col("n").isNull(), f"no_{value}").when(filled.isNull(), f"ambiguous_{value}")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attesta.functions import text as tx
-from attesta.scale import OrderedGroups
+from attesta.scale import OrderedGroups, lookup
 
 # fixed values: owners of a turn that are not members
 CHAIR, OUTSIDER = "CHAIR", "OTHER"
@@ -101,7 +101,7 @@ def before_successor(lists: DataFrame, successions: DataFrame, person: str, date
     """A predecessor's listing counts only before the successor's first one."""
     first = lists.groupBy(person).agg(F.min(date).alias("__cut")).withColumnRenamed(person, "successor")
     cut = successions.join(first, "successor", "left").select(F.col("predecessor").alias(person), "__cut")
-    j = lists.join(cut, person, "left")
+    j = lookup(lists, cut, [person])
     return j.withColumn("ok", F.col("__cut").isNull() | (F.col(date) < F.col("__cut"))).drop("__cut")
 
 
@@ -194,14 +194,14 @@ def sequence_key(session: Column, meeting: Column, afternoon: Column, slot: Colu
 def poisoned(rows: DataFrame, group: str, bad: Column) -> DataFrame:
     """Every row of a group that holds a bad row is flagged."""
     struck = rows.filter(bad).select(group).distinct().withColumn("poisoned", F.lit(True))
-    return rows.join(struck, group, "left").withColumn("poisoned", F.coalesce("poisoned", F.lit(False)))
+    return lookup(rows, struck, [group]).withColumn("poisoned", F.coalesce("poisoned", F.lit(False)))
 
 
 def number_citations(refs: DataFrame, doc: Sequence[str], key: Sequence[str], pos: str) -> DataFrame:
     """References with the same key share a number; numbers follow first appearance."""
     first = refs.groupBy(*doc, *key).agg(F.min(pos).alias("__first"))
     numbered = OrderedGroups(first, doc, ["__first"], "__first").number("number").rows().drop("__first")
-    return refs.join(numbered, [*doc, *key])
+    return lookup(refs, numbered, [*doc, *key], "inner")
 
 
 def newest_n(rows: DataFrame, key: Sequence[str], newest: Sequence[Column], n: int) -> DataFrame:

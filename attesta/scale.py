@@ -134,6 +134,25 @@ class OrderedGroups:
         return self.df.drop(BLOCK, HOT)
 
 
+def lookup(
+    rows: DataFrame, index: DataFrame, keys: Sequence[str], how: str = "left", hot: DataFrame | None = None
+) -> DataFrame:
+    """Join many rows to an index with at most one row per key (left, inner, left_semi or left_anti).
+
+    Keys that hold more rows than a block are few (at most total / limit), so their index rows are broadcast and their
+    rows stay where they are; all other keys meet in an ordinary shuffle join.  AQE drops the first half when no key is
+    large.  ``hot`` passes such keys in where they are known already; it must be as small.
+    """
+    keys = list(keys)
+    if hot is None:
+        limit = rows_per_block(rows.sparkSession)
+        hot = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit).select(*keys)
+    hot = F.broadcast(hot)
+    many = rows.join(hot, keys, "left_semi").join(F.broadcast(index.join(hot, keys, "left_semi")), keys, how)
+    rest = rows.join(hot, keys, "left_anti").join(index, keys, how)
+    return rest.unionByName(many)
+
+
 def micros(col: Column | str) -> Column:
     """Timestamp (with or without zone) → microseconds since the epoch."""
     col = F.col(col) if isinstance(col, str) else col

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from attesta.scale import lookup
+
 
 def keyed_groups(docs: DataFrame, body: str, row_schema: str) -> DataFrame:
     """``{group: [row, …]}`` documents → one row per element, with its group."""
@@ -52,7 +54,7 @@ def page_completeness(pages: DataFrame) -> DataFrame:
 def require_complete(pages: DataFrame) -> DataFrame:
     """Rows of complete listings; an incomplete one fails the job."""
     state = page_completeness(pages).select("listing", "complete")
-    rows = page_rows(pages).join(state, "listing")
+    rows = lookup(page_rows(pages), state, ["listing"], "inner")
     fail = F.raise_error(F.concat(F.lit("incomplete listing "), F.col("listing"))).cast("boolean")
     return rows.filter(F.when(F.col("complete"), F.lit(True)).otherwise(fail)).drop("complete")
 
@@ -134,7 +136,7 @@ def latest_snapshot(spark: SparkSession, base: str, expected: T.StructType) -> D
 
 def unseen(listing: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose natural key is not stored yet."""
-    return listing.join(known.select(*keys).distinct(), list(keys), "left_anti")
+    return lookup(listing, known.select(*keys).distinct(), keys, "left_anti")
 
 
 def newest_until_known(
@@ -144,6 +146,6 @@ def newest_until_known(
     grown = wanted.join(covered, [source, member], "left_anti").select(source).distinct().withColumn("__grew", F.lit(True))
     mark = known.groupBy(source).agg(F.max(order).alias("__mark"))
     fresh = unseen(listing, known, [key])
-    j = fresh.join(mark, source, "left").join(grown, source, "left")
+    j = lookup(fresh, mark.join(grown, source, "full_outer"), [source])
     newer = F.col("__mark").isNull() | (F.col(order) > F.col("__mark"))
     return j.filter(F.col("__grew").isNotNull() | newer).drop("__mark", "__grew")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attesta.scale import OrderedGroups, days, text_pos
+from attesta.scale import OrderedGroups, days, lookup, text_pos
 
 # fixed values: columns that never leave a working table, facts in one document part
 SENSITIVE = ("birth_date", "birth_year")
@@ -58,7 +58,7 @@ def write_documents(docs: DataFrame, path: str, by: str) -> None:
 def district_docs(districts: DataFrame, members: DataFrame, key: str, member: str, per_part: int = FACTS_PER_PART) -> DataFrame:
     """District with its members in id order, in parts; a member of an unknown district fails the job."""
     known = districts.select(key).withColumn("__known", F.lit(True))
-    checked = members.join(known, key, "left").filter(
+    checked = lookup(members, known, [key]).filter(
         F.when(F.col("__known").isNotNull(), F.lit(True)).otherwise(
             F.raise_error(F.concat(F.lit("unknown district "), F.col(key).cast("string"))).cast("boolean")
         )

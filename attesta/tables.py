@@ -18,12 +18,14 @@ class Tables:
     """``t.orders`` reads one parquet table; derived views are methods."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
+        self.spark, self.sf_dir, self._read = spark, sf_dir.rstrip("/"), {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in NAMES:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._read[name]
 
     def facts(self) -> DataFrame:
         e = self.events
