@@ -109,7 +109,7 @@ def t5(t):
   m AS (SELECT conv_id, sentence_id, coalesce(max(CASE WHEN doc = tdoc THEN cover END), 0) AS same,
     max(CASE WHEN doc <> tdoc THEN cover END) AS cover FROM x GROUP BY ALL)
   SELECT m.conv_id, m.sentence_id, (SELECT min(turn) FROM x WHERE x.conv_id = m.conv_id AND x.sentence_id = m.sentence_id AND doc <> tdoc AND x.cover = m.cover) AS turn_id,
-    cover, same FROM m WHERE cover >= 0.4 AND cover - same >= 0.15""")
+    cover FROM m WHERE cover >= 0.4 AND cover - same >= 0.15""")
 def t6(t):
     c = t.conversations
     sentences = c.filter("role = 'assistant'").select(

@@ -16,9 +16,10 @@ def p1(t):
     return t.events.select("event_id", k.alias("k")).filter("k >= 50")
 
 
-@plan("p2_scope_prefix", f"""WITH {FACT} SELECT fact_key, kind FROM fact WHERE fact_key LIKE 'event:1%'""")
+@plan("p2_scope_prefix", f"""WITH {FACT} SELECT kind || ':' || fact_key AS fact_key, kind FROM fact WHERE kind = 'view'""")
 def p2(t):
-    return t.facts().filter(F.col("fact_key").startswith("event:1")).select("fact_key", "kind")
+    scoped = t.facts().select(F.concat_ws(":", "kind", "fact_key").alias("fact_key"), "kind")
+    return scoped.filter(F.col("fact_key").startswith("view:"))
 
 
 @plan("p3_currency", """SELECT o_orderkey FROM orders WHERE year(o_orderdate) = 1997 AND o_orderstatus <> 'F'

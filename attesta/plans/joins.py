@@ -82,7 +82,7 @@ def j6(t):
     return linking.cascade_match(t.roster(), t.persons())
 
 
-@plan("j7_nationwide", f"""WITH {ROSTER}, {PERSON}, c AS (SELECT * FROM person WHERE c_custkey % 11 = 0),
+@plan("j7_nationwide", f"""WITH {ROSTER}, {PERSON}, c AS (SELECT * FROM person WHERE c_acctbal > 9000),
   j AS (SELECT r.record_id, CASE WHEN s_suppkey % 9 <> 8 THEN r.area END AS area,
     (SELECT count(*) FROM c WHERE c.folded = r.folded) AS n_cand, (SELECT count(*) FROM roster o WHERE o.folded = r.folded) AS n_own,
     (SELECT min(person_id) FROM c WHERE c.weak = r.weak AND c.words = r.words) AS pid FROM roster r),
@@ -91,8 +91,7 @@ def j6(t):
     FROM j LEFT JOIN c ON c.person_id = j.pid)
   SELECT record_id, reason, CASE WHEN reason IS NULL THEN pid END AS person_id FROM w""")
 def j7(t):
-    # candidates for one national election: every eleventh customer
-    candidates = t.persons().filter(F.col("c_custkey") % 11 == 0)
+    candidates = t.persons().filter("c_acctbal > 9000")
     records = t.roster().withColumn("area", F.when(F.col("s_suppkey") % 9 != 8, F.col("area")))
     return linking.nationwide_links(records, candidates)
 

@@ -9,20 +9,27 @@ from attesta.plans.registry import plan
 from attesta.scale import micros
 from attesta.session import scratch
 
-# Two snapshots of one fact table: the stored one lacks the latest tenth and holds older content for some rows.
-_SNAP = """s AS (SELECT event_id AS k, user_id, event_type AS kind, CASE WHEN event_id % 7 = 0 THEN value + 1 ELSE value END AS value, 1 AS fetched_at FROM events WHERE event_id % 10 <> 9),
-  b AS (SELECT event_id AS k, user_id, event_type AS kind, CASE WHEN event_id % 11 = 0 THEN NULL ELSE value END AS value, 2 AS fetched_at FROM events WHERE event_id % 10 <> 0)"""
+# Two snapshots of one fact table: the stored one ends early and holds older content for some rows; the batch begins late.
+_SNAP = """s AS (SELECT event_id AS k, user_id, event_type AS kind, CASE WHEN event_type = 'error' THEN value + 1 ELSE value END AS value, 1 AS fetched_at FROM events WHERE ts < TIMESTAMP '2024-01-28'),
+  b AS (SELECT event_id AS k, user_id, event_type AS kind, CASE WHEN value < 10 THEN NULL ELSE value END AS value, 2 AS fetched_at FROM events WHERE ts >= TIMESTAMP '2024-01-04')"""
 _MERGED = """j AS (SELECT coalesce(s.k, b.k) AS k, s.k AS sk, b.k AS bk, s.user_id AS su, b.user_id AS bu, s.kind AS sd, b.kind AS bd, s.value AS sv, b.value AS bv,
     bk IS NOT NULL AND (sk IS NULL OR s.user_id <> b.user_id OR s.kind <> b.kind OR s.value IS DISTINCT FROM b.value) AS take FROM s FULL JOIN b ON s.k = b.k),
   m AS (SELECT k, coalesce(bu, su) AS user_id, coalesce(bd, sd) AS kind, CASE WHEN take THEN bv ELSE sv END AS value, CASE WHEN take THEN 2 ELSE 1 END AS fetched_at, sk, bk FROM j)"""
 
 
 def _snapshots(t):
-    e = t.events.select(F.col("event_id").alias("k"), "user_id", F.col("event_type").alias("kind"), "value")
-    k = F.col("k")
-    stored = e.filter(k % 10 != 9).withColumn("value", F.when(k % 7 == 0, F.col("value") + 1).otherwise(F.col("value")))
-    batch = e.filter(k % 10 != 0).withColumn("value", F.when(k % 11 != 0, F.col("value")))
-    return stored.withColumn("fetched_at", F.lit(1)), batch.withColumn("fetched_at", F.lit(2))
+    value = F.col("value")
+    rows = lambda df, v, stamp: df.select(
+        F.col("event_id").alias("k"), "user_id", F.col("event_type").alias("kind"), v.alias("value"), F.lit(stamp).alias("fetched_at")
+    )
+    stored = t.events.filter("ts < timestamp_ntz'2024-01-28 00:00:00'")
+    batch = t.events.filter("ts >= timestamp_ntz'2024-01-04 00:00:00'")
+    older = F.when(F.col("event_type") == "error", value + 1).otherwise(value)
+    return rows(stored, older, 1), rows(batch, F.when(value >= 10, value), 2)
+
+
+def _people(t, condition):
+    return t.customer.filter(condition).select(F.col("c_custkey").alias("user_id"))
 
 
 @plan("m1_change_aware_upsert", f"WITH {_SNAP}, {_MERGED} SELECT k, user_id, kind, value, fetched_at FROM m")
@@ -56,25 +63,25 @@ def m4_report(t):
     return life.scope_replace(stored, batch, ["k"], F.col("kind") == "view")[1]
 
 
-@plan("m5_entity_replace", f"""WITH {_SNAP}, f AS (SELECT * FROM b WHERE kind IN ('view', 'click') AND user_id % 4 = 0),
+@plan("m5_entity_replace", f"""WITH {_SNAP}, f AS (SELECT * FROM b WHERE kind IN ('view', 'click') AND user_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')),
   o AS (SELECT * FROM s WHERE kind IN ('view', 'click')),
   j AS (SELECT f.k, f.user_id, f.kind, f.value AS fv, o.value AS ov, o.k AS ok FROM f LEFT JOIN o ON f.k = o.k)
   SELECT * FROM s WHERE kind NOT IN ('view', 'click')
-  UNION ALL SELECT o.* FROM o WHERE user_id % 3 <> 0 AND user_id NOT IN (SELECT user_id FROM f)
+  UNION ALL SELECT o.* FROM o WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) AND user_id NOT IN (SELECT user_id FROM f)
   UNION ALL SELECT k, user_id, kind, fv, CASE WHEN ok IS NOT NULL AND fv IS NOT DISTINCT FROM ov THEN 1 ELSE 2 END FROM j""")
 def m5(t):
     stored, batch = _snapshots(t)
-    fetched = batch.filter("kind IN ('view', 'click') AND user_id % 4 = 0")
-    linked = stored.filter("user_id % 3 <> 0").select("user_id")
+    fetched = batch.filter("kind IN ('view', 'click')").join(_people(t, "c_mktsegment = 'BUILDING'"), "user_id", "left_semi")
+    linked = _people(t, "c_acctbal > 0")
     return life.entity_replace(stored, fetched, ["k"], "user_id", "kind", ["view", "click"], linked)
 
 
-@plan("m6_departed_only", f"""WITH {_SNAP}, {_MERGED} SELECT k, user_id, kind, value, fetched_at FROM m WHERE user_id % 3 <> 0
-  UNION ALL SELECT * FROM s WHERE user_id % 3 = 0 AND kind <> 'view'""")
+@plan("m6_departed_only", f"""WITH {_SNAP}, {_MERGED} SELECT k, user_id, kind, value, fetched_at FROM m WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)
+  UNION ALL SELECT * FROM s WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) AND kind <> 'view'""")
 def m6(t):
     stored, batch = _snapshots(t)
-    targets = stored.filter("user_id % 3 <> 0").select("user_id")
-    return life.purge_departed(stored, batch.filter("user_id % 3 <> 0"), ["k"], "user_id", F.col("kind") == "view", targets)
+    targets = _people(t, "c_acctbal > 0")
+    return life.purge_departed(stored, batch.join(targets, "user_id", "left_semi"), ["k"], "user_id", F.col("kind") == "view", targets)
 
 
 @plan("m7_write_once", f"WITH {_SNAP} SELECT * FROM s UNION ALL SELECT * FROM b WHERE k NOT IN (SELECT k FROM s)")
@@ -83,22 +90,22 @@ def m7(t):
     return life.write_once(stored, batch, ["k"])
 
 
-@plan("m8_coverage_state", """WITH w AS (SELECT DISTINCT event_type, user_id FROM events), c AS (SELECT * FROM w WHERE event_type <> 'error' OR user_id % 2 = 0)
+@plan("m8_coverage_state", """WITH w AS (SELECT DISTINCT event_type, user_id FROM events), c AS (SELECT DISTINCT event_type, user_id FROM events WHERE event_type <> 'error' OR value > 150)
   SELECT w.event_type, count(*) FILTER (WHERE c.user_id IS NULL) AS new_members, CASE WHEN bool_or(c.user_id IS NULL) THEN 'full' ELSE 'incremental' END AS scan
   FROM w LEFT JOIN c ON w.event_type = c.event_type AND w.user_id = c.user_id GROUP BY w.event_type""")
 def m8(t):
     wanted = t.events.select("event_type", "user_id")
-    covered = wanted.filter("event_type <> 'error' OR user_id % 2 = 0")
+    covered = t.events.filter("event_type <> 'error' OR value > 150").select("event_type", "user_id")
     return life.scan_plan(covered, wanted, "event_type", "user_id")
 
 
-@plan("m9_reread_window", """WITH s AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS d, o_totalprice AS v, 'stored' AS src FROM orders WHERE o_orderdate < DATE '1998-06-01' AND o_orderkey % 5 <> 0),
+@plan("m9_reread_window", """WITH s AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS d, o_totalprice AS v, 'stored' AS src FROM orders WHERE o_orderdate < DATE '1998-06-01' AND o_orderstatus <> 'P'),
   f AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS d, o_totalprice AS v, 'fresh' AS src FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '1998-06-01' - 60)
   SELECT k, v, src FROM f UNION ALL SELECT k, v, src FROM s WHERE k NOT IN (SELECT k FROM f)""")
 def m9(t):
-    o = t.orders.select(F.col("o_orderkey").alias("k"), F.to_date("o_orderdate").alias("d"), F.col("o_totalprice").alias("v"))
+    o = t.orders.select(F.col("o_orderkey").alias("k"), F.to_date("o_orderdate").alias("d"), F.col("o_totalprice").alias("v"), "o_orderstatus")
     last = F.lit("1998-06-01").cast("date")
-    stored = o.filter((F.col("d") < last) & (F.col("k") % 5 != 0)).withColumn("src", F.lit("stored"))
+    stored = o.filter((F.col("d") < last) & (F.col("o_orderstatus") != "P")).drop("o_orderstatus").withColumn("src", F.lit("stored"))
     return life.reread_window(stored, o.withColumn("src", F.lit("fresh")), ["k"], "d", last).drop("d")
 
 

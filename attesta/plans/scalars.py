@@ -222,14 +222,14 @@ _ROLES = ["Chair", "Member", "Director"]
 
 
 @plan("f21_speaker_label", r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS s FROM documents),
-  q AS (SELECT doc_id, trim(s) AS s, length(s) % 3 AS r FROM l WHERE s <> ''),
-  lab AS (SELECT doc_id, left(s, 24) AS head, r FROM q)
-  SELECT doc_id, count(*) AS lines, count(*) FILTER (WHERE NOT regexp_matches(head, '[.,;!?:]') AND r < 2) AS labels
+  q AS (SELECT doc_id, trim(split_part(s, ',', 1)) AS head, length(s) % 3 AS r FROM l WHERE s <> ''),
+  lab AS (SELECT doc_id, head, r, length(head) + CASE r WHEN 0 THEN 6 ELSE 7 END AS n FROM q)
+  SELECT doc_id, count(*) AS lines, count(*) FILTER (WHERE NOT regexp_matches(head, '[.;!?:]') AND r < 2 AND n <= 40) AS labels
   FROM lab GROUP BY doc_id""")
 def f21(t):
     lines = t.documents.select("doc_id", F.explode(F.split("text", "\n")).alias("raw")).filter("raw <> ''")
     role = F.element_at(F.array(F.lit(" Chair"), F.lit(" Member"), F.lit(" said")), F.length("raw") % 3 + 1)
-    line = F.concat(F.substring(F.trim("raw"), 1, 24), role, F.lit(": "), F.col("raw"))
+    line = F.concat(F.trim(F.split_part("raw", F.lit(","), F.lit(1))), role, F.lit(": "), F.col("raw"))
     label = text.speaker_label(line, _ROLES)
     return (
         lines.select("doc_id", label.alias("label"))
@@ -274,8 +274,8 @@ def f23(t):
     return t.orders.select("o_orderkey", tag.alias("tag"))
 
 
-@plan("f24_eligibility", """WITH u AS (SELECT DISTINCT c_nationkey AS town, c_mktsegment AS village, c_custkey % 3 AS district
-    FROM customer WHERE c_custkey % 3 <> 2 OR c_nationkey % 2 = 0),
+@plan("f24_eligibility", """WITH u AS (SELECT DISTINCT c_nationkey AS town, c_mktsegment AS village, CASE WHEN c_nationkey > 18 THEN 1 WHEN c_acctbal > 0 AND c_nationkey > 5 THEN 2 ELSE c_custkey % 3 END AS district
+    FROM customer WHERE c_acctbal > 0 OR c_nationkey < 12),
   tv AS (SELECT town, village, count(*) AS n, min(district) AS d FROM u GROUP BY ALL),
   tt AS (SELECT town, count(DISTINCT district) AS n, min(district) AS d FROM u GROUP BY ALL)
   SELECT s_suppkey, CASE WHEN tv.n = 1 THEN tv.d WHEN tt.n = 1 THEN tt.d END AS district,
@@ -283,9 +283,10 @@ def f23(t):
   FROM supplier LEFT JOIN tv ON s_nationkey = tv.town AND tv.village = CASE WHEN s_suppkey % 2 = 0 THEN 'BUILDING' ELSE 'MACHINERY' END
   LEFT JOIN tt ON s_nationkey = tt.town""")
 def f24(t):
-    c = t.customer.filter((F.col("c_custkey") % 3 != 2) | (F.col("c_nationkey") % 2 == 0))
+    c = t.customer.filter("c_acctbal > 0 OR c_nationkey < 12")
     units = c.select(F.col("c_nationkey").alias("town"), F.col("c_mktsegment").alias("village"),
-                     (F.col("c_custkey") % 3).alias("district"))
+                     F.when(F.col("c_nationkey") > 18, 1).when((F.col("c_acctbal") > 0) & (F.col("c_nationkey") > 5), 2)
+                     .otherwise(F.col("c_custkey") % 3).alias("district"))
     asked = t.supplier.select(
         "s_suppkey", F.col("s_nationkey").alias("town"),
         F.when(F.col("s_suppkey") % 2 == 0, F.lit("BUILDING")).otherwise(F.lit("MACHINERY")).alias("village"),
