@@ -191,7 +191,7 @@ def apply_edits(docs: DataFrame, edits: DataFrame, key: Sequence[str]) -> DataFr
 
 
 class ScopeStore:
-    """Facts by scope: each scope is written to its own new folder and becomes current by one manifest entry.
+    """Facts by scope: a scope is written to a new folder and becomes current by one manifest entry.
 
     A scope that fails leaves its current folder in place, so the other scopes publish without it.
     """
@@ -200,35 +200,42 @@ class ScopeStore:
         self.spark, self.base = spark, base.rstrip("/")
         self.manifest = f"{self.base}/manifest"
 
-    def entries(self) -> list:
-        """Latest entry per scope; the scopes are the sources of a run, a list of dozens."""
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.manifest)
+    def current(self) -> dict[str, tuple[int, str]]:
+        """Scope → (version, folder); the scopes are the sources of a run, a list of dozens."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.manifest)
         if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
-            return []
+            return {}
         m = self.spark.read.schema("scope string, version long, path string").json(self.manifest)
-        return m.groupBy("scope").agg(F.max(F.struct("version", "path")).alias("m")).select("scope", "m.version", "m.path").collect()
+        newest = m.groupBy("scope").agg(F.max(F.struct("version", "path")).alias("m")).select("scope", "m.version", "m.path")
+        return {r.scope: (r.version, r.path) for r in newest.collect()}
 
-    def version(self, scope: str) -> int:
-        return max((r.version for r in self.entries() if r.scope == scope), default=-1)
-
-    def read(self, scope: str | None = None) -> DataFrame | None:
-        paths = [r.path for r in self.entries() if scope in (None, r.scope)]
+    def read(self, scopes: Sequence[str] | None = None, current: dict | None = None) -> DataFrame | None:
+        current = self.current() if current is None else current
+        paths = [path for scope, (_, path) in current.items() if scopes is None or scope in scopes]
         return self.spark.read.parquet(*paths) if paths else None
 
     def write(self, scope: str, rows: DataFrame, version: int) -> None:
         path = f"{self.base}/data/{scope}/v{version}"
         rows.write.mode("overwrite").parquet(path)
-        entry = self.spark.createDataFrame([(scope, version, path)], "scope string, version long, path string")
-        entry.coalesce(1).write.mode("append").json(self.manifest)
+        self._commit([(scope, version, path)])
+
+    def write_scopes(self, rows: DataFrame, by: str, scopes: Sequence[str], version: int) -> None:
+        """Several scopes in one job, committed together."""
+        root = f"{self.base}/batches/v{version}"
+        rows.withColumn("__scope", F.col(by)).write.mode("overwrite").partitionBy("__scope").parquet(root)
+        self._commit([(s, version, f"{root}/__scope={s}") for s in scopes])
+
+    def _commit(self, entries: list[tuple[str, int, str]]) -> None:
+        log = self.spark.createDataFrame(entries, "scope string, version long, path string")
+        log.coalesce(1).write.mode("append").json(self.manifest)
 
 
 def publish(store: ScopeStore, sources: dict[str, Callable[[], DataFrame]]) -> DataFrame:
     """Run every source; a failing one keeps its old rows and is reported → (scope, status, message)."""
-    state = []
+    state, current = [], store.current()
     for scope, build in sources.items():
         try:
-            store.write(scope, build(), store.version(scope) + 1)
+            store.write(scope, build(), current.get(scope, (-1, ""))[0] + 1)
             state.append((scope, "published", None))
         except Exception as error:  # noqa: BLE001 - one source must not stop the others
             state.append((scope, "failed", type(error).__name__))

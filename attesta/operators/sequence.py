@@ -114,7 +114,7 @@ def first_verbatim(docs: DataFrame, ident: str, order: Sequence[str], text: str)
     squashed = tx.squash(F.col(text))
     digest = F.when(F.length(squashed) >= VERBATIM_MIN, F.sha2(squashed, 256))
     d = docs.select(ident, *[o for o in order if o != ident], digest.alias("__digest"))
-    first = d.filter("__digest IS NOT NULL").groupBy("__digest").agg(F.min(F.struct(*order, F.col(ident).alias("__id")))["__id"].alias(ident))
+    first = d.groupBy("__digest").agg(F.min(F.struct(*order, F.col(ident).alias("__id")))["__id"].alias(ident))
     j = d.join(first.select(ident, F.lit(True).alias("__first")), ident, "left")
     return j.select(ident, (F.col("__digest").isNull() | F.col("__first").isNotNull()).alias("accepted"))
 

@@ -249,8 +249,8 @@ def f22(t):
     # a document's own labels are known from the document alone, so the lookup stays inside the row
     lines = F.split(F.regexp_replace("text", "[.]", ""), "\n")
     known = F.array_distinct(F.transform(lines, lambda s: F.split_part(s, F.lit(" "), F.lit(1))))
-    known = F.filter(known, lambda w: F.length(w) > 0)
-    per_line = t.documents.select("doc_id", F.explode(lines).alias("line"), known.alias("known")).filter("line <> ''")
+    docs = t.documents.select("doc_id", lines.alias("lines"), F.filter(known, lambda w: F.length(w) > 0).alias("known"))
+    per_line = docs.select("doc_id", F.explode("lines").alias("line"), "known").filter("line <> ''")
     hits = F.filter("known", lambda w: F.col("line").endswith(w) & (F.length("line") > F.length(w)))
     longest = F.array_max(F.transform(hits, F.length))
     return (

@@ -64,9 +64,10 @@ def repeated_rows(
 ) -> DataFrame:
     """One row per match of a repeating pattern; ``ok`` is false when the page has more anchors than parsed rows."""
     cols = [F.regexp_extract_all(F.col(body), F.lit(pattern), F.lit(i + 1)).alias(f) for i, f in enumerate(fields)]
-    ok = F.regexp_count(F.col(body), F.lit(anchor)) == F.size(F.regexp_extract_all(F.col(body), F.lit(pattern), F.lit(1)))
-    hits = docs.select(*carry, ok.alias("ok"), F.posexplode(F.arrays_zip(*cols)).alias("pos", "hit"))
-    return hits.select(*carry, "ok", "pos", "hit.*")
+    # matched once per page, before the matches are exploded
+    found = docs.select(*carry, F.regexp_count(F.col(body), F.lit(anchor)).alias("__anchors"), F.arrays_zip(*cols).alias("__hits"))
+    found = found.withColumn("ok", F.col("__anchors") == F.size("__hits"))
+    return found.select(*carry, "ok", F.posexplode("__hits").alias("pos", "hit")).select(*carry, "ok", "pos", "hit.*")
 
 
 def sectioned_rows(docs: DataFrame, body: str, section: str, hit: str, carry: Sequence[str]) -> DataFrame:

@@ -28,25 +28,26 @@ def run_available(query: DataFrame, checkpoint: str, sink: Callable[[DataFrame,
 
 
 def merge_facts(store: life.ScopeStore, scope: str, key: list[str]) -> Callable[[DataFrame, int], None]:
-    """Sink: change-aware upsert per touched scope.
+    """Sink: change-aware upsert of the touched scopes.
 
-    Only the scopes present in the micro-batch are rewritten, each as a new version named after the batch, so a batch
-    that is replayed after a failure is skipped for scopes already published.
+    Only the scopes present in the micro-batch are rewritten, as a new version named after the batch and committed
+    together, so a batch that is replayed after a failure finds its own version and is skipped.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        current = {r.scope: r.version for r in store.entries()}
+        current = store.current()
         # the scopes are the sources of the fact table: a list of dozens
-        for row in batch.select(scope).distinct().collect():
-            name = row[0]
-            if current.get(name, -1) >= batch_id:
-                continue
-            rows = batch.filter(F.col(scope) == name)
-            # one row per key within the batch: the latest
-            others = [c for c in rows.columns if c not in key and c != life.STAMP]
-            latest = rows.groupBy(*key).agg(F.max(F.struct(life.STAMP, *others)).alias("r")).select(*key, "r.*").select(*rows.columns)
-            stored = store.read(name)
-            store.write(name, latest if stored is None else life.upsert(stored, latest, key), batch_id)
+        touched = [r[0] for r in batch.select(scope).distinct().collect()]
+        touched = [s for s in touched if current.get(s, (-1, ""))[0] < batch_id]
+        if not touched:
+            return
+        rows = batch.filter(F.col(scope).isin(*touched))
+        # one row per key within the batch: the latest
+        others = [c for c in rows.columns if c not in (*key, scope, life.STAMP)]
+        latest = rows.groupBy(scope, *key).agg(F.max(F.struct(life.STAMP, *others)).alias("r")).select(scope, *key, "r.*")
+        stored = store.read(touched, current)
+        merged = latest if stored is None else life.upsert(stored, latest, [scope, *key])
+        store.write_scopes(merged, scope, touched, batch_id)
 
     return sink
 
@@ -77,11 +78,11 @@ def running_attribution(store: life.ScopeStore, out: str, key: list[str], pos: s
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        done = store.version("state")
-        if done >= batch_id:
+        current = store.current()
+        if current.get("state", (-1, ""))[0] >= batch_id:
             return
         turns = batch.withColumn("owner", owner)
-        state = store.read("state")
+        state = store.read(["state"], current)
         rows = turns.select(*key, pos, "owner", F.lit(False).alias("is_state"))
         if state is not None:
             touched = state.join(turns.select(*key).distinct(), key, "left_semi")

@@ -14,6 +14,15 @@ NAME_SPACE = 211  # invented person names repeat after this many keys, so duplic
 RECORD_HOST = "https://records.example.org"
 
 
+TEXT = ("documents", "pages", "conversations")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan with fewer splits than cores (one small file); a scan with enough splits is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 class Tables:
     """``t.orders`` reads one parquet table; derived views are methods."""
 
@@ -24,7 +33,8 @@ class Tables:
         if name not in NAMES:
             raise AttributeError(name)
         if name not in self._read:
-            self._read[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            self._read[name] = spread(df) if name in TEXT else df
         return self._read[name]
 
     def facts(self) -> DataFrame:
