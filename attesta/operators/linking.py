@@ -21,6 +21,12 @@ def with_name_keys(df: DataFrame, name: str = "name") -> DataFrame:
     return df.withColumns({"weak": weak, "words": words}).withColumn("folded", names.fold(F.col("weak")))
 
 
+def _keyed(df: DataFrame, tiers: dict[str, Column], *carry: str) -> DataFrame:
+    """One row per lookup key, so that several lookups become one join."""
+    keys = F.array(*[F.struct(F.lit(name).alias("tier"), key.alias("key")) for name, key in tiers.items()])
+    return df.select(*carry, F.inline(keys))
+
+
 def new_districts(records: DataFrame, remap: DataFrame) -> DataFrame:
     """Old district → its new districts (one to many); areas without an entry keep their number."""
     table = remap.groupBy("area", "district_n").agg(F.array_sort(F.collect_set("new_n")).alias("new_ns"))
@@ -36,12 +42,6 @@ def districts_overlap(office: Column, area: Column, district_ids: Column, distri
     return F.when(office == "mayor", mayor | council).otherwise(mayor | F.array_contains(district_ids, district_id))
 
 
-def _keyed(df: DataFrame, tiers: dict[str, Column], *carry: str) -> DataFrame:
-    """One row per lookup key, so that several lookups become one join."""
-    keys = F.array(*[F.struct(F.lit(name).alias("tier"), key.alias("key")) for name, key in tiers.items()])
-    return df.select(*carry, F.inline(keys))
-
-
 def _full_key() -> Column:
     return F.concat_ws("|", "weak", "words")
 
@@ -175,13 +175,14 @@ def required_lookup(targets: DataFrame, members: DataFrame, keys: list[str], val
     return j.withColumn(value, F.when(F.col(value).isNotNull(), F.col(value)).otherwise(miss.cast("string")))
 
 
-def unique_parent_fallback(
-    rows: DataFrame, exact: DataFrame, code: str, parent: str, value: str
-) -> DataFrame:
-    """Value by exact code; else the parent's value when the parent has just one; else unmatched."""
+def unique_parent_fallback(rows: DataFrame, exact: DataFrame, code: str, parent: str, value: str) -> DataFrame:
+    """Value by exact code; else the parent's value when the parent has just one; else unmatched.
+
+    ``code`` is the key of ``rows``; a parent may hold any number of them.
+    """
     by_code = exact.groupBy(code).agg(F.min(value).alias("by_code"))
     by_parent = exact.groupBy(parent).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    j = lookup(lookup(rows, by_code, [code]), by_parent, [parent])
+    j = lookup(rows, by_parent, [parent]).join(by_code, code, "left")
     inherited = F.when(F.col("lo") == F.col("hi"), F.col("lo"))
     return j.select(
         *rows.columns,
@@ -192,15 +193,17 @@ def unique_parent_fallback(
     )
 
 
-def eligible_district(asked: DataFrame, units: DataFrame) -> DataFrame:
+def eligible_district(asked: DataFrame, units: DataFrame, ident: str) -> DataFrame:
     """(town, village) → its district; the town's district when that is the only one; null otherwise."""
-    village = units.groupBy("town", "village").agg(F.min("district").alias("lo"), F.max("district").alias("hi"))
-    town = units.groupBy("town").agg(F.min("district").alias("tlo"), F.max("district").alias("thi"))
-    j = lookup(lookup(asked, village, ["town", "village"]), town, ["town"])
-    own = F.when(F.col("lo") == F.col("hi"), F.col("lo"))
-    whole = F.when(F.col("tlo") == F.col("thi"), F.col("tlo"))
+    village, town = F.concat_ws("|", "town", "village"), F.col("town").cast("string")
+    index = _keyed(units, {"village": village, "town": town}, "district").groupBy("tier", "key").agg(
+        F.min("district").alias("lo"), F.max("district").alias("hi")
+    )
+    found = lookup(_keyed(asked, {"village": village, "town": town}, ident), index, ["tier", "key"])
+    only = lambda t: F.max(F.when((F.col("tier") == t) & (F.col("lo") == F.col("hi")), F.col("lo")))
+    j = found.groupBy(ident).agg(only("village").alias("own"), only("town").alias("whole"))
     return j.select(
-        *asked.columns, F.coalesce(own, whole).alias("district"), (own.isNull() & whole.isNotNull()).alias("fallback")
+        ident, F.coalesce("own", "whole").alias("district"), (F.col("own").isNull() & F.col("whole").isNotNull()).alias("fallback")
     )
 
 
@@ -225,27 +228,27 @@ def expand_ranges(texts: DataFrame, universe: DataFrame) -> DataFrame:
     A bare token is a town or a village of the town named last before it; tokens of one text stay in one row until
     resolved, so only the text's own length bounds the work.  Returns (text_id, at, token, town, village, hits, ok).
     """
-    tokens = texts.select("text_id", F.posexplode(F.split("range", "、")).alias("at", "token"))
+    tokens = F.split("range", "、")
     # the town carried along: the prefix before + in the latest token that has one
-    prefix = F.transform(F.split("range", "、"), lambda s: F.when(s.contains("+"), F.split_part(s, F.lit("+"), F.lit(1))))
-    carried = texts.select(
-        "text_id",
-        F.posexplode(
-            F.transform(
-                F.sequence(F.lit(1), F.size(prefix)),
-                lambda i: F.try_element_at(F.filter(F.slice(prefix, F.lit(1), i), lambda p: p.isNotNull()), F.lit(-1)),
-            )
-        ).alias("at", "current"),
+    prefix = F.transform(tokens, lambda s: F.when(s.contains("+"), F.split_part(s, F.lit("+"), F.lit(1))))
+    carried = F.transform(
+        F.sequence(F.lit(1), F.size(prefix)),
+        lambda i: F.try_element_at(F.filter(F.slice(prefix, F.lit(1), i), lambda p: p.isNotNull()), F.lit(-1)),
+    )
+    t = texts.select("text_id", F.posexplode(F.arrays_zip(tokens.alias("token"), carried.alias("current"))).alias("at", "x")).select(
+        "text_id", "at", F.col("x.token").alias("token"), F.col("x.current").alias("current")
+    )
+    t = t.withColumn("unit", F.when(F.col("token").contains("+"), F.split_part("token", F.lit("+"), F.lit(2))).otherwise(F.col("token")))
+    as_town = F.when(~F.col("token").contains("+"), F.col("unit"))
+    asked = _keyed(t, {"town": as_town, "village": F.concat_ws("|", "current", "unit")}, "text_id", "at", "token", "current", "unit")
+    units = _keyed(universe, {"village": F.concat_ws("|", "town", "village")})
+    towns = _keyed(universe.select("town").distinct(), {"town": F.col("town")})
+    index = units.unionByName(towns).groupBy("tier", "key").agg(F.count(F.lit(1)).alias("n"))
+    count = lambda tier: F.coalesce(F.max(F.when(F.col("tier") == tier, F.col("n"))), F.lit(0))
+    j = lookup(asked, index, ["tier", "key"]).groupBy("text_id", "at", "token", "current", "unit").agg(
+        count("town").alias("towns"), count("village").alias("villages")
     )
-    t = tokens.join(carried, ["text_id", "at"])
-    named = F.when(F.col("token").contains("+"), F.split_part("token", F.lit("+"), F.lit(2))).otherwise(F.col("token"))
-    t = t.withColumn("unit", named)
-    units = universe.groupBy("town", "village").agg(F.count(F.lit(1)).alias("copies"))
-    towns = universe.select(F.col("town").alias("unit")).distinct().withColumn("is_town", F.lit(True))
-    units = units.withColumnsRenamed({"town": "current", "village": "unit"})
-    j = lookup(lookup(t, towns, ["unit"]), units, ["current", "unit"])
-    whole = F.col("is_town").isNotNull() & ~F.col("token").contains("+")
-    hits = F.when(whole, F.lit(1)).otherwise(F.lit(0)) + F.coalesce(F.col("copies"), F.lit(0))
+    whole, hits = F.col("towns") > 0, (F.col("towns") + F.col("villages")).cast("int")
     return j.select(
         "text_id", "at", "token",
         F.when(whole, F.col("unit")).otherwise(F.col("current")).alias("town_name"),

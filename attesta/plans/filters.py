@@ -100,11 +100,11 @@ def p10(t):
     return t.documents.select("doc_id", filters.readable(F.col("text"), "A-Za-z ", 0.9, "%#$*&").alias("ok"))
 
 
-@plan("p11_verified_final", """SELECT d.doc_id, row_number() OVER (ORDER BY d.doc_id DESC) AS place FROM documents d LEFT JOIN labels l
+@plan("p11_verified_final", """SELECT d.doc_id, row_number() OVER (PARTITION BY lang ORDER BY d.doc_id DESC) AS place FROM documents d LEFT JOIN labels l
   ON d.doc_id = l.doc_id WHERE l.quality IS NOT DISTINCT FROM 1""")
 def p11(t):
     from attesta.scale import OrderedGroups
 
-    j = t.documents.select("doc_id").join(t.labels, "doc_id", "left").filter(F.col("quality").eqNullSafe(1))
-    newest = j.select("doc_id", F.lit(1).alias("list"), (-F.col("doc_id")).alias("newest"))
-    return OrderedGroups(newest, ["list"], ["newest"], "newest").number("place").rows().select("doc_id", "place")
+    j = t.documents.select("doc_id", "lang").join(t.labels, "doc_id", "left").filter(F.col("quality").eqNullSafe(1))
+    newest = j.select("doc_id", "lang", (-F.col("doc_id")).alias("newest"))
+    return OrderedGroups(newest, ["lang"], ["newest"], "newest").number("place").rows().select("doc_id", "place")

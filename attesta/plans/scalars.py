@@ -293,7 +293,7 @@ def f24(t):
     )
     from attesta.operators.linking import eligible_district
 
-    return eligible_district(asked, units).select("s_suppkey", "district", "fallback")
+    return eligible_district(asked, units, "s_suppkey")
 
 
 @plan("f25_partial_coverage", """WITH u AS (SELECT c_nationkey, c_mktsegment, bool_and(c_acctbal > -900) AS inside, bool_or(c_acctbal > 9000) AS part

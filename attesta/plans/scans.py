@@ -172,15 +172,15 @@ def s14(t):
 
 
 def _newest(t, grown):
-    e = t.events.select("event_id", "user_id", "event_type", "value")
-    # stored so far: per source, the older half by id, with gaps
-    known = e.filter((F.col("event_id") * 2 < t.events.agg(F.max("event_id")).scalar()) & (F.col("value") > 5))
+    e = t.events.select("event_id", "user_id", "event_type", "value", "ts")
+    # stored so far: per source, the older half, with gaps
+    known = e.filter("ts < timestamp_ntz'2024-01-16 00:00:00' AND value > 5")
     wanted = e.select("event_type", "user_id").distinct()
     covered = e.filter("event_type <> 'error' OR value > 150").select("event_type", "user_id").distinct() if grown else wanted
-    return scans.newest_until_known(e.drop("value"), known, "event_type", "event_id", "event_id", covered, wanted, "user_id")
+    return scans.newest_until_known(e.drop("value", "ts"), known, "event_type", "event_id", "event_id", covered, wanted, "user_id")
 
 
-_NEWEST_SQL = """WITH k AS (SELECT * FROM events WHERE event_id * 2 < (SELECT max(event_id) FROM events) AND value > 5),
+_NEWEST_SQL = """WITH k AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-16' AND value > 5),
   m AS (SELECT event_type, max(event_id) AS mark FROM k GROUP BY event_type)
   SELECT e.event_id, e.user_id, e.event_type FROM events e JOIN m USING (event_type)
   WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.event_id = e.event_id) AND (e.event_id > mark OR {grew})"""

@@ -190,11 +190,11 @@ def w19(t):
     return seq.poisoned(rows, "sid", F.expr("event_type = 'error' AND value > 100")).select("event_id", "poisoned")
 
 
-@plan("w20_citation_numbers", r"""WITH h AS (SELECT page_id, regexp_extract(url, '^https?://([^/?#]+)', 1) AS host, page_id % 2 AS day FROM pages),
-  f AS (SELECT host, day, min(page_id) AS first FROM h GROUP BY ALL), r AS (SELECT host, day, row_number() OVER (ORDER BY first) AS number FROM f)
-  SELECT page_id, number FROM h JOIN r USING (host, day)""")
+@plan("w20_citation_numbers", r"""WITH h AS (SELECT page_id, regexp_extract(url, '^https?://([^/?#]+)', 1) AS host, page_id % 2 AS day, split_part(url, '/', 4) AS doc FROM pages),
+  f AS (SELECT doc, host, day, min(page_id) AS first FROM h GROUP BY ALL), r AS (SELECT doc, host, day, row_number() OVER (PARTITION BY doc ORDER BY first) AS number FROM f)
+  SELECT page_id, number FROM h JOIN r USING (doc, host, day)""")
 def w20(t):
-    refs = t.pages.select(F.lit("all").alias("doc"), F.try_parse_url("url", F.lit("HOST")).alias("host"), (F.col("page_id") % 2).alias("day"), "page_id")
+    refs = t.pages.select(F.split_part("url", F.lit("/"), F.lit(4)).alias("doc"), F.try_parse_url("url", F.lit("HOST")).alias("host"), (F.col("page_id") % 2).alias("day"), "page_id")
     return seq.number_citations(refs, ["doc"], ["host", "day"], "page_id").select("page_id", "number")
 
 

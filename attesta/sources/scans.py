@@ -146,7 +146,7 @@ def newest_until_known(
     """Per source, the rows newer than its newest stored row; every unseen row where the covered set has grown."""
     grown = wanted.join(covered, [source, member], "left_anti").select(source).distinct().withColumn("__grew", F.lit(True))
     mark = known.groupBy(source).agg(F.max(order).alias("__mark"))
-    fresh = unseen(listing, known, [key])
+    fresh = listing.join(known.select(key), key, "left_anti")  # the key is unique on both sides
     j = lookup(fresh, mark.join(grown, source, "full_outer"), [source])
     newer = F.col("__mark").isNull() | (F.col(order) > F.col("__mark"))
     return j.filter(F.col("__grew").isNotNull() | newer).drop("__mark", "__grew")
