@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from attesta.operators import sequence as seq
 from attesta.operators import sets
 from attesta.plans.registry import plan
-from attesta.scale import OrderedGroups, days, micros, text_pos
+from attesta.scale import OrderedGroups, days, digits_pos
 from attesta.sources.scans import tagged_union
 from attesta.tables import FACT, PERSON, ROSTER
 
@@ -17,7 +17,7 @@ def o1(t):
     facts = t.facts().withColumn("date", F.when(~F.col("fact_key").endswith("7"), F.col("date")))
     newest = F.coalesce(-days("date"), F.lit(seq.UNNUMBERED))
     f = facts.select("fact_key", "kind", newest.alias("newest"))
-    g = OrderedGroups(f, ["kind"], ["newest", "fact_key"], "newest", text_pos("fact_key", len("event:")))
+    g = OrderedGroups(f, ["kind"], ["newest", "fact_key"], "newest", digits_pos("fact_key", len("event:")))
     return g.number("place").rows().select("fact_key", "place")
 
 

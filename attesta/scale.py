@@ -36,10 +36,18 @@ def large_groups(df: DataFrame, keys: Sequence[str], pos: Column, tie: Column, l
     )
 
 
-def text_pos(col: Column | str, skip: int = 0) -> Column:
-    """A number that rises with the text: its six bytes after ``skip`` characters."""
+def digits_pos(col: Column | str, skip: int = 0) -> Column:
+    """A number that never falls as a text of the form ``<prefix><digits>…`` rises; ``skip`` is the prefix length.
+
+    Written in base 12: 0 for the end of the text or a character below the digits, 1-10 for the digits, 11 for a
+    character above them, where reading stops.
+    """
     col = F.col(col) if isinstance(col, str) else col
-    return F.conv(F.rpad(F.hex(F.substring(col, skip + 1, 6)), 12, "0"), 16, 10).cast("long")
+    rest = F.substring(col, skip + 1, 14)
+    digits = F.regexp_extract(rest, "^[0-9]*", 0)
+    after = F.when(F.regexp_extract(rest, "^[0-9]*(.)", 1) > F.lit("9"), F.lit("b")).otherwise(F.lit("0"))
+    code = F.concat(F.translate(digits, "0123456789", "123456789a"), after)
+    return F.conv(F.substring(F.rpad(code, 14, "0"), 1, 14), 12, 10).cast("long")
 
 
 class OrderedGroups:

@@ -34,8 +34,8 @@ def local_session(cores: str = "8", **extra: str) -> SparkSession:
 
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder named by ``spark.checkpoint.dir``; a temporary one only where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="attesta-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/attesta/{label}-{uuid.uuid4().hex}"

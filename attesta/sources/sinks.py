@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attesta.scale import OrderedGroups, days, lookup, text_pos
+from attesta.scale import OrderedGroups, days, digits_pos, lookup
 
 # fixed values: columns that never leave a working table, facts in one document part
 SENSITIVE = ("birth_date", "birth_year")
@@ -27,12 +27,12 @@ def entity_docs(facts: DataFrame, per_part: int = FACTS_PER_PART, key_prefix: in
     """Documents of one person: facts by kind, newest first, undated last, ties by key.
 
     A kind with more than ``per_part`` facts continues in further parts, so no document outgrows a task.
-    ``key_prefix`` is the length of the prefix all keys share.
+    ``key_prefix`` is the length of the prefix all keys share before their number.
     """
     newest = F.coalesce(-days("date"), F.lit(1 << 40))
     numbered = OrderedGroups(
         facts.withColumn("__newest", newest), ["person_id", "kind"], ["__newest", "fact_key"], "__newest",
-        text_pos("fact_key", key_prefix),
+        digits_pos("fact_key", key_prefix),
     ).number("rank")
     entry = F.struct("rank", "fact_key", "date", "data", "source_url", "fetched_at")
     return (
