@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attesta.functions import text as tx
-from attesta.scale import OrderedGroups, lookup
+from attesta.scale import OrderedGroups, each, lookup
 
 # fixed values: owners of a turn that are not members
 CHAIR, OUTSIDER = "CHAIR", "OTHER"
@@ -125,34 +125,53 @@ def carry_blanks(rows: DataFrame, table: Sequence[str], order: str, cell: str) -
     return OrderedGroups(rows, table, [order], order).last_seen("filled", filled).rows()
 
 
-def merge_continuations(rows: DataFrame, key: Sequence[str], order: str, name: str, text: str) -> DataFrame:
-    """A row continues the one above when its name is blank, or is the same and the text above ends no sentence."""
-    prev = F.struct(F.col(name).alias("n"), F.col(text).alias("t"))
-    g = OrderedGroups(rows, key, [order], order).previous("__p", prev)
-    same = (F.col("__p.n") == F.col(name)) & ~F.col("__p.t").rlike(r"[.!?。]\s*$")
-    joins = F.col("__p").isNotNull() & ((F.coalesce(F.trim(F.col(name)), F.lit("")) == "") | F.coalesce(same, F.lit(False)))
-    g = g.running_sum("part", (~joins).cast("long"))
-    return _joined(g.rows(), key, order, text, F.first(name, ignorenulls=True), name, "")
+def cut(docs: DataFrame, carry: Sequence[str], items: str, opens: str, out: str) -> DataFrame:
+    """Array column cut before every element whose flag is set; elements before the first flag are dropped.
 
+    The lines of a document live in its row, so cutting them there needs no shuffle.  The places to cut are a column of
+    their own, as an expression inside the lambda would be computed again for every piece.
+    """
+    at = F.filter(F.transform(opens, lambda o, i: F.when(o, i)), lambda i: i.isNotNull())
+    d = docs.select(*carry, items, at.alias("__at"))
+    after = lambda k: F.coalesce(F.get("__at", k + 1), F.size(items))
+    return d.select(*carry, F.transform("__at", lambda start, k: F.slice(items, start + 1, after(k) - start)).alias(out))
+
+
+def _parts(docs: DataFrame, key: Sequence[str], sep: str) -> DataFrame:
+    """(key, part, lines, text) from the columns ``items`` and ``opens``."""
+    p = each(cut(docs, key, "items", "opens", "cuts"), key, F.col("cuts"), "ls", "at")
+    return p.select(
+        *key, (F.col("at") + 1).cast("long").alias("part"), F.size("ls").cast("long").alias("lines"), F.array_join("ls", sep).alias("text")
+    )
 
-def merge_bullets(lines: DataFrame, key: Sequence[str], order: str, text: str, bullet: str) -> DataFrame:
-    """Wrapped lines → items: a line that opens with a bullet starts an item."""
-    g = OrderedGroups(lines, key, [order], order).running_sum("part", F.col(text).rlike(bullet).cast("long"))
-    return _joined(g.rows().filter("part > 0"), key, order, text, None, None, " ")
 
+def merge_continuations(docs: DataFrame, key: Sequence[str], names: Column, texts: Column) -> DataFrame:
+    """A row continues the one above when its name is blank, or is the same and the text above ends no sentence.
+
+    ``names`` and ``texts`` are the cells of one table in order, across its page breaks.
+    """
+    d = docs.select(*key, names.alias("names"), texts.alias("items"))
+    blank = lambda n: F.trim(F.coalesce(n, F.lit(""))) == ""
+    unfinished = lambda i: ~F.get("items", i - 1).rlike(r"[.!?。]\s*$")
+    joins = lambda n, i: (i > 0) & (blank(n) | ((n == F.get("names", i - 1)) & unfinished(i)))
+    opens = F.transform("names", lambda n, i: ~F.coalesce(joins(n, i), F.lit(False)))
+    return _parts(d.withColumn("opens", opens), key, "")
 
-def _joined(rows, key, order, text, extra, extra_name, sep):
-    """Text of one item in order; an item is one output cell."""
-    listed = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("t"))))
-    out = rows.groupBy(*key, "part").agg(listed.alias("l"), F.count(F.lit(1)).alias("lines"))
-    return out.select(*key, "part", "lines", F.array_join(F.transform("l", lambda x: x["t"]), sep).alias("text"))
 
+def merge_bullets(docs: DataFrame, key: Sequence[str], lines: Column, bullet: str) -> DataFrame:
+    """Wrapped lines → items: a line that opens with a bullet starts an item."""
+    d = docs.select(*key, lines.alias("items"))
+    return _parts(d.withColumn("opens", F.transform("items", lambda s: s.rlike(bullet))), key, " ")
 
-def blocks(lines: DataFrame, key: Sequence[str], order: str, heading: Column) -> DataFrame:
-    """Lines with the number and text of the heading they stand under; lines before the first heading are dropped."""
-    g = OrderedGroups(lines.withColumn("__h", heading), key, [order], order)
-    g = g.running_sum("block", F.col("__h").isNotNull().cast("long")).last_seen("heading", F.col("__h"))
-    return g.rows().filter("block > 0").drop("__h")
+
+def blocks(docs: DataFrame, key: Sequence[str], lines: Column, is_heading) -> DataFrame:
+    """(key, block, heading, body): lines by the heading they stand under, the heading first; what precedes the first
+    heading is dropped."""
+    d = docs.select(*key, lines.alias("items"))
+    d = cut(d.withColumn("opens", F.transform("items", is_heading)), key, "items", "opens", "cuts")
+    return each(d, key, F.col("cuts"), "body", "at").select(
+        *key, (F.col("at") + 1).cast("long").alias("block"), F.get("body", F.lit(0)).alias("heading"), "body"
+    )
 
 
 def gap_clusters(rows: DataFrame, key: Sequence[str], order: Sequence[str], x: Column, gap: int) -> DataFrame:

@@ -168,7 +168,8 @@ def t10(t):
   k AS (SELECT doc_id, n, line, CASE WHEN n % 7 = 0 THEN 'Issue' WHEN n % 7 IN (1, 3) THEN 'Member' WHEN n % 7 = 5 THEN 'Response' END AS kind FROM x),
   p AS (SELECT doc_id, n, kind, count(kind) OVER w AS part, count(CASE WHEN kind = 'Issue' THEN 1 END) OVER w AS issue FROM k
     WINDOW w AS (PARTITION BY doc_id ORDER BY n))
-  SELECT doc_id, issue, part, max(kind) AS kind, count(*) AS lines, CAST(sum(CASE WHEN kind IS NOT NULL THEN 4 ELSE 0 END) AS BIGINT) AS marks FROM p GROUP BY ALL""")
+  SELECT doc_id, CAST(issue AS INTEGER) AS issue, CAST(part - min(part) OVER (PARTITION BY doc_id, issue) + 1 AS INTEGER) AS part, kind, lines, marks FROM (
+  SELECT doc_id, issue, part, max(kind) AS kind, count(*) AS lines, CAST(sum(CASE WHEN kind IS NOT NULL THEN 4 ELSE 0 END) AS BIGINT) AS marks FROM p GROUP BY ALL)""")
 def t11(t):
     # answers in the fixed format, made from the documents' lines: every continuation line keeps its own text
     lines = F.transform(

@@ -13,10 +13,6 @@ def _ymd(c):
     return F.date_format(c, "yyyy-MM-dd")
 
 
-def _lines(t):
-    return t.documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-
-
 _LINES = """d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
   l AS (SELECT doc_id, unnest(range(1, len(ls) + 1)) - 1 AS n, unnest(ls) AS line FROM d)"""
 
@@ -134,31 +130,30 @@ def w12(t):
     return seq.carry_blanks(rows, ["tab"], "page_id", "cell").select("page_id", "filled")
 
 
-@plan("w13_continuation_merge", f"""WITH {_LINES}, k AS (SELECT doc_id, n, line, CASE WHEN n % 4 = 2 THEN '' ELSE left(line, 2) END AS name FROM l),
+@plan("w13_continuation_merge", f"""WITH {_LINES}, k AS (SELECT doc_id, n, line, CASE WHEN n % 4 = 2 THEN '' ELSE split_part(line, ' ', 1) END AS name FROM l),
   p AS (SELECT *, lag(name) OVER w AS pn, lag(line) OVER w AS pt FROM k WINDOW w AS (PARTITION BY doc_id ORDER BY n)),
   j AS (SELECT *, pt IS NOT NULL AND (trim(name) = '' OR (pn = name AND NOT regexp_matches(pt, '[.!?。]\\s*$'))) AS cont FROM p),
   g AS (SELECT *, CAST(sum((NOT cont)::INT) OVER (PARTITION BY doc_id ORDER BY n) AS BIGINT) AS part FROM j)
   SELECT doc_id, part, count(*) AS lines, md5(string_agg(line, '' ORDER BY n)) AS text FROM g GROUP BY ALL""")
 def w13(t):
-    rows = _lines(t).withColumn("name", F.when(F.col("at") % 4 == 2, "").otherwise(F.substring("line", 1, 2)))
-    return seq.merge_continuations(rows, ["doc_id"], "at", "name", "line").withColumn("text", F.md5("text"))
+    lines = F.split("text", "\n")
+    names = F.transform(lines, lambda s, i: F.when(i % 4 == 2, "").otherwise(F.split_part(s, F.lit(" "), F.lit(1))))
+    return seq.merge_continuations(t.documents, ["doc_id"], names, lines).withColumn("text", F.md5("text"))
 
 
 @plan("w14_wrapped_bullets", rf"""WITH {_LINES}, g AS (SELECT *, CAST(sum(regexp_matches(line, '^[A-M]')::INT) OVER (PARTITION BY doc_id ORDER BY n) AS BIGINT) AS part FROM l)
   SELECT doc_id, part, count(*) AS lines, md5(string_agg(line, ' ' ORDER BY n)) AS text FROM g WHERE part > 0 GROUP BY ALL""")
 def w14(t):
-    return seq.merge_bullets(_lines(t), ["doc_id"], "at", "line", "^[A-M]").withColumn("text", F.md5("text"))
+    return seq.merge_bullets(t.documents, ["doc_id"], F.split("text", "\n"), "^[A-M]").withColumn("text", F.md5("text"))
 
 
 @plan("w15_marker_blocks", rf"""WITH {_LINES}, h AS (SELECT *, CASE WHEN length(line) < 80 THEN line END AS h FROM l),
   b AS (SELECT *, CAST(sum((h IS NOT NULL)::INT) OVER w AS BIGINT) AS block, last_value(h IGNORE NULLS) OVER w AS heading FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY n))
   SELECT doc_id, block, md5(max(heading)) AS heading, count(*) AS lines, CAST(sum(length(line)) AS BIGINT) AS chars FROM b WHERE block > 0 GROUP BY doc_id, block""")
 def w15(t):
-    heading = F.when(F.length("line") < 80, F.col("line"))
-    b = seq.blocks(_lines(t), ["doc_id"], "at", heading)
-    return b.groupBy("doc_id", "block").agg(
-        F.md5(F.max("heading")).alias("heading"), F.count(F.lit(1)).alias("lines"), F.sum(F.length("line")).cast("long").alias("chars")
-    )
+    b = seq.blocks(t.documents, ["doc_id"], F.split("text", "\n"), lambda s: F.length(s) < 80)
+    chars = F.aggregate("body", F.lit(0).cast("long"), lambda n, s: n + F.length(s))
+    return b.select("doc_id", "block", F.md5("heading").alias("heading"), F.size("body").cast("long").alias("lines"), chars.alias("chars"))
 
 
 @plan("w16_gap_clusters", """WITH p AS (SELECT user_id, event_id, epoch_us(ts) AS x, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS gap FROM events),

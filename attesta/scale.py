@@ -161,6 +161,16 @@ def lookup(
     return rest.unionByName(many)
 
 
+def each(df: DataFrame, carry: Sequence[Column | str], array: Column, item: str, at: str | None = None) -> DataFrame:
+    """One row per element of a costly array.
+
+    The plain explode lets the optimizer test the array for emptiness below, which computes it a second time; the outer
+    form does not, and its null rows are dropped here.
+    """
+    out = df.select(*carry, F.posexplode_outer(array).alias("__at", item)).filter(F.col("__at").isNotNull())
+    return out.withColumnRenamed("__at", at) if at else out.drop("__at")
+
+
 def micros(col: Column | str) -> Column:
     """Timestamp (with or without zone) → microseconds since the epoch."""
     col = F.col(col) if isinstance(col, str) else col

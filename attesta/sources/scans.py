@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from attesta.scale import lookup
+from attesta.scale import each, lookup
 
 
 def keyed_groups(docs: DataFrame, body: str, row_schema: str) -> DataFrame:
@@ -67,7 +67,7 @@ def repeated_rows(
     # matched once per page, before the matches are exploded
     found = docs.select(*carry, F.regexp_count(F.col(body), F.lit(anchor)).alias("__anchors"), F.arrays_zip(*cols).alias("__hits"))
     found = found.withColumn("ok", F.col("__anchors") == F.size("__hits"))
-    return found.select(*carry, "ok", F.posexplode("__hits").alias("pos", "hit")).select(*carry, "ok", "pos", "hit.*")
+    return each(found, [*carry, "ok"], F.col("__hits"), "hit", "pos").select(*carry, "ok", "pos", "hit.*")
 
 
 def sectioned_rows(docs: DataFrame, body: str, section: str, hit: str, carry: Sequence[str]) -> DataFrame:
@@ -75,14 +75,10 @@ def sectioned_rows(docs: DataFrame, body: str, section: str, hit: str, carry: Se
     plain = section.replace("(", "(?:", 1)
     ids = F.regexp_extract_all(F.col(body), F.lit(section), F.lit(1))
     bodies = F.split(F.col(body), plain)
-    parts = docs.select(
-        *carry,
-        F.posexplode(F.arrays_zip(ids.alias("section"), F.slice(bodies, F.lit(2), F.size(ids) + 1).alias("part"))).alias(
-            "section_no", "s"
-        ),
-    )
+    zipped = F.arrays_zip(ids.alias("section"), F.slice(bodies, F.lit(2), F.size(ids) + 1).alias("part"))
+    parts = each(docs, carry, zipped, "s", "section_no")
     found = F.regexp_extract_all(F.col("s.part"), F.lit(hit), F.lit(1))
-    return parts.select(*carry, "section_no", F.col("s.section").alias("section"), F.posexplode(found).alias("hit_no", "hit"))
+    return each(parts, [*carry, "section_no", F.col("s.section").alias("section")], found, "hit", "hit_no")
 
 
 def declared_list(text: Column, label: str, total: str, delimiter: str) -> Column:

@@ -109,7 +109,7 @@ def test_support_and_short_evidence(spark):
 def test_answer_parser(spark):
     answer = "preface\nIssue: Bridge [9]\n- Member: repair it [1, 3-5]\nand soon [7]\n- Response: in June [2]\nIssue: School\n- Member: meals"
     got = evidence.parse_answer(spark.createDataFrame([(1, answer)], "id int, a string"), "id", "a", "Issue", "Member", "Response")
-    assert [(r.issue, r.kind, r.text, r.marks) for r in got.orderBy("part").collect()] == [
+    assert [(r.issue, r.kind, r.text, r.marks) for r in got.orderBy("issue", "part").collect()] == [
         (1, "Issue", "Bridge", [9]), (1, "Member", "repair it and soon", [1, 3, 4, 5, 7]), (1, "Response", "in June", [2]),
         (2, "Issue", "School", []), (2, "Member", "meals", [])]
 

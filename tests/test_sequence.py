@@ -32,12 +32,17 @@ def test_carry_stays_within_its_table(spark, blocks):
         ("a", 1, "x"), ("a", 2, "x"), ("a", 3, "x"), ("b", 1, "-"), ("b", 2, "y")]
 
 
-def test_continuations(spark, blocks):
-    df = spark.createDataFrame([("d", 1, "A", "one"), ("d", 2, "", "two."), ("d", 3, "A", "three"), ("d", 4, "A", "four."), ("d", 5, "B", "five")],
-                               "doc string, pos long, name string, text string")
-    got = seq.merge_continuations(df, ["doc"], "pos", "name", "text")
-    assert rows(got.select("part", "text")) == [(1, "onetwo."), (2, "threefour."), (3, "five")] or rows(got.select("part", "text")) == [
-        (1, "onetwo."), (2, "three"), (3, "four."), (4, "five")]
+def test_continuations(spark):
+    df = spark.sql("SELECT 1 AS doc, array('A', '', 'A', 'A', 'B', 'B') AS n, array('one', ' two.', 'three', ' four.', 'five', ' six') AS t")
+    got = seq.merge_continuations(df, ["doc"], F.col("n"), F.col("t"))
+    assert rows(got.select("part", "lines", "text")) == [(1, 2, "one two."), (2, 2, "three four."), (3, 2, "five six")]
+
+
+def test_bullets_and_blocks(spark):
+    df = spark.sql("SELECT 1 AS doc, array('intro', '- a', 'b', '- c') AS ls, array('x', '# A', 'p', 'q', '# B') AS hs")
+    assert rows(seq.merge_bullets(df, ["doc"], F.col("ls"), "^-").select("part", "text")) == [(1, "- a b"), (2, "- c")]
+    got = seq.blocks(df, ["doc"], F.col("hs"), lambda s: s.startswith("#"))
+    assert rows(got.select("block", "heading", F.size("body"))) == [(1, "# A", 3), (2, "# B", 1)]
 
 
 def test_first_copy_is_by_order_not_by_arrival(spark):
