@@ -8,7 +8,6 @@ and Viterbi decoding labels the lines of every document.  A document is kept if
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
 from collections import Counter
@@ -163,43 +162,42 @@ def train(docs: list[tuple[np.ndarray, np.ndarray]], rounds: int = 40, rate: flo
     return Field(*parts)
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 1_500, max_lines: int = 200) -> Field:
-    """Train on at most ``max_docs`` labelled documents, half of each quality, chosen by a hash of doc_id.
+def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 2_000, max_lines: int = 200) -> Field:
+    """Train on at most ``max_docs`` labelled documents, chosen by a hash of doc_id, so that they keep the labels' shares.
 
-    A line of a document of quality 1 is content, one of quality 0 boilerplate; a line that three or more of the chosen
-    documents share is boilerplate everywhere.  Of a longer document the first ``max_lines`` lines train the field (decoding
-    always reads whole texts).  Only the features of the sample reach the driver.
+    At first a line of a document of quality 1 is content, one of quality 0 boilerplate.  Documents of quality 0 hold ordinary
+    lines too, so a second round takes the lines that the first field calls content in them as content, where most of their
+    lines stay boilerplate.
+    Of a longer document the first ``max_lines`` lines train the field (decoding always reads whole texts).  Only the
+    features of the sample reach the driver.
     """
     known = own(labels, key="doc_id", quality="quality").filter("key is not null and quality in (0, 1)").groupBy("key").agg(
         F.max("quality").alias("quality")
     )
     texts = own(docs, key="doc_id", text="text").filter("text is not null")
-    half = [
-        texts.select("key").join(known.filter(F.col("quality") == q), "key").orderBy(F.xxhash64("key"), "key").limit(max_docs // 2)
-        for q in (0, 1)
-    ]
-    chosen = F.broadcast(half[0].unionByName(half[1]).dropDuplicates(["key"]))  # at most max_docs rows
-    schema = arrow_schema("key long, quality int, x binary, lines array<long>")
+    chosen = texts.select("key").distinct().join(known, "key").orderBy(F.xxhash64("key"), "key").limit(max_docs)
+    chosen = F.broadcast(chosen)  # at most max_docs rows
+    ddl = "key long, quality int, x binary"
+    schema = arrow_schema(ddl)
 
     def lines_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, text, quality in rows_of(batches):
             lines = lines_of(text)[:max_lines]
-            yield batch(schema, [[key], [quality], [features(lines).tobytes()], [[hash_line(x) for x in lines]]])
+            yield batch(schema, [[key], [quality], [features(lines).tobytes()]])
 
-    got = texts.join(chosen, "key").select("key", "text", "quality").mapInArrow(lines_out, "key long, quality int, x binary, lines array<long>")
+    got = texts.join(chosen, "key").select("key", "text", "quality").mapInArrow(lines_out, ddl)
     rows = sorted(got.collect(), key=lambda r: r["key"])
-    shared = Counter(h for r in rows for h in set(r["lines"]))
-    return train([
-        (
-            np.frombuffer(r["x"], np.float32).reshape(-1, 11).astype(float),
-            np.array([CONTENT if r["quality"] == 1 and shared[h] < 3 else BOILERPLATE for h in r["lines"]], int),
-        )
-        for r in rows
-    ])
-
-
-def hash_line(line: str) -> int:
-    return int.from_bytes(hashlib.blake2b(line.encode("utf-8", "replace"), digest_size=7).digest(), "little")
+    sample = []
+    for r in rows:
+        x = np.frombuffer(r["x"], np.float32).reshape(-1, 11).astype(float)
+        sample.append((x, np.full(len(x), r["quality"], int)))
+    first = train(sample)
+    for k, (r, (x, y)) in enumerate(zip(rows, sample)):
+        if r["quality"] == 0 and len(y):
+            told = viterbi(x, first).astype(int)
+            if 2 * told.sum() < len(told):
+                sample[k] = (x, told)
+    return train(sample)
 
 
 def judge(text: str | None, field: Field, min_share: float = 0.5) -> tuple:

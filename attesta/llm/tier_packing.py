@@ -5,8 +5,7 @@ Every task packs its own documents, a block of them at a time, so nothing is shu
 1. whole windows of the longest tier are cut off each document, the rest goes to the shortest tier that holds it;
 2. tiers are packed from long to short: a window starts with the longest piece of its tier, and its gap is filled with the
    longest pieces of that tier and the shorter ones that fit, at last with the front of a cut piece;
-3. so every window is full, but for the last of a block, which is cut into shorter windows; less than one window of the
-   shortest tier remains and is padded;
+3. so every window is full, but for the last of a block, which is cut into shorter windows, at last of powers of two;
 4. windows of a tier are dealt to step groups of equal tokens, balanced by attention cost (the sum of squared lengths).
 """
 
@@ -133,9 +132,9 @@ def pack_lengths(lengths: Iterable[int], tiers: tuple[int, ...] = TIERS) -> list
 
 
 def _cut_down(pieces: list[tuple[int, int, int]], tiers: tuple[int, ...]) -> list[tuple[int, list[tuple[int, int, int]]]]:
-    """The last pieces of a block as full windows of shorter tiers and one padded rest."""
+    """The last pieces of a block as full windows of shorter tiers and, below the shortest, of powers of two."""
     out, left = [], list(pieces)
-    for tier in tiers:
+    for tier in (*tiers, *(1 << k for k in reversed(range((tiers[-1] - 1).bit_length())))):
         while sum(n for _, _, n in left) >= tier:
             gap, taken = tier, []
             while gap:
@@ -145,7 +144,7 @@ def _cut_down(pieces: list[tuple[int, int, int]], tiers: tuple[int, ...]) -> lis
                     left.insert(0, (doc, at + gap, n - gap))
                 gap -= min(n, gap)
             out.append((tier, taken))
-    return out + ([(tiers[0] if len(tiers) == len(TIERS) else TIERS[0], left)] if left else [])
+    return out
 
 
 def balance(windows: list[tuple[int, list[tuple[int, int, int]]]], step_tokens: int) -> list[int]:
