@@ -25,13 +25,15 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attesta.llm.common import arrow_schema, batch, mix, rows_of, spans, text_bytes
 
 WIDTH, GRAM = 50, 16
-PIECE_BYTES, HOLD_BYTES = 1 << 20, 24 << 20
+PIECE_BYTES, HOLD_BYTES = 1 << 18, 24 << 20
+COLLECTION = 3_000  # strings that are built together: their columns fit a processor's cache
 A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # odd multipliers, any would do
 
 
@@ -124,8 +126,9 @@ def transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
         rank = np.flatnonzero(new[order])  # in the order of the longer suffixes
         source = order[rank]
         # common prefixes of the longer suffixes with those before and behind them, where the first symbol is the same
-        touched = np.unique(np.concatenate([rank, rank + 1]))
-        touched = touched[touched < n]
+        near = np.zeros(n + 1, bool)
+        near[rank] = near[rank + 1] = True
+        touched = np.flatnonzero(near[:n])
         same = bwt[order[touched]] == bwt[order[touched - 1]]
         value = np.zeros(len(touched), np.uint8)
         k = np.flatnonzero(same & (touched > ended))
@@ -223,7 +226,9 @@ def _send_anchors(buckets: int, width: int):
             at = at[np.argsort(doc[at], kind="stable")]
             for lo, hi in _runs(_cuts(doc[at])) if len(at) else ():
                 d = int(doc[at[lo]])
-                out.append((int(tags[d] % buckets), 1, int(ids[d]), int(tags[d]), key[at[lo:hi]].tobytes(), None, None))
+                told = key[at[lo:hi]]
+                for i, j in _runs(_cuts(told >> 32)):
+                    out.append((int(tags[d] % buckets), 1, int(ids[d]), int(tags[d]), _keys(told[i:j]), None, None))
             # of anchors that are shared here one document tells the others; of the rest each document asks
             send = ~known
             send[cuts[:-1][here]] = True
@@ -239,6 +244,16 @@ def _send_anchors(buckets: int, width: int):
     return run
 
 
+def _keys(keys: np.ndarray) -> bytes:
+    """Anchor keys of one bucket: the bucket, then the low halves."""
+    return np.append(keys[0] >> 32, keys & 0xFFFFFFFF).astype("<u4").tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    keys = np.frombuffer(data, "<u4").astype(np.int64)
+    return keys[0] << 32 | keys[1:]
+
+
 def _local(row: dict) -> np.ndarray:
     size = len(row["a"]) // 4
     return np.frombuffer(row["b"], "<u2" if len(row["b"]) == 2 * size else "<u4").astype(np.int64)
@@ -268,7 +283,7 @@ def _shared_anchors():
             order = np.lexsort((doc[:, 1], doc[:, 0]))
             key, doc = key[order], doc[order]
             for lo, hi in _runs(_cuts(doc[:, 0], doc[:, 1])) if len(key) else ():
-                out.append((int(doc[lo, 0]), int(doc[lo, 1]), key[lo:hi].tobytes()))
+                out.append((int(doc[lo, 0]), int(doc[lo, 1]), _keys(key[lo:hi])))
         return pa.Table.from_batches([batch(schema, list(zip(*out)) if out else [[], [], []])])
 
     return run
@@ -285,14 +300,14 @@ def _send_segments(buckets: int, width: int):
             key = (h % np.uint64(buckets)).astype(np.int64) << 32 | (h >> np.uint64(32)).astype(np.int64)
             wanted = np.zeros(len(key), bool)
             for lo, hi in _runs(_cuts(doc)) if len(doc) else ():
-                asked = np.concatenate([np.frombuffer(x, np.int64) for x in rows[int(doc[lo])][3]])
+                asked = np.concatenate([_unpacked(x) for x in rows[int(doc[lo])][3]])
                 wanted[lo:hi] = np.isin(key[lo:hi], asked)
             best: dict[bytes, tuple[int, list[tuple[int, int]]]] = {}
             settled: dict[int, list[tuple[int, int]]] = {}
             place: dict[bytes, int] = {}
-            for d, f, c, b in zip(*(x[wanted].tolist() for x in (doc, first, count, key >> 32))):
+            for d, f, c, anchor in zip(*(x[wanted].tolist() for x in (doc, first, count, key))):
                 s = texts[d][f : f + c + width - 1]
-                place[s] = b
+                place[s] = anchor
                 got = best.get(s)
                 if got is None or ids[d] < got[0]:
                     if got:  # the other copies come after a smaller document: all of their windows go
@@ -308,44 +323,74 @@ def _send_segments(buckets: int, width: int):
                 for d, runs in settled.items()
             ]
             groups: dict[int, list[bytes]] = {}
-            for s, b in place.items():
-                groups.setdefault(b, []).append(s)
+            for s, anchor in place.items():
+                groups.setdefault(anchor >> 32, []).append(s)
             for b, strings in groups.items():
                 where = [(k, ids[d], tags[d], f) for k, s in enumerate(strings) for d, f in best[s][1]]
-                sizes = np.array([len(s) for s in strings], np.int64)
-                out.append((b, 0, None, None, b"".join(strings), sizes.tobytes(), np.array(where, np.int64).tobytes()))
+                about = np.array([(len(s), place[s] & 0xFFFFFFFF) for s in strings], "<u4")
+                out.append((b, 0, None, None, _packed(b"".join(strings)), about.tobytes(), _packed(np.array(where, np.int64).tobytes())))
             if out:
                 yield batch(schema, list(zip(*out)))
 
     return run
 
 
+def _packed(data: bytes) -> bytes:
+    return zstandard.compress(data, 1)
+
+
+def collections(anchors_of: np.ndarray, strings: int = COLLECTION) -> Iterator[np.ndarray]:
+    """Strings by number, in collections of about ``strings``: those of one anchor stay together, and a string that is alone
+    on its anchor can share no window with another and is left out."""
+    order = np.argsort(anchors_of, kind="stable")
+    cuts = _cuts(anchors_of[order])
+    held: list[np.ndarray] = []
+    size = 0
+    for lo, hi in _runs(cuts):
+        if hi - lo > 1:
+            held.append(order[lo:hi])
+            size += hi - lo
+        if size >= strings:
+            yield np.concatenate(held)
+            held, size = [], 0
+    if held:
+        yield np.concatenate(held)
+
+
 def _repeated_windows(width: int):
     schema = arrow_schema(FOUND)
 
     def run(table: pa.Table) -> pa.Table:
-        out, number, where = [], {}, []
+        out, number, where, keys = [], {}, [], []
         for row in table.to_pylist():
             if row["kind"]:
                 out.append((row["doc_id"], row["tag"], row["a"]))
                 continue
-            ends = np.cumsum(np.frombuffer(row["b"], np.int64))
-            local = [
-                number.setdefault(row["a"][e - n : e], len(number))
-                for e, n in zip(ends.tolist(), np.diff(np.append(0, ends)).tolist())
-            ]
-            at = np.frombuffer(row["c"], np.int64).reshape(-1, 4).copy()
+            about = np.frombuffer(row["b"], "<u4").reshape(-1, 2).astype(np.int64)
+            ends, data, local = np.cumsum(about[:, 0]), zstandard.decompress(row["a"]), []
+            for e, n, key in zip(ends.tolist(), about[:, 0].tolist(), about[:, 1].tolist()):
+                k = number.setdefault(data[e - n : e], len(number))
+                if k == len(keys):
+                    keys.append(key)
+                local.append(k)
+            at = np.frombuffer(zstandard.decompress(row["c"]), np.int64).reshape(-1, 4).copy()
             at[:, 0] = np.array(local, np.int64)[at[:, 0]]
             where.append(at)
         if where:
-            at = np.concatenate(where)
-            docs = np.full(len(number), np.iinfo(np.int64).max, np.int64)
+            at, strings = np.concatenate(where), list(number)
+            docs = np.full(len(strings), np.iinfo(np.int64).max, np.int64)
             np.minimum.at(docs, at[:, 0], at[:, 1])
-            least = first_documents(list(number), docs, width)
+            least: dict[int, np.ndarray] = {}
+            for some in collections(np.array(keys, np.int64)):
+                for k, first in zip(some.tolist(), first_documents([strings[k] for k in some], docs[some], width)):
+                    if (first < docs[k]).any():
+                        least[k] = first
             found: dict[tuple[int, int], list[tuple[int, int]]] = {}
             for k, doc, tag, f in at.tolist():
-                gone = least[k] < doc
-                if gone.any():
+                if docs[k] < doc:  # the whole string stands in a smaller document
+                    found.setdefault((doc, tag), []).append((f, len(strings[k]) - width + 1))
+                elif k in least:
+                    gone = least[k] < doc
                     edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]]))).reshape(-1, 2)
                     found.setdefault((doc, tag), []).extend((f + a, b - a) for a, b in edge.tolist())
             out += [(doc, tag, np.array(runs, np.int64).tobytes()) for (doc, tag), runs in found.items()]
@@ -375,10 +420,9 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, bucket_bytes: int = 12 <
     repeated rows get equal results.  An empty table gives no rows.  Further columns are ignored.
     """
     ddl = OUT + (", kept binary" if with_bytes else "")
-    base = docs.select(
-        F.col("`doc_id`").alias("doc_id"), F.xxhash64(F.coalesce("`text`", F.lit(""))).alias("tag"),
-        F.coalesce("`text`", F.lit("")).alias("text"),
-    )
+    body = F.coalesce("text", F.lit(""))
+    # doc_id without an alias: then the two joins below share one exchange of the texts
+    base = docs.select("doc_id", F.xxhash64(body).alias("tag"), body.alias("text"))
     keyed = base.filter("doc_id is not null")
     buckets = max(8, -(-text_bytes(docs, "text") // bucket_bytes))
 
