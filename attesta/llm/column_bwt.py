@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from attesta.llm.common import arrow_schema, batch, mix, rows_of, spans, text_bytes
 
 WIDTH, GRAM = 50, 16
-PIECE_BYTES, HOLD_BYTES = 1 << 18, 24 << 20
+PIECE_BYTES, HOLD_BYTES = 1 << 18, 16 << 20
 COLLECTION = 3_000  # strings that are built together: their columns fit a processor's cache
 A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # odd multipliers, any would do
 
@@ -95,32 +95,31 @@ def all_anchors(texts: list[bytes], width: int = WIDTH):
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
-def transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Burrows-Wheeler transform of a collection, common prefixes, and each suffix's string and length, in suffix order.
+def transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Burrows-Wheeler transform of a collection and its common prefixes (up to 255), in suffix order.
 
-    Symbols are numbered from 1 in byte order, 0 is the end of a string; ends are ordered by string.  Common prefixes are
-    counted up to 255.
+    Symbols are numbered from 1 in byte order, 0 is the end of a string; ends are ordered by string.
     """
     m = len(strings)
     sizes = np.array([len(s) for s in strings], np.int64)
-    flat = np.frombuffer(b"".join(strings), np.uint8)
+    flat = np.frombuffer(b"".join(strings) + b"\0", np.uint8)
     code = np.zeros(256, np.uint8)
-    used = np.unique(flat)
+    used = np.unique(flat[:-1])
     code[used] = np.arange(1, len(used) + 1)
     flat, ends = code[flat], np.cumsum(sizes)
 
     def symbol(who: np.ndarray, back: int) -> np.ndarray:
         """The symbol ``back`` before the end, 0 before the start."""
-        inside = sizes[who] >= back
-        return np.where(inside, flat[np.where(inside, ends[who] - back, 0)], 0).astype(np.uint8) if len(flat) else np.zeros(len(who), np.uint8)
+        return np.where(sizes[who] >= back, flat[np.maximum(ends[who] - back, 0)], 0).astype(np.uint8)
 
-    who = np.arange(m, dtype=np.int32)
-    bwt, lcp, length = symbol(who, 1), np.zeros(m, np.uint8), np.zeros(m, np.uint8)
-    fresh = np.flatnonzero(bwt)  # places of the suffixes that were put in last and go on
+    who = np.arange(m)
+    bwt, lcp = symbol(who, 1), np.zeros(m, np.uint8)
+    fresh = np.flatnonzero(bwt)  # places of the suffixes that were put in last and go on, and their strings
+    who = who[fresh]
     for t in range(1, int(sizes.max(initial=0)) + 1):
         n = len(bwt)
         order = np.argsort(bwt, kind="stable")
-        ended = int(np.count_nonzero(bwt == 0))
+        ended = n - int(np.count_nonzero(bwt))
         new = np.zeros(n, bool)
         new[fresh] = True
         rank = np.flatnonzero(new[order])  # in the order of the longer suffixes
@@ -129,59 +128,72 @@ def transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
         near = np.zeros(n + 1, bool)
         near[rank] = near[rank + 1] = True
         touched = np.flatnonzero(near[:n])
-        same = bwt[order[touched]] == bwt[order[touched - 1]]
+        here, before = order[touched], order[touched - 1]
         value = np.zeros(len(touched), np.uint8)
-        k = np.flatnonzero(same & (touched > ended))
+        k = np.flatnonzero((bwt[here] == bwt[before]) & (touched > ended))
         if len(k):
-            lo, hi = order[touched[k] - 1] + 1, order[touched[k]] + 1
+            lo, hi = before[k] + 1, here[k] + 1
             by = np.argsort(lo, kind="stable")
             pairs = np.stack([lo[by], hi[by]], 1).ravel()
             least = np.minimum.reduceat(np.append(lcp, 0), pairs)[::2]
             value[k[by]] = np.minimum(least, 254) + 1
-        base = m - ended
-        place = base + rank
-        added = who[source]
-        mask = np.zeros(n + len(place), bool)
-        mask[place] = True
-        old = ~mask
-
-        def merged(before: np.ndarray, put) -> np.ndarray:
-            out = np.empty(len(mask), before.dtype)
-            out[old] = before
-            out[place] = put
-            return out
-
-        bwt, who, length = merged(bwt, symbol(added, t + 1)), merged(who, added), merged(length, t)
-        lcp = merged(lcp, 0)
-        lcp[base + touched] = value
-        fresh = place[bwt[place] != 0]
-    return bwt, lcp, who, length
-
-
-def first_documents(strings: list[bytes], docs: np.ndarray, width: int = WIDTH) -> list[np.ndarray]:
-    """For each string, the smallest document that any window equal to its 1st, 2nd, ... window starts in."""
-    _, lcp, who, length = transform(strings)
-    at = np.flatnonzero(length >= width)
-    first = np.append(np.flatnonzero(lcp[at] < width), len(at))
-    least = np.minimum.reduceat(docs[who[at]], first[:-1]) if len(at) else np.zeros(0, np.int64)
+        string = np.empty(n, np.int64)
+        string[fresh] = who
+        who = string[source]
+        place = m - ended + rank
+        old = np.ones(n + len(place), bool)
+        old[place] = False
+        added = symbol(who, t + 1)
+        longer, common = np.empty(len(old), np.uint8), np.empty(len(old), np.uint8)
+        longer[old], longer[place], common[old] = bwt, added, lcp
+        common[m - ended + touched] = value
+        bwt, lcp = longer, common
+        fresh, who = place[added != 0], who[added != 0]
+    return bwt, lcp
+
+
+def walk(bwt: np.ndarray, strings: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Strings and the places of their suffixes of length 0, 1, 2, ..., read off the finished transform."""
+    order = np.argsort(bwt, kind="stable")
+    longer = np.empty(len(bwt), np.int64)  # place of the suffix that is one symbol longer
+    longer[order] = np.arange(len(bwt)) + strings - (len(bwt) - np.count_nonzero(bwt))
+    who = at = np.arange(strings)
+    while len(at):
+        yield who, at
+        go = bwt[at] != 0
+        who, at = who[go], longer[at[go]]
+
+
+def first_documents(strings: list[bytes], docs: np.ndarray, width: int = WIDTH) -> np.ndarray:
+    """For each string's 1st, 2nd, ... window, one string after the other, the smallest document that an equal window
+    starts in."""
+    bwt, lcp = transform(strings)
     sizes = np.array([len(s) - width + 1 for s in strings], np.int64)
-    out = np.zeros(int(sizes.sum()), np.int64)
-    start = np.cumsum(sizes) - sizes
-    out[start[who[at]] + sizes[who[at]] - (length[at].astype(np.int64) - width) - 1] = np.repeat(least, np.diff(first))
-    return np.split(out, start[1:])
-
-
-MOVED = "bucket int, kind int, doc_id long, tag long, a binary, b binary, c binary"
-FOUND = "doc_id long, tag long, found binary"
+    last = np.cumsum(sizes) - 1
+    found = [(who, at) for t, (who, at) in enumerate(walk(bwt, len(strings))) if t >= width]
+    doc = np.full(len(bwt), np.iinfo(np.int64).max, np.int64)
+    for who, at in found:
+        doc[at] = docs[who]
+    apart = lcp < width
+    least = np.minimum.reduceat(doc, np.flatnonzero(apart))
+    group = np.cumsum(apart) - 1
+    out = np.empty(int(sizes.sum()), np.int64)
+    for t, (who, at) in enumerate(found):
+        out[last[who] - t] = least[group[at]]
+    return out
+
+
+MOVED = "bucket int, kind int, grp int, a binary, b binary, c binary"
+FOUND = "grp int, a binary, b binary"
 OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
 def _held(batches: Iterable[pa.RecordBatch]) -> Iterator[list[tuple]]:
     """Rows in runs of up to ``HOLD_BYTES`` of text: the more documents a run has, the more copies meet."""
     rows, held = [], 0
-    for doc, tag, text, *more in rows_of(batches):
-        rows.append((doc, tag, text.encode("utf-8", "replace"), *more))
-        held += len(rows[-1][2])
+    for *about, text in rows_of(batches):
+        rows.append((*about, text.encode("utf-8", "replace")))
+        held += len(rows[-1][-1])
         if held >= HOLD_BYTES:
             yield rows
             rows, held = [], 0
@@ -204,139 +216,143 @@ def _cuts(*columns: np.ndarray) -> np.ndarray:
 
 
 def _send_anchors(buckets: int, width: int):
+    """Kind 0: anchors that stand in one document of this run, or the first of several; kind 1: answers known here."""
     schema = arrow_schema(MOVED)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _held(batches):
-            ids = np.array([r[0] for r in rows], np.int64)
-            tags = np.array([r[1] for r in rows], np.int64)
-            doc, _, _, h = all_anchors([r[2] for r in rows], width)
+            about = np.array([r[:3] for r in rows], np.int64)  # grp, doc_id, tag
+            doc, _, _, h = all_anchors([r[3] for r in rows], width)
             key = (h % np.uint64(buckets)).astype(np.int64) << 32 | (h >> np.uint64(32)).astype(np.int64)
-            order = np.lexsort((ids[doc], key))
+            order = np.lexsort((about[doc, 1], key))
             key, doc = key[order], doc[order]
             once = np.append(True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]))[: len(key)]
             key, doc = key[once], doc[once]
             cuts = _cuts(key)
-            size = np.diff(cuts)
-            last = ids[doc[cuts[1:] - 1]] if len(key) else ids[:0]
-            here = ids[doc[cuts[:-1]]] != last  # shared by documents of this run
-            known = np.repeat(here, size)
-            out = []
-            at = np.flatnonzero(known)
-            at = at[np.argsort(doc[at], kind="stable")]
-            for lo, hi in _runs(_cuts(doc[at])) if len(at) else ():
-                d = int(doc[at[lo]])
-                told = key[at[lo:hi]]
-                for i, j in _runs(_cuts(told >> 32)):
-                    out.append((int(tags[d] % buckets), 1, int(ids[d]), int(tags[d]), _keys(told[i:j]), None, None))
+            ids = about[doc, 1]
+            here = ids[cuts[:-1]] != ids[cuts[1:] - 1]  # shared by documents of this run
+            known = np.repeat(here, np.diff(cuts))
             # of anchors that are shared here one document tells the others; of the rest each document asks
+            out = [(int(g % buckets), 1, g, a, b, None) for g, a, b in _answers(about[doc[known]], key[known])]
             send = ~known
             send[cuts[:-1][here]] = True
             key, doc = key[send], doc[send]
-            for lo, hi in _runs(_cuts(key >> 32)) if len(key) else ():
+            for lo, hi in _runs(_cuts(key >> 32)):
                 some, local = np.unique(doc[lo:hi], return_inverse=True)
-                table = np.stack([ids[some], tags[some]], 1)
                 low = (key[lo:hi] & 0xFFFFFFFF).astype("<u4")
-                out.append((int(key[lo] >> 32), 0, None, None, low.tobytes(), local.astype("<u2" if len(some) < 65536 else "<u4").tobytes(), table.tobytes()))
+                out.append((int(key[lo] >> 32), 0, None, low.tobytes(), local.astype("<u4").tobytes(), about[some].tobytes()))
             if out:
                 yield batch(schema, list(zip(*out)))
 
     return run
 
 
-def _keys(keys: np.ndarray) -> bytes:
-    """Anchor keys of one bucket: the bucket, then the low halves."""
-    return np.append(keys[0] >> 32, keys & 0xFFFFFFFF).astype("<u4").tobytes()
-
-
-def _unpacked(data: bytes) -> np.ndarray:
-    keys = np.frombuffer(data, "<u4").astype(np.int64)
-    return keys[0] << 32 | keys[1:]
+def _answers(about: np.ndarray, value: np.ndarray) -> Iterator[tuple[int, bytes, bytes]]:
+    """Rows (group, documents with the number of their values, values) from rows (grp, doc_id, tag) and a value each."""
+    order = np.lexsort((value if value.ndim == 1 else value[:, 0], about[:, 2], about[:, 1], about[:, 0]))
+    about, value = about[order], value[order]
+    cuts = _cuts(about[:, 0], about[:, 1], about[:, 2])
+    first, size = cuts[:-1], np.diff(cuts)
+    docs = np.column_stack([about[first, 1:], size])
+    groups = _cuts(about[first, 0])
+    for lo, hi in _runs(groups):
+        yield int(about[first[lo], 0]), docs[lo:hi].tobytes(), _packed(value[cuts[lo] : cuts[hi]].tobytes())
 
 
-def _local(row: dict) -> np.ndarray:
-    size = len(row["a"]) // 4
-    return np.frombuffer(row["b"], "<u2" if len(row["b"]) == 2 * size else "<u4").astype(np.int64)
+def _values(table: pa.Table, width: int) -> dict[tuple[int, int], list[np.ndarray]]:
+    """What the answers of a group say of each document."""
+    out: dict[tuple[int, int], list[np.ndarray]] = {}
+    for a, b in zip(table.column("a").to_pylist(), table.column("b").to_pylist()):
+        value = np.frombuffer(zstandard.decompress(b), np.int64).reshape(-1, width)
+        at = 0
+        for doc, tag, n in np.frombuffer(a, np.int64).reshape(-1, 3).tolist():
+            out.setdefault((doc, tag), []).append(value[at : at + n])
+            at += n
+    return out
 
 
 def _shared_anchors():
+    """Of a bucket: the anchors that stand in two documents or more, by document."""
     schema = arrow_schema(FOUND)
 
     def run(table: pa.Table) -> pa.Table:
-        """Of a bucket: the anchors that stand in two documents or more, by document."""
         out, keys, docs = [], [], []
         bucket = table.column("bucket")[0].as_py()
         for row in table.to_pylist():
             if row["kind"]:
-                out.append((row["doc_id"], row["tag"], row["a"]))
+                out.append((row["grp"], row["a"], row["b"]))
             else:
                 keys.append(np.frombuffer(row["a"], "<u4"))
-                docs.append(np.frombuffer(row["c"], np.int64).reshape(-1, 2)[_local(row)])
+                docs.append(np.frombuffer(row["c"], np.int64).reshape(-1, 3)[np.frombuffer(row["b"], "<u4")])
         if keys:
             key, doc = np.concatenate(keys), np.concatenate(docs)
             order = np.argsort(key, kind="stable")
             key, doc = key[order], doc[order]
             cuts = _cuts(key)
-            least, most = np.minimum.reduceat(doc[:, 0], cuts[:-1]), np.maximum.reduceat(doc[:, 0], cuts[:-1])
+            least, most = np.minimum.reduceat(doc[:, 1], cuts[:-1]), np.maximum.reduceat(doc[:, 1], cuts[:-1])
             shared = np.repeat(least != most, np.diff(cuts))
-            key, doc = key[shared].astype(np.int64) | bucket << 32, doc[shared]
-            order = np.lexsort((doc[:, 1], doc[:, 0]))
-            key, doc = key[order], doc[order]
-            for lo, hi in _runs(_cuts(doc[:, 0], doc[:, 1])) if len(key) else ():
-                out.append((int(doc[lo, 0]), int(doc[lo, 1]), _keys(key[lo:hi])))
+            out += _answers(doc[shared], key[shared].astype(np.int64) | bucket << 32)
         return pa.Table.from_batches([batch(schema, list(zip(*out)) if out else [[], [], []])])
 
     return run
 
 
+def _packed(data: bytes) -> bytes:
+    return zstandard.compress(data, 1)
+
+
 def _send_segments(buckets: int, width: int):
+    """Kind 0: distinct segments on shared anchors with their places in the smallest document; kind 1: windows of the other
+    copies, which all go."""
     schema = arrow_schema(MOVED)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _held(batches):
-            ids, tags = [r[0] for r in rows], [r[1] for r in rows]
-            texts = [r[2] for r in rows]
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        asked, texts, about = _values(answers, 1), [], []
+        seen = set()
+        for g, doc, tag, text in rows_of(docs.select(["grp", "doc_id", "tag", "text"]).to_batches()):
+            if (doc, tag) in asked and (doc, tag) not in seen:  # repeated rows are looked at once
+                seen.add((doc, tag))
+                about.append((g, doc, tag))
+                texts.append(text.encode("utf-8", "replace"))
+        out: list[tuple] = []
+        if texts:
             doc, first, count, h = all_anchors(texts, width)
             key = (h % np.uint64(buckets)).astype(np.int64) << 32 | (h >> np.uint64(32)).astype(np.int64)
-            wanted = np.zeros(len(key), bool)
-            for lo, hi in _runs(_cuts(doc)) if len(doc) else ():
-                asked = np.concatenate([_unpacked(x) for x in rows[int(doc[lo])][3]])
-                wanted[lo:hi] = np.isin(key[lo:hi], asked)
-            best: dict[bytes, tuple[int, list[tuple[int, int]]]] = {}
-            settled: dict[int, list[tuple[int, int]]] = {}
-            place: dict[bytes, int] = {}
-            for d, f, c, anchor in zip(*(x[wanted].tolist() for x in (doc, first, count, key))):
-                s = texts[d][f : f + c + width - 1]
-                place[s] = anchor
-                got = best.get(s)
-                if got is None or ids[d] < got[0]:
-                    if got:  # the other copies come after a smaller document: all of their windows go
-                        for e, at in got[1]:
-                            settled.setdefault(e, []).append((at, c))
-                    best[s] = (ids[d], [(d, f)])
-                elif ids[d] == got[0]:
-                    got[1].append((d, f))
-                else:
-                    settled.setdefault(d, []).append((f, c))
-            out = [
-                (int(tags[d] % buckets), 1, ids[d], tags[d], np.array(runs, np.int64).tobytes(), None, None)
-                for d, runs in settled.items()
-            ]
-            groups: dict[int, list[bytes]] = {}
-            for s, anchor in place.items():
-                groups.setdefault(anchor >> 32, []).append(s)
-            for b, strings in groups.items():
-                where = [(k, ids[d], tags[d], f) for k, s in enumerate(strings) for d, f in best[s][1]]
-                about = np.array([(len(s), place[s] & 0xFFFFFFFF) for s in strings], "<u4")
-                out.append((b, 0, None, None, _packed(b"".join(strings)), about.tobytes(), _packed(np.array(where, np.int64).tobytes())))
-            if out:
-                yield batch(schema, list(zip(*out)))
+            wanted = [(k, v) for k, a in enumerate(about) for v in asked[a[1:]]]
+            of = np.repeat([k for k, _ in wanted], [len(v) for _, v in wanted]).astype(np.uint64)
+            told = np.concatenate([v[:, 0] for _, v in wanted])
+            # a pair (document, anchor) as one number; a chance match only sends a segment more
+            pair = lambda d, k: mix(mix(d.astype(np.uint64) + A) + k.astype(np.uint64))
+            ok = np.isin(pair(doc, key), pair(of, told))
+            out = _segments(texts, np.array(about, np.int64), doc[ok], first[ok], count[ok], key[ok], width, buckets)
+        return pa.Table.from_batches([batch(schema, list(zip(*out)) if out else [[]] * len(schema))])
 
     return run
 
 
-def _packed(data: bytes) -> bytes:
-    return zstandard.compress(data, 1)
+def _segments(texts, about, doc, first, count, key, width, buckets) -> list[tuple]:
+    number: dict[bytes, int] = {}
+    strings = [texts[d][f : f + c + width - 1] for d, f, c in zip(doc.tolist(), first.tolist(), count.tolist())]
+    which = np.fromiter((number.setdefault(s, len(number)) for s in strings), np.int64, len(strings))
+    strings = list(number)
+    ids = about[doc, 1]
+    least = np.full(len(strings), np.iinfo(np.int64).max, np.int64)
+    np.minimum.at(least, which, ids)
+    other = ids > least[which]  # after a copy in a smaller document: all of its windows go
+    runs = np.column_stack([first, count])[other]
+    out = [(int(g % buckets), 1, g, a, b, None) for g, a, b in _answers(about[doc[other]], runs)]
+    doc, first, which, key = doc[~other], first[~other], which[~other], key[~other]
+    order = np.lexsort((which, key))
+    doc, first, which, key = doc[order], first[order], which[order], key[order]
+    for lo, hi in _runs(_cuts(key >> 32)):
+        some, local = np.unique(which[lo:hi], return_inverse=True)
+        text = b"".join(strings[k] for k in some)
+        of = np.zeros((len(some), 2), "<u4")
+        of[:, 0] = [len(strings[k]) for k in some]
+        of[local, 1] = key[lo:hi] & 0xFFFFFFFF
+        place = np.column_stack([local, about[doc[lo:hi]], first[lo:hi]])
+        out.append((int(key[lo] >> 32), 0, None, _packed(text), _packed(of.tobytes()), _packed(place.tobytes())))
+    return out
 
 
 def collections(anchors_of: np.ndarray, strings: int = COLLECTION) -> Iterator[np.ndarray]:
@@ -358,56 +374,62 @@ def collections(anchors_of: np.ndarray, strings: int = COLLECTION) -> Iterator[n
 
 
 def _repeated_windows(width: int):
+    """Of a bucket: the windows to remove, by document, as runs (first, number)."""
     schema = arrow_schema(FOUND)
 
     def run(table: pa.Table) -> pa.Table:
         out, number, where, keys = [], {}, [], []
         for row in table.to_pylist():
             if row["kind"]:
-                out.append((row["doc_id"], row["tag"], row["a"]))
+                out.append((row["grp"], row["a"], row["b"]))
                 continue
-            about = np.frombuffer(row["b"], "<u4").reshape(-1, 2).astype(np.int64)
-            ends, data, local = np.cumsum(about[:, 0]), zstandard.decompress(row["a"]), []
-            for e, n, key in zip(ends.tolist(), about[:, 0].tolist(), about[:, 1].tolist()):
+            of = np.frombuffer(zstandard.decompress(row["b"]), "<u4").reshape(-1, 2).astype(np.int64)
+            ends, data, local = np.cumsum(of[:, 0]), zstandard.decompress(row["a"]), []
+            for e, n, key in zip(ends.tolist(), of[:, 0].tolist(), of[:, 1].tolist()):
                 k = number.setdefault(data[e - n : e], len(number))
                 if k == len(keys):
                     keys.append(key)
                 local.append(k)
-            at = np.frombuffer(zstandard.decompress(row["c"]), np.int64).reshape(-1, 4).copy()
+            at = np.frombuffer(zstandard.decompress(row["c"]), np.int64).reshape(-1, 5).copy()
             at[:, 0] = np.array(local, np.int64)[at[:, 0]]
             where.append(at)
         if where:
-            at, strings = np.concatenate(where), list(number)
-            docs = np.full(len(strings), np.iinfo(np.int64).max, np.int64)
-            np.minimum.at(docs, at[:, 0], at[:, 1])
-            least: dict[int, np.ndarray] = {}
+            at, strings = np.concatenate(where), list(number)  # string, grp, doc_id, tag, first window
+            least = np.full(len(strings), np.iinfo(np.int64).max, np.int64)
+            np.minimum.at(least, at[:, 0], at[:, 2])
+            windows = np.array([len(s) - width + 1 for s in strings], np.int64)
+            # copies of a string that stands in a smaller document go whole
+            whole = at[:, 2] > least[at[:, 0]]
+            runs, about = [np.column_stack([at[whole, 4], windows[at[whole, 0]]])], [at[whole, 1:4]]
+            at = at[~whole]
+            at = at[np.argsort(at[:, 0], kind="stable")]
             for some in collections(np.array(keys, np.int64)):
-                for k, first in zip(some.tolist(), first_documents([strings[k] for k in some], docs[some], width)):
-                    if (first < docs[k]).any():
-                        least[k] = first
-            found: dict[tuple[int, int], list[tuple[int, int]]] = {}
-            for k, doc, tag, f in at.tolist():
-                if docs[k] < doc:  # the whole string stands in a smaller document
-                    found.setdefault((doc, tag), []).append((f, len(strings[k]) - width + 1))
-                elif k in least:
-                    gone = least[k] < doc
-                    edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]]))).reshape(-1, 2)
-                    found.setdefault((doc, tag), []).extend((f + a, b - a) for a, b in edge.tolist())
-            out += [(doc, tag, np.array(runs, np.int64).tobytes()) for (doc, tag), runs in found.items()]
+                first = first_documents([strings[k] for k in some], least[some], width)
+                begin = np.cumsum(windows[some]) - windows[some]
+                by = np.argsort(some)
+                lo, hi = np.searchsorted(at[:, 0], some[by]), np.searchsorted(at[:, 0], some[by], "right")
+                mine, start = at[spans(lo, hi - lo)], np.repeat(begin[by], hi - lo)
+                size = windows[mine[:, 0]]
+                gone = np.zeros(int((size + 1).sum()) + 1, np.int8)  # a zero after each string parts the runs
+                end = np.cumsum(size + 1)
+                gone[1:][spans(end - size - 1, size)] = first[spans(start, size)] < np.repeat(mine[:, 2], size)
+                edge = np.flatnonzero(np.diff(gone)).reshape(-1, 2)
+                of = np.searchsorted(end, edge[:, 0], "right")
+                runs.append(np.column_stack([mine[of, 4] + edge[:, 0] - (end - size - 1)[of], edge[:, 1] - edge[:, 0]]))
+                about.append(mine[of, 1:4])
+            out += _answers(np.concatenate(about), np.concatenate(runs))
         return pa.Table.from_batches([batch(schema, list(zip(*out)) if out else [[], [], []])])
 
     return run
 
 
-def removed_spans(n: int, runs: list[bytes], width: int) -> np.ndarray:
+def removed_spans(n: int, runs: list[np.ndarray], width: int) -> np.ndarray:
     """Maximal removed runs (begin, end) of a text of ``n`` bytes from runs of removed windows (first, number)."""
     if not runs:
         return np.zeros((0, 2), np.int64)
-    run = np.concatenate([np.frombuffer(x, np.int64).reshape(-1, 2) for x in runs])
-    depth = np.zeros(n + 1, np.int64)
-    np.add.at(depth, run[:, 0], 1)
-    np.add.at(depth, run[:, 0] + run[:, 1] + width - 1, -1)
-    gone = np.concatenate([[0], (np.cumsum(depth[:-1]) > 0).view(np.int8), [0]])
+    run = np.concatenate(runs)
+    depth = np.bincount(run[:, 0], minlength=n + 1) - np.bincount(run[:, 0] + run[:, 1] + width - 1, minlength=n + 1)
+    gone = np.concatenate([[0], (np.cumsum(depth[:n]) > 0).view(np.int8), [0]])
     return np.flatnonzero(np.diff(gone)).reshape(-1, 2)
 
 
@@ -420,37 +442,38 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, bucket_bytes: int = 12 <
     repeated rows get equal results.  An empty table gives no rows.  Further columns are ignored.
     """
     ddl = OUT + (", kept binary" if with_bytes else "")
+    schema = arrow_schema(ddl)
+    buckets = max(8, -(-text_bytes(docs, "text") // bucket_bytes))
     body = F.coalesce("text", F.lit(""))
-    # doc_id without an alias: then the two joins below share one exchange of the texts
+    # doc_id without an alias: then the two meetings with the texts below share one exchange
     base = docs.select("doc_id", F.xxhash64(body).alias("tag"), body.alias("text"))
-    keyed = base.filter("doc_id is not null")
-    buckets = max(8, -(-text_bytes(docs, "text") // bucket_bytes))
-
-    def gathered(found: DataFrame) -> DataFrame:
-        return found.groupBy("doc_id", "tag").agg(F.collect_list("found").alias("found"))  # at most what one text has
-
-    sent = keyed.select("doc_id", "tag", "text").mapInArrow(_send_anchors(buckets, width), MOVED)
-    shared = gathered(sent.groupBy("bucket").applyInArrow(_shared_anchors(), FOUND))
-    segments = keyed.join(shared, ["doc_id", "tag"]).select("doc_id", "tag", "text", "found").mapInArrow(
-        _send_segments(buckets, width), MOVED
+    keyed = base.filter("doc_id is not null").select(
+        F.pmod(F.hash("doc_id", "tag"), F.lit(buckets)).alias("grp"), "doc_id", "tag", "text"
     )
-    gone = gathered(segments.groupBy("bucket").applyInArrow(_repeated_windows(width), FOUND))
-    marked = keyed.join(gone, ["doc_id", "tag"], "left").select("doc_id", "text", "found")
-    alone = base.filter("doc_id is null").select("doc_id", "text", F.lit(None).cast("array<binary>").alias("found"))
-
-    schema = arrow_schema(ddl)
 
-    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def row(doc: int | None, text: str, runs: list[np.ndarray]) -> tuple:
+        data = text.encode("utf-8", "replace")
+        span = removed_spans(len(data), runs, width)
+        edges = [0, *span.ravel().tolist(), len(data)]
+        kept = b"".join(data[x:y] for x, y in zip(edges[::2], edges[1::2]))
+        out = (doc, len(data), len(data) - len(kept), len(span), hashlib.sha256(kept).hexdigest())
+        return (*out, kept) if with_bytes else out
+
+    def cut(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        runs = _values(answers, 2)
+        rows = rows_of(texts.select(["doc_id", "tag", "text"]).to_batches())
+        out = [row(doc, text, runs.get((doc, tag), [])) for doc, tag, text in rows]
+        return pa.Table.from_batches([batch(schema, list(zip(*out)) if out else [[]] * len(schema))])
+
+    def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for doc, text, found in rows_of([b]):
-                data = text.encode("utf-8", "replace")
-                span = removed_spans(len(data), found or [], width)
-                edges = [0, *span.ravel().tolist(), len(data)]
-                kept = b"".join(data[x:y] for x, y in zip(edges[::2], edges[1::2]))
-                row = (doc, len(data), len(data) - len(kept), len(span), hashlib.sha256(kept).hexdigest())
-                out.append((*row, kept) if with_bytes else row)
-            if out:
-                yield batch(schema, list(zip(*out)))
-
-    return marked.unionByName(alone).mapInArrow(cut, ddl)
+            if b.num_rows:
+                yield batch(schema, list(zip(*[row(doc, text, []) for doc, text in rows_of([b])])))
+
+    sent = keyed.mapInArrow(_send_anchors(buckets, width), MOVED)
+    shared = sent.groupBy("bucket").applyInArrow(_shared_anchors(), FOUND)
+    by_group = keyed.groupBy("grp")
+    segments = by_group.cogroup(shared.groupBy("grp")).applyInArrow(_send_segments(buckets, width), MOVED)
+    gone = segments.groupBy("bucket").applyInArrow(_repeated_windows(width), FOUND)
+    kept = by_group.cogroup(gone.groupBy("grp")).applyInArrow(cut, ddl)
+    return kept.unionByName(base.filter("doc_id is null").select("doc_id", "text").mapInArrow(whole, ddl))

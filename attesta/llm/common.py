@@ -71,8 +71,9 @@ def word_hashes(words: Sequence[bytes]) -> np.ndarray:
         if len(_KNOWN) > WORD_MEMORY:
             _KNOWN.clear()
         digest = xxhash.xxh64_intdigest
-        for w in set(words) - _KNOWN.keys():
-            _KNOWN[w] = digest(w)
+        for w in set(words):
+            if w not in _KNOWN:
+                _KNOWN[w] = digest(w)
         return np.fromiter(map(_KNOWN.__getitem__, words), np.uint64, len(words))
 
 

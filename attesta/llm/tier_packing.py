@@ -75,8 +75,7 @@ class Encoder:
         head, *rest = text.split(" ")
         fragments = [head, *[" " + f for f in rest]]
         try:
-            new = set(fragments) - self.known.keys()
-            self._learn(list(new))
+            self._learn([f for f in set(fragments) if f not in self.known])
         except MemoryError:
             self.forget()
             self._learn(list(set(fragments)))

@@ -100,8 +100,9 @@ def count_tokens(docs: DataFrame, vocabulary: str) -> DataFrame:
                 words = _WORD.findall((text or "").lower())
                 if len(known) > MEMORY:
                     known.clear()
-                for w in set(words) - known.keys():
-                    known[w] = auto.count(MARK + w)
+                for w in set(words):
+                    if w not in known:
+                        known[w] = auto.count(MARK + w)
                 out.append((key, len(words), sum(map(known.__getitem__, words))))
             if out:
                 yield batch(schema, list(zip(*out)))
