@@ -33,7 +33,7 @@ def parse_area(name: Column, areas: list[str], at_large: str) -> Column:
 
 def village_code(province: Column, city: Column, dept: Column, village: Column) -> Column:
     """Composite code; the first digit of the village part is a check on the layout and not part of it."""
-    whole = F.concat(province, city, dept, F.substring(village, 2, 20))
+    whole = F.concat(province, city, dept, village.substr(F.lit(2), F.length(village)))
     return F.when(F.substring(village, 1, 1) == "0", whole)
 
 

@@ -210,12 +210,12 @@ def roll_up_files(df: DataFrame, key: Sequence[str], file: str, date: str) -> Da
     return per_file.groupBy(*key).agg(F.array_sort(F.collect_list(file)).alias("files"), F.min("d").alias("date"))
 
 
-def offset_lists(df: DataFrame, key: Sequence[str], start: str) -> DataFrame:
-    """Distinct offsets in order, ``PART`` to a row."""
+def offset_lists(df: DataFrame, key: Sequence[str], start: str, per_row: int = PART) -> DataFrame:
+    """Distinct offsets in order, ``per_row`` to a row; ``part`` numbers the rows of a key."""
     distinct = df.select(*key, start).distinct()
     ranked = OrderedGroups(distinct, list(key), [start], start).number("rank").rows()
     return (
-        ranked.withColumn("part", F.floor((F.col("rank") - 1) / PART))
+        ranked.withColumn("part", F.floor((F.col("rank") - 1) / per_row))
         .groupBy(*key, "part")
         .agg(F.array_sort(F.collect_list(start)).alias("starts"))
     )

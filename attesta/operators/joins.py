@@ -79,17 +79,25 @@ def day_session_names(media: DataFrame, records: DataFrame, keys: Sequence[str],
 def best_overlap(
     docs: DataFrame, groups: DataFrame, kind: str, doc: str, group: str, member: str, doc_date: Column, group_date: Column
 ) -> DataFrame:
-    """For each document the groups sharing the most members; those of the same date if any is, else all of them.
+    """For each document the groups sharing the most members; those of one of its dates if any is, else all of them.
 
     Members meet in an equi-join on (kind, member) after both sides are distinct, and the overlap is counted map-side.
+    Dates are sets of their own: a document without a date keeps all its best groups, and one with several is not counted
+    once per date.
     """
-    d = docs.select(kind, doc, member, doc_date.alias("__d")).distinct()
-    g = groups.select(kind, group, member, group_date.alias("__g")).distinct()
     score = (
-        d.join(g, [kind, member])
+        docs.select(kind, doc, member).distinct()
+        .join(groups.select(kind, group, member).distinct(), [kind, member])
         .groupBy(kind, doc, group)
-        .agg(F.count(F.lit(1)).alias("score"), F.bool_or(F.col("__d") == F.col("__g")).alias("same_date"))
+        .agg(F.count(F.lit(1)).alias("score"))
     )
+    days_of = docs.select(kind, doc, doc_date.alias("__date")).distinct()
+    same = (
+        score.select(kind, doc, group).join(days_of, [kind, doc])
+        .join(groups.select(kind, group, group_date.alias("__date")).distinct(), [kind, group, "__date"])
+        .select(kind, doc, group, F.lit(True).alias("same_date")).distinct()
+    )
+    score = score.join(same, [kind, doc, group], "left").withColumn("same_date", F.coalesce("same_date", F.lit(False)))
     # the best (score, same date) is an aggregate, so no ranking window over a document's groups is needed
     top = score.groupBy(kind, doc).agg(F.max(F.struct("score", "same_date")).alias("__top"))
     return (

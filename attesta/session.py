@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,6 +14,7 @@ _SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "attesta.spread.single.files": "true",
 }
 
 
@@ -33,9 +35,11 @@ def local_session(cores: str = "8", **extra: str) -> SparkSession:
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder named by ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """A fresh path in the shared folder named by ``spark.checkpoint.dir``; only a session on one machine may do without."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="attesta-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/attesta/{label}-{uuid.uuid4().hex}"
