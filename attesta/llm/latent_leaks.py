@@ -29,7 +29,7 @@ from attesta.llm.common import arrow_schema, batch, folded_words, rows_of
 FEATURES, EXTRA, PASSAGE, CHUNK = 8192, 8, 32, 8
 SCALES = (2, 4, 8)  # window lengths in chunks
 ROW_BLOCK = 256  # rows of the sums that travel together
-HOLD_WORDS = 200_000
+HOLD_WORDS, SLICE = 200_000, 4096
 MAX_QUERIES = 200_000
 
 
@@ -67,6 +67,16 @@ def _held_words(batches: Iterable[pa.RecordBatch]) -> Iterator[list[tuple]]:
         yield rows
 
 
+def _add_rows(out: np.ndarray, to: np.ndarray, table: np.ndarray, rows: np.ndarray) -> None:
+    """out[to] += table[rows] for a sorted ``to``, in slices that stay in a processor's cache."""
+    buffer = np.empty((SLICE, table.shape[1]), table.dtype)
+    for lo in range(0, len(rows), SLICE):
+        target = to[lo : lo + SLICE]
+        part = np.take(table, rows[lo : lo + SLICE], axis=0, out=buffer[: len(target)], mode="clip")
+        cuts = np.flatnonzero(np.append(True, target[1:] != target[:-1]))
+        out[target[cuts]] += np.add.reduceat(part, cuts, axis=0)
+
+
 def fit(docs: DataFrame, dims: int = 64) -> Latent:
     """The latent space of all passages of ``docs``.  Null texts have no passages; without any the space is empty."""
     ddl = "block int, passages long, counts binary, sums binary"
@@ -83,12 +93,11 @@ def fit(docs: DataFrame, dims: int = 64) -> Latent:
             first = np.cumsum(per_doc) - per_doc
             begin = np.cumsum(sizes) - sizes
             passage = np.repeat(first, sizes) + (np.arange(len(f)) - np.repeat(begin, sizes)) // PASSAGE
-            starts = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
-            z = np.add.reduceat(omega[f], starts, axis=0)
+            z = np.zeros((int(per_doc.sum()), width), np.float32)
+            _add_rows(z, passage, omega, f)
             order = np.argsort(f, kind="stable")
             f, passage = f[order], passage[order]
-            cuts = np.flatnonzero(np.append(True, f[1:] != f[:-1]))
-            sums[f[cuts]] += np.add.reduceat(z[passage], cuts, axis=0)
+            _add_rows(sums, f, z, passage)
             once = np.append(True, (f[1:] != f[:-1]) | (passage[1:] != passage[:-1]))
             counts += np.bincount(f[once], minlength=FEATURES)
             passages += int(per_doc.sum())
@@ -223,18 +232,23 @@ def leaks(
             f = np.full(int(chunks.sum()) * CHUNK, FEATURES, np.int64)  # padded with the row of zeros
             begin = np.cumsum(sizes) - sizes
             f[np.repeat(first * CHUNK - begin, sizes) + np.arange(int(sizes.sum()))] = features([x for _, w in rows for x in w])
-            e = space.words[f].reshape(-1, CHUNK, space.words.shape[1]).sum(1)
-            total = np.concatenate([np.zeros((1, e.shape[1])), np.cumsum(e, 0, dtype=np.float64)])
-            last = np.repeat(first + chunks, chunks)
-            at = np.arange(len(e))
+            dims = space.words.shape[1]
+            v, buffer = np.zeros((len(f) // CHUNK, dims), np.float32), np.empty((SLICE, dims), np.float32)
+            for lo in range(0, len(f), SLICE):
+                part = np.take(space.words, f[lo : lo + SLICE], axis=0, out=buffer[: len(f[lo : lo + SLICE])], mode="clip")
+                v[lo // CHUNK : lo // CHUNK + len(part) // CHUNK] = part.reshape(-1, CHUNK, dims).sum(1)
+            left = np.repeat(first + chunks, chunks) - np.arange(len(v))  # chunks of the document from here on
             best: dict[tuple[int, int], tuple] = {}
+            done = 1
             for k, span in enumerate(SCALES):
+                while done < span:  # windows of twice the length: a window and the one behind it
+                    v[:-done] += np.where((left > done)[:-done, None], v[done:], 0)
+                    done *= 2
                 if not len(sought[k]):
                     continue
-                v = (total[np.minimum(at + span, last)] - total[at]).astype(np.float32)
-                v /= np.maximum(np.linalg.norm(v, axis=1), 1e-12)[:, None]
-                for lo in range(0, len(v), 8192):
-                    cos = v[lo : lo + 8192] @ vectors[sought[k]].T
+                size_of = np.maximum(np.sqrt(np.einsum("ij,ij->i", v, v)), 1e-12)
+                for lo in range(0, len(v), SLICE):
+                    cos = v[lo : lo + SLICE] @ vectors[sought[k]].T / size_of[lo : lo + SLICE, None]
                     for i, j in zip(*np.nonzero(cos >= min_cosine)):
                         chunk, q = lo + int(i), int(sought[k][j])
                         d = int(np.searchsorted(first, chunk, "right")) - 1
