@@ -238,6 +238,7 @@ def leaks(
                 part = np.take(space.words, f[lo : lo + SLICE], axis=0, out=buffer[: len(f[lo : lo + SLICE])], mode="clip")
                 v[lo // CHUNK : lo // CHUNK + len(part) // CHUNK] = part.reshape(-1, CHUNK, dims).sum(1)
             left = np.repeat(first + chunks, chunks) - np.arange(len(v))  # chunks of the document from here on
+            doc_of, first_of = np.repeat(np.arange(len(rows)), chunks).tolist(), first.tolist()
             best: dict[tuple[int, int], tuple] = {}
             done = 1
             for k, span in enumerate(SCALES):
@@ -249,23 +250,26 @@ def leaks(
                 size_of = np.maximum(np.sqrt(np.einsum("ij,ij->i", v, v)), 1e-12)
                 for lo in range(0, len(v), SLICE):
                     cos = v[lo : lo + SLICE] @ vectors[sought[k]].T / size_of[lo : lo + SLICE, None]
-                    for i, j in zip(*np.nonzero(cos >= min_cosine)):
-                        chunk, q = lo + int(i), int(sought[k][j])
-                        d = int(np.searchsorted(first, chunk, "right")) - 1
+                    near_i, near_j = np.nonzero(cos >= min_cosine)
+                    pairs = zip((near_i + lo).tolist(), sought[k][near_j].tolist(), cos[near_i, near_j].tolist())
+                    for chunk, q, cosine in pairs:
+                        d = doc_of[chunk]
                         words, query = rows[d][1], wanted[q]
                         n, w = len(query.words), CHUNK * span
                         margin = CHUNK + max(0, n - w)
-                        s = (chunk - int(first[d])) * CHUNK
+                        s = (chunk - first_of[d]) * CHUNK
                         begin_, end = max(0, s - margin), min(len(words), s + w + margin)
                         passage = words[begin_:end]
-                        most = sum(min(c, counts[q][x]) for x, c in Counter(passage).items() if x in counts[q])
-                        if most < paraphrase_share * n:  # no common subsequence is longer than the common words
+                        # no common subsequence is longer than the common words
+                        if sum(map(counts[q].__contains__, passage)) < paraphrase_share * n:
+                            continue
+                        if sum(min(c, counts[q][x]) for x, c in Counter(passage).items() if x in counts[q]) < paraphrase_share * n:
                             continue
                         lcs = common_subsequence(masks[q], n, passage)
                         share, a = lcs / n, query.answer
                         answered = common_subsequence(said[q], len(a), passage) >= answer_share * len(a)
                         if share >= min_share or share >= paraphrase_share and answered:
-                            found = (-share, begin_, end, float(cos[i, j]), lcs, bool(answered))
+                            found = (-share, begin_, end, cosine, lcs, bool(answered))
                             key = (d, query.item)
                             if key not in best or found < best[key]:
                                 best[key] = found
