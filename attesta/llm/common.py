@@ -20,9 +20,14 @@ _FOLD = bytes(
 )
 
 
+def folded(text: str) -> bytes:
+    """Lower-case words without ASCII punctuation, with blanks (byte 32 and no other) around them."""
+    return text.lower().encode("utf-8", "replace").translate(_FOLD)
+
+
 def folded_words(text: str | None) -> list[bytes]:
     """Lower-case words without ASCII punctuation; a null text has none."""
-    return [] if not text else text.lower().encode("utf-8", "replace").translate(_FOLD).split()
+    return [] if not text else folded(text).split()
 
 
 def arrow_schema(ddl: str) -> pa.Schema:

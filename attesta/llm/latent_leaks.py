@@ -14,7 +14,6 @@ Nothing of the documents reaches the driver; the benchmark is the stated query s
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
@@ -24,17 +23,55 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attesta.llm.common import arrow_schema, batch, folded_words, rows_of
+from attesta.llm.common import arrow_schema, batch, folded, folded_words, rows_of, spans
 
 FEATURES, EXTRA, PASSAGE, CHUNK = 8192, 8, 32, 8
 SCALES = (2, 4, 8)  # window lengths in chunks
 ROW_BLOCK = 256  # rows of the sums that travel together
-HOLD_WORDS, SLICE = 200_000, 4096
+HOLD_BYTES, SLICE = 1 << 20, 4096
 MAX_QUERIES = 200_000
 
 
-def features(words: Sequence[bytes]) -> np.ndarray:
-    return (np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % FEATURES).astype(np.uint16)
+BLANK, SEGMENT = 32, 1 << 16
+BASE = np.uint32(0x9E3779B1)
+INVERSE = np.uint32(pow(int(BASE), -1, 1 << 32))
+
+
+def powers(base: np.uint32, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint32)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint32)
+
+
+_POWERS = powers(BASE, SEGMENT), powers(INVERSE, SEGMENT)
+
+
+def features(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Feature, first byte and end of every word of a folded text: polynomial hashes as differences of running sums."""
+    found, begins, ends = [], [], []
+    lo = 0
+    while lo < len(text):
+        hi = len(text)
+        if hi - lo > SEGMENT:  # cut at a blank; a longer word is a segment of its own
+            hi = text.rfind(b" ", lo, lo + SEGMENT) + 1 or text.find(b" ", lo + SEGMENT) + 1 or len(text)
+        part = np.frombuffer(text, np.uint8, hi - lo, lo)
+        up, down = _POWERS if len(part) <= SEGMENT else (powers(BASE, len(part)), powers(INVERSE, len(part)))
+        solid = np.zeros(len(part) + 2, bool)
+        np.not_equal(part, BLANK, out=solid[1:-1])
+        edges = np.flatnonzero(solid[1:] != solid[:-1])
+        begin, end = edges[::2], edges[1::2]
+        total = np.zeros(len(part) + 1, np.uint32)
+        np.cumsum(part * up[: len(part)], dtype=np.uint32, out=total[1:])
+        h = (total[end] - total[begin]) * down[begin]
+        h = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
+        h = (h ^ (h >> np.uint32(12))) * np.uint32(0x297A2D39)
+        found.append(((h >> np.uint32(16)) % FEATURES).astype(np.uint16))
+        begins.append(begin + lo)
+        ends.append(end + lo)
+        lo = hi
+    if not found:
+        return np.zeros(0, np.uint16), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(found), np.concatenate(begins), np.concatenate(ends)
 
 
 def test_matrix(dims: int) -> np.ndarray:
@@ -49,22 +86,47 @@ class Latent:
     values: np.ndarray
 
     def vector(self, words: Sequence[bytes]) -> np.ndarray:
-        v = self.words[features(words)].sum(0)
+        v = self.words[features(b" ".join(words))[0]].sum(0)
         return v / max(float(np.linalg.norm(v)), 1e-12)
 
 
-def _held_words(batches: Iterable[pa.RecordBatch]) -> Iterator[list[tuple]]:
-    rows, held = [], 0
+@dataclass(frozen=True)
+class Held:
+    """Texts of some rows, one after the other: folded bytes, and the feature, first byte and end of each word."""
+
+    keys: list
+    sizes: np.ndarray
+    text: bytes
+    features: np.ndarray
+    begins: np.ndarray
+    ends: np.ndarray
+
+    def words(self, lo: int, hi: int) -> list[bytes]:
+        return self.text[self.begins[lo] : self.ends[hi - 1]].split() if hi > lo else []
+
+
+def _held(batches: Iterable[pa.RecordBatch]) -> Iterator[Held]:
+    def done() -> Iterator[Held]:
+        text = b" ".join(texts)
+        f, begin, end = features(text)
+        stops = np.cumsum([len(t) + 1 for t in texts])
+        last = np.searchsorted(begin, stops)
+        sizes = np.diff(last, prepend=0)
+        worded = np.flatnonzero(sizes)
+        if len(worded):
+            yield Held([keys[i] for i in worded.tolist()], sizes[worded], text, f, begin, end)
+
+    keys, texts, held = [], [], 0
     for key, text in rows_of(batches):
-        words = folded_words(text)
-        if words:
-            rows.append((key, words))
-            held += len(words)
-        if held >= HOLD_WORDS:
-            yield rows
-            rows, held = [], 0
-    if rows:
-        yield rows
+        if text:
+            keys.append(key)
+            texts.append(folded(text))
+            held += len(texts[-1])
+        if held >= HOLD_BYTES:
+            yield from done()
+            keys, texts, held = [], [], 0
+    if texts:
+        yield from done()
 
 
 def _add_rows(out: np.ndarray, to: np.ndarray, table: np.ndarray, rows: np.ndarray) -> None:
@@ -86,9 +148,8 @@ def fit(docs: DataFrame, dims: int = 64) -> Latent:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         omega, passages = test.value, 0
         counts, sums = np.zeros(FEATURES, np.int64), np.zeros((FEATURES, width), np.float64)
-        for rows in _held_words(batches):
-            sizes = np.array([len(w) for _, w in rows])
-            f = features([x for _, w in rows for x in w])
+        for held in _held(batches):
+            sizes, f = held.sizes, held.features
             per_doc = -(-sizes // PASSAGE)
             first = np.cumsum(per_doc) - per_doc
             begin = np.cumsum(sizes) - sizes
@@ -97,7 +158,9 @@ def fit(docs: DataFrame, dims: int = 64) -> Latent:
             _add_rows(z, passage, omega, f)
             order = np.argsort(f, kind="stable")
             f, passage = f[order], passage[order]
-            _add_rows(sums, f, z, passage)
+            part = np.zeros((FEATURES, width), np.float32)
+            _add_rows(part, f, z, passage)
+            sums += part
             once = np.append(True, (f[1:] != f[:-1]) | (passage[1:] != passage[:-1]))
             counts += np.bincount(f[once], minlength=FEATURES)
             passages += int(per_doc.sum())
@@ -223,22 +286,27 @@ def leaks(
         near = [np.abs(np.log(size / (CHUNK * s))) for s in SCALES]  # each item at the scale nearest its length
         scale = np.argmin(np.stack(near), 0)
         sought = [np.flatnonzero(scale == k) for k in range(len(SCALES))]
+        sought = [[x[i : i + SLICE] for i in range(0, len(x), SLICE)] for x in sought]
         masks, counts = [places(q.words) for q in wanted], [Counter(q.words) for q in wanted]
         said = [places(q.answer) for q in wanted]
-        for rows in _held_words(batches):
-            sizes = np.array([len(w) for _, w in rows])
+        member = np.zeros((len(wanted), FEATURES // 8), np.uint8)  # a bit per feature: which an item has
+        for i, q in enumerate(wanted):
+            f = features(b" ".join(q.words))[0]
+            np.bitwise_or.at(member[i], f >> 3, np.uint8(1) << (f & 7).astype(np.uint8))
+        for held in _held(batches):
+            sizes = held.sizes
             chunks = -(-sizes // CHUNK)
             first = np.cumsum(chunks) - chunks
             f = np.full(int(chunks.sum()) * CHUNK, FEATURES, np.int64)  # padded with the row of zeros
             begin = np.cumsum(sizes) - sizes
-            f[np.repeat(first * CHUNK - begin, sizes) + np.arange(int(sizes.sum()))] = features([x for _, w in rows for x in w])
+            f[np.repeat(first * CHUNK - begin, sizes) + np.arange(int(sizes.sum()))] = held.features
             dims = space.words.shape[1]
             v, buffer = np.zeros((len(f) // CHUNK, dims), np.float32), np.empty((SLICE, dims), np.float32)
             for lo in range(0, len(f), SLICE):
                 part = np.take(space.words, f[lo : lo + SLICE], axis=0, out=buffer[: len(f[lo : lo + SLICE])], mode="clip")
                 v[lo // CHUNK : lo // CHUNK + len(part) // CHUNK] = part.reshape(-1, CHUNK, dims).sum(1)
             left = np.repeat(first + chunks, chunks) - np.arange(len(v))  # chunks of the document from here on
-            doc_of, first_of = np.repeat(np.arange(len(rows)), chunks).tolist(), first.tolist()
+            doc_of, first_of = np.repeat(np.arange(len(sizes)), chunks), first
             best: dict[tuple[int, int], tuple] = {}
             done = 1
             for k, span in enumerate(SCALES):
@@ -248,21 +316,28 @@ def leaks(
                 if not len(sought[k]):
                     continue
                 size_of = np.maximum(np.sqrt(np.einsum("ij,ij->i", v, v)), 1e-12)
-                for lo in range(0, len(v), SLICE):
-                    cos = v[lo : lo + SLICE] @ vectors[sought[k]].T / size_of[lo : lo + SLICE, None]
+                for lo, some in ((lo, some) for some in sought[k] for lo in range(0, len(v), SLICE)):
+                    cos = v[lo : lo + SLICE] @ vectors[some].T / size_of[lo : lo + SLICE, None]
                     near_i, near_j = np.nonzero(cos >= min_cosine)
-                    pairs = zip((near_i + lo).tolist(), sought[k][near_j].tolist(), cos[near_i, near_j].tolist())
-                    for chunk, q, cosine in pairs:
-                        d = doc_of[chunk]
-                        words, query = rows[d][1], wanted[q]
-                        n, w = len(query.words), CHUNK * span
-                        margin = CHUNK + max(0, n - w)
-                        s = (chunk - first_of[d]) * CHUNK
-                        begin_, end = max(0, s - margin), min(len(words), s + w + margin)
-                        passage = words[begin_:end]
-                        # no common subsequence is longer than the common words
-                        if sum(map(counts[q].__contains__, passage)) < paraphrase_share * n:
-                            continue
+                    cosines, near_j, d = cos[near_i, near_j], some[near_j], doc_of[near_i + lo]
+                    s = (near_i + lo - first_of[d]) * CHUNK
+                    n, w = size[near_j], CHUNK * span
+                    margin = CHUNK + np.maximum(0, n - w)
+                    from_, to = np.maximum(0, s - margin), np.minimum(sizes[d], s + w + margin)
+                    # no common subsequence is longer than the words that have a feature of the item's
+                    common = np.zeros(len(d), np.int64)
+                    for i in range(0, len(d), SLICE):
+                        here = slice(i, i + SLICE)
+                        long = to[here] - from_[here]
+                        f = held.features[spans(begin[d[here]] + from_[here], long)]
+                        hit = member[np.repeat(near_j[here], long), f >> 3] >> (f & 7) & 1
+                        common[here] = np.add.reduceat(hit, np.cumsum(long) - long, dtype=np.int64)
+                    likely = np.flatnonzero(common >= paraphrase_share * n)
+                    columns_ = (d, near_j, cosines, from_, to)
+                    for d, q, cosine, begin_, end in zip(*[c[likely].tolist() for c in columns_]):
+                        query = wanted[q]
+                        n, at = len(query.words), int(begin[d])
+                        passage = held.words(at + begin_, at + end)
                         if sum(min(c, counts[q][x]) for x, c in Counter(passage).items() if x in counts[q]) < paraphrase_share * n:
                             continue
                         lcs = common_subsequence(masks[q], n, passage)
@@ -273,7 +348,7 @@ def leaks(
                             key = (d, query.item)
                             if key not in best or found < best[key]:
                                 best[key] = found
-            out = [(rows[d][0], item, b, e_, c, lcs, -s, a) for (d, item), (s, b, e_, c, lcs, a) in sorted(best.items())]
+            out = [(held.keys[d], item, b, e_, c, lcs, -s, a) for (d, item), (s, b, e_, c, lcs, a) in sorted(best.items())]
             if out:
                 yield batch(schema, list(zip(*out)))
 
