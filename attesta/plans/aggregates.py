@@ -102,10 +102,11 @@ def a5(t):
 
 
 @plan("a6_nonempty_counts", """WITH o(kind, place) AS (VALUES ('purchase', 1), ('view', 2), ('vote', 3), ('signup', 4), ('error', 5), ('click', 6))
-  SELECT user_id, kind, place, count(*) AS n FROM events JOIN o ON kind = event_type WHERE value > 60 GROUP BY ALL""")
+  SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, kind, place, count(*) AS n FROM events JOIN o ON kind = event_type GROUP BY ALL""")
 def a6(t):
     order = ["purchase", "view", "vote", "signup", "error", "click"]
-    n = t.events.filter("value > 60").groupBy("user_id", F.col("event_type").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    day = F.date_format("ts", "yyyy-MM-dd").alias("day")
+    n = t.events.groupBy("user_id", day, F.col("event_type").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
     return n.withColumn("place", F.array_position(F.array(*[F.lit(x) for x in order]), F.col("kind")).cast("int")).filter("place > 0")
 
 

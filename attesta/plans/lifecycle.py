@@ -227,12 +227,12 @@ def m17_skipped(t):
     return _named(t)[1]
 
 
-@plan("m18_incumbent_attach", """WITH o AS (SELECT o_custkey, o_orderstatus AS office, 'd' || o_orderkey % 3 AS d, o_orderpriority = '1-URGENT' AS suspended FROM orders WHERE o_totalprice > 400000),
+@plan("m18_incumbent_attach", """WITH o AS (SELECT o_custkey, o_orderstatus AS office, 'd' || o_orderkey % 3 AS d, o_orderpriority = '1-URGENT' AS suspended FROM orders),
   x AS (SELECT o_custkey, office, unnest(CASE WHEN d = 'd1' THEN ['e1', 'e2'] ELSE [d] END) AS d, suspended FROM o),
   g AS (SELECT o_custkey, office, d, bool_or(suspended) AS s FROM x GROUP BY ALL)
   SELECT c_custkey, string_agg(office || '/' || d || CASE WHEN s THEN '*' ELSE '' END, ',' ORDER BY office, d) AS offices FROM customer LEFT JOIN g ON c_custkey = o_custkey GROUP BY c_custkey""")
 def m18(t):
-    offices = t.orders.filter("o_totalprice > 400000").select(
+    offices = t.orders.select(
         F.col("o_custkey").alias("c_custkey"), F.col("o_orderstatus").alias("office"), F.concat(F.lit("d"), F.col("o_orderkey") % 3).alias("district_id"),
         (F.col("o_orderpriority") == "1-URGENT").alias("suspended"), F.lit("roster").alias("basis"),
     )

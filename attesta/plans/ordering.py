@@ -72,12 +72,12 @@ def u2(t):
     return both.dropDuplicates(["id"])
 
 
-@plan("u3_symmetric_difference", """WITH n AS (SELECT k, sum(d) AS d FROM (SELECT l_orderkey % 5000 AS k, 1 AS d FROM lineitem WHERE l_quantity > 40
-    UNION ALL SELECT o_orderkey % 5000, -1 FROM orders WHERE o_totalprice > 200000) GROUP BY k)
+@plan("u3_symmetric_difference", """WITH n AS (SELECT k, sum(d) AS d FROM (SELECT l_orderkey * 8 + l_linenumber AS k, 1 AS d FROM lineitem
+    UNION ALL SELECT o_orderkey * 8 + 1 + o_custkey % 5, -1 FROM orders) GROUP BY k)
   SELECT k, CASE WHEN d > 0 THEN 'a' ELSE 'b' END AS side, CAST(abs(d) AS BIGINT) AS n FROM n WHERE d <> 0""")
 def u3(t):
-    a = t.lineitem.filter("l_quantity > 40").select((F.col("l_orderkey") % 5000).alias("k"))
-    b = t.orders.filter("o_totalprice > 200000").select((F.col("o_orderkey") % 5000).alias("k"))
+    a = t.lineitem.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("k"))
+    b = t.orders.select((F.col("o_orderkey") * 8 + 1 + F.col("o_custkey") % 5).alias("k"))
     return sets.symmetric_difference(a, b)
 
 
@@ -96,9 +96,9 @@ def u5(t):
     return sets.cached_merge(cached, fresh, ["k"])
 
 
-@plan("u6_coverage", """WITH n AS (SELECT o_custkey AS unit, count(*) AS n FROM orders WHERE o_totalprice > 450000 GROUP BY ALL)
-  SELECT c_custkey AS unit, coalesce(n, 0) AS n, CASE WHEN n IS NULL THEN 'unassigned' ELSE 'assigned twice' END AS problem
-  FROM customer LEFT JOIN n ON c_custkey = unit WHERE coalesce(n, 0) <> 1""")
+@plan("u6_coverage", """WITH n AS (SELECT l_orderkey - l_orderkey % 2 * (l_linenumber % 2) AS unit, count(*) AS n FROM lineitem GROUP BY ALL)
+  SELECT o_orderkey AS unit, coalesce(n, 0) AS n, CASE WHEN n IS NULL THEN 'unassigned' ELSE 'assigned twice' END AS problem
+  FROM orders LEFT JOIN n ON o_orderkey = unit WHERE coalesce(n, 0) <> 1""")
 def u6(t):
-    assigned = t.orders.filter("o_totalprice > 450000").select(F.col("o_custkey").alias("unit"))
-    return sets.coverage(t.customer.select(F.col("c_custkey").alias("unit")), assigned, "unit")
+    assigned = t.lineitem.select((F.col("l_orderkey") - F.col("l_orderkey") % 2 * (F.col("l_linenumber") % 2)).alias("unit"))
+    return sets.coverage(t.orders.select(F.col("o_orderkey").alias("unit")), assigned, "unit")
