@@ -16,6 +16,15 @@ def canonical_json(columns: Sequence[str]) -> Column:
     return F.to_json(F.struct(*sorted(columns)))
 
 
+def one_per_key(batch: DataFrame, key: Sequence[str], stamp: str = STAMP, first: bool = False) -> DataFrame:
+    """Of rows with equal keys the one with the greatest (or least) stamp, then content: a key is written once."""
+    rest = sorted((c for c in batch.columns if c not in key), key=lambda c: (c != stamp, c))
+    if not rest:
+        return batch.distinct()
+    pick = (F.min if first else F.max)(F.struct(*rest)).alias("__row")
+    return batch.groupBy(*key).agg(pick).select(*[c if c in key else F.col("__row")[c].alias(c) for c in batch.columns])
+
+
 def _sides(target: DataFrame, batch: DataFrame, key: Sequence[str]):
     """Both sides of a keyed merge in one row; the key is unique on each side, so no row is multiplied."""
     t = target.select(*key, F.struct(*[c for c in target.columns if c not in key]).alias("old"))
@@ -24,18 +33,19 @@ def _sides(target: DataFrame, batch: DataFrame, key: Sequence[str]):
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: Sequence[str], stamp: str = STAMP) -> DataFrame:
-    """Insert or update by key; a row whose content is unchanged keeps its time stamp."""
+    """Insert or update by key; a row whose content is unchanged keeps its time stamp.  Of a key repeated in the batch the
+    newest row counts."""
     cols = [c for c in target.columns if c not in key]
     changed = reduce(lambda a, b: a | b, [~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in cols if c != stamp], F.lit(False))
     take_new = F.col("new").isNotNull() & (F.col("old").isNull() | changed)
-    j = _sides(target, batch.select(*target.columns), key)
+    j = _sides(target, one_per_key(batch.select(*target.columns), key, stamp), key)
     return j.select(*key, *[F.when(take_new, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c) for c in cols])
 
 
 def sparse_upsert(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Values that are absent in the batch never overwrite what is stored."""
+    """Values that are absent in the batch never overwrite what is stored.  Of a repeated key the newest row counts."""
     given = set(batch.columns)
-    j = _sides(target, batch, key)
+    j = _sides(target, one_per_key(batch, key), key)
     cols = [c for c in target.columns if c not in key]
     return j.select(
         *key, *[(F.coalesce(F.col(f"new.{c}"), F.col(f"old.{c}")) if c in given else F.col(f"old.{c}")).alias(c) for c in cols]
@@ -47,7 +57,7 @@ def scope_replace(target: DataFrame, batch: DataFrame, key: Sequence[str], in_sc
     gone = target.filter(in_scope).join(batch.select(*key), list(key), "left_anti")
     kept = target.join(gone.select(*key), list(key), "left_anti")
     merged = upsert(kept, batch, key)
-    report = batch.select(F.lit("written").alias("what")).unionByName(gone.select(F.lit("deleted").alias("what")))
+    report = batch.select(*key).distinct().select(F.lit("written").alias("what")).unionByName(gone.select(F.lit("deleted").alias("what")))
     return merged, report.groupBy("what").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -69,7 +79,9 @@ def purge_departed(target: DataFrame, batch: DataFrame, key: Sequence[str], pers
 
 
 def write_once(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
-    return target.unionByName(batch.join(target.select(*key), list(key), "left_anti").select(*target.columns))
+    """Rows of new keys; of a key repeated in the batch the oldest row counts."""
+    fresh = one_per_key(batch, key, first=True)
+    return target.unionByName(fresh.join(target.select(*key), list(key), "left_anti").select(*target.columns))
 
 
 def scan_plan(covered: DataFrame, wanted: DataFrame, source: str, member: str) -> DataFrame:

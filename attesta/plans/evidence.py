@@ -56,7 +56,8 @@ def _claims(t):
   FROM b LEFT JOIN m ON b.conv_id = m.conv_id AND b.turn = m.claim WHERE b.role = 'assistant'""")
 def t3(t):
     claims, cites = _claims(t)
-    return evidence.support(claims, ["conv_id", "claim"], cites, "turn", evidence.pair_weights(t.conversations, "text"))
+    texts = t.conversations.agg(F.count(F.lit(1))).scalar()
+    return evidence.support(claims, ["conv_id", "claim"], cites, "turn", evidence.pair_weights(t.conversations, "text"), texts)
 
 
 @plan("t4_citation_locator", r"""WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),

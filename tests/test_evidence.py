@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -102,6 +103,11 @@ def test_support_and_short_evidence(spark):
     cites = spark.createDataFrame([(1, 1, "a quartz"), (1, 2, "lorem"), (2, 3, "filler")], "id int, cite int, cited_text string")
     got = evidence.support(claims, ["id"], cites, "cite", weights)
     assert {r.id: r.kept for r in got.collect()} == {1: True, 2: False, 3: False}
+    # a pair that no text of the corpus has weighs ln N
+    claims, cites = claims.limit(0).union(spark.createDataFrame([(1, "xy")], claims.schema)), spark.createDataFrame([(1, 1, "xy")], cites.schema)
+    assert evidence.support(claims, ["id"], cites, "cite", weights).first().score == 0
+    got = evidence.support(claims, ["id"], cites, "cite", weights, F.lit(4000)).first()
+    assert got.kept and got.score == round(math.log(4000) * 1_000_000)
     df = spark.createDataFrame([("〔p3〕Member: yes, thank you",), ("Member: it is.",)], "t string")
     assert [r[0] for r in df.select(evidence.short_evidence(F.col("t"), "Member")).collect()] == [False, True]
 

@@ -22,6 +22,17 @@ def test_unchanged_rows_keep_their_stamp(spark):
     assert again.exceptAll(got).count() == 0  # running twice changes nothing
 
 
+def test_a_key_repeated_in_the_batch_is_written_once(spark):
+    old = fact(spark, (1, "a", "x", 1))
+    new = fact(spark, (1, "a", "y", 2), (1, "a", "z", 3), (2, "a", "p", 2), (2, "a", "p", 2), (3, "a", "n", 5), (3, "a", "m", 4))
+    newest = [(1, "z", 3), (2, "p", 2), (3, "n", 5)]
+    assert rows(life.upsert(old, new, ["k"]).select("k", "v", "fetched_at")) == newest
+    assert rows(life.sparse_upsert(old, new, ["k"]).select("k", "v", "fetched_at")) == newest
+    target, report = life.scope_replace(old, new, ["k"], F.col("kind") == "a")
+    assert rows(target.select("k", "v", "fetched_at")) == newest and rows(report) == [("written", 3)]
+    assert rows(life.write_once(old, new, ["k"]).select("k", "v", "fetched_at")) == [(1, "x", 1), (2, "p", 2), (3, "m", 4)]
+
+
 def test_scope_replace_leaves_other_scopes(spark):
     old = fact(spark, (1, "a", "x", 1), (2, "a", "y", 1), (3, "b", "z", 1))
     target, report = life.scope_replace(old, fact(spark, (1, "a", "x", 2)), ["k"], F.col("kind") == "a")
