@@ -135,17 +135,17 @@ def j11(t):
     return found.select(F.col("target").alias("person_id"), F.col("person_id").eqNullSafe(F.col("target")).alias("ok"))
 
 
-@plan("j12_parent_fallback", """WITH o AS (SELECT o_custkey, c_nationkey, o_orderpriority AS v FROM orders JOIN customer ON o_custkey = c_custkey
-    WHERE o_totalprice > 499000 OR (c_nationkey < 8 AND o_totalprice > 490000 AND o_orderpriority = '2-HIGH')),
+@plan("j12_parent_fallback", """WITH o AS (SELECT o_custkey - o_custkey % 2 AS o_custkey, c_nationkey, CASE WHEN c_nationkey < 8 THEN '2-HIGH' ELSE o_orderpriority END AS v
+    FROM orders JOIN customer ON o_custkey = c_custkey),
   e AS (SELECT o_custkey, min(v) AS v FROM o GROUP BY ALL),
   p AS (SELECT c_nationkey, min(v) AS v FROM o GROUP BY ALL HAVING count(DISTINCT v) = 1)
   SELECT c.c_custkey, coalesce(e.v, p.v) AS value, CASE WHEN e.v IS NOT NULL THEN 'exact' WHEN p.v IS NOT NULL THEN 'inherited' ELSE 'unmatched' END AS how
   FROM customer c LEFT JOIN e ON c_custkey = o_custkey LEFT JOIN p ON c.c_nationkey = p.c_nationkey""")
 def j12(t):
-    o = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).filter(
-        "o_totalprice > 499000 OR (c_nationkey < 8 AND o_totalprice > 490000 AND o_orderpriority = '2-HIGH')"
-    )
-    exact = o.select("c_custkey", "c_nationkey", F.col("o_orderpriority").alias("value"))
+    o = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    value = F.when(F.col("c_nationkey") < 8, F.lit("2-HIGH")).otherwise(F.col("o_orderpriority"))  # one value in these nations
+    even = F.col("c_custkey") - F.col("c_custkey") % 2  # odd customers have no code of their own
+    exact = o.select(even.alias("c_custkey"), "c_nationkey", value.alias("value"))
     rows = t.customer.select("c_custkey", "c_nationkey")
     return linking.unique_parent_fallback(rows, exact, "c_custkey", "c_nationkey", "value").drop("c_nationkey")
 
