@@ -82,7 +82,8 @@ def j6(t):
     return linking.cascade_match(t.roster(), t.persons())
 
 
-@plan("j7_nationwide", f"""WITH {ROSTER}, {PERSON}, c AS (SELECT * FROM person WHERE c_acctbal > 9000),
+@plan("j7_nationwide", f"""WITH {ROSTER}, {PERSON}, c AS (SELECT * REPLACE (CASE WHEN c_acctbal > 9000 THEN '' ELSE '5000' END || weak AS weak,
+    CASE WHEN c_acctbal > 9000 THEN '' ELSE '5000' END || folded AS folded) FROM person),
   j AS (SELECT r.record_id, CASE WHEN s_suppkey % 9 <> 8 THEN r.area END AS area,
     (SELECT count(*) FROM c WHERE c.folded = r.folded) AS n_cand, (SELECT count(*) FROM roster o WHERE o.folded = r.folded) AS n_own,
     (SELECT min(person_id) FROM c WHERE c.weak = r.weak AND c.words = r.words) AS pid FROM roster r),
@@ -91,7 +92,8 @@ def j6(t):
     FROM j LEFT JOIN c ON c.person_id = j.pid)
   SELECT record_id, reason, CASE WHEN reason IS NULL THEN pid END AS person_id FROM w""")
 def j7(t):
-    candidates = t.persons().filter("c_acctbal > 9000")
+    # most candidates bear names that the roster does not know, so that all reasons occur
+    candidates = t.persons().withColumn("name", F.concat(F.when(F.col("c_acctbal") > 9000, "").otherwise("5000"), "name"))
     records = t.roster().withColumn("area", F.when(F.col("s_suppkey") % 9 != 8, F.col("area")))
     return linking.nationwide_links(records, candidates)
 
