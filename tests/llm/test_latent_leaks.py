@@ -102,3 +102,14 @@ def test_awkward_rows(awkward, spark):
     assert ll.leaks(awkward.limit(0), bench, ll.fit(awkward.limit(0), 8)).count() == 0
     kept = ll.drop_leaking(awkward, got)
     assert kept.columns == awkward.columns and {r.doc_id for r in kept.select("doc_id").collect()} >= {None, 1, 2, 3}
+
+
+def test_words_of_a_block_of_text(monkeypatch):
+    text = b"  ab c  ab " + b"x" * 100 + b" ab " + bytes("née", "utf-8") + b" " + b"ab " * 60
+    whole = ll.features(text)
+    assert [text[i:j] for i, j in zip(whole[1], whole[2])] == text.split()
+    assert len({f for f, w in zip(whole[0].tolist(), text.split()) if w == b"ab"}) == 1
+    monkeypatch.setattr(ll, "SEGMENT", 16)  # words at the cuts and words longer than a segment
+    cut = ll.features(text)
+    assert all((a == b).all() for a, b in zip(whole, cut))
+    assert [len(x) for x in ll.features(b"")] == [0, 0, 0]
