@@ -22,7 +22,7 @@ def test_names_line_up():
 
 
 @pytest.mark.parametrize("name,read,pushed", [
-    ("j2_exists", "struct<o_custkey:bigint,o_orderstatus:string,o_totalprice:double>", "EqualTo(o_orderstatus,O)"),
+    ("j2_exists", "struct<o_custkey:bigint,o_orderstatus:string>", "EqualTo(o_orderstatus,O)"),
     ("o5_latest_nonempty", "struct<event_id:bigint,user_id:bigint,event_type:string,props:string>", "EqualTo(event_type,view)"),
     ("j3_stale", "struct<l_partkey:bigint,l_quantity:double>", "GreaterThan(l_quantity,48.0)"),
 ])
