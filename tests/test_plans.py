@@ -24,7 +24,7 @@ def test_names_line_up():
 @pytest.mark.parametrize("name,read,pushed", [
     ("j2_exists", "struct<o_custkey:bigint,o_orderstatus:string>", "EqualTo(o_orderstatus,O)"),
     ("o5_latest_nonempty", "struct<event_id:bigint,user_id:bigint,event_type:string,props:string>", "EqualTo(event_type,view)"),
-    ("j3_stale", "struct<l_partkey:bigint,l_quantity:double>", "GreaterThan(l_quantity,48.0)"),
+    ("j3_stale", "struct<l_partkey:bigint>", ""),  # reads all rows: no filter
 ])
 def test_columns_and_filters_reach_the_scan(spark, name, read, pushed):
     plan = explain(queries()[name](spark, f"{DATA}/sf0.001"))
