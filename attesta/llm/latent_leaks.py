@@ -5,7 +5,8 @@
 2. From these sums the randomised (single-pass, Nyström) eigendecomposition of the TF-IDF Gram matrix gives the right
    singular vectors and values of the passages' TF-IDF matrix; its size is features × dimensions, whatever the corpus.
 3. A second pass maps every chunk of ``CHUNK`` words into the latent space; windows of several lengths are sums of chunks, and
-   their cosines with the benchmark items are one matrix product per block.  Windows near an item are candidates.
+   their cosines with the benchmark items are one matrix product per block.  Windows near an item are candidates, and so is
+   every other window with enough words of the item (and of its answer) for step 4, so the cosine loses no leak.
 4. A candidate is a leak if the longest common subsequence of its words and the item's is long enough, or, for a paraphrase,
    if it is shorter but the item's answer (its last words, or its own column) is there as well.
 
@@ -14,7 +15,6 @@ Nothing of the documents reaches the driver; the benchmark is the stated query s
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -23,12 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attesta.llm.common import arrow_schema, batch, folded, folded_words, rows_of, spans
+from attesta.llm.common import arrow_schema, batch, folded, folded_words, rows_of
 
 FEATURES, EXTRA, PASSAGE, CHUNK = 8192, 8, 32, 8
 SCALES = (2, 4, 8)  # window lengths in chunks
 ROW_BLOCK = 256  # rows of the sums that travel together
-HOLD_BYTES, SLICE = 1 << 20, 4096
+HOLD_BYTES, SLICE, ITEMS = 1 << 20, 4096, 128
 MAX_QUERIES = 200_000
 
 
@@ -225,6 +225,31 @@ def places(words: Sequence[bytes]) -> dict[bytes, int]:
     return out
 
 
+def _running(member: np.ndarray, f: np.ndarray) -> np.ndarray:
+    """How many words before each chunk an item has, by item; modulo 256, as no passage has that many words."""
+    out = np.zeros((len(f) // CHUNK + 1, member.shape[1]), np.uint8)
+    for i in range(CHUNK):
+        out[1:] += member[f[i::CHUNK]]
+    return np.cumsum(out, axis=0, dtype=np.uint8, out=out)
+
+
+def _common(features_: np.ndarray, first: np.ndarray, long: np.ndarray, number: np.ndarray, item: np.ndarray, where: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """``common_subsequence`` of many passages at once, by the words' features: an item's have a number, a number has places."""
+    out = np.zeros(len(first), np.int64)
+    for lo in range(0, len(first), SLICE):
+        order = lo + np.argsort(-long[lo : lo + SLICE], kind="stable")
+        at, j, size = first[order], item[order], long[order]
+        full = ~np.uint64(0) >> (64 - n[order]).astype(np.uint64)
+        v = full.copy()
+        for i in range(int(size[0])):
+            live = np.searchsorted(-size, -i)  # longer than i
+            m = where[j[:live], number[features_[at[:live] + i], j[:live]]]
+            u = v[:live] & m
+            v[:live] = v[:live] + u | v[:live] - u
+        out[order] = n[order] - np.bitwise_count(v & full)
+    return out
+
+
 @dataclass(frozen=True)
 class Query:
     """An item, or a part of a long one."""
@@ -285,14 +310,19 @@ def leaks(
         size = np.array([len(q.words) for q in wanted])
         near = [np.abs(np.log(size / (CHUNK * s))) for s in SCALES]  # each item at the scale nearest its length
         scale = np.argmin(np.stack(near), 0)
-        sought = [np.flatnonzero(scale == k) for k in range(len(SCALES))]
-        sought = [[x[i : i + SLICE] for i in range(0, len(x), SLICE)] for x in sought]
-        masks, counts = [places(q.words) for q in wanted], [Counter(q.words) for q in wanted]
-        said = [places(q.answer) for q in wanted]
-        member = np.zeros((len(wanted), FEATURES // 8), np.uint8)  # a bit per feature: which an item has
+        margin = CHUNK + np.maximum(0, size - CHUNK * np.array(SCALES)[scale])  # words tested on both sides of a window
+        around = -(-margin // CHUNK)
+        sought: list[list] = [[] for _ in SCALES]  # items of one scale and margin: margin in chunks, items
+        for k, m in sorted(set(zip(scale.tolist(), around.tolist()))):
+            x = np.flatnonzero((scale == k) & (around == m))
+            sought[k] += [(m, x[i : i + ITEMS]) for i in range(0, len(x), ITEMS)]
+        masks, said = [places(q.words) for q in wanted], [places(q.answer) for q in wanted]
+        forms, answers = [], [features(b" ".join(q.answer))[0] for q in wanted]
+        where = np.zeros((len(wanted), CHUNK * SCALES[-1] + 1), np.uint64)  # places of an item's features, a bit per word
         for i, q in enumerate(wanted):
-            f = features(b" ".join(q.words))[0]
-            np.bitwise_or.at(member[i], f >> 3, np.uint8(1) << (f & 7).astype(np.uint8))
+            found, number = np.unique(features(b" ".join(q.words))[0], return_inverse=True)
+            forms.append(found)
+            np.bitwise_or.at(where[i], number + 1, np.uint64(1) << np.arange(len(number), dtype=np.uint64))
         for held in _held(batches):
             sizes = held.sizes
             chunks = -(-sizes // CHUNK)
@@ -316,30 +346,42 @@ def leaks(
                 if not len(sought[k]):
                     continue
                 size_of = np.maximum(np.sqrt(np.einsum("ij,ij->i", v, v)), 1e-12)
-                for lo, some in ((lo, some) for some in sought[k] for lo in range(0, len(v), SLICE)):
-                    cos = v[lo : lo + SLICE] @ vectors[some].T / size_of[lo : lo + SLICE, None]
-                    near_i, near_j = np.nonzero(cos >= min_cosine)
-                    cosines, near_j, d = cos[near_i, near_j], some[near_j], doc_of[near_i + lo]
-                    s = (near_i + lo - first_of[d]) * CHUNK
-                    n, w = size[near_j], CHUNK * span
-                    margin = CHUNK + np.maximum(0, n - w)
-                    from_, to = np.maximum(0, s - margin), np.minimum(sizes[d], s + w + margin)
-                    # no common subsequence is longer than the words that have a feature of the item's
-                    common = np.zeros(len(d), np.int64)
-                    for i in range(0, len(d), SLICE):
-                        here = slice(i, i + SLICE)
-                        long = to[here] - from_[here]
-                        f = held.features[spans(begin[d[here]] + from_[here], long)]
-                        hit = member[np.repeat(near_j[here], long), f >> 3] >> (f & 7) & 1
-                        common[here] = np.add.reduceat(hit, np.cumsum(long) - long, dtype=np.int64)
-                    likely = np.flatnonzero(common >= paraphrase_share * n)
-                    columns_ = (d, near_j, cosines, from_, to)
+                for m, some in sought[k]:
+                    number, has = np.zeros((FEATURES + 1, len(some)), np.uint8), np.zeros((FEATURES + 1, len(some)), np.uint8)
+                    for j, q in enumerate(some.tolist()):
+                        number[forms[q], j] = np.arange(1, len(forms[q]) + 1)
+                        has[answers[q], j] = 1
+                    n, a = size[some], np.array([len(wanted[q].answer) for q in some.tolist()])
+                    least, most = (np.ceil(x * n - 1e-9).astype(np.int64) for x in (paraphrase_share, min_share))
+                    told = np.ceil(answer_share * a - 1e-9).astype(np.int64)
+                    member = (number > 0).view(np.uint8)
+                    picked = []
+                    for lo in range(0, len(v), SLICE):
+                        hi = min(lo + SLICE, len(v))
+                        here = np.arange(lo, hi)
+                        from_ = np.maximum(first_of[doc_of[lo:hi]], here - m)
+                        to = np.minimum(here + left[lo:hi], here + span + m)
+                        base, top = int(from_[0]), int(to.max())
+                        words = _running(member, f[base * CHUNK : top * CHUNK])
+                        words = words[to - base] - words[from_ - base]  # at least the common words of passage and item
+                        answer = _running(has, f[base * CHUNK : top * CHUNK])
+                        answer = answer[to - base] - answer[from_ - base]
+                        possible = (words >= most) | (words >= least) & (answer >= told)
+                        cos = v[lo:hi] @ vectors[some].T / size_of[lo:hi, None]
+                        near_i, near_j = np.nonzero(possible | (cos >= min_cosine))
+                        picked.append((near_i + lo, near_j, cos[near_i, near_j]))
+                    near_i, near_j, cosines = (np.concatenate(x) for x in zip(*picked))
+                    d, q = doc_of[near_i], some[near_j]
+                    s = (near_i - first_of[d]) * CHUNK
+                    from_, to = np.maximum(0, s - margin[q]), np.minimum(sizes[d], s + CHUNK * span + margin[q])
+                    # no common subsequence is longer than that of the words' features
+                    bound = _common(held.features, begin[d] + from_, to - from_, number, near_j, where[some], size[q])
+                    likely = np.flatnonzero(bound >= least[near_j])
+                    columns_ = (d, q, cosines, from_, to)
                     for d, q, cosine, begin_, end in zip(*[c[likely].tolist() for c in columns_]):
                         query = wanted[q]
                         n, at = len(query.words), int(begin[d])
                         passage = held.words(at + begin_, at + end)
-                        if sum(min(c, counts[q][x]) for x, c in Counter(passage).items() if x in counts[q]) < paraphrase_share * n:
-                            continue
                         lcs = common_subsequence(masks[q], n, passage)
                         share, a = lcs / n, query.answer
                         answered = common_subsequence(said[q], len(a), passage) >= answer_share * len(a)

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -61,6 +62,54 @@ def test_recall_against_all_stretches(spark):
     assert got <= want | {(r.doc_id, r.item_id) for r in ll.leaks(docs, bench, ll.fit(docs)).filter("answer_found").collect()}
 
 
+def test_altered_items_against_all_windows(spark):
+    rng = random.Random(5)
+    bench = [(r.item_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").collect()]
+    corpus = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = [r.text for r in corpus.orderBy("doc_id").limit(90).collect()]
+    other = [w for t in texts[80:] for w in t.split()]
+    docs, planted = [], set()
+    for d, text in enumerate(texts[:80]):
+        item, words = bench[d % len(bench)][1].split(), text.split()
+        q = ll.queries_of(0, " ".join(item), None, 8)[0]
+        kept = max(len(q.answer), math.ceil(rng.uniform(0.45, 0.7) * len(q.words)))
+        lost = set(rng.sample(range(len(item) - len(q.answer)), len(item) - kept))
+        docs.append((d, " ".join(words[:40] + [rng.choice(other) if i in lost else w for i, w in enumerate(item)] + words[40:])))
+        planted.add((d, bench[d % len(bench)][0]))
+    want = set()
+    for d, text in docs:
+        words = folded_words(text)
+        for i, item in bench:
+            for q in ll.queries_of(i, item, None, 8):
+                n = len(q.words)
+                w = min((ll.CHUNK * k for k in ll.SCALES), key=lambda w: abs(math.log(n / w)))
+                margin, masks, said = ll.CHUNK + max(0, n - w), ll.places(q.words), ll.places(q.answer)
+                for s in range(0, len(words), ll.CHUNK):
+                    passage = words[max(0, s - margin) : s + w + margin]
+                    share = ll.common_subsequence(masks, n, passage) / n
+                    answered = ll.common_subsequence(said, len(q.answer), passage) >= 0.8 * len(q.answer)
+                    if share >= 0.7 or share >= 0.45 and answered:
+                        want.add((d, i))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = ll.leaks(frame, spark.createDataFrame(bench, "item_id long, text string"), ll.fit(corpus))
+    got = {(r.doc_id, r.item_id) for r in found.collect()}
+    assert got == want and planted <= got
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from([b"a", b"b", b"c", b"d"]), min_size=1, max_size=64), st.lists(st.sampled_from([b"a", b"b", b"c"]), max_size=90))
+def test_common_subsequence_of_many_passages(a, b):
+    ids = {w: k for k, w in enumerate((b"a", b"b", b"c", b"d"))}
+    number = np.array([[ids[w] + 1] if w in a else [0] for w in ids], np.uint8)
+    where = np.zeros((1, 5), np.uint64)
+    for i, w in enumerate(a):
+        where[0, ids[w] + 1] |= np.uint64(1 << i)
+    text = np.array([ids[w] for w in b] + [3], np.uint16)
+    first, long = np.array([0, 0, len(b) // 2]), np.array([len(b), len(b) // 2, len(b) - len(b) // 2])
+    got = ll._common(text, first, long, number, np.zeros(3, np.int64), where, np.full(3, len(a)))
+    assert got.tolist() == [table_lcs(a, b), table_lcs(a, b[: len(b) // 2]), table_lcs(a, b[len(b) // 2 :])]
+
+
 @pytest.fixture
 def planted(documents, spark):
     rng = random.Random(2)
