@@ -65,6 +65,22 @@ def test_containment_without_broadcast(spark, monkeypatch):
     assert rows(evidence.contained_phrases(d, "d", "t", p, "p", "q")) == [(1, 7), (2, 7)]
 
 
+@pytest.mark.parametrize("limit", [evidence.BROADCAST_PHRASES, 0])
+def test_short_phrases(spark, monkeypatch, limit):
+    monkeypatch.setattr(evidence, "BROADCAST_PHRASES", limit)
+    docs = [(1, "Li met Ann Lee"), (2, "王先生 spoke; 𠮷野 did not"), (3, "aaaaaaa"), (4, ""), (5, None)]
+    phrases = ["L", "Li", "nnL", "Ann", "AnnLee", "metAnnL", "metAnnLe", "王 先生", "𠮷野", "𠮷", "aa", "a" * 7, "a" * 8, "zq", "", " ", None]
+    bare = lambda s: re.sub(r"\s", "", s or "")
+    want = sorted((d, p) for d, t in docs for p, q in enumerate(phrases) if bare(q) and bare(q) in bare(t))
+    d, p = spark.createDataFrame(docs, "d long, t string"), spark.createDataFrame(list(enumerate(phrases)), "p long, q string")
+    assert rows(evidence.contained_phrases(d, "d", "t", p, "p", "q")) == want and len(want) == 12
+
+
+def test_locator_of_short_quotes(spark):
+    assert locate(spark, ["meals", "again … June", "bridge", "〔p2〕much", "〔p1〕much", "zz"]) == [
+        (True, 3, 1), (True, 1, 3), (False, None, None), (True, 3, 2), (False, None, None), (False, None, None)]
+
+
 def pairs(s):
     s = re.sub(r"[\W_]", "", s)
     return {s[i : i + 2] for i in range(len(s) - 1)}
