@@ -15,7 +15,8 @@ Spark bring together, by anchor, everything that can be equal:
 
 Rounds number at most 2 × ``width`` whatever the length of the documents.  Copies are combined before each shuffle: in a task,
 of equal anchors or equal segments only those of the smallest doc_id travel, the others are settled where they are.  A bucket
-is about ``bucket_bytes`` of text, so the columns stay in memory and spill is left to Spark's own shuffle files.
+is about ``bucket_bytes`` of text, so the columns stay in memory and spill is left to Spark's own shuffle files.  The distinct
+segments on one anchor are not split, so a bucket with a very frequent one is larger, without a bound.
 """
 
 from __future__ import annotations
