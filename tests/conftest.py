@@ -31,7 +31,3 @@ def blocks(request, spark):
         spark.conf.set(scale.ROWS_PER_BLOCK, "3")
     yield request.param
     spark.conf.unset(scale.ROWS_PER_BLOCK)
-
-
-def rows(df, *order):
-    return [tuple(r) for r in df.orderBy(*order).collect()] if order else sorted(tuple(r) for r in df.collect())

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from attesta.operators import evidence
-from conftest import rows
+from helpers import rows
 
 DOCS = [
     (1, "Chair: we begin with the bridge over the river\nMember: the bridge was closed in March for repair\nDirector: it will open again in June"),

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from attesta.functions import dates, ids, labels, names, text
-from conftest import rows
+from helpers import rows
 
 
 def one(spark, values, expr, kind="string"):

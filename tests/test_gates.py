@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from attesta.operators import filters, gates
-from conftest import rows
+from helpers import rows
 
 
 def test_row_constraints(spark):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from attesta.operators import lifecycle as life
 from attesta.session import scratch
 from attesta.sources import scans, sinks
-from conftest import rows
+from helpers import rows
 
 FACT = "k long, kind string, v string, fetched_at int"
 

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from attesta.operators import joins, linking
-from conftest import rows
+from helpers import rows
 
 REMAP = [("aa", 1, 1), ("aa", 1, 2)]
 

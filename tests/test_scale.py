@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from attesta.scale import OrderedGroups, digits_pos, lookup
-from conftest import rows
+from helpers import rows
 
 
 def skewed(n=300, seed=5):

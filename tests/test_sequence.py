@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from attesta.operators import aggregates as agg
 from attesta.operators import sequence as seq
-from conftest import rows
+from helpers import rows
 
 
 def test_attribution_rules(spark, blocks):

@@ -4,7 +4,7 @@ from attesta.operators import lifecycle as life
 from attesta.operators import sequence as seq
 from attesta.session import scratch
 from attesta.streaming import jobs
-from conftest import rows
+from helpers import rows
 
 
 def test_merge_over_several_batches_and_a_replay(spark):
