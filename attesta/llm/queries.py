@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attesta.llm import (
-    column_bwt, hash_tree, latent_leaks, line_labels, line_spread, ngram_join, secret_forest, tier_packing, token_counts, warc,
+    column_bwt, hash_tree, latent_leaks, line_labels, line_spread, ngram_join, secret_forest, shallot, tier_packing, token_counts, warc,
 )
 from attesta.session import scratch
 
@@ -67,6 +67,10 @@ def op10_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.assign(table(spark, sf_dir, "documents"), root, hash_tree.grow(root))
 
 
+def op13_shallot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shallot.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -77,10 +81,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ngram_join, op2_latent_leaks, op3_line_spread, op4_token_counts, op5_line_labels, op6_warc, op7_column_bwt,
-        op8_secret_forest, op9_tier_packing, op10_hash_tree, pipeline,
+        op8_secret_forest, op9_tier_packing, op10_hash_tree, op13_shallot, pipeline,
     )
 }
 
+
+
+def _kmeans_sql(k: int = 16, rounds: int = 3) -> str:
+    """Plain k-means: every distance of every round, one common table expression a round."""
+    def assigned(i: int) -> str:
+        return f"""a{i} AS (SELECT id, min(struct_pack(d := list_sum(list_transform(list_zip(e.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), j := c.j)) AS m
+  FROM e, c{i} c GROUP BY id)"""
+
+    def moved(i: int) -> str:
+        return f"""s{i} AS (SELECT a.m.j AS j, p.pos, CAST(sum(e.v[p.pos]) AS BIGINT) AS s, count(*) AS n
+  FROM a{i} a JOIN e USING (id), (SELECT unnest(range(1, 65)) AS pos) p GROUP BY ALL),
+f{i} AS (SELECT j, list((s - ((s % n) + n) % n) // n ORDER BY pos) AS v FROM s{i} GROUP BY j),
+c{i + 1} AS (SELECT c.j, coalesce(f.v, c.v) AS v FROM c{i} c LEFT JOIN f{i} f ON c.j = f.j)"""
+
+    steps = ",\n".join(f"{assigned(i)},\n{moved(i)}" for i in range(rounds))
+    return f"""
+WITH e AS (SELECT row_number() OVER () AS id, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS j, v FROM e QUALIFY j < {k}),
+{steps},
+{assigned(rounds)},
+t AS (SELECT m.j AS j, CAST(sum(m.d) AS BIGINT) AS inertia FROM a{rounds} GROUP BY ALL)
+SELECT e.vec_id, CAST(a.m.j AS INTEGER) AS cluster, CAST(a.m.d AS BIGINT) AS distance, t.inertia AS cluster_inertia,
+  (SELECT CAST(sum(inertia) AS BIGINT) FROM t) AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN e USING (id) JOIN t ON t.j = a.m.j JOIN c{rounds} c ON c.j = a.m.j"""
+
+
 SQL: dict[str, str] = {
     "op3_line_spread": f"""
 WITH lines AS (
@@ -107,4 +138,5 @@ SELECT page_id, payload_bytes,
   CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
 FROM h""",
+    "op13_shallot": _kmeans_sql(),
 }
