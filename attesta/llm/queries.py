@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attesta.llm import (
-    column_bwt, hash_tree, latent_leaks, line_labels, line_spread, ngram_join, secret_forest, shallot, tier_packing, token_counts, warc,
+    column_bwt, hash_tree, latent_leaks, line_labels, line_spread, ngram_join, secret_forest, shallot, tier_packing, token_counts, turn_repair,
+    warc,
 )
 from attesta.session import scratch
 
@@ -67,6 +68,10 @@ def op10_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.assign(table(spark, sf_dir, "documents"), root, hash_tree.grow(root))
 
 
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair(turn_repair.damage(table(spark, sf_dir, "conversations")))
+
+
 def op13_shallot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shallot.cluster(table(spark, sf_dir, "embeddings"))
 
@@ -81,12 +86,69 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ngram_join, op2_latent_leaks, op3_line_spread, op4_token_counts, op5_line_labels, op6_warc, op7_column_bwt,
-        op8_secret_forest, op9_tier_packing, op10_hash_tree, op13_shallot, pipeline,
+        op8_secret_forest, op9_tier_packing, op10_hash_tree, op12_turn_repair, op13_shallot, pipeline,
     )
 }
 
 
 
+def _repair_sql() -> str:
+    """The cheapest repair by a table of four states per row; a label is nine digits of cost, the audit, a mark and the turns."""
+    def label(x: str, cost: str, edit: str, turn: str = "''") -> str:
+        return (f"(printf('%09d', CAST(left({x}, 9) AS INTEGER) + {cost}) || substr(split_part({x}, chr(1), 1), 10) || '{edit}' || chr(1)"
+                f" || substr({x}, strpos({x}, chr(1)) + 1) || {turn})")
+
+    def insert(x: str, role: str) -> str:
+        return label(x, "3", "I", f"chr(10) || '{role}:'")
+
+    def closed(rows: str) -> str:
+        one = f"SELECT * REPLACE (least(u, {insert('e', 'user')}, {insert('s', 'user')}, {insert('a', 'user')}) AS u) FROM ({rows})"
+        return f"SELECT * REPLACE (least(a, {insert('u', 'assistant')}) AS a) FROM ({one})"
+
+    def keep(x: str, initial: str) -> str:
+        return f"CASE WHEN NOT forced AND initial = '{initial}' THEN {label(x, 'late', 'K', 'chr(10) || role || chr(58) || text')} END"
+
+    def rerole(x: str, role: str) -> str:
+        return f"CASE WHEN NOT forced THEN {label(x, '(3 + late)', 'R', f'chr(10) || {chr(39)}{role}:{chr(39)} || text')} END"
+
+    def to_user(x: str) -> str:
+        return f"{keep(x, 'u')}, {rerole(x, 'user')}"
+
+    gone = {x: label(x, "4", "D") for x in "esua"}
+    step = closed("SELECT dp.conv_id, i.pos, e, s, u, a, forced, late, initial, role, text FROM dp JOIN items i ON i.conv_id IS NOT DISTINCT FROM dp.conv_id AND i.pos = dp.pos + 1")
+    return f"""
+WITH RECURSIVE sown AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+      list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: CAST(ord(c) AS BIGINT))),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+        lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, CAST(3988292384 AS BIGINT)) ELSE x >> 1 END))) % 20 AS lot
+  FROM conversations),
+rows AS (
+  SELECT conv_id, turn, CASE WHEN lot = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN lot = 1 THEN '' WHEN lot = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(range(CASE WHEN lot = 3 THEN 2 ELSE 1 END)) FROM sown WHERE lot <> 0)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+    regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS body FROM rows),
+faulty AS (SELECT *, body = '' AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS again,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) || left(role, 1) AS pair FROM placed),
+items AS (SELECT conv_id, pos, turn, role, text, pair, blank, NOT blank AND again AS duplicate, blank OR again AS forced, left(role, 1) AS initial,
+    CASE WHEN blank OR again OR right(body, 1) IN ('.', '!', '?') THEN 0 ELSE 3 END AS late FROM faulty),
+dp AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS pos, '000000000' || chr(1) AS e, CAST(NULL AS VARCHAR) AS s, CAST(NULL AS VARCHAR) AS u, CAST(NULL AS VARCHAR) AS a
+  FROM conversations
+  UNION ALL
+  SELECT conv_id, pos, {gone['e']}, least({gone['s']}, {keep('e', 's')}), least({gone['u']}, {to_user('e')}, {to_user('s')}, {to_user('a')}),
+    least({gone['a']}, {keep('u', 'a')}, {rerole('u', 'assistant')}) FROM ({step})),
+ended AS (SELECT conv_id, least(e, a) AS best FROM ({closed("SELECT * FROM dp QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY pos DESC) = 1")})),
+counted AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (late > 0) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM items GROUP BY conv_id)
+SELECT d.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, CAST(left(best, 9) AS BIGINT) AS cost, substr(split_part(best, chr(1), 1), 10) AS audit,
+  sha256(substr(best, strpos(best, chr(1)) + 2)) AS repaired_sha256
+FROM ended d LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM d.conv_id"""
+
+
 def _kmeans_sql(k: int = 16, rounds: int = 3) -> str:
     """Plain k-means: every distance of every round, one common table expression a round."""
     def assigned(i: int) -> str:
@@ -138,5 +200,6 @@ SELECT page_id, payload_bytes,
   CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
 FROM h""",
+    "op12_turn_repair": _repair_sql(),
     "op13_shallot": _kmeans_sql(),
 }
