@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attesta.llm import (
-    column_bwt, hash_tree, latent_leaks, line_labels, line_spread, ngram_join, secret_forest, shallot, tier_packing, token_counts, turn_repair,
-    warc,
+    column_bwt, hash_tree, latent_leaks, line_labels, line_spread, nearest_examples, ngram_join, secret_forest, shallot, tier_packing,
+    token_counts, turn_repair, warc,
 )
 from attesta.session import scratch
 
@@ -68,6 +68,10 @@ def op10_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.assign(table(spark, sf_dir, "documents"), root, hash_tree.grow(root))
 
 
+def op11_nearest_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_examples.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_repair.repair(turn_repair.damage(table(spark, sf_dir, "conversations")))
 
@@ -86,7 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ngram_join, op2_latent_leaks, op3_line_spread, op4_token_counts, op5_line_labels, op6_warc, op7_column_bwt,
-        op8_secret_forest, op9_tier_packing, op10_hash_tree, op12_turn_repair, op13_shallot, pipeline,
+        op8_secret_forest, op9_tier_packing, op10_hash_tree, op11_nearest_examples, op12_turn_repair, op13_shallot, pipeline,
     )
 }
 
