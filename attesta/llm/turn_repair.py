@@ -341,16 +341,17 @@ def repair(rows: DataFrame, piece: int = PIECE) -> DataFrame:
         role=F.coalesce(F.col("role"), F.lit(" ")), text=F.coalesce(F.col("text"), F.lit(" ")),
         copies=F.col("copies").cast("long") if "copies" in has else F.lit(1).cast("long"), present=F.col("present") if "present" in has else F.lit(True),
     )
-    rows = rows.withColumn("text", F.when(F.col("present"), F.col("text")).otherwise(F.lit("")))
-    rows = rows.groupBy("conv_id", "turn", "role", "text", "present").agg(F.sum("copies").alias("copies"))
-    rows = rows.withColumn("h", F.sha2("text", 256))
-    order = F.struct(F.col("turn").isNotNull().alias("dated"), F.col("turn").alias("turn"))
-    firsts = rows.filter("present").groupBy("conv_id", "role", "h").agg(F.min(order)["turn"].alias("turn")).withColumn("first", F.lit(True)).alias("f")
-    # the turn is part of the key, so each row of the one side meets at most one of the other, however often a text stands there
-    same = (F.col("r.conv_id").eqNullSafe(F.col("f.conv_id")) & F.col("r.turn").eqNullSafe(F.col("f.turn"))
-            & (F.col("r.role") == F.col("f.role")) & (F.col("r.h") == F.col("f.h")))
-    marked = rows.alias("r").join(firsts, same, "left").select(
-        "r.*", F.coalesce(F.col("f.first"), F.lit(False)).alias("first"), F.substring("r.text", 1, 100).alias("head"))
+    rows = rows.withColumns({
+        "text": F.when(F.col("present"), F.col("text")).otherwise(F.lit("")), "h": F.when(F.col("present"), F.sha2("text", 256)).otherwise(F.lit("")),
+        "c": F.struct("conv_id"), "t": F.struct("turn"),  # boxed, so that nulls are equal and least
+    })
+    rows = rows.groupBy("c", "t", "role", "h").agg(F.any_value("text").alias("text"), F.sum("copies").alias("copies"))
+    # the turn is part of the key, so each row of one side meets at most one of the other, however often a text stands there;
+    # both sides lie by that key already, the texts are not dealt out again
+    firsts = rows.filter("h <> ''").groupBy("c", "role", "h").agg(F.min("t").alias("t")).groupBy("c", "t", "role", "h").agg(F.lit(True).alias("first"))
+    marked = rows.join(firsts, ["c", "t", "role", "h"], "left").select(
+        "c.conv_id", "t.turn", "role", "text", "copies", "h", (F.col("h") != "").alias("present"),
+        F.coalesce("first", F.lit(False)).alias("first"), F.substring("text", 1, 100).alias("head"))
     by = [F.asc_nulls_first("conv_id"), F.asc_nulls_first("turn"), F.asc("role"), F.asc("head"), F.asc("h")]
     ranges = marked.repartitionByRange(*by).sortWithinPartitions(*by)
     pieces, result = arrow_schema(_PIECES), arrow_schema(RESULT)
