@@ -78,8 +78,22 @@ def t4(t):
     return evidence.locate(t.benchmark, "item_id", "text", t.documents, "doc_id", "text", spans)
 
 
-# two pieces with an ellipsis between them: order and gaps are not stated in SQL, so rows only (tests compare by hand)
-@plan("t4_ellipsis_locator")
+# two pieces with an ellipsis between them: the second must stand behind the first
+@plan("t4_ellipsis_locator", r"""WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+  l AS (SELECT doc_id, unnest(range(1, len(ls) + 1)) - 1 AS n, regexp_replace(unnest(ls), '\s+', '', 'g') AS s FROM d),
+  p AS (SELECT doc_id, n // 5 + 1 AS page, sum(length(s)) OVER w - length(s) AS lo, sum(length(s)) OVER w AS hi FROM l
+    WINDOW w AS (PARTITION BY doc_id ORDER BY n)),
+  q AS (SELECT item_id, regexp_replace(substr(text, 1, length(text) // 3), '\s+', '', 'g') AS s,
+    regexp_replace(substr(text, length(text) // 2), '\s+', '', 'g') AS t FROM benchmark),
+  f AS (SELECT doc_id, string_agg(s, '' ORDER BY n) AS s FROM l GROUP BY doc_id),
+  h AS (SELECT item_id, doc_id, f.s AS body, t, string_split(f.s, q.s) AS parts, length(q.s) AS len FROM q JOIN f ON contains(f.s, q.s)),
+  o AS (SELECT *, unnest(range(1, len(parts))) AS j FROM h),
+  k AS (SELECT *, CAST(list_sum(list_transform(parts[1:j], lambda x: length(x))) + (j - 1) * len AS BIGINT) AS pos FROM o),
+  r AS (SELECT DISTINCT item_id, k.doc_id, page FROM k JOIN p ON k.doc_id = p.doc_id AND lo <= pos AND pos < hi
+    WHERE contains(substr(body, pos + len + 1), t)),
+  u AS (SELECT item_id, count(*) AS n, min(doc_id) AS doc_id, min(page) AS page FROM r GROUP BY item_id)
+  SELECT b.item_id, coalesce(n = 1, false) AS located, CASE WHEN n = 1 THEN u.doc_id END AS doc_id, CASE WHEN n = 1 THEN page END AS page
+  FROM benchmark b LEFT JOIN u USING (item_id)""")
 def t4_pieces(t):
     n = F.length("text")
     cited = F.concat(F.col("text").substr(F.lit(1), F.floor(n / 3).cast("int")), F.lit("……"),
@@ -130,28 +144,28 @@ def t7(t):
     return evidence.same_source_rule(t.lineitem, "l_orderkey", "l_suppkey", flag != "R", flag == "R")
 
 
-_TERMS = ["scum", "trash", "Licensed"]
+_TERM = r"""regexp_extract({0}.text, '([\p{{L}}]+)[^\p{{L}}]*$', 1)"""
 
 
-@plan("t8_banned_terms", r"""WITH w(term) AS (VALUES ('scum'), ('trash'), ('Licensed')),
+@plan("t8_banned_terms", rf"""WITH w AS (SELECT DISTINCT {_TERM.format('b')} AS term FROM benchmark b WHERE length({_TERM.format('b')}) >= 4),
   h AS (SELECT doc_id, text, term, string_split(text, term) AS parts FROM documents, w WHERE contains(text, term)),
   o AS (SELECT doc_id, text, term, parts, unnest(range(1, len(parts))) AS j FROM h),
   p AS (SELECT doc_id, text, term, CAST(list_sum(list_transform(parts[1:j], lambda x: length(x))) + (j - 1) * length(term) AS BIGINT) AS pos FROM o)
   SELECT doc_id, term, pos, substr(text, greatest(pos - 12, 0) + 1, pos - greatest(pos - 12, 0) + length(term) + 12) AS context FROM p""")
 def t8(t):
-    return evidence.banned_terms(t.documents, "doc_id", "text", _TERMS)
+    # the table of terms: the last word of each item
+    terms = t.benchmark.select(F.regexp_extract("text", r"([\p{L}]+)[^\p{L}]*$", 1).alias("term")).filter(F.length("term") >= 4)
+    return evidence.banned_terms(t.documents, "doc_id", "text", terms, "term")
 
 
-@plan("t9_unexpected_entities", r"""WITH w AS (SELECT doc_id, source, unnest(list_distinct(regexp_extract_all(text, '[\p{L}]{6,}'))) AS name FROM documents),
-  o AS (SELECT doc_id, lower(regexp_extract(text, '[\p{L}]{6,}')) AS name FROM documents),
-  c AS (SELECT DISTINCT name FROM o WHERE name <> '')
-  SELECT DISTINCT doc_id, w.name FROM w SEMI JOIN c ON w.name = c.name WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.doc_id = w.doc_id AND o.name = w.name)""")
+@plan("t9_unexpected_entities", r"""WITH c AS (SELECT DISTINCT regexp_extract(text, '[\p{L}]+') AS name FROM benchmark),
+  o AS (SELECT doc_id, regexp_extract(text, '[\p{L}]+') AS name FROM documents)
+  SELECT DISTINCT d.doc_id, c.name FROM documents d JOIN c ON c.name <> '' AND contains(d.text, c.name)
+  WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.doc_id = d.doc_id AND o.name = c.name)""")
 def t9(t):
-    # a document's own label is its first long word; the corpus labels are all of them
-    own = t.documents.select("doc_id", F.lower(F.regexp_extract("text", r"[\p{L}]{6,}", 0)).alias("name"))
-    corpus = own.filter("name <> ''")
-    tokens = F.regexp_extract_all("text", F.lit(r"([\p{L}]{6,})"), F.lit(1))
-    return evidence.unexpected_entities(t.documents, "doc_id", tokens, corpus, own)
+    # the roster: the first word of each item, of any length; a document's own label is its first word
+    name = F.regexp_extract("text", r"[\p{L}]+", 0).alias("name")
+    return evidence.unexpected_entities(t.documents, "doc_id", "text", t.benchmark.select(name), t.documents.select("doc_id", name))
 
 
 @plan("t10_extraction_agreement", r"""WITH p AS (SELECT page_id, regexp_extract(html, '<title>(.*?)</title>', 1) AS field,

@@ -5,7 +5,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from attesta.operators import evidence
+from attesta.functions.automaton import Automaton, apart, kept
+from attesta.operators import evidence, mentions
 from helpers import rows
 
 DOCS = [
@@ -53,21 +54,21 @@ def test_containment_matches_brute_force(spark):
         at = rnd.randrange(len(body))
         phrases.append((i, body[at : at + rnd.randrange(8, 60)]))
     bare = lambda s: re.sub(r"\s", "", s)
-    want = sorted((d, p) for d, t in docs for p, q in phrases if len(bare(q)) >= evidence.SHORT and bare(q) in bare(t))
+    want = sorted((d, p) for d, t in docs for p, q in phrases if bare(q) and bare(q) in bare(t))
     got = evidence.contained_phrases(spark.createDataFrame(docs, "d long, t string"), "d", "t", spark.createDataFrame(phrases, "p long, q string"), "p", "q")
     assert rows(got) == want and len(want) > 40
 
 
 def test_containment_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(evidence, "BROADCAST_PHRASES", 0)
+    monkeypatch.setattr(mentions, "AUTOMATON_CHARS", 0)
     d = spark.createDataFrame(DOCS, "d long, t string")
     p = spark.createDataFrame([(7, "the bridge was closed in March")], "p long, q string")
     assert rows(evidence.contained_phrases(d, "d", "t", p, "p", "q")) == [(1, 7), (2, 7)]
 
 
-@pytest.mark.parametrize("limit", [evidence.BROADCAST_PHRASES, 0])
+@pytest.mark.parametrize("limit", [mentions.AUTOMATON_CHARS, 0])
 def test_short_phrases(spark, monkeypatch, limit):
-    monkeypatch.setattr(evidence, "BROADCAST_PHRASES", limit)
+    monkeypatch.setattr(mentions, "AUTOMATON_CHARS", limit)
     docs = [(1, "Li met Ann Lee"), (2, "王先生 spoke; 𠮷野 did not"), (3, "aaaaaaa"), (4, ""), (5, None)]
     phrases = ["L", "Li", "nnL", "Ann", "AnnLee", "metAnnL", "metAnnLe", "王 先生", "𠮷野", "𠮷", "aa", "a" * 7, "a" * 8, "zq", "", " ", None]
     bare = lambda s: re.sub(r"\s", "", s or "")
@@ -81,6 +82,51 @@ def test_locator_of_short_quotes(spark):
         (True, 3, 1), (True, 1, 3), (False, None, None), (True, 3, 2), (False, None, None), (False, None, None)]
 
 
+def test_automaton_finds_all_occurrences():
+    rnd = random.Random(4)
+    for _ in range(200):
+        phrases = {"".join(rnd.choice("abc") for _ in range(rnd.randint(1, 5))) for _ in range(rnd.randint(1, 12))} | {""}
+        text = "".join(rnd.choice("abcd") for _ in range(60))
+        auto = Automaton(phrases)
+        found = sorted((s, auto.phrases[n]) for s, n in auto.find(text))
+        assert found == sorted((i, p) for p in phrases if p for i in range(len(text)) if text.startswith(p, i))
+        first = sorted((s, auto.phrases[n]) for s, n in apart(auto.find(text), auto.phrases))
+        assert first == sorted((m.start(), p) for p in phrases if p for m in re.finditer(p, text))
+    hay, where = kept("a 〔p3〕b<x>\n𠮷 c")
+    assert hay == "ab𠮷c" and where.tolist() == [0, 6, 11, 13]
+
+
+@pytest.mark.parametrize("limit", [mentions.AUTOMATON_CHARS, 0])
+def test_names_of_any_length_inside_words(spark, monkeypatch, limit):
+    monkeypatch.setattr(mentions, "AUTOMATON_CHARS", limit)
+    texts = spark.createDataFrame([(1, "Li met Annabel"), (2, "王先生說"), (3, None), (4, ""), (5, "Annabel")], "id long, t string")
+    roster = spark.createDataFrame([("Li",), ("Ann",), ("王",), ("Annabel",), ("Annabel",), (None,), ("",), ("bel met",)], "name string")
+    own = spark.createDataFrame([(1, "Annabel"), (5, "Ann"), (None, "Li")], "id long, name string")
+    assert rows(evidence.unexpected_entities(texts, "id", "t", roster, own)) == [(1, "Ann"), (1, "Li"), (2, "王"), (5, "Annabel")]
+
+
+@pytest.mark.parametrize("limit", [mentions.AUTOMATON_CHARS, 0])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_pieces_in_order_match_brute_force(spark, monkeypatch, seed, limit):
+    monkeypatch.setattr(mentions, "AUTOMATON_CHARS", limit)
+    rnd = random.Random(seed)
+    docs = [(i, "".join(rnd.choice("ab \n") for _ in range(rnd.randint(0, 40)))) for i in range(12)]
+    cites = [(i, ["".join(rnd.choice("ab") for _ in range(rnd.randint(1, 3))) for _ in range(rnd.randint(1, 4))]) for i in range(40)]
+    want = []
+    for i, pieces in cites:
+        for d, text in docs:
+            hay = re.sub(r"\s", "", text)
+            where = [k for k, c in enumerate(text) if not c.isspace()]
+            for start in range(len(hay)):
+                if hay.startswith(pieces[0], start):
+                    rest = re.match(".*?".join(pieces), hay[start:])  # each piece at its next place
+                    if rest:
+                        want.append((i, d, where[start], where[start + rest.end() - 1]))
+    d, c = spark.createDataFrame(docs, "d long, t string"), spark.createDataFrame(cites, "c long, pieces array<string>")
+    found = mentions.occurrences(d, "d", "t", "piece", c.select(F.explode("pieces").alias("piece")), squashed=True)
+    assert rows(evidence._chains(c, "c", found, "d")) == sorted(want) and len(want) > 100
+
+
 def pairs(s):
     s = re.sub(r"[\W_]", "", s)
     return {s[i : i + 2] for i in range(len(s) - 1)}
@@ -138,7 +184,7 @@ def test_answer_parser(spark):
 
 def test_banned_terms_show_their_surroundings(spark):
     df = spark.createDataFrame([(1, "a scum. and more words here scum")], "id int, t string")
-    got = rows(evidence.banned_terms(df, "id", "t", ["scum", "trash"]).select("pos", "context"))
+    got = rows(evidence.banned_terms(df, "id", "t", spark.createDataFrame([("scum",), ("trash",), (None,), ("",)], "w string"), "w").select("pos", "context"))
     text = "a scum. and more words here scum"
     assert got == [(p, text[max(p - 12, 0) : p + 4 + 12]) for p in (2, 28)]
 
