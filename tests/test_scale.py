@@ -2,8 +2,10 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from attesta import scale
 from attesta.scale import OrderedGroups, digits_pos, lookup
 from helpers import rows
 
@@ -53,6 +55,50 @@ def test_rows_sharing_one_position_are_cut_by_the_tie(spark, tiny_blocks):
     assert [r.no for r in g.number("no").rows().orderBy("key").collect()] == list(range(1, 41))
 
 
+def block_sizes(g):
+    return [r["count"] for r in g.df.groupBy("k", "__blk").count().collect()]
+
+
+@pytest.mark.parametrize("shape", ["even", "clustered", "undated", "null key", "one far away"])
+def test_blocks_are_cut_by_rows(spark, shape):
+    rnd = random.Random(7)
+    key = None if shape == "null key" else "hot"
+    place = {
+        "even": lambda i: i, "clustered": lambda i: rnd.randrange(50) if i % 10 else 10**6 * i, "null key": lambda i: rnd.randrange(10**9),
+        "undated": lambda i: 1 << 40 if i % 2 else rnd.randrange(2000), "one far away": lambda i: -(1 << 50) if i == 0 else rnd.randrange(3000),
+    }[shape]
+    data = [(key, place(i), i) for i in range(1000)] + [(f"k{i % 50}", i, 2000 + i) for i in range(300)]
+    rnd.shuffle(data)
+    spark.conf.set(scale.ROWS_PER_BLOCK, "20")
+    try:
+        g = OrderedGroups(spark.createDataFrame(data, "k string, x long, id long"), ["k"], ["x", "id"], "x", "id")
+        sizes = block_sizes(g)
+        assert max(sizes) <= 40 and len(sizes) >= 50 + 25
+        got = {r.id: r.no for r in g.number("no").rows().collect()}
+    finally:
+        spark.conf.unset(scale.ROWS_PER_BLOCK)
+    groups = {}
+    for k, _, i in sorted(data, key=lambda r: (r[1], r[2])):
+        groups.setdefault(k, []).append(i)
+    assert got == {i: n + 1 for group in groups.values() for n, i in enumerate(group)}
+
+
+def test_blocks_are_cut_again_until_they_fit(spark, monkeypatch):
+    monkeypatch.setattr(scale, "CUTS", 4)
+    spark.conf.set(scale.ROWS_PER_BLOCK, "20")
+    try:
+        g = OrderedGroups(spark.range(1500).selectExpr("1 AS k", "id * id AS x", "id"), ["k"], ["x"], "x")
+        assert max(block_sizes(g)) <= 40
+        assert g.number("no").rows().filter("no <> id + 1").count() == 0
+    finally:
+        spark.conf.unset(scale.ROWS_PER_BLOCK)
+
+
+def test_plan_without_large_groups_has_no_join(spark):
+    g = OrderedGroups(spark.createDataFrame(skewed(), "k string, x long, id long, v string"), ["k"], ["x", "id"], "x").number("no")
+    assert "Join" not in g.rows()._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_digits_pos_follows_text_order(spark):
     keys = ["event:", "event:1", "event:10:p3", "event:1:p5", "event:1-2", "event:2", "event:19:p1", "event:x", "event:007:p2", "event:99999999999999999"]
     df = spark.createDataFrame([(k,) for k in keys], "key string")
