@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from attesta.operators import lifecycle as life
 from attesta.operators import sequence as seq
 from attesta.plans.registry import plan
 from attesta.scale import micros
@@ -24,9 +23,8 @@ def st1(t):
     stream = _events(t).select(
         "event_type", "user_id", F.get_json_object("props", "$.k").cast("long").alias("k"), F.col("event_id").alias("fetched_at")
     )
-    store = life.ScopeStore(t.spark, f"{base}/store")
-    jobs.run_available(stream, f"{base}/checkpoint", sink=jobs.merge_facts(store, "event_type", ["user_id", "k"]))
-    return store.read().select("event_type", "user_id", "k", "fetched_at")
+    jobs.run_available(stream, f"{base}/checkpoint", sink=jobs.merge_facts(f"{base}/facts", ["event_type", "user_id", "k"]))
+    return t.spark.read.parquet(f"{base}/facts").select("event_type", "user_id", "k", "fetched_at")
 
 
 @plan("st2_first_seen", """SELECT event_id, user_id FROM events""")
@@ -69,8 +67,7 @@ def st5(t):
     owner = F.when(role == "system", seq.CHAIR).when((role == "user") & (n % 5 == 0), seq.OUTSIDER).when(
         role == "user", F.concat(F.lit("m"), (n % 3).cast("string"))
     )
-    store = life.ScopeStore(t.spark, f"{base}/store")
     turns = jobs.read_stream(t.spark, f"{t.sf_dir}/conversations.parquet")
-    sink = jobs.running_attribution(store, f"{base}/out", ["conv_id"], "turn", owner)
-    jobs.run_available(turns, f"{base}/checkpoint", sink=sink)
-    return t.spark.read.parquet(f"{base}/out").select("conv_id", "turn", "owner", "attributed")
+    with jobs.stateful(t.spark):
+        jobs.run_available(jobs.running_attribution(turns, ["conv_id"], "turn", owner), f"{base}/checkpoint", path=f"{base}/out")
+    return jobs.latest(t.spark.read.parquet(f"{base}/out"), ["conv_id"], "turn")
