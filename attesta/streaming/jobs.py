@@ -172,11 +172,13 @@ def latest(stated: DataFrame, key: list[str], pos: str) -> DataFrame:
 
 @contextmanager
 def stateful(spark: SparkSession) -> Iterator[None]:
-    """Settings for keyed state: RocksDB, and checkpoints that hold what changed."""
+    """Settings for keyed state in a run that ends: RocksDB, checkpoints that hold what changed, and no batches without data,
+    which a run with timers would go on making for ever."""
     store = "spark.sql.streaming.stateStore"
     wanted = {
         f"{store}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         f"{store}.rocksdb.changelogCheckpointing.enabled": "true",
+        "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     }
     old = {k: spark.conf.get(k, None) for k in wanted}
     for k, v in wanted.items():
