@@ -53,17 +53,31 @@ def to_numeral(n: Column) -> Column:
     )
 
 
+def range_list(text: Column) -> Column:
+    """``第8.13-十六及3`` → [3, 8, 13, 14, 15, 16]: digits or numerals, in ascending order, each once; null for anything else."""
+    number = lambda s: F.coalesce(F.when(s.rlike(r"^\d{1,4}$"), s.try_cast("int")), numeral(s))
+
+    def span(part: Column) -> Column:
+        ends = F.split(part, "[-–~]")
+        low = number(F.get(ends, F.lit(0)))
+        high = F.when(F.size(ends) == 1, low).when(F.size(ends) == 2, number(F.get(ends, F.lit(1))))
+        return F.when(low <= high, F.sequence(low, high))
+
+    spans = F.transform(F.split(F.regexp_replace(text, r"\s|第", ""), "[、,，.及]"), span)
+    return F.array_sort(F.array_distinct(F.flatten(spans)))  # a null span makes the whole null
+
+
 def number_ranges(text: Column) -> Column:
-    """``8、13-16`` → [8, 13, 14, 15, 16]."""
+    """``8, 13-16`` → [8, 13, 14, 15, 16], as written; null if a part is no number."""
     parts = F.split(F.regexp_replace(text, r"\s|第", ""), "[、,，]")
     spans = F.transform(
         parts,
         lambda p: F.sequence(
-            F.split_part(F.regexp_replace(p, "[–~]", "-"), F.lit("-"), F.lit(1)).cast("int"),
+            F.split_part(F.regexp_replace(p, "[–~]", "-"), F.lit("-"), F.lit(1)).try_cast("int"),
             F.coalesce(
                 F.nullif(F.split_part(F.regexp_replace(p, "[–~]", "-"), F.lit("-"), F.lit(2)), F.lit("")),
                 F.split_part(p, F.lit("-"), F.lit(1)),
-            ).cast("int"),
+            ).try_cast("int"),
         ),
     )
     return F.flatten(spans)

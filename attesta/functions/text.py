@@ -51,6 +51,15 @@ def garble_ratio(text: Column, expected: str) -> Column:
     return F.when(total > 0, (total - F.length(F.regexp_replace(text, f"[^{expected}]", ""))) / total)
 
 
+def merged_label(line: Column, known: Column) -> Column:
+    """(text, label) of a line that ends in a known label and a colon, with text before it; the longest label counts.  Else null."""
+    body = F.regexp_replace(line, r"[:：]+\s*$", "")
+    fits = F.filter(known, lambda w: (F.length(w) > 0) & F.endswith(body, w) & (F.length(body) > F.length(w)))
+    longest = F.array_max(F.transform(fits, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))
+    split = F.struct(F.substring(body, F.lit(1), F.length(body) - longest["n"]).alias("text"), longest["w"].alias("label"))
+    return F.when(line.rlike(r"[:：]\s*$") & longest.isNotNull(), split)
+
+
 def speaker_label(line: Column, roles: list[str], longest: int = 40) -> Column:
     """The label a line opens with, or null: short, without sentence marks, ending in a role word."""
     label = F.trim(F.regexp_extract(line, r"^\s*([^:：\n]{1,%d})[:：]" % longest, 1))

@@ -28,20 +28,40 @@ def status_rates(entities: DataFrame, facts: DataFrame, key: str, present: Colum
     )
 
 
+# fixed values: kinds of leave and of duty, in the order they are shown
+LEAVE_TYPES, DUTY_TYPES = ("請假", "病假", "喪假", "事假"), ("公差", "公假")
+
+
+def typed_totals(column: str, kinds: Sequence[str]) -> Column:
+    """Sums over a map column as [(kind, n)], in the order of the list, without zeros."""
+    sums = [F.struct(F.lit(k).alias("kind"), F.coalesce(F.sum(F.try_element_at(F.col(column), F.lit(k))), F.lit(0)).cast("long").alias("n")) for k in kinds]
+    return F.filter(F.array(*sums), lambda s: s["n"] != 0)
+
+
 def attendance_totals(facts: DataFrame, key: str) -> DataFrame:
-    """Sums of meetings, present, leave, duty; absence counts only over tables that have the column."""
+    """Sums of meetings, present, leave and duty, the last two also by kind; absence counts only over tables that have the column.
+
+    Duty is official business and no leave; ``duty``, and the maps ``leave_types`` and ``duty_types`` from a kind to its marks,
+    may be missing as a whole.
+    """
+    given = set(facts.columns)
+    kinds = {c: typed_totals(c, k).alias(c) for c, k in (("leave_types", LEAVE_TYPES), ("duty_types", DUTY_TYPES)) if c in given}
+    duty = [F.sum("duty").alias("duty")] if "duty" in given else []
     has = F.col("absent").isNotNull()
     t = facts.groupBy(key).agg(
         F.sum("meetings").alias("total"),
         F.coalesce(F.sum(F.when(has, F.col("meetings"))), F.lit(0)).alias("absent_total"),
         F.sum("present").alias("present"),
         F.sum("leave").alias("leave"),
+        *duty,
         F.coalesce(F.sum("absent"), F.lit(0)).alias("absent"),
+        *kinds.values(),
     )
     return t.withColumns(
         {
             "present_rate": ratio(F.col("present"), F.col("total")),
             "leave_rate": ratio(F.col("leave"), F.col("total")),
+            **({"duty_rate": ratio(F.col("duty"), F.col("total"))} if duty else {}),
             "absent_rate": ratio(F.col("absent"), F.col("absent_total")),
         }
     )

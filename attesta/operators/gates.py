@@ -154,10 +154,31 @@ def forbidden_fields(df: DataFrame, forbidden: Sequence[str]) -> list[str]:
     return sorted(n for n in field_names(df.schema) if n.split(".")[-1] in forbidden)
 
 
+def payload_fields(rows: DataFrame, ident: str, payload: str) -> DataFrame:
+    """(id, path, field): every field of a JSON payload, at any depth, with the path to it; other texts have none.
+
+    The payload is walked level by level as a variant, until a level holds no fields or elements.
+    """
+    level = rows.select(ident, F.lit("").alias("path"), F.try_parse_json(payload).alias("v"))
+    found = None
+    while True:
+        inner = level.lateralJoin(rows.sparkSession.tvf.variant_explode(F.col("v").outer()))
+        step = F.coalesce(F.col("key"), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]")))
+        level = inner.select(ident, F.concat_ws(".", F.nullif("path", F.lit("")), step).alias("path"), F.col("value").alias("v"), "key")
+        fields = level.filter(F.col("key").isNotNull()).select(ident, "path", F.col("key").alias("field"))
+        found = fields if found is None else found.unionByName(fields)
+        level = level.select(ident, "path", "v").filter(F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)<."))
+        if level.isEmpty():
+            return found
+
+
 def publish_invariants(
-    facts: DataFrame, exported: DataFrame, candidates: DataFrame, persons: DataFrame, forbidden: Sequence[str]
+    facts: DataFrame, exported: DataFrame, candidates: DataFrame, persons: DataFrame, forbidden: Sequence[str], payload: str | None = None
 ) -> DataFrame:
-    """(check, violations): sensitive fields, missing provenance, export set, dangling references."""
+    """(check, violations): sensitive fields, missing provenance, export set, dangling references.
+
+    With ``payload``, the name of a JSON column of the facts, each sensitive field inside a payload is a violation too.
+    """
     from attesta.operators.joins import reconcile
 
     sensitive = len(forbidden_fields(facts, forbidden)) + len(forbidden_fields(exported, forbidden))
@@ -166,7 +187,8 @@ def publish_invariants(
     fixed = facts.sparkSession.createDataFrame([("sensitive fields", sensitive)], "check string, violations long")
     sides = reconcile(exported.select("person_id"), candidates.select("person_id"), ["person_id"]).filter("side <> 'both'")
     dangling = lookup(facts, persons.select("person_id").distinct(), ["person_id"], "left_anti")
-    parts = [count(facts.filter(no_source), "provenance"), count(sides, "exported set"), count(dangling, "references")]
+    inside = [count(payload_fields(facts, "fact_key", payload).filter(F.col("field").isin(*forbidden)), "sensitive payload fields")] if payload else []
+    parts = [*inside, count(facts.filter(no_source), "provenance"), count(sides, "exported set"), count(dangling, "references")]
     for p in parts:
         fixed = fixed.unionByName(p)
     return fixed

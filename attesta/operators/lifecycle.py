@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from functools import reduce
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -128,7 +129,8 @@ def route_output(fresh: DataFrame, approved: DataFrame, key: Sequence[str]) -> D
 
 # --- curated edits -----------------------------------------------------------------------------------------------
 
-ISSUES = "array<struct<topic:string,points:array<string>,response:string,citations:array<struct<page:bigint,text:string>>>>"
+CITATIONS = "array<struct<page:bigint,text:string,located:boolean,short:boolean>>"
+ISSUES = f"array<struct<topic:string,points:array<string>,response:string,citations:{CITATIONS}>>"
 
 
 def _mismatch(e: Column, what: str) -> Column:
@@ -160,13 +162,14 @@ def _edit_issue(i: Column, e: Column) -> Column:
         .otherwise(F.nullif(_without(i["response"], e["text"]), F.lit("")))
     )
     meant = lambda c: (c["page"] == e["page"]) & F.startswith(c["text"], F.coalesce(e["text"], F.lit("")))
+    usable = lambda c: (F.trim(F.coalesce(c["text"], F.lit(""))) != "") & F.coalesce(c["located"], F.lit(True)) & ~F.coalesce(c["short"], F.lit(False))
     kinds = F.size(F.array_distinct(F.transform(F.filter(i["citations"], meant), lambda c: c["text"])))
     left = F.filter(i["citations"], lambda c: ~F.coalesce(meant(c), F.lit(False)))
-    kind = "array<struct<page:bigint,text:string>>"
+    kind = CITATIONS
     citations = (
         F.when(e["action"] != "drop_citation", i["citations"])
         .when(F.coalesce(kinds, F.lit(0)) != 1, _mismatch(e, "citation").cast(kind))
-        .when(F.size(left) == 0, _mismatch(e, "last citation").cast(kind))
+        .when(~F.exists(left, usable), _mismatch(e, "last citation").cast(kind))
         .otherwise(left)
     )
     return F.struct(i["topic"].alias("topic"), points.alias("points"), response.alias("response"), citations.alias("citations"))
@@ -176,7 +179,8 @@ def apply_edits(docs: DataFrame, edits: DataFrame, key: Sequence[str]) -> DataFr
     """Delete-only edits, in order; an edit that does not match exactly one place fails the job.
 
     docs: (key, issues); edits: (key, no, topic, action, text, page) with the actions drop_issue, drop_point_text,
-    drop_response_sentence and drop_citation.  The edits of one document are a hand-written list and are applied inside
+    drop_response_sentence and drop_citation.  An edit of a document that is not there fails the job as well.  An issue must
+    keep a usable citation: one with a text that was located and is not short; ``located`` and ``short`` may be missing.  The edits of one document are a hand-written list and are applied inside
     the document's row.
     """
     actions = ("drop_issue", "drop_point_text", "drop_response_sentence", "drop_citation")
@@ -192,7 +196,13 @@ def apply_edits(docs: DataFrame, edits: DataFrame, key: Sequence[str]) -> DataFr
             .otherwise(edited)
         ).cast(ISSUES)
 
-    j = docs.join(script, list(key), "left")
+    fields = [f.name for f in docs.schema["issues"].dataType.elementType["citations"].dataType.elementType]
+    flag = lambda c, name: (c[name] if name in fields else F.lit(None)).cast("boolean").alias(name)
+    whole = lambda c: F.struct(c["page"].alias("page"), c["text"].alias("text"), flag(c, "located"), flag(c, "short"))
+    full = F.transform("issues", lambda i: i.withField("citations", F.transform(i["citations"], whole)))
+    j = docs.withColumn("issues", full).withColumn("__known", F.lit(True)).join(script, list(key), "full_outer")
+    stray = F.raise_error(F.concat_ws(" ", F.lit("edit of an unknown document:"), *[F.col(k).cast("string") for k in key]))
+    j = j.filter(F.when(F.col("__known").isNull(), stray.cast("boolean")).otherwise(True)).drop("__known")
     script_type = "array<struct<no:int,topic:string,action:string,text:string,page:bigint>>"
     listed = F.coalesce(F.col("script").cast(script_type), F.array().cast(script_type))
     issues = F.aggregate(listed, F.col("issues").cast(ISSUES), step)
@@ -227,33 +237,35 @@ class ScopeStore:
         return self.spark.read.parquet(*paths) if paths else None
 
     def write(self, scope: str, rows: DataFrame, version: int) -> None:
-        path = f"{self.base}/data/{scope}/v{version}"
+        path = f"{self.base}/data/{quote(scope, safe='')}/v{version}"  # a scope may hold any character
         rows.write.mode("overwrite").parquet(path)
         self._commit([(scope, version, path)])
 
-    def write_scopes(self, rows: DataFrame, by: str, scopes: Sequence[str], version: int) -> None:
-        """Several scopes in one job, committed together."""
-        root = f"{self.base}/batches/v{version}"
-        rows.withColumn("__scope", F.col(by)).write.mode("overwrite").partitionBy("__scope").parquet(root)
-        self._commit([(s, version, f"{root}/__scope={s}") for s in scopes])
-
     def _commit(self, entries: list[tuple[str, int, str]]) -> None:
         log = self.spark.createDataFrame(entries, "scope string, version long, path string")
         log.coalesce(1).write.mode("append").json(self.manifest)
 
 
 def publish(store: ScopeStore, sources: dict[str, Callable[[], DataFrame]]) -> DataFrame:
-    """Run every source; a failing one keeps its old rows and is reported → (scope, status, message)."""
+    """Run every source; a failing one keeps its old rows and is reported → (scope, status, message).
+
+    ``run_failed`` tells whether the run as a whole has failed.
+    """
     state, current = [], store.current()
     for scope, build in sources.items():
         try:
             store.write(scope, build(), current.get(scope, (-1, ""))[0] + 1)
             state.append((scope, "published", None))
         except Exception as error:  # noqa: BLE001 - one source must not stop the others
-            state.append((scope, "failed", type(error).__name__))
+            state.append((scope, "failed", f"{type(error).__name__}: {error}".splitlines()[0][:500]))
     return store.spark.createDataFrame(state, "scope string, status string, message string")
 
 
+def run_failed(status: DataFrame) -> bool:
+    """A run with a failed source must end with a failing exit status, after the others have been published."""
+    return not status.filter("status = 'failed'").isEmpty()
+
+
 # --- shaping facts -------------------------------------------------------------------------------------------------
 
 

@@ -93,6 +93,27 @@ def certain_links(records: DataFrame, candidates: DataFrame) -> DataFrame:
     )
 
 
+def review_rows(records: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(record_id, reason, person_id): every candidate behind a record that ``certain_links`` left to review.
+
+    The candidates are those of the key that decided: the weak key for ``romanization``, the folded one for ``variant``, the
+    full one otherwise.
+    """
+    tier = F.when(F.col("reason") == "romanization", "weak").when(F.col("reason") == "variant", "folded").otherwise("exact")
+    queue = certain_links(records, candidates).filter("outcome = 'review'").select("record_id", "reason", tier.alias("tier"))
+    tiers = {"exact": _full_key(), "weak": F.col("weak"), "folded": F.col("folded")}
+    pool = _keyed(with_name_keys(candidates), tiers, "area", "person_id")
+    asked = _keyed(with_name_keys(records), tiers, "record_id", "area").join(queue, ["record_id", "tier"])
+    return asked.join(pool, ["area", "tier", "key"]).select("record_id", "reason", "person_id")
+
+
+def nationwide_review(records: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(record_id, reason, person_id): every candidate of the same folded name behind a record that was not linked."""
+    queue = nationwide_links(records, candidates).filter("reason IS NOT NULL AND reason <> 'new'").select("record_id", "reason")
+    pool = with_name_keys(candidates).select("folded", "person_id")
+    return with_name_keys(records).select("record_id", "folded").join(queue, "record_id").join(pool, "folded").select("record_id", "reason", "person_id")
+
+
 def cascade_match(records: DataFrame, candidates: DataFrame) -> DataFrame:
     """First tier with hits wins (exact, weak, folded); one hit is accepted, several are ambiguous."""
     tiers = {"1": _full_key(), "2": F.col("weak"), "3": F.col("folded")}
@@ -111,7 +132,10 @@ def cascade_match(records: DataFrame, candidates: DataFrame) -> DataFrame:
 
 
 def nationwide_links(records: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Uniqueness over the whole country on the folded weak key; an at-large record (null area) is never linked."""
+    """Uniqueness over the whole country on the folded weak key; an at-large record (null area) is never linked.
+
+    A record key that occurs twice stops the job.
+    """
     folded = F.col("folded")
     r, c = with_name_keys(records), with_name_keys(candidates)
     pool = _keyed(c, {"named": folded, "exact": _full_key()}, "person_id", "area")
@@ -124,8 +148,10 @@ def nationwide_links(records: DataFrame, candidates: DataFrame) -> DataFrame:
     pick = lambda tier, c: F.max(F.when(F.col("tier") == tier, F.col(c)))
     j = found.groupBy("record_id").agg(
         pick("named", "n").alias("n_named"), pick("own", "n").alias("n_own"), pick("exact", "first").alias("first"),
-        F.max("own_area").alias("area"),
+        F.max("own_area").alias("area"), F.count_if(F.col("tier") == "own").alias("copies"),
     )
+    repeated = F.raise_error(F.concat_ws(" ", F.lit("repeated record key:"), F.col("record_id").cast("string")))
+    j = j.filter(F.when(F.col("copies") > 1, repeated.cast("boolean")).otherwise(True))
     reason = (
         F.when(F.col("n_named").isNull(), F.lit("new"))
         .when((F.col("n_named") > 1) | (F.col("n_own") > 1), F.lit("duplicate_name"))

@@ -29,25 +29,36 @@ def a1(t):
 
 def _tables(t):
     """Per line: a table of q meetings with its counted marks; tables on status O have no absence column."""
-    q, flag = F.col("l_quantity").cast("long"), F.col("l_returnflag")
-    marked = lambda f: F.when(flag == f, q).otherwise(F.lit(0).cast("long"))
+    q, flag, no = F.col("l_quantity").cast("long"), F.col("l_returnflag"), F.col("l_linenumber")
+    marked = lambda cond: F.when(cond, q).otherwise(F.lit(0).cast("long"))
+    one_kind = lambda kinds, i, cond: F.when(cond, F.create_map(F.element_at(F.array(*[F.lit(k) for k in kinds]), i + 1), q))
+    leave, duty = flag == "A", (flag == "N") & (no % 3 == 0)
     return t.lineitem.select(
-        "l_orderkey", q.alias("meetings"), marked("N").alias("present"), marked("A").alias("leave"),
-        F.when(F.col("l_linestatus") == "F", marked("R")).alias("absent"),
+        "l_orderkey", q.alias("meetings"), marked((flag == "N") & ~duty).alias("present"), marked(leave).alias("leave"), marked(duty).alias("duty"),
+        F.when(F.col("l_linestatus") == "F", marked(flag == "R")).alias("absent"),
+        one_kind(agg.LEAVE_TYPES, (no % 4).cast("int"), leave).alias("leave_types"), one_kind(agg.DUTY_TYPES, (no % 2).cast("int"), duty).alias("duty_types"),
     )
 
 
-_TABLES = """t AS (SELECT l_orderkey, CAST(l_quantity AS BIGINT) AS meetings, CASE WHEN l_returnflag = 'N' THEN CAST(l_quantity AS BIGINT) ELSE 0 END AS present,
-    CASE WHEN l_returnflag = 'A' THEN CAST(l_quantity AS BIGINT) ELSE 0 END AS leave,
-    CASE WHEN l_linestatus = 'F' THEN CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS BIGINT) ELSE 0 END END AS absent FROM lineitem),
-  s AS (SELECT l_orderkey, CAST(sum(meetings) AS BIGINT) AS total, CAST(coalesce(sum(meetings) FILTER (WHERE absent IS NOT NULL), 0) AS BIGINT) AS absent_total,
-    CAST(sum(present) AS BIGINT) AS present, CAST(sum(leave) AS BIGINT) AS leave, CAST(coalesce(sum(absent), 0) AS BIGINT) AS absent FROM t GROUP BY l_orderkey)"""
+def _kinds_sql(kinds, column, mark):
+    """Sums by kind as text, in the order of the list, without zeros."""
+    each = ", ".join(f"CASE WHEN sum(q) FILTER (WHERE {mark} AND l_linenumber % {len(kinds)} = {i}) > 0 THEN '{k}=' || sum(q) FILTER (WHERE {mark} AND l_linenumber % {len(kinds)} = {i}) END"
+                     for i, k in enumerate(kinds))
+    return f"concat_ws(',', {each}) AS {column}"
 
 
-@plan("a2_metric_denominators", f"""WITH {_TABLES} SELECT *, present / total AS present_rate, leave / total AS leave_rate,
+_TABLES = f"""t AS (SELECT *, CAST(l_quantity AS BIGINT) AS q, l_returnflag = 'A' AS lv, l_returnflag = 'N' AND l_linenumber % 3 = 0 AS dt FROM lineitem),
+  s AS (SELECT l_orderkey, CAST(sum(q) AS BIGINT) AS total, CAST(coalesce(sum(q) FILTER (WHERE l_linestatus = 'F'), 0) AS BIGINT) AS absent_total,
+    CAST(coalesce(sum(q) FILTER (WHERE l_returnflag = 'N' AND NOT dt), 0) AS BIGINT) AS present, CAST(coalesce(sum(q) FILTER (WHERE lv), 0) AS BIGINT) AS leave,
+    CAST(coalesce(sum(q) FILTER (WHERE dt), 0) AS BIGINT) AS duty, CAST(coalesce(sum(q) FILTER (WHERE l_linestatus = 'F' AND l_returnflag = 'R'), 0) AS BIGINT) AS absent,
+    {_kinds_sql(agg.LEAVE_TYPES, "leave_types", "lv")}, {_kinds_sql(agg.DUTY_TYPES, "duty_types", "dt")} FROM t GROUP BY l_orderkey)"""
+
+
+@plan("a2_metric_denominators", f"""WITH {_TABLES} SELECT *, present / total AS present_rate, leave / total AS leave_rate, duty / total AS duty_rate,
   CASE WHEN absent_total > 0 THEN absent / absent_total ELSE 0 END AS absent_rate FROM s""")
 def a2(t):
-    return agg.attendance_totals(_tables(t), "l_orderkey")
+    shown = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws("=", s["kind"], s["n"].cast("string"))), ",")
+    return agg.attendance_totals(_tables(t), "l_orderkey").withColumns({c: shown(c) for c in ("leave_types", "duty_types")})
 
 
 def _activity(t):
@@ -156,13 +167,15 @@ def a9(t):
     return agg.mark_histogram(t.documents, "doc_id", "text", {"present": ".", "leave": ",", "duty": "%"})
 
 
-@plan("a10_count_vs_published", """WITH n AS (SELECT l_orderkey, count(*) AS counted FROM lineitem WHERE l_quantity > 5 GROUP BY ALL),
-  h AS (SELECT o_orderkey, o_custkey % 7 + 1 AS printed FROM orders WHERE o_orderstatus <> 'P')
+@plan("a10_count_vs_published", """WITH n AS (SELECT CASE WHEN l_quantity > 5 THEN l_orderkey ELSE -l_orderkey - 1 END AS l_orderkey, count(*) AS counted FROM lineitem GROUP BY ALL),
+  h AS (SELECT CASE WHEN o_orderstatus <> 'P' THEN o_orderkey ELSE o_orderkey + 1000000000 END AS o_orderkey, o_custkey % 7 + 1 AS printed FROM orders)
   SELECT coalesce(l_orderkey, o_orderkey) AS k, counted, printed, CASE WHEN printed IS NULL THEN 'not published' WHEN counted IS NULL THEN 'no rows'
     WHEN counted = printed THEN 'agrees' ELSE 'differs' END AS state FROM n FULL JOIN h ON l_orderkey = o_orderkey""")
 def a10(t):
-    rows = t.lineitem.filter("l_quantity > 5").select(F.col("l_orderkey").alias("k"))
-    published = t.orders.filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("k"), (F.col("o_custkey") % 7 + 1).alias("printed"))
+    # keys that the other side cannot have make the one-sided rows
+    line, order = F.col("l_orderkey"), F.col("o_orderkey")
+    rows = t.lineitem.select(F.when(F.col("l_quantity") > 5, line).otherwise(-line - 1).alias("k"))
+    published = t.orders.select(F.when(F.col("o_orderstatus") != "P", order).otherwise(order + 1_000_000_000).alias("k"), (F.col("o_custkey") % 7 + 1).alias("printed"))
     return agg.count_against_published(rows, published, "k", "printed")
 
 
@@ -285,11 +298,13 @@ def a24(t):
     return out.withColumn("starts", F.array_join(F.transform("starts", lambda s: s.cast("string")), ","))
 
 
-@plan("a25_coverage_flags", """WITH t AS (SELECT DISTINCT o_custkey FROM orders WHERE o_totalprice > 499500)
+@plan("a25_coverage_flags", """WITH t AS (SELECT DISTINCT CASE WHEN o_totalprice > 499500 THEN o_custkey ELSE -o_custkey - 1 END AS o_custkey FROM orders)
   SELECT c_nationkey, bool_or(c_mktsegment <> 'BUILDING' AND c_acctbal > 9900) AS roster, bool_or(c_mktsegment = 'BUILDING' AND c_acctbal > 9900) AS basis,
     bool_or(c_acctbal > 0 AND o_custkey IS NOT NULL) AS text FROM customer LEFT JOIN t ON c_custkey = o_custkey GROUP BY c_nationkey""")
 def a25(t):
-    texts = t.orders.filter("o_totalprice > 499500").select(F.col("o_custkey").alias("c_custkey")).distinct().withColumn("has", F.lit(True))
+    # an order of a lower price names nobody, so that areas without texts exist
+    whose = F.when(F.col("o_totalprice") > 499500, F.col("o_custkey")).otherwise(-F.col("o_custkey") - 1)
+    texts = t.orders.select(whose.alias("c_custkey")).distinct().withColumn("has", F.lit(True))
     c = t.customer.join(texts, "c_custkey", "left")
     by_result, top = F.col("c_mktsegment") == "BUILDING", F.col("c_acctbal") > 9900
     return c.groupBy("c_nationkey").agg(

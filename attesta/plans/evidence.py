@@ -144,6 +144,15 @@ def t7(t):
     return evidence.same_source_rule(t.lineitem, "l_orderkey", "l_suppkey", flag != "R", flag == "R")
 
 
+@plan("t7_response_removal", """WITH d AS (SELECT l_orderkey, l_suppkey, bool_or(l_returnflag <> 'R') AS c, bool_or(l_returnflag = 'R') AS r FROM lineitem GROUP BY ALL),
+  g AS (SELECT l_orderkey FROM d GROUP BY l_orderkey HAVING bool_or(r AND NOT c))
+  SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag <> 'R' OR l_orderkey NOT IN (SELECT l_orderkey FROM g)""")
+def t7_removal(t):
+    flag = F.col("l_returnflag")
+    cites = t.lineitem.select("l_orderkey", "l_suppkey", "l_linenumber", "l_returnflag")
+    return evidence.without_responses(cites, "l_orderkey", "l_suppkey", flag != "R", flag == "R").select("l_orderkey", "l_linenumber")
+
+
 _TERM = r"""regexp_extract({0}.text, '([\p{{L}}]+)[^\p{{L}}]*$', 1)"""
 
 

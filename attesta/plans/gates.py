@@ -37,14 +37,16 @@ def q2(t):
     return gates.declared_count(members, headers, "o_orderkey", "l_suppkey", "declared")
 
 
-@plan("q3_detail_vs_total", """WITH d AS (SELECT l_orderkey, count(*) AS marks, sum((l_returnflag <> 'R')::INT) AS p, sum((l_returnflag = 'R')::INT) AS a FROM lineitem WHERE l_quantity > 3 GROUP BY ALL),
+@plan("q3_detail_vs_total", """WITH d AS (SELECT CASE WHEN l_quantity > 3 THEN l_orderkey ELSE -l_orderkey - 1 END AS l_orderkey, count(*) AS marks, sum((l_returnflag <> 'R')::INT) AS p,
+    sum((l_returnflag = 'R')::INT) AS a FROM lineitem GROUP BY ALL),
   t AS (SELECT o_orderkey, 1 AS c FROM orders UNION ALL SELECT o_orderkey, 1 FROM orders WHERE o_totalprice > 490000),
   g AS (SELECT o_orderkey, count(*) AS copies FROM t GROUP BY ALL)
   SELECT g.o_orderkey, CASE WHEN copies > 1 THEN 'duplicate' WHEN marks IS NULL THEN 'blank' WHEN o_orderstatus <> 'F' AND a > 0 THEN 'absent_without_column'
     WHEN p + a <> o_custkey % 3 + 3 THEN 'mismatch' END AS reason FROM g JOIN orders o ON g.o_orderkey = o.o_orderkey LEFT JOIN d ON l_orderkey = g.o_orderkey""")
 def q3(t):
     absent = F.col("l_returnflag") == "R"
-    details = t.lineitem.filter("l_quantity > 3").select(F.col("l_orderkey").alias("o_orderkey"), (~absent).cast("int").alias("present"), absent.cast("int").alias("absent"))
+    key = F.when(F.col("l_quantity") > 3, F.col("l_orderkey")).otherwise(-F.col("l_orderkey") - 1)  # such marks belong to no printed table
+    details = t.lineitem.select(key.alias("o_orderkey"), (~absent).cast("int").alias("present"), absent.cast("int").alias("absent"))
     twice = t.orders.unionByName(t.orders.filter("o_totalprice > 490000"))  # some tables are printed twice
     totals = twice.select("o_orderkey", (F.col("o_custkey") % 3 + 3).alias("total"), (F.col("o_orderstatus") == "F").alias("has_absent"))
     return gates.detail_against_total(details, totals, ["o_orderkey"], "has_absent")
@@ -136,15 +138,20 @@ def q13(t):
 
 
 @plan("q14_publish_invariants", f"""WITH {FACT} SELECT 'sensitive fields' AS "check", 0::BIGINT AS violations
+  UNION ALL SELECT 'sensitive payload fields', coalesce(sum(CASE WHEN CAST(data->>'$.k' AS BIGINT) % 10 = 0 THEN 2 ELSE 0 END), 0)::BIGINT FROM fact
   UNION ALL SELECT 'provenance', count(*) FILTER (WHERE source_url NOT LIKE 'http%' OR fetched_at IS NULL) FROM fact
   UNION ALL SELECT 'exported set', (SELECT count(DISTINCT person_id) FROM fact WHERE person_id NOT IN (SELECT person_id FROM fact WHERE kind = 'signup'))
-  UNION ALL SELECT 'references', count(*) FILTER (WHERE person_id NOT IN (SELECT 'p' || c_custkey FROM customer WHERE c_custkey > 20)) FROM fact""")
+  UNION ALL SELECT 'references', count(*) FILTER (WHERE person_id NOT IN (SELECT CASE WHEN c_custkey > 20 THEN 'p' ELSE 'q' END || c_custkey FROM customer)) FROM fact""")
 def q14(t):
     facts = t.facts()
     exported = facts.groupBy("person_id").agg(F.max("date").alias("latest"))
     candidates = facts.filter("kind = 'signup'").select("person_id").distinct()
-    persons = t.customer.filter("c_custkey > 20").select(F.concat(F.lit("p"), "c_custkey").alias("person_id"))
-    return gates.publish_invariants(facts, exported, candidates, persons, SENSITIVE)
+    persons = t.customer.select(F.concat(F.when(F.col("c_custkey") > 20, "p").otherwise("q"), "c_custkey").alias("person_id"))
+    # some payloads hold a list of relatives, two of them with a date of birth
+    hidden = F.concat(F.lit('{"a":'), "data", F.lit(',"kin":[{"birth_date":1},{"deep":{"birth_year":[2]}},"birth_date"]}'))
+    some = F.get_json_object("data", "$.k").cast("long") % 10 == 0
+    facts = facts.withColumn("data", F.when(some, hidden).otherwise(F.col("data")))
+    return gates.publish_invariants(facts, exported, candidates, persons, SENSITIVE, payload="data")
 
 
 @plan("q15_suspects", """SELECT o_orderstatus, o_custkey, count(*) AS n FROM orders WHERE o_custkey NOT IN (SELECT s_suppkey FROM supplier) GROUP BY ALL HAVING count(*) >= 6""")

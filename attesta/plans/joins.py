@@ -44,7 +44,7 @@ def j4(t):
     return published.withColumn("state", F.lit("published")).unionByName(withheld.withColumn("state", F.lit("withheld")))
 
 
-_LINK_SQL = f"""WITH {ROSTER}, {PERSON},
+_LINK_WITH = f"""WITH {ROSTER}, {PERSON},
   j AS (SELECT r.record_id, r.office, r.area, r.district_n,
     (SELECT count(*) FROM person p WHERE p.area = r.area AND p.weak = r.weak AND p.words = r.words) AS n_exact,
     (SELECT count(*) FROM person p WHERE p.area = r.area AND p.weak = r.weak) AS n_weak,
@@ -59,7 +59,8 @@ _LINK_SQL = f"""WITH {ROSTER}, {PERSON},
     FROM j LEFT JOIN person p ON p.person_id = j.pid),
   w AS (SELECT *, CASE WHEN n_exact = 0 AND n_weak > 0 THEN 'romanization' WHEN n_exact = 0 AND n_folded > 0 THEN 'variant'
     WHEN n_exact = 0 THEN 'unregistered' WHEN n_weak > 1 OR n_own > 1 THEN 'duplicate_name'
-    WHEN NOT overlap THEN 'no_overlap' END AS reason FROM k)
+    WHEN NOT overlap THEN 'no_overlap' END AS reason FROM k)"""
+_LINK_SQL = _LINK_WITH + """
   SELECT record_id, CASE WHEN reason IS NULL THEN 'link' WHEN reason = 'unregistered' THEN reason ELSE 'review' END AS outcome,
     reason, CASE WHEN reason IS NULL THEN pid END AS person_id,
     CASE WHEN n_exact > 0 THEN n_exact WHEN n_weak > 0 THEN n_weak ELSE n_folded END AS hits FROM w"""
@@ -70,6 +71,14 @@ def j5(t):
     return linking.certain_links(_records(t), t.persons())
 
 
+@plan("j5_review_rows", _LINK_WITH + """
+  SELECT w.record_id, w.reason, p.person_id FROM w JOIN roster r USING (record_id) JOIN person p ON p.area = r.area AND CASE w.reason
+    WHEN 'romanization' THEN p.weak = r.weak WHEN 'variant' THEN p.folded = r.folded ELSE p.weak = r.weak AND p.words = r.words END
+  WHERE w.reason IS NOT NULL AND w.reason <> 'unregistered'""")
+def j5_review(t):
+    return linking.review_rows(_records(t), t.persons())
+
+
 @plan("j6_cascade", f"""WITH {ROSTER}, {PERSON}, h AS (
     SELECT record_id, 1 AS tier, person_id FROM roster r JOIN person p ON r.area = p.area AND r.weak = p.weak AND r.words = p.words
     UNION ALL SELECT record_id, 2, person_id FROM roster r JOIN person p ON r.area = p.area AND r.weak = p.weak
@@ -82,20 +91,32 @@ def j6(t):
     return linking.cascade_match(t.roster(), t.persons())
 
 
-@plan("j7_nationwide", f"""WITH {ROSTER}, {PERSON}, c AS (SELECT * REPLACE (CASE WHEN c_acctbal > 9000 THEN '' ELSE '5000' END || weak AS weak,
+_NATIONWIDE_SQL = f"""WITH {ROSTER}, {PERSON}, c AS (SELECT * REPLACE (CASE WHEN c_acctbal > 9000 THEN '' ELSE '5000' END || weak AS weak,
     CASE WHEN c_acctbal > 9000 THEN '' ELSE '5000' END || folded AS folded) FROM person),
   j AS (SELECT r.record_id, CASE WHEN s_suppkey % 9 <> 8 THEN r.area END AS area,
     (SELECT count(*) FROM c WHERE c.folded = r.folded) AS n_cand, (SELECT count(*) FROM roster o WHERE o.folded = r.folded) AS n_own,
     (SELECT min(person_id) FROM c WHERE c.weak = r.weak AND c.words = r.words) AS pid FROM roster r),
   w AS (SELECT j.*, CASE WHEN n_cand = 0 THEN 'new' WHEN n_cand > 1 OR n_own > 1 THEN 'duplicate_name'
     WHEN pid IS NULL THEN 'romanization_or_variant' WHEN j.area IS NULL THEN 'at_large' WHEN c.area <> j.area THEN 'other_county' END AS reason
-    FROM j LEFT JOIN c ON c.person_id = j.pid)
-  SELECT record_id, reason, CASE WHEN reason IS NULL THEN pid END AS person_id FROM w""")
-def j7(t):
+    FROM j LEFT JOIN c ON c.person_id = j.pid)"""
+
+
+def _nationwide(t):
     # most candidates bear names that the roster does not know, so that all reasons occur
     candidates = t.persons().withColumn("name", F.concat(F.when(F.col("c_acctbal") > 9000, "").otherwise("5000"), "name"))
     records = t.roster().withColumn("area", F.when(F.col("s_suppkey") % 9 != 8, F.col("area")))
-    return linking.nationwide_links(records, candidates)
+    return records, candidates
+
+
+@plan("j7_nationwide", _NATIONWIDE_SQL + " SELECT record_id, reason, CASE WHEN reason IS NULL THEN pid END AS person_id FROM w")
+def j7(t):
+    return linking.nationwide_links(*_nationwide(t))
+
+
+@plan("j7_review_rows", _NATIONWIDE_SQL + """ SELECT w.record_id, w.reason, c.person_id FROM w JOIN roster r USING (record_id) JOIN c ON c.folded = r.folded
+  WHERE w.reason IS NOT NULL AND w.reason <> 'new'""")
+def j7_review(t):
+    return linking.nationwide_review(*_nationwide(t))
 
 
 @plan("j8_override", """SELECT 'd' || d.doc_id AS record_id, CASE WHEN l.quality = 1 THEN 'm' || d.doc_id WHEN d.lang = 'en' THEN 'a' || d.doc_id
@@ -177,27 +198,29 @@ def j14(t):
 
 
 @plan("j15_day_session", """WITH r AS (SELECT CAST(ts AS DATE) AS day, event_type, user_id, min(event_id) AS first FROM events
-    WHERE value > 150 GROUP BY ALL),
-  n AS (SELECT day, event_type, string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY first) AS names FROM r GROUP BY ALL)
-  SELECT event_id, names FROM events e JOIN n ON CAST(e.ts AS DATE) = n.day AND e.event_type = n.event_type WHERE value < 2""")
+    GROUP BY ALL),
+  n AS (SELECT day, event_type, user_id % 50 AS room, string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY first) AS names FROM r GROUP BY ALL)
+  SELECT event_id, names FROM events e JOIN n ON CAST(e.ts AS DATE) = n.day AND e.event_type = n.event_type AND n.room = e.event_id % 60""")
 def j15(t):
+    # a session is a day, a type and a room; media of ten rooms are without records
     e = t.events.withColumn("day", F.to_date("ts"))
-    media = e.filter("value < 2").select("event_id", "day", "event_type")
-    records = e.filter("value > 150").select("day", "event_type", "user_id", F.col("event_id").alias("seen"))
-    out = joins.day_session_names(media, records, ["day", "event_type"], "user_id", "seen")
+    media = e.select("event_id", "day", "event_type", (F.col("event_id") % 60).alias("room"))
+    records = e.select("day", "event_type", (F.col("user_id") % 50).alias("room"), "user_id", F.col("event_id").alias("seen"))
+    out = joins.day_session_names(media, records, ["day", "event_type", "room"], "user_id", "seen")
     return out.select("event_id", F.array_join("names", ",").alias("names"))
 
 
-@plan("j16_max_overlap", """WITH d AS (SELECT DISTINCT event_type, CAST(ts AS DATE) AS doc, user_id FROM events WHERE value > 60),
-  g AS (SELECT DISTINCT event_type, CAST(ts AS DATE) AS grp, user_id FROM events WHERE value <= 60 AND value > 20),
+@plan("j16_max_overlap", """WITH d AS (SELECT DISTINCT event_type, CAST(ts AS DATE) AS doc, user_id FROM events),
+  g AS (SELECT DISTINCT event_type, CAST(ts AS DATE) + CAST(event_id % 4 AS INTEGER) AS grp, user_id FROM events),
   s AS (SELECT event_type, doc, grp, count(*) AS score FROM d JOIN g USING (event_type, user_id) GROUP BY ALL),
   m AS (SELECT *, max(score) OVER w AS best FROM s WINDOW w AS (PARTITION BY event_type, doc)),
   c AS (SELECT *, doc = grp AS same_date, bool_or(doc = grp) OVER (PARTITION BY event_type, doc) AS any_same FROM m WHERE score = best)
   SELECT event_type, strftime(doc, '%Y-%m-%d') AS doc, strftime(grp, '%Y-%m-%d') AS grp, score, same_date FROM c WHERE same_date OR NOT any_same""")
 def j16(t):
-    day = F.date_format("ts", "yyyy-MM-dd")
-    docs = t.events.filter("value > 60").select("event_type", day.alias("doc"), "user_id")
-    groups = t.events.filter("value <= 60 AND value > 20").select("event_type", day.alias("grp"), "user_id")
+    # a member is listed in the group of its day or of one of the three days after
+    shown = lambda day: F.date_format(day, "yyyy-MM-dd")
+    docs = t.events.select("event_type", shown("ts").alias("doc"), "user_id")
+    groups = t.events.select("event_type", shown(F.date_add(F.to_date("ts"), (F.col("event_id") % 4).cast("int"))).alias("grp"), "user_id")
     return joins.best_overlap(docs, groups, "event_type", "doc", "grp", "user_id", F.col("doc"), F.col("grp"))
 
 
@@ -237,13 +260,15 @@ def j19(t):
     return joins.first_match(src, media, ["day", "dept"], [], ["media"]).select("o_orderkey", "media")
 
 
-@plan("j20_reconcile", """WITH l AS (SELECT l_orderkey AS k, count(*) AS n FROM lineitem WHERE l_quantity > 20 GROUP BY ALL),
-  r AS (SELECT o_orderkey AS k, count(*) AS n FROM orders WHERE o_orderstatus <> 'P' GROUP BY ALL)
+@plan("j20_reconcile", """WITH l AS (SELECT CASE WHEN l_quantity > 20 THEN l_orderkey ELSE -l_orderkey - 1 END AS k, count(*) AS n FROM lineitem GROUP BY ALL),
+  r AS (SELECT CASE WHEN o_orderstatus <> 'P' THEN o_orderkey ELSE o_orderkey + 1000000000 END AS k, count(*) AS n FROM orders GROUP BY ALL)
   SELECT coalesce(l.k, r.k) AS k, coalesce(l.n, 0) AS n_left, coalesce(r.n, 0) AS n_right,
     CASE WHEN r.k IS NULL THEN 'only_left' WHEN l.k IS NULL THEN 'only_right' ELSE 'both' END AS side FROM l FULL JOIN r ON l.k = r.k""")
 def j20(t):
-    left = t.lineitem.filter("l_quantity > 20").select(F.col("l_orderkey").alias("k"))
-    right = t.orders.filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("k"))
+    # keys that the other side cannot have make the one-sided rows
+    line, order = F.col("l_orderkey"), F.col("o_orderkey")
+    left = t.lineitem.select(F.when(F.col("l_quantity") > 20, line).otherwise(-line - 1).alias("k"))
+    right = t.orders.select(F.when(F.col("o_orderstatus") != "P", order).otherwise(order + 1_000_000_000).alias("k"))
     return joins.reconcile(left, right, ["k"])
 
 
@@ -318,7 +343,9 @@ def j26(t):
   WHEN EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F') THEN 'link-only' ELSE 'missing' END AS status FROM customer""")
 def j27(t):
     listed = t.orders.filter("o_orderstatus = 'F'").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
-    text = t.lineitem.filter("l_quantity = 50").select(F.col("l_orderkey").alias("o_orderkey")).distinct().withColumn("text", F.lit(True))
+    # a line of another quantity names no order, so that few orders have a text
+    key = F.when(F.col("l_quantity") == 50, F.col("l_orderkey")).otherwise(-F.col("l_orderkey") - 1)
+    text = t.lineitem.select(key.alias("o_orderkey")).distinct().withColumn("text", F.lit(True))
     best = listed.join(text, "o_orderkey", "left").groupBy("c_custkey").agg(F.bool_or(F.col("text").isNotNull()).alias("full"))
     status = F.when(F.col("full"), "full").when(F.col("full").isNotNull(), "link-only").otherwise("missing")
     return t.customer.join(best, "c_custkey", "left").select("c_custkey", status.alias("status"))

@@ -88,11 +88,13 @@ def u4(t):
     return sets.in_both(e.filter("event_type = 'view'"), e.filter("event_type = 'signup'"), ["day"], "user_id")
 
 
-@plan("u5_cached_merge", """SELECT l_orderkey AS k, CAST(count(*) AS BIGINT) AS v, 'fresh' AS src FROM lineitem WHERE l_quantity > 40 GROUP BY ALL
-  UNION ALL SELECT o_orderkey, o_custkey, 'cached' FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 40)""")
+@plan("u5_cached_merge", """WITH f AS (SELECT CASE WHEN l_quantity > 40 THEN l_orderkey ELSE -l_orderkey - 1 END AS k, count(*) AS v FROM lineitem GROUP BY ALL)
+  SELECT k, v, 'fresh' AS src FROM f UNION ALL SELECT o_orderkey, o_custkey, 'cached' FROM orders WHERE o_orderkey NOT IN (SELECT k FROM f)""")
 def u5(t):
     cached = t.orders.select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("v"), F.lit("cached").alias("src"))
-    fresh = t.lineitem.filter("l_quantity > 40").groupBy(F.col("l_orderkey").alias("k")).agg(F.count(F.lit(1)).alias("v")).withColumn("src", F.lit("fresh"))
+    # lines of a small quantity refresh keys that are not cached
+    key = F.when(F.col("l_quantity") > 40, F.col("l_orderkey")).otherwise(-F.col("l_orderkey") - 1)
+    fresh = t.lineitem.groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("v")).withColumn("src", F.lit("fresh"))
     return sets.cached_merge(cached, fresh, ["k"])
 
 

@@ -81,16 +81,20 @@ def f6(t):
     )
 
 
-@plan("f7_range_list", """SELECT p_partkey, p_size + p_size + 10 + (p_size + 11) + (p_size + 12) AS total, 4::BIGINT AS n
-  FROM part""")
+@plan("f7_range_list", """SELECT p_partkey, 3 * p_size + 33 + p_size % 20 + 1 AS total, 4::BIGINT AS n, p_size % 20 + 1 AS first, true AS junk FROM part""")
 def f7(t):
     s = F.col("p_size")
-    written = F.concat_ws("、", s.cast("string"), F.concat((s + 10).cast("string"), F.lit("-"), (s + 12).cast("string")))
-    found = dates.number_ranges(written)
+    digits = lambda c: c.cast("string")
+    spoken = dates.to_numeral(s % 20 + 1)
+    span = F.concat(F.lit("第"), digits(s + 10), F.lit("-"), dates.to_numeral(s + 12))
+    written = F.concat(span, F.lit("、"), spoken, F.lit("及"), digits(s + 11), F.lit("."), digits(s + 10), F.lit("，"), spoken)
+    found = dates.range_list(written)
     return t.part.select(
         "p_partkey",
         F.aggregate(found, F.lit(0), lambda a, x: a + x).alias("total"),
         F.size(found).cast("long").alias("n"),
+        F.get(found, F.lit(0)).alias("first"),
+        dates.range_list(F.concat(written, F.lit("、x"))).isNull().alias("junk"),
     )
 
 
@@ -244,7 +248,9 @@ def f21(t):
   hit AS (SELECT doc_id, line, list_sort(list_filter(known, lambda w: ends_with(line, w) AND length(line) > length(w)),
     'DESC', 'NULLS LAST') AS hits, known FROM x WHERE line <> ''),
   b AS (SELECT doc_id, line, list_max(list_transform(hits, lambda w: length(w))) AS longest FROM hit)
-  SELECT doc_id, count(*) AS lines, count(longest) AS split_lines, CAST(coalesce(sum(longest), 0) AS BIGINT) AS label_chars
+  SELECT doc_id, count(*) AS lines, count(longest) AS split_lines, CAST(coalesce(sum(longest), 0) AS BIGINT) AS label_chars,
+    coalesce(string_agg(DISTINCT right(line, longest), '|' ORDER BY right(line, longest)), '') AS labels,
+    CAST(coalesce(sum(length(line) - longest) FILTER (WHERE longest IS NOT NULL), 0) AS BIGINT) AS text_chars
   FROM b GROUP BY doc_id""")
 def f22(t):
     # a document's own labels are known from the document alone, so the lookup stays inside the row
@@ -252,15 +258,16 @@ def f22(t):
     known = F.array_distinct(F.transform(lines, lambda s: F.split_part(s, F.lit(" "), F.lit(1))))
     docs = t.documents.select("doc_id", lines.alias("lines"), F.filter(known, lambda w: F.length(w) > 0).alias("known"))
     per_line = docs.select("doc_id", F.explode("lines").alias("line"), "known").filter("line <> ''")
-    hits = F.filter("known", lambda w: F.col("line").endswith(w) & (F.length("line") > F.length(w)))
-    longest = F.array_max(F.transform(hits, F.length))
+    split = text.merged_label(F.concat("line", F.lit("：")), F.col("known"))
     return (
-        per_line.select("doc_id", longest.alias("longest"))
+        per_line.select("doc_id", split.alias("s"))
         .groupBy("doc_id")
         .agg(
             F.count(F.lit(1)).alias("lines"),
-            F.count("longest").alias("split_lines"),
-            F.coalesce(F.sum("longest"), F.lit(0)).cast("long").alias("label_chars"),
+            F.count("s").alias("split_lines"),
+            F.coalesce(F.sum(F.length("s.label")), F.lit(0)).cast("long").alias("label_chars"),
+            F.array_join(F.array_sort(F.collect_set("s.label")), "|").alias("labels"),
+            F.coalesce(F.sum(F.length("s.text")), F.lit(0)).cast("long").alias("text_chars"),
         )
     )
 

@@ -99,10 +99,16 @@ def s8(t):
     return scans.latest_snapshot(t.spark, base, expected)
 
 
-@plan("s9_redacting_sink", """SELECT c_custkey, c_name, NULL::DOUBLE AS c_acctbal FROM customer""")
+@plan("s9_redacting_sink", """SELECT c_custkey, c_name, NULL::DOUBLE AS c_acctbal,
+  CASE WHEN c_custkey % 3 = 0 THEN '{"seen":' || c_custkey || '}' ELSE '{"kin":[{"name":"' || c_name || '"},' || c_custkey || ']}' END AS data FROM customer""")
 def s9(t):
     base = scratch(t.spark, "redacted")
-    sinks.write_snapshot(t.customer.select("c_custkey", "c_name", "c_acctbal"), base, "2024-01-01", ["c_acctbal"])
+    key = F.col("c_custkey").cast("string")
+    data = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit('{"seen":'), key, F.lit("}"))).otherwise(
+        F.concat(F.lit('{"kin":[{"name":"'), "c_name", F.lit('","c_acctbal":{"birth_date":1}},'), key, F.lit('],"c_acctbal":2}'))
+    )
+    rows = t.customer.select("c_custkey", "c_name", "c_acctbal", data.alias("data"))
+    sinks.write_snapshot(rows, base, "2024-01-01", ["c_acctbal"], ["data"])
     return t.spark.read.parquet(base).drop("ds")
 
 

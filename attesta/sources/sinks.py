@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from attesta.scale import OrderedGroups, days, digits_pos, lookup
 
@@ -14,9 +17,39 @@ SENSITIVE = ("birth_date", "birth_year")
 FACTS_PER_PART = 10_000
 
 
-def write_snapshot(df: DataFrame, base: str, ds: str, sensitive: Sequence[str] = SENSITIVE) -> None:
-    """The only snapshot writer: sensitive columns become null before anything is written."""
+def without_fields(value, names: frozenset[str]):
+    """A parsed JSON value without the named fields, at any depth."""
+    if isinstance(value, dict):
+        return {k: without_fields(v, names) for k, v in value.items() if k not in names}
+    return [without_fields(v, names) for v in value] if isinstance(value, list) else value
+
+
+def redacted(payload: Column, sensitive: Sequence[str]) -> Column:
+    """JSON text without the sensitive fields; a payload that names none of them, or is no JSON, stays as it is."""
+    names = frozenset(sensitive)
+
+    @F.pandas_udf(T.StringType())
+    def clean(texts: pd.Series) -> pd.Series:
+        def one(text):
+            try:
+                return json.dumps(without_fields(json.loads(text), names), ensure_ascii=False, separators=(",", ":"))
+            except ValueError:
+                return text
+
+        return texts.map(one, na_action="ignore")
+
+    named = payload.contains("\\u")  # a name may be written with escapes
+    for n in names:
+        named = named | payload.contains(n)
+    return F.when(named, clean(F.when(named, payload))).otherwise(payload)
+
+
+def write_snapshot(df: DataFrame, base: str, ds: str, sensitive: Sequence[str] = SENSITIVE, payloads: Sequence[str] = ()) -> None:
+    """The only snapshot writer: sensitive columns become null, and sensitive fields leave the JSON columns ``payloads``, at any
+    depth, before anything is written."""
     kinds = dict(df.dtypes)
+    for column in payloads:
+        df = df.withColumn(column, redacted(F.col(column), sensitive))
     for column in sensitive:
         if column in kinds:
             df = df.withColumn(column, F.lit(None).cast(kinds[column]))

@@ -193,3 +193,9 @@ def test_same_source_rule(spark):
     df = spark.createDataFrame([("i", "d1", "c"), ("i", "d1", "r"), ("j", "d1", "c"), ("j", "d2", "r")], "issue string, doc string, f string")
     got = evidence.same_source_rule(df, "issue", "doc", F.col("f") == "c", F.col("f") == "r")
     assert rows(got.select("issue", "response_removed")) == [("i", False), ("j", True)]
+
+
+def test_responses_on_foreign_documents_are_removed(spark):
+    df = spark.createDataFrame([("i", "d1", "c"), ("i", "d1", "r"), ("j", "d1", "c"), ("j", "d2", "r"), ("j", "d1", "r")], "issue string, doc string, f string")
+    left = evidence.without_responses(df, "issue", "doc", F.col("f") == "c", F.col("f") == "r")
+    assert rows(left) == [("i", "d1", "c"), ("i", "d1", "r"), ("j", "d1", "c")]

@@ -93,3 +93,16 @@ def test_one_edit_repair_needs_one_candidate(spark):
     tokens = spark.createDataFrame([("rowan",), ("imra",), ("holt",), ("hold",), ("xx",)], "t string")
     known = spark.createDataFrame([("rowin",), ("imre",), ("imro",), ("holt",)], "n string")
     assert rows(names.one_edit_repair(tokens, "t", known, "n")) == [("hold", "holt"), ("rowan", "rowin")]
+
+
+def test_range_list(spark):
+    texts = ["第8.13-十六及3", "3、1、3", "二、三", "第十選", "", "5-2", "1-2-3", "x", None, " 7 "]
+    assert one(spark, texts, dates.range_list) == [[3, 8, 13, 14, 15, 16], [1, 3], [2, 3], None, None, None, None, None, None, [7]]
+    assert one(spark, ["1, x", "2-y"], dates.number_ranges) == [None, None]
+
+
+def test_merged_label(spark):
+    known = F.array(*[F.lit(k) for k in ("Lee", "Ann Lee", "")])
+    lines = ["so it is Ann Lee：", "so it is Lee: ", "Ann Lee:", "so it is Lee", "nobody:", None]
+    got = one(spark, lines, lambda c: text.merged_label(c, known))
+    assert [tuple(g) if g else None for g in got] == [("so it is ", "Ann Lee"), ("so it is ", "Lee"), ("Ann ", "Lee"), None, None, None]

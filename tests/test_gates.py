@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from attesta.operators import filters, gates
+from attesta.sources import sinks
 from helpers import rows
 
 
@@ -71,3 +72,18 @@ def test_require_empty(spark):
     assert gates.require_empty(df.limit(0), "stray edit").count() == 0
     with pytest.raises(Exception, match="stray edit"):
         gates.require_empty(df, "stray edit").collect()
+
+
+def test_sensitive_fields_inside_payloads(spark):
+    data = [("f1", '{"a":[{"birth_date":1}]}'), ("f2", '{"a":"birth_date","b":[1,[{"c":{"birth_year":null}}],{"birth_date":{"birth_year":2}}]}'), ("f3", "no json"), ("f4", None), ("f5", "7"), ("f6", "{}")]
+    facts = spark.createDataFrame(data, "fact_key string, data string")
+    found = gates.payload_fields(facts, "fact_key", "data").filter(F.col("field").startswith("birth"))
+    assert rows(found.select("fact_key", "path")) == [("f1", "a.[0].birth_date"), ("f2", "b.[1].[0].c.birth_year"), ("f2", "b.[2].birth_date"), ("f2", "b.[2].birth_date.birth_year")]
+    assert gates.payload_fields(facts.limit(0), "fact_key", "data").count() == 0
+
+
+def test_sensitive_fields_leave_payloads(spark):
+    texts = ['{"a":[{"birth_date":1,"n":"é"}],"birth_year":[2]}', '{"birth\\u005fdate":1,"x":[]}', '{"note":"birth_date","k":1.5}', "not birth_date json", None, '{"k": 1}']
+    df = spark.createDataFrame([(t,) for t in texts], "data string")
+    got = [r[0] for r in df.select(sinks.redacted(F.col("data"), sinks.SENSITIVE)).collect()]
+    assert got == ['{"a":[{"n":"é"}]}', '{"x":[]}', '{"note":"birth_date","k":1.5}', "not birth_date json", None, '{"k": 1}']

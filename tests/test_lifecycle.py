@@ -91,6 +91,34 @@ def test_an_edit_that_does_not_match_once_fails(spark, edit):
         edited(spark, edit)
 
 
+def test_an_edit_of_an_unknown_document_fails(spark):
+    e = spark.createDataFrame([(2, 1, "Bridge", "drop_issue", None, None)], "id int, no int, topic string, action string, text string, page long")
+    with pytest.raises(Exception, match="edit of an unknown document: 2"):
+        life.apply_edits(document(spark), e, ["id"]).collect()
+
+
+@pytest.mark.parametrize("field", ["'x' AS text, false AS located, false AS short", "'x' AS text, true AS located, true AS short", "' ' AS text, true AS located, false AS short"])
+def test_an_issue_keeps_a_usable_citation(spark, field):
+    doc = spark.sql(f"""SELECT 1 AS id, array(named_struct('topic', 'T', 'points', array('p'), 'response', CAST(NULL AS STRING), 'citations', array(
+        (SELECT struct(1L AS page, 'kept' AS text, true AS located, false AS short)), (SELECT struct(2L AS page, {field}))))) AS issues""")
+    schema = "id int, no int, topic string, action string, text string, page long"
+    assert len(life.apply_edits(doc, spark.createDataFrame([(1, 1, "T", "drop_citation", None, 2)], schema), ["id"]).first().issues[0].citations) == 1
+    with pytest.raises(Exception, match="edit does not match: last citation"):
+        life.apply_edits(doc, spark.createDataFrame([(1, 1, "T", "drop_citation", None, 1)], schema), ["id"]).collect()
+
+
+def test_scopes_may_have_any_name_and_failures_say_why(spark):
+    store = life.ScopeStore(spark, scratch(spark, "scopes"))
+
+    def broken():
+        raise ValueError("bad page 7")
+
+    state = life.publish(store, {"a:b/c %": lambda: fact(spark, (1, "a", "x", 1)), "d": broken})
+    assert rows(state) == [("a:b/c %", "published", None), ("d", "failed", "ValueError: bad page 7")]
+    assert rows(store.read().select("k")) == [(1,)]
+    assert life.run_failed(state) and not life.run_failed(state.filter("scope <> 'd'"))
+
+
 def test_a_failing_scope_keeps_its_rows(spark):
     store = life.ScopeStore(spark, scratch(spark, "scopes"))
     life.publish(store, {"a": lambda: fact(spark, (1, "a", "x", 1)), "b": lambda: fact(spark, (2, "b", "y", 1))})

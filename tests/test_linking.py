@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from attesta.operators import joins, linking
@@ -96,3 +97,22 @@ def test_label_must_follow_the_call(spark, blocks):
     said = spark.createDataFrame([("d", "a", 5), ("d", "a", 7), ("d", "c", 8)], "doc string, name string, pos long")
     got = joins.call_then_label(calls, said, ["doc", "name"], "pos")
     assert rows(got.select("name", "call_pos", "label_pos")) == [("a", 5, 7)]
+
+
+def test_review_rows_name_the_candidates(spark):
+    r = spark.createDataFrame([("k1", "bb", "63 Lor", "councilor", 1), ("k2", "bb", "7ø", "councilor", 1), ("k3", "cc", "84", "mayor", 1), ("k4", "bb", "99", "mayor", 1)],
+                              "record_id string, area string, name string, office string, district_n long")
+    c = spark.createDataFrame([("p1", "63", "bb", "bb-council-1"), ("p2", "63 Ana", "bb", "bb-council-2"), ("p3", "70", "bb", "bb-council-1"), ("p4", "84", "cc", "cc-mayor")],
+                              "person_id string, name string, area string, district_id string")
+    records = linking.new_districts(r, spark.createDataFrame(REMAP, "area string, district_n long, new_n long"))
+    assert rows(linking.review_rows(records, c)) == [("k1", "romanization", "p1"), ("k1", "romanization", "p2"), ("k2", "variant", "p3")]
+    nation = r.withColumn("area", F.when(F.col("record_id") != "k3", F.col("area")))
+    assert rows(linking.nationwide_review(nation, c)) == [
+        ("k1", "duplicate_name", "p1"), ("k1", "duplicate_name", "p2"), ("k2", "romanization_or_variant", "p3"), ("k3", "at_large", "p4")]
+
+
+def test_a_repeated_record_key_stops_the_job(spark, blocks):
+    r = spark.createDataFrame([("k1", "aa", "1"), ("k1", "aa", "2")], "record_id string, area string, name string")
+    c = spark.createDataFrame([("p1", "1", "aa")], "person_id string, name string, area string")
+    with pytest.raises(Exception, match="repeated record key: k1"):
+        linking.nationwide_links(r, c).collect()

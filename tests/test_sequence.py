@@ -92,3 +92,11 @@ def test_mode_and_median(spark):
     assert rows(got.filter("outlier").select(F.col("d").cast("string"), F.col("median").cast("string"))) == [("2024-06-01", "2024-01-20")]
     even = agg.median_outliers(days.filter("d < '2024-05-01'"), ["k"], "d").first()
     assert str(even.median) == "2024-01-20"  # sorted[n // 2]
+
+
+def test_attendance_by_kind_of_leave_and_duty(spark):
+    df = spark.sql("""SELECT 'm' AS k, 10L AS meetings, 5L AS present, 3L AS leave, 2L AS duty, 0L AS absent, map('病假', 1L, '事假', 2L) AS leave_types, map('公假', 2L) AS duty_types
+        UNION ALL SELECT 'm', 10, 9, 1, 0, NULL, map('病假', 1L, 'unknown', 9L), NULL""")
+    r = agg.attendance_totals(df, "k").first()
+    assert [tuple(x) for x in r.leave_types] == [("病假", 2), ("事假", 2)] and [tuple(x) for x in r.duty_types] == [("公假", 2)]
+    assert (r.duty, r.duty_rate, r.leave_rate, r.absent_total) == (2, 0.1, 0.2, 10)
