@@ -48,7 +48,9 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
     columns = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    return warc.read_archives(spark, path, columns)
+    responses = warc.read_archives(spark, path, f"{columns}, payload binary").filter("record_type = 'response'")
+    revisits = warc.read_archives(spark, path, columns).filter("record_type = 'revisit'")
+    return warc.verified(responses).drop("payload").unionByName(revisits)
 
 
 def op7_column_bwt(spark: SparkSession, sf_dir: str) -> DataFrame:

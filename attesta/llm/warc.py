@@ -30,6 +30,8 @@ from pyspark.sql.datasource import (
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import Row, StructType
 
+from attesta.session import scratch
+
 SCHEMA = (
     "record_type string, page_id long, url string, payload_digest string, payload_bytes long, refers_to long, payload binary"
 )
@@ -48,6 +50,11 @@ def digest32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+def record_id(row: dict, page: int) -> str:
+    """Name of the response that holds a page's payload, known to its revisits without a look at it."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page}:{row["payload_digest"]}')}>"
+
+
 def record(row: dict) -> tuple[bytes, bytes]:
     """Header and block of one record."""
     payload = row["payload"] if row["record_type"] == "response" else b""
@@ -55,7 +62,8 @@ def record(row: dict) -> tuple[bytes, bytes]:
     page, refers = row["page_id"], row["refers_to"]
     head = [
         ("WARC-Type", row["record_type"]),
-        ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"),
+        ("WARC-Record-ID", record_id(row, page) if row["record_type"] == "response" and page is not None else f"<urn:uuid:{uuid.uuid4()}>"),
+        ("WARC-Refers-To", record_id(row, refers) if refers is not None else None),
         ("WARC-Date", "1970-01-01T00:00:00Z"),
         ("WARC-Target-URI", " ".join((row["url"] or "").split()) or None),
         ("WARC-Payload-Digest", f"sha1:{row['payload_digest']}"),
@@ -231,6 +239,7 @@ class WarcReader(DataSourceReader):
         with disk.open_input_file(path) as source:
             at, size, k = 0, source.size(), 0
             while at < size:
+                begin = at
                 if packed:
                     member = _Inflater(source, at)
                     head = headers(member.until(END))
@@ -240,7 +249,9 @@ class WarcReader(DataSourceReader):
                     while END not in raw and (more := source.read(1 << 12)):
                         raw += more
                     head = headers(raw.partition(END)[0])
-                    at += raw.index(END) + len(END)
+                    at += raw.find(END) + len(END)
+                if not head.get("Content-Length", "").isdigit() or "WARC-Type" not in head:
+                    raise ValueError(f"{path}: no record header at byte {begin} (record {k})")
                 length, row = int(head["Content-Length"]), self._row(head)
                 if all(row[c] in v for c, v in self.wanted):
                     if with_payload:
@@ -254,9 +265,11 @@ class WarcReader(DataSourceReader):
                 k += 1
                 if not packed:
                     at += length + len(END)
-                elif index is not None:
-                    at = index[k] if k < len(index) else size
-                else:
+                elif index is not None and k < len(index):
+                    if not at < index[k] < size:
+                        raise ValueError(f"{path}.idx does not fit the archive at record {k}")
+                    at = index[k]
+                else:  # an index that ends early is followed by the members themselves
                     at = member.next_member()
 
     def read(self, partition: Archive) -> Iterator[pa.RecordBatch]:
@@ -309,9 +322,11 @@ def records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
         F.coalesce(F.col("`html`"), F.lit("")).cast("binary").alias("payload"),
     )
     rows = rows.withColumn("payload_bytes", F.octet_length("payload").cast("long")).withColumn("sha", F.sha1("payload"))
-    # one row per digest; the join's skewed side (many copies) is split by adaptive execution
+    # one row per digest, written: against a stored side, adaptive execution splits the copies of a hot payload over tasks
     first = rows.filter(F.col("payload_bytes") >= min_bytes).groupBy("sha").agg(F.min("page_id").alias("first"))
-    joined = rows.join(first, "sha", "left")
+    path = scratch(pages.sparkSession, "warc-first")
+    first.write.parquet(path)
+    joined = rows.join(pages.sparkSession.read.parquet(path), "sha", "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     base32 = base32_of_hex(F.col("sha"))
     return joined.select(
@@ -322,6 +337,15 @@ def records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     )
 
 
+def verified(responses: DataFrame) -> DataFrame:
+    """Responses with length and digest worked out from the payload that was read; a difference to the header stops the job."""
+    size, digest = F.octet_length("payload").cast("long"), base32_of_hex(F.sha1("payload"))
+    damaged = F.raise_error(F.concat_ws(" ", F.lit("payload does not fit its header: page"), F.col("page_id").cast("string")))
+    fits = (digest == F.col("payload_digest")) & (size == F.coalesce(F.col("payload_bytes"), size))
+    checked = responses.filter(F.when(F.coalesce(fits, F.lit(False)), F.lit(True)).otherwise(damaged.cast("boolean")))
+    return checked.withColumns({"payload_bytes": size, "payload_digest": digest})
+
+
 def base32_of_hex(sha: Column) -> Column:
     """40 hex digits → 32 base-32 digits: 10 hex digits are 40 bits are 8 base-32 digits."""
     parts = [F.lpad(F.conv(F.substring(sha, i, 10), 16, 32), 8, "0") for i in (1, 11, 21, 31)]

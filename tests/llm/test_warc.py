@@ -3,6 +3,7 @@ import gzip
 import hashlib
 import json
 import pathlib
+import re
 from collections import defaultdict
 
 import pytest
@@ -59,6 +60,40 @@ def test_plain_reader_agrees_and_index_is_optional(spark, pages, tmp_path):
     assert raw.count(b"WARC-Record-ID") == pages.count()
 
 
+def test_an_index_that_ends_early_loses_nothing(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"u{i}", f"text {i % 20} " * 50) for i in range(30)], "page_id long, url string, html string").coalesce(1)
+    path = tmp_path / "w"
+    warc.write_archives(pages, str(path))
+    for keep in (1, 7, 0):
+        for index in path.glob("*.idx"):
+            index.write_text("\n".join(index.read_text().split("\n")[:keep]))
+        assert warc.read_archives(spark, str(path), "page_id long").count() == 30
+    for index in path.glob("*.idx"):
+        index.write_text("0\n999999999")
+    with pytest.raises(Exception, match="does not fit the archive"):
+        warc.read_archives(spark, str(path), "page_id long").count()
+
+
+def test_damage_is_seen(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "u", "some text"), (2, "v", "some text"), (3, "w", "other")], "page_id long, url string, html string").coalesce(1)
+    path = tmp_path / "w"
+    warc.write_archives(pages, str(path), compress=False)
+    read = lambda: warc.verified(warc.read_archives(spark, str(path)).filter("record_type = 'response'")).collect()
+    assert len(read()) == 2
+    archives = [p for p in path.glob("*.warc")]
+    raw = b"".join(p.read_bytes() for p in archives)
+    ids = dict(re.findall(rb"WARC-Record-ID: (\S+)\r\n(?:[^\r]+\r\n)*?X-Page-ID: (\d)", raw))
+    assert ids[re.search(rb"WARC-Refers-To: (\S+)", raw).group(1)] == b"1"
+    for p in archives:
+        p.write_bytes(p.read_bytes().replace(b"other", b"otter"))
+    with pytest.raises(Exception, match="payload does not fit its header: page 3"):
+        read()
+    for p in archives:
+        p.write_bytes(p.read_bytes().replace(b"Content-Length", b"Content-Lenght"))
+    with pytest.raises(Exception, match="no record header at byte 0"):
+        read()
+
+
 def test_foreign_archives(spark, tmp_path):
     head, block = warc.record({"record_type": "response", "page_id": 1, "url": "u", "payload_digest": "D", "payload_bytes": 1, "refers_to": None, "payload": b"a"})
     (tmp_path / "a.warc.gz").write_bytes(gzip.compress(head + block) + gzip.compress(head + block))
