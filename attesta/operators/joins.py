@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attesta.scale import OrderedGroups, lookup
+from attesta.scale import OrderedGroups, lookup, stored
 
+COMMON = 1_000  # a member of more groups of a kind is counted only where it can decide
 
 def suppress(items: DataFrame, withheld: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(published, withheld items kept for the report)."""
@@ -76,21 +77,47 @@ def day_session_names(media: DataFrame, records: DataFrame, keys: Sequence[str],
     return lookup(media, listed, keys, "inner")
 
 
+def overlap_scores(docs: DataFrame, groups: DataFrame, kind: str, doc: str, group: str, member: str, common: int = COMMON) -> DataFrame:
+    """(kind, doc, group, score): members shared, for every pair that can be a document's best.
+
+    Members of more than ``common`` groups of a kind are set aside.  The others give each pair a partial score and each
+    document the score its best group has at least; a pair can gain no more than the document's number of common members.  So a
+    pair whose bound lies below the best partial score is hopeless and never counted further, and groups that meet a document
+    in common members only are paired with it only if those could be enough.
+    """
+    d, g = docs.select(kind, doc, member).distinct(), groups.select(kind, group, member).distinct()
+    many = g.groupBy(kind, member).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > common).select(kind, member)
+    many = stored(many, "common-members")  # at most memberships / common rows
+    of = lambda rows, how: rows.join(many, [kind, member], how)
+    partial = of(d, "left_anti").join(of(g, "left_anti"), [kind, member]).groupBy(kind, doc, group).agg(F.count(F.lit(1)).alias("__p"))
+    if many.isEmpty():
+        return partial.withColumnRenamed("__p", "score")
+    partial, d_common, g_common = stored(partial, "partial-overlap"), of(d, "left_semi"), of(g, "left_semi")
+    least = partial.groupBy(kind, doc).agg(F.max("__p").alias("__best"))
+    more = d_common.groupBy(kind, doc).agg(F.count(F.lit(1)).alias("__h"))
+    bound = more.join(least, [kind, doc], "full_outer").fillna(0, ["__h", "__best"])
+    hopeful = partial.join(bound, [kind, doc]).filter(F.col("__p") + F.col("__h") >= F.col("__best")).drop("__best")
+    # documents whose common members alone may decide: all their groups; for the others the hopeful pairs only
+    open_docs = bound.filter(F.col("__h") >= F.greatest("__best", F.lit(1))).select(kind, doc)
+    by_common = d_common.join(open_docs, [kind, doc], "left_semi").join(g_common, [kind, member]).select(kind, doc, group)
+    closed = hopeful.filter("__h > 0").join(open_docs, [kind, doc], "left_anti").select(kind, doc, group)
+    added = closed.join(d_common, [kind, doc]).join(g_common, [kind, group, member], "left_semi").select(kind, doc, group)
+    counted = by_common.unionByName(added).groupBy(kind, doc, group).agg(F.count(F.lit(1)).alias("__c"))
+    both = hopeful.select(kind, doc, group, F.col("__p").alias("score")).unionByName(counted.select(kind, doc, group, F.col("__c").alias("score")))
+    return both.groupBy(kind, doc, group).agg(F.sum("score").alias("score"))
+
+
 def best_overlap(
     docs: DataFrame, groups: DataFrame, kind: str, doc: str, group: str, member: str, doc_date: Column, group_date: Column
 ) -> DataFrame:
     """For each document the groups sharing the most members; those of one of its dates if any is, else all of them.
 
-    Members meet in an equi-join on (kind, member) after both sides are distinct, and the overlap is counted map-side.
     Dates are sets of their own: a document without a date keeps all its best groups, and one with several is not counted
     once per date.
     """
-    score = (
-        docs.select(kind, doc, member).distinct()
-        .join(groups.select(kind, group, member).distinct(), [kind, member])
-        .groupBy(kind, doc, group)
-        .agg(F.count(F.lit(1)).alias("score"))
-    )
+    score = stored(overlap_scores(docs, groups, kind, doc, group, member, COMMON), "overlap")
+    top = score.groupBy(kind, doc).agg(F.max("score").alias("__top"))
+    score = lookup(score, top, [kind, doc], "inner").filter(F.col("score") == F.col("__top")).drop("__top")
     days_of = docs.select(kind, doc, doc_date.alias("__date")).distinct()
     same = (
         score.select(kind, doc, group).join(days_of, [kind, doc])
@@ -98,22 +125,49 @@ def best_overlap(
         .select(kind, doc, group, F.lit(True).alias("same_date")).distinct()
     )
     score = score.join(same, [kind, doc, group], "left").withColumn("same_date", F.coalesce("same_date", F.lit(False)))
-    # the best (score, same date) is an aggregate, so no ranking window over a document's groups is needed
-    top = score.groupBy(kind, doc).agg(F.max(F.struct("score", "same_date")).alias("__top"))
-    return (
-        lookup(score, top, [kind, doc], "inner")
-        .filter((F.col("score") == F.col("__top.score")) & (F.col("same_date") == F.col("__top.same_date")))
-        .drop("__top")
-    )
+    any_same = score.groupBy(kind, doc).agg(F.max("same_date").alias("__any"))
+    return lookup(score, any_same, [kind, doc], "inner").filter(F.col("same_date") == F.col("__any")).drop("__any")
 
 
-def enclosing_spans(points: DataFrame, spans: DataFrame, doc: str, pos: str, start: str, end: str, width: int = 1024) -> DataFrame:
-    """Spans with ``start <= pos < end``: a span is listed in each bin it touches, a point in one bin."""
-    bins = F.sequence(F.floor(F.col(start) / width), F.floor((F.greatest(F.col(end) - 1, F.col(start))) / width))
-    s = spans.withColumn("__bin", F.explode(bins))
-    p = points.withColumn("__bin", F.floor(F.col(pos) / width))
-    j = p.join(s, [doc, "__bin"])
-    return j.filter((F.col(start) <= F.col(pos)) & (F.col(pos) < F.col(end))).drop("__bin")
+def _nodes(start: Column, end: Column) -> Column:
+    """The fewest aligned ranges (level, place) of 2 ** level characters that make up [start, end): two a level at most."""
+
+    def at(level: Column) -> Column:
+        size = F.call_function("shiftleft", F.lit(1).cast("long"), level)
+        low, high = F.floor((start + size - 1) / size).cast("long"), F.floor(end / size).cast("long")
+        node = lambda i: F.struct(level.cast("int").alias("level"), i.alias("place"))
+        odd = lambda x: x % 2 == 1
+        return F.filter(F.array(F.when((low < high) & odd(low), node(low)), F.when((low < high) & odd(high), node(high - 1))), lambda x: x.isNotNull())
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(50)), at))
+
+
+def enclosing_spans(points: DataFrame, spans: DataFrame, doc: str, pos: str, start: str, end: str) -> DataFrame:
+    """Points with the spans ``start <= pos < end`` around them.
+
+    Spans that begin behind all earlier ones do not overlap: merged with the points in their order, each is one row however
+    long it is, and a point belongs to the last one that began.  Spans that begin inside an earlier one are cut into aligned
+    ranges, two for each doubling of their length, which meet the points in an equi-join.  Positions count from 0.
+    """
+    carried = [c for c in spans.columns if c != doc]
+    s = spans.filter(F.col(start) < F.col(end)).select(doc, F.struct(*carried).alias("__s"))
+    begin, stop = F.col("__s")[start].cast("long"), F.col("__s")[end].cast("long")
+    g = OrderedGroups(s.withColumns({"__b": begin, "__e": stop}), [doc], ["__b", "__e", "__s"], "__b", "__e").running_max("__reach", F.col("__e"))
+    g = g.previous("__before", F.col("__reach")).rows()
+    apart = F.coalesce(F.col("__before") <= F.col("__b"), F.lit(True))
+    heads, inner = g.filter(apart), g.filter(~apart)
+    p = points.select(doc, F.struct(*[c for c in points.columns if c != doc]).alias("__p"), F.col(pos).cast("long").alias("__b"))
+    merged = p.withColumn("__s", F.lit(None).cast(s.schema["__s"].dataType)).unionByName(heads.select(doc, F.lit(None).cast(p.schema["__p"].dataType).alias("__p"), "__b", "__s"))
+    is_point = F.col("__p").isNotNull().alias("__point")
+    swept = OrderedGroups(merged.select("*", is_point), [doc], ["__b", "__point"], "__b").last_seen("__in", F.col("__s")).rows()
+    hits = swept.filter("__point").filter(F.col("__in")[end] > F.col("__b")).select(doc, "__p", F.col("__in").alias("__s"))
+    ranges = inner.select(doc, "__s", F.explode(_nodes(begin, stop)).alias("__n"))
+    levels = [r[0] for r in ranges.select(F.col("__n.level")).distinct().collect()]  # 51 at most
+    if levels:
+        place = lambda level: F.struct(level.alias("level"), F.call_function("shiftright", F.col("__b"), level).alias("place"))
+        up = p.select(doc, "__p", F.explode(F.transform(F.array(*[F.lit(x) for x in sorted(levels)]), place)).alias("__n"))
+        hits = hits.unionByName(up.join(ranges, [doc, "__n"]).select(doc, "__p", "__s"))
+    return hits.select(doc, "__p.*", "__s.*")
 
 
 def first_match(src: DataFrame, media: DataFrame, keys: Sequence[str], order: Sequence[str], take: Sequence[str]) -> DataFrame:

@@ -33,7 +33,8 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, same, how).drop(*[f"__r_{k}" for k in keys if how not in ("left_semi", "left_anti")])
 
 
-def _stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a written table: read often, worked out once, and joined with skewed sides by adaptive execution."""
     path = scratch(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
@@ -100,7 +101,7 @@ class OrderedGroups:
         large = sizes.filter((F.col("__n") > most) & (F.col("__by_pos") | F.col("__by_tie"))).drop("__by_tie")
         if large.isEmpty():
             return None
-        large = _stored(large, "large-groups")
+        large = stored(large, "large-groups")
         n = large.count()
         rows = null_safe_join(self.df, _hinted(large, n), keys, "inner")
         sketch = F.kll_sketch_agg_bigint(F.when(F.col("__by_pos"), pos).otherwise(tie), SKETCH)
@@ -117,7 +118,7 @@ class OrderedGroups:
             # a value that fills a part by itself is cut off on both sides
             F.array_distinct(F.filter("__all", lambda c, i: (i > 0) & (F.element_at("__all", F.greatest(i, F.lit(1))) == c))).alias("__heavy"),
         )
-        cuts = _stored(cuts, "cuts")
+        cuts = stored(cuts, "cuts")
         total = cuts.agg(F.sum(2 * F.size("__cuts") + 1)).first()[0]
         return cuts, n, total
 
@@ -150,6 +151,12 @@ class OrderedGroups:
         local = F.sum(value).over(self.window.rowsBetween(Window.unboundedPreceding, 0))
         return self._passed(out, local, F.sum(value), before, F.col(out) + F.coalesce(F.col("__carry"), F.lit(0)))
 
+    def running_max(self, out: str, value: Column) -> OrderedGroups:
+        """Greatest value up to and including the row."""
+        before = F.max("__part").over(self._blocks.rowsBetween(Window.unboundedPreceding, -1))
+        local = F.max(value).over(self.window.rowsBetween(Window.unboundedPreceding, 0))
+        return self._passed(out, local, F.max(value), before, F.greatest(F.col(out), F.col("__carry")))
+
     def number(self, out: str) -> OrderedGroups:
         """1-based position in the group."""
         return self.running_sum(out, F.lit(1).cast("long"))

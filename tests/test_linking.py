@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,6 +88,52 @@ def test_overlap_prefers_the_same_date(spark):
     assert rows(other.select("grp")) == [("g1",), ("g2",)]
 
 
+@pytest.mark.parametrize("common", [0, 2, 1000])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_best_overlap_matches_counting_all_pairs(spark, monkeypatch, seed, common):
+    monkeypatch.setattr(joins, "COMMON", common)
+    rnd = random.Random(seed)
+    side = lambda n, everyone: [(rnd.choice("st"), f"x{rnd.randrange(n)}", rnd.randrange(30)) for _ in range(120)] + [(k, f"x{i}", 99) for k in "st" for i in range(n) if everyone]
+    d, g = side(8, seed == 1), side(12, True)  # member 99 is in every group
+    score = {}
+    for k, doc, m in set(d):
+        for k2, grp, m2 in set(g):
+            if (k, m) == (k2, m2):
+                score[k, doc, grp] = score.get((k, doc, grp), 0) + 1
+    want = []
+    for k, doc in {x[:2] for x in score}:
+        best = max(n for key, n in score.items() if key[:2] == (k, doc))
+        top = [(k, doc, grp, n) for (k2, doc2, grp), n in score.items() if (k2, doc2) == (k, doc) and n == best]
+        want += [t for t in top if t[1] == t[2]] or top  # the same name stands for the same date
+    df = spark.createDataFrame(d, "kind string, doc string, m int"), spark.createDataFrame(g, "kind string, grp string, m int")
+    got = joins.best_overlap(*df, "kind", "doc", "grp", "m", F.col("doc"), F.col("grp"))
+    assert rows(got.select("kind", "doc", "grp", "score")) == sorted(want)
+
+
+def test_hopeless_pairs_are_not_counted(spark):
+    d = spark.createDataFrame([("s", "d", m) for m in range(5)] + [("s", "d", 99)], "kind string, doc string, m int")
+    g = spark.createDataFrame([("s", "g0", m) for m in range(5)] + [("s", f"g{i}", 99) for i in range(50)] + [("s", "g7", 1)], "kind string, grp string, m int")
+    got = rows(joins.overlap_scores(d, g, "kind", "doc", "grp", "m", common=10).select("grp", "score"))
+    assert got == [("g0", 6)]  # the 49 others cannot reach five
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_enclosing_spans_match_brute_force(spark, blocks, seed):
+    rnd = random.Random(seed)
+    spans = [(rnd.choice("ab"), i, *sorted((rnd.randrange(200), rnd.randrange(200)))) for i in range(25)] + [("a", 100, 0, 10_000_000), ("c", 101, 5, 5), (None, 102, 0, 9)]
+    points = [(rnd.choice("abc"), rnd.randrange(220), i) for i in range(60)] + [("a", 9_999_999, 99), ("a", 10_000_000, 98)]
+    want = sorted((d, p, i, s) for d, p, i in points for d2, s, lo, hi in spans if d == d2 and lo <= p < hi)
+    p, s = spark.createDataFrame(points, "doc string, pos long, id int"), spark.createDataFrame(spans, "doc string, span int, lo long, hi long")
+    assert rows(joins.enclosing_spans(p, s, "doc", "pos", "lo", "hi").select("doc", "pos", "id", "span")) == want
+
+
+def test_a_long_span_is_a_few_rows(spark):
+    df = spark.createDataFrame([(3, 10_000_000)], "lo long, hi long").select(F.explode(joins._nodes(F.col("lo"), F.col("hi"))).alias("n"))
+    covered = sorted((r.n.place << r.n.level, (r.n.place + 1) << r.n.level) for r in df.collect())
+    assert len(covered) <= 48 and covered[0][0] == 3 and covered[-1][1] == 10_000_000
+    assert all(a[1] == b[0] for a, b in zip(covered, covered[1:]))
+
+
 def test_contradiction_takes_the_whole_sentence(spark, blocks):
     a = spark.createDataFrame([(1, "x")], "day int, who string")
     b = spark.createDataFrame([(1, "x", "s1"), (1, "y", "s1"), (2, "x", "s2")], "day int, who string, sid string")
