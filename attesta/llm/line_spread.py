@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attesta.llm.common import BLANKS
+from attesta.session import scratch
 
 LOG_K = 8  # 256 registers
 ERROR = 1.04 / 2 ** (LOG_K / 2)  # relative standard error of the estimate
@@ -41,6 +42,12 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.col("source").alias("site"), "text", row_key().alias("key"))
 
 
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _lines(rows: DataFrame, *columns: str) -> DataFrame:
     lines = F.transform(F.split("text", "\n", -1), line_key)
     # the outer form keeps the optimizer from splitting every text a second time to test for emptiness
@@ -55,7 +62,8 @@ def boilerplate(docs: DataFrame, min_sites: int) -> DataFrame:
         F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LOG_K))).alias("sites"), F.min("doc_id").alias("first")
     )
     width = SIGMAS * ERROR
-    likely = spread.filter(F.col("sites") >= F.lit(min_sites * (1 - width)))
+    # written, so that adaptive execution can send a small list to all tasks, or split the occurrences of a hot line over tasks
+    likely = _stored(spread.filter(F.col("sites") >= F.lit(min_sites * (1 - width))), "line-spread")
     clear = likely.filter(F.col("sites") > F.lit(min_sites * (1 + width))).select("line", "first")
     near = likely.filter(F.col("sites") <= F.lit(min_sites * (1 + width))).select("line", "first")
     exact = (
@@ -79,7 +87,7 @@ def drop_boilerplate(docs: DataFrame, min_sites: int = 10) -> DataFrame:
     rows = _rows(docs)
     marks = (
         _lines(rows.filter("text is not null"), "doc_id", "key")
-        .join(boilerplate(docs, min_sites), "line")
+        .join(_stored(boilerplate(docs, min_sites), "boilerplate"), "line")
         .filter(F.col("first").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("first")))
         .groupBy("key").agg(F.collect_set("at").alias("cut"))  # at most the lines of one text
         .select(F.col("key").alias(KEY), F.col("cut").alias(CUT))
