@@ -74,7 +74,7 @@ def t3(t):
   SELECT b.item_id, coalesce(n = 1, false) AS located, CASE WHEN n = 1 THEN u.doc_id END AS doc_id, CASE WHEN n = 1 THEN page END AS page
   FROM benchmark b LEFT JOIN u USING (item_id)""")
 def t4(t):
-    spans = evidence.line_spans(t.documents, "doc_id", "text", 5)
+    spans = lambda docs: evidence.line_spans(docs, "doc_id", "text", 5)
     return evidence.locate(t.benchmark, "item_id", "text", t.documents, "doc_id", "text", spans)
 
 
@@ -98,7 +98,7 @@ def t4_pieces(t):
     n = F.length("text")
     cited = F.concat(F.col("text").substr(F.lit(1), F.floor(n / 3).cast("int")), F.lit("……"),
                      F.col("text").substr(F.floor(n / 2).cast("int"), n))
-    spans = evidence.line_spans(t.documents, "doc_id", "text", 5)
+    spans = lambda docs: evidence.line_spans(docs, "doc_id", "text", 5)
     return evidence.locate(t.benchmark.select("item_id", cited.alias("cited")), "item_id", "cited", t.documents, "doc_id", "text", spans)
 
 
