@@ -5,10 +5,14 @@
 2. From these sums the randomised (single-pass, Nyström) eigendecomposition of the TF-IDF Gram matrix gives the right
    singular vectors and values of the passages' TF-IDF matrix; its size is features × dimensions, whatever the corpus.
 3. A second pass maps every chunk of ``CHUNK`` words into the latent space; windows of several lengths are sums of chunks, and
-   their cosines with the benchmark items are one matrix product per block.  Windows near an item are candidates, and so is
-   every other window with enough words of the item (and of its answer) for step 4, so the cosine loses no leak.
+   their cosines with the benchmark items are one matrix product per block.  Windows near an item are its candidates.
 4. A candidate is a leak if the longest common subsequence of its words and the item's is long enough, or, for a paraphrase,
-   if it is shorter but the item's answer (its last words, or its own column) is there as well.
+   if it is shorter but the item's answer (its last words, or its own column) is there as well.  Counts of common words, which
+   no subsequence exceeds, settle most candidates.
+
+The cosine decides what is tested: at ``MIN_COSINE`` it passes over about 87 of 100 windows, and some altered items with them.
+``exact`` tests every window instead; the tests measure the recall of the search against it.  Items too short for a latent
+vector are looked for word by word.
 
 Nothing of the documents reaches the driver; the benchmark is the stated query set and its size is checked.
 """
@@ -30,6 +34,8 @@ SCALES = (2, 4, 8)  # window lengths in chunks
 ROW_BLOCK = 256  # rows of the sums that travel together
 HOLD_BYTES, SLICE, ITEMS = 1 << 20, 4096, 128
 MAX_QUERIES = 200_000
+MIN_COSINE = 0.2
+TASKS_PER_SUM = 1024  # tasks whose sums are added up first
 
 
 BLANK, SEGMENT = 32, 1 << 16
@@ -169,16 +175,24 @@ def fit(docs: DataFrame, dims: int = 64) -> Latent:
                 part = sums[b : b + ROW_BLOCK].astype(np.float32)
                 yield batch(schema, [[b], [passages], [counts[b : b + ROW_BLOCK].tobytes()], [part.tobytes()]])
 
-    def add(table: pa.Table) -> pa.Table:
+    def add(table: pa.Table, kind: type) -> pa.Table:
         total = [0, 0, 0]
-        for block, passages, counts, sums in rows_of(table.to_batches()):
+        for block, passages, counts, sums in rows_of(table.select(["block", "passages", "counts", "sums"]).to_batches()):
             total[0] += passages
             total[1] = total[1] + np.frombuffer(counts, np.int64)
-            total[2] = total[2] + np.frombuffer(sums, np.float32).astype(np.float64)
+            total[2] = total[2] + np.frombuffer(sums, kind).astype(np.float64)
         return pa.Table.from_batches([batch(schema, [[block], [total[0]], [total[1].tobytes()], [total[2].tobytes()]])])
 
+    def add_parts(table: pa.Table) -> pa.Table:
+        return add(table, np.float32)
+
+    def add_sums(table: pa.Table) -> pa.Table:
+        return add(table, np.float64)
+
     parts = docs.select(F.lit(None).cast("long").alias("key"), F.col("`text`").alias("text")).mapInArrow(run, ddl)
-    rows = sorted(parts.groupBy("block").applyInArrow(add, ddl).collect(), key=lambda r: r["block"])  # FEATURES / ROW_BLOCK rows
+    some = F.floor(F.spark_partition_id() / TASKS_PER_SUM)
+    sums = parts.withColumn("some", some).groupBy("block", "some").applyInArrow(add_parts, ddl)
+    rows = sorted(sums.groupBy("block").applyInArrow(add_sums, ddl).collect(), key=lambda r: r["block"])  # FEATURES / ROW_BLOCK rows
     test.unpersist()
     if not rows:
         return Latent(np.zeros((FEATURES + 1, dims), np.float32), np.zeros(dims))
@@ -250,6 +264,17 @@ def _common(features_: np.ndarray, first: np.ndarray, long: np.ndarray, number:
     return out
 
 
+def _said(has: np.ndarray, features_: np.ndarray, first: np.ndarray, long: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """How many words of each passage are among the answer's of its item."""
+    out = np.zeros(len(first), np.int64)
+    order = np.argsort(-long, kind="stable")
+    at, j, size = first[order], item[order], long[order]
+    for i in range(int(size[0]) if len(size) else 0):
+        live = np.searchsorted(-size, -i)  # longer than i
+        out[order[:live]] += has[features_[at[:live] + i], j[:live]]
+    return out
+
+
 @dataclass(frozen=True)
 class Query:
     """An item, or a part of a long one."""
@@ -273,6 +298,58 @@ def queries_of(item: int, text: str | None, answer: str | None, min_words: int)
     return [Query(item, tuple(p), tuple(said or p[-max(4, len(p) // 5) :])) for p in parts]
 
 
+def run_of(item: int, text: str | None, answer: str | None, min_words: int, min_run: int) -> Query | None:
+    """A short item as a run of words; one under ``min_run`` words is sought with its answer behind it."""
+    words, said = folded_words(text), folded_words(answer)
+    if len(words) >= min_words:
+        return None
+    if len(words) < min_run:
+        words, said = words + said, []
+    return Query(item, tuple(words), tuple(said)) if len(words) >= min_run else None
+
+
+def run_codes(features_: np.ndarray, n: int) -> np.ndarray:
+    """A number for every run of ``n`` features."""
+    out = np.zeros(max(0, len(features_) - n + 1), np.uint64)
+    for i in range(n):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + features_[i : i + len(out)] + np.uint64(1)
+    return out
+
+
+class Runs:
+    """Exact search of short items in the words of held texts."""
+
+    def __init__(self, wanted: Sequence[Query], answer_share: float):
+        self.by_length: dict[int, tuple[np.ndarray, dict[int, list[Query]]]] = {}
+        self.answer_share = answer_share
+        for n in sorted({len(q.words) for q in wanted}):
+            coded: dict[int, list[Query]] = {}
+            for q in wanted:
+                if len(q.words) == n:
+                    coded.setdefault(int(run_codes(features(b" ".join(q.words))[0], n)[0]), []).append(q)
+            self.by_length[n] = np.array(sorted(coded), np.uint64), coded
+
+    def found(self, held: Held) -> Iterator[tuple[int, Query, int, bool]]:
+        """Text, item, first word and whether an answer is near."""
+        begin = np.cumsum(held.sizes) - held.sizes
+        for n, (codes, coded) in self.by_length.items():
+            code = run_codes(held.features, n)
+            at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+            for i in np.flatnonzero(codes[at] == code).tolist():
+                d = int(np.searchsorted(begin, i, "right")) - 1
+                start, size, first = i - int(begin[d]), int(held.sizes[d]), int(begin[d])
+                if start + n > size:  # the run goes on in the next text
+                    continue
+                words = tuple(held.words(i, i + n))
+                for q in coded[int(code[i])]:
+                    if q.words != words:
+                        continue
+                    around = held.words(first + max(0, start - CHUNK), first + min(size, start + n + CHUNK + len(q.answer)))
+                    near = common_subsequence(places(q.answer), len(q.answer), around) >= self.answer_share * len(q.answer)
+                    if near:
+                        yield d, q, start, bool(q.answer)
+
+
 OUT = "doc_id long, item_id long, start_word long, end_word long, cosine double, lcs long, lcs_share double, answer_found boolean"
 
 
@@ -280,18 +357,22 @@ def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
     latent: Latent,
-    min_cosine: float = 0.5,
+    min_cosine: float = MIN_COSINE,
     min_share: float = 0.7,
     paraphrase_share: float = 0.45,
     answer_share: float = 0.8,
     min_words: int = 8,
+    min_run: int = 3,
+    exact: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs`` and item that it leaks, with the best passage: OUT.
 
     Words are lower-case without ASCII punctuation.  Items need an item_id and text; an ``answer`` column is used where there
-    is one.  Items of fewer than ``min_words`` words and null items are not looked for, as they name no passage; items of
-    more than 64 words are looked for in overlapping parts, and the best part counts.  Items repeated under one item_id are
-    all looked for.  Null and empty texts leak nothing; a null doc_id is passed through; repeated rows leak alike; empty
+    is one.  Items of fewer than ``min_words`` words are looked for word by word, as a run without gaps, with their answer
+    near it where the column gives one (cosine and share are 1); items under ``min_run`` words only with their answer right
+    behind them, and if that makes fewer than ``min_run`` words or the item is null not at all, as it names no passage.  Items
+    of more than 64 words are looked for in overlapping parts, and the best part counts.  Items repeated under one item_id are
+    all looked for.  ``exact`` tests every window, whatever its cosine.  Null and empty texts leak nothing; a null doc_id is passed through; repeated rows leak alike; empty
     tables give no rows.  Further columns are ignored.  Of equally good passages the first counts.
     """
     columns = [F.col("`item_id`"), F.col("`text`"), F.col("`answer`") if "answer" in benchmark.columns else F.lit(None).cast("string")]
@@ -299,15 +380,17 @@ def leaks(
     if len(items) > MAX_QUERIES:
         raise ValueError(f"more than {MAX_QUERIES} benchmark items; search them in several calls")
     asked = sorted({q for i, t, a in items for q in queries_of(i, t, a, min_words)}, key=lambda q: (q.item, q.words, q.answer))
+    short = {run_of(i, t, a, min_words, min_run) for i, t, a in items} - {None}
     schema = arrow_schema(OUT)
-    shared = docs.sparkSession.sparkContext.broadcast((latent, asked))  # bounded by FEATURES and MAX_QUERIES
+    shared = docs.sparkSession.sparkContext.broadcast((latent, asked, short))  # bounded by FEATURES and MAX_QUERIES
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        space, wanted = shared.value
-        if not wanted:
+        space, wanted, brief = shared.value
+        if not wanted and not brief:
             return
-        vectors = np.stack([space.vector(q.words) for q in wanted])
-        size = np.array([len(q.words) for q in wanted])
+        runs = Runs(sorted(brief, key=lambda q: (q.item, q.words, q.answer)), answer_share)
+        vectors = np.array([space.vector(q.words) for q in wanted], np.float32).reshape(len(wanted), space.words.shape[1])
+        size = np.array([len(q.words) for q in wanted], np.int64)
         near = [np.abs(np.log(size / (CHUNK * s))) for s in SCALES]  # each item at the scale nearest its length
         scale = np.argmin(np.stack(near), 0)
         margin = CHUNK + np.maximum(0, size - CHUNK * np.array(SCALES)[scale])  # words tested on both sides of a window
@@ -338,6 +421,14 @@ def leaks(
             left = np.repeat(first + chunks, chunks) - np.arange(len(v))  # chunks of the document from here on
             doc_of, first_of = np.repeat(np.arange(len(sizes)), chunks), first
             best: dict[tuple[int, int], tuple] = {}
+
+            def note(key: tuple[int, int], found: tuple) -> None:
+                if key not in best or found < best[key]:
+                    best[key] = found
+
+            for d, query, start, answered in runs.found(held):
+                n = len(query.words)
+                note((d, query.item), (-1.0, start, start + n, 1.0, n, answered))
             done = 1
             for k, span in enumerate(SCALES):
                 while done < span:  # windows of twice the length: a window and the one behind it
@@ -345,7 +436,7 @@ def leaks(
                     done *= 2
                 if not len(sought[k]):
                     continue
-                size_of = np.maximum(np.sqrt(np.einsum("ij,ij->i", v, v)), 1e-12)
+                unit = v / np.maximum(np.sqrt(np.einsum("ij,ij->i", v, v)), np.float32(1e-12))[:, None]
                 for m, some in sought[k]:
                     number, has = np.zeros((FEATURES + 1, len(some)), np.uint8), np.zeros((FEATURES + 1, len(some)), np.uint8)
                     for j, q in enumerate(some.tolist()):
@@ -354,26 +445,32 @@ def leaks(
                     n, a = size[some], np.array([len(wanted[q].answer) for q in some.tolist()])
                     least, most = (np.ceil(x * n - 1e-9).astype(np.int64) for x in (paraphrase_share, min_share))
                     told = np.ceil(answer_share * a - 1e-9).astype(np.int64)
-                    member = (number > 0).view(np.uint8)
+                    few, member, asked_for = least.astype(np.uint8), (number > 0).view(np.uint8), vectors[some].T
                     picked = []
                     for lo in range(0, len(v), SLICE):
                         hi = min(lo + SLICE, len(v))
                         here = np.arange(lo, hi)
+                        cos = unit[lo:hi] @ asked_for
                         from_ = np.maximum(first_of[doc_of[lo:hi]], here - m)
                         to = np.minimum(here + left[lo:hi], here + span + m)
                         base, top = int(from_[0]), int(to.max())
                         words = _running(member, f[base * CHUNK : top * CHUNK])
                         words = words[to - base] - words[from_ - base]  # at least the common words of passage and item
-                        answer = _running(has, f[base * CHUNK : top * CHUNK])
-                        answer = answer[to - base] - answer[from_ - base]
-                        possible = (words >= most) | (words >= least) & (answer >= told)
-                        cos = v[lo:hi] @ vectors[some].T / size_of[lo:hi, None]
-                        near_i, near_j = np.nonzero(possible | (cos >= min_cosine))
-                        picked.append((near_i + lo, near_j, cos[near_i, near_j]))
-                    near_i, near_j, cosines = (np.concatenate(x) for x in zip(*picked))
+                        likely = words >= few
+                        if not exact:
+                            likely &= cos >= min_cosine
+                        near_i, near_j = np.divmod(np.flatnonzero(likely), len(some))
+                        picked.append((near_i + lo, near_j, cos[near_i, near_j], words[near_i, near_j]))
+                    near_i, near_j, cosines, words = (np.concatenate(x) for x in zip(*picked))
                     d, q = doc_of[near_i], some[near_j]
                     s = (near_i - first_of[d]) * CHUNK
                     from_, to = np.maximum(0, s - margin[q]), np.minimum(sizes[d], s + CHUNK * span + margin[q])
+                    # too few words of the item for its own sake need its answer
+                    open_ = np.flatnonzero(words < most[near_j])
+                    answer = _said(has, held.features, begin[d[open_]] + from_[open_], (to - from_)[open_], near_j[open_])
+                    likely = np.ones(len(d), bool)
+                    likely[open_] = answer >= told[near_j[open_]]
+                    d, q, near_j, cosines, from_, to = (x[likely] for x in (d, q, near_j, cosines, from_, to))
                     # no common subsequence is longer than that of the words' features
                     bound = _common(held.features, begin[d] + from_, to - from_, number, near_j, where[some], size[q])
                     likely = np.flatnonzero(bound >= least[near_j])
@@ -386,10 +483,7 @@ def leaks(
                         share, a = lcs / n, query.answer
                         answered = common_subsequence(said[q], len(a), passage) >= answer_share * len(a)
                         if share >= min_share or share >= paraphrase_share and answered:
-                            found = (-share, begin_, end, cosine, lcs, bool(answered))
-                            key = (d, query.item)
-                            if key not in best or found < best[key]:
-                                best[key] = found
+                            note((d, query.item), (-share, begin_, end, cosine, lcs, bool(answered)))
             out = [(held.keys[d], item, b, e_, c, lcs, -s, a) for (d, item), (s, b, e_, c, lcs, a) in sorted(best.items())]
             if out:
                 yield batch(schema, list(zip(*out)))

@@ -91,11 +91,81 @@ def test_altered_items_against_all_windows(spark):
                     if share >= 0.7 or share >= 0.45 and answered:
                         want.add((d, i))
     frame = spark.createDataFrame(docs, "doc_id long, text string")
-    found = ll.leaks(frame, spark.createDataFrame(bench, "item_id long, text string"), ll.fit(corpus))
+    found = ll.leaks(frame, spark.createDataFrame(bench, "item_id long, text string"), ll.fit(corpus), exact=True)
     got = {(r.doc_id, r.item_id) for r in found.collect()}
     assert got == want and planted <= got
 
 
+def test_recall_of_the_search_by_band(spark):
+    """Against the search of all windows, short and long items, by the share of words kept; the cosine decides."""
+    rng = random.Random(6)
+    bench = [(r.item_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet").orderBy("item_id").collect()]
+    corpus = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = [r.text for r in corpus.filter("length(text) > 400").orderBy("doc_id").limit(500).collect()]
+    other = [w for t in texts[400:] for w in t.split()]
+    docs, plants = [], {}
+    for band, (low, high) in enumerate(((0.45, 0.6), (0.6, 0.7), (0.7, 1.0))):
+        for d in range(400):
+            item_id, text = bench[d % len(bench)]
+            item, words = text.split(), texts[d].split()
+            answer = len(ll.queries_of(0, text, None, 8)[0].answer)
+            kept = max(answer, math.ceil(rng.uniform(low, high) * len(item)))
+            lost = set(rng.sample(range(len(item) - answer), len(item) - kept))
+            at = rng.randrange(len(words))
+            docs.append((len(docs), " ".join(words[:at] + [rng.choice(other) if i in lost else w for i, w in enumerate(item)] + words[at:])))
+            plants[docs[-1][0]] = band, len(item) < 24, item_id
+    frame, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
+    space = ll.fit(corpus)
+    search = lambda **more: {(r.doc_id, r.item_id) for r in ll.leaks(frame, items, space, **more).collect()}
+    got, want = search(), search(exact=True)
+    assert got <= want and search(min_cosine=0.6) < got and not search(min_cosine=9.0)
+    for band in range(3):
+        for short in (True, False):
+            there = {(d, i) for d, (b, s, i) in plants.items() if (b, s) == (band, short)} & want
+            recall = len(there & got) / len(there)
+            print(f"band {band} {'short' if short else 'long'} of {len(there)}: {recall:.3f}")
+            assert len(there) >= 60 and recall >= 0.9
+    assert len(got) >= 0.95 * len(want)
+
+
+def test_short_items_are_runs_of_words(documents, spark):
+    bench = spark.createDataFrame(
+        [(1, "Who wrote Middlemarch?", None), (2, "What boils first?", "ether"), (3, "Why?", "because it rained"), (4, "Why?", None), (5, "so it goes", None)],
+        "item_id long, text string, answer string",
+    )
+    filler = "many other words stand here "
+    docs = documents(
+        (1, filler + "who wrote Middlemarch, they asked"),
+        (2, filler + "who never wrote middlemarch"),
+        (3, filler + "what boils first? Ether does"),
+        (4, filler + "what boils first " + filler * 5 + "ether"),
+        (5, filler + "Why? Because it rained."),
+        (6, "why " + filler),
+        (7, "he ends with so it"),
+        (8, "goes on"),
+        (9, "so it goes so it goes"),
+    )
+    found = ll.leaks(docs, bench, ll.fit(docs, 8)).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(1, 1), (3, 2), (5, 3), (9, 5)}
+    assert [(r.start_word, r.end_word, r.lcs_share, r.cosine) for r in found if r.doc_id == 9] == [(0, 3, 1.0, 1.0)]
+
+
+def test_runs_with_equal_codes_are_checked_on_their_words(monkeypatch):
+    monkeypatch.setattr(ll, "run_codes", lambda f, n: ll.np.zeros(max(0, len(f) - n + 1), ll.np.uint64))
+    text = b"a b c a b d"
+    f, begin, end = ll.features(text)
+    held = ll.Held([7], ll.np.array([6]), text, f, begin, end)
+    runs = ll.Runs([ll.Query(1, (b"a", b"b", b"d"), ()), ll.Query(2, (b"a", b"b", b"x"), ())], 0.8)
+    assert [(d, q.item, s) for d, q, s, _ in runs.found(held)] == [(0, 1, 3)]
+
+
+def test_sums_of_many_tasks_add_up_in_two_levels(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").repartition(6, "doc_id")
+    whole = ll.fit(docs, 8)
+    monkeypatch.setattr(ll, "TASKS_PER_SUM", 2)
+    assert np.allclose(ll.fit(docs, 8).values, whole.values, rtol=1e-4)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.sampled_from([b"a", b"b", b"c", b"d"]), min_size=1, max_size=64), st.lists(st.sampled_from([b"a", b"b", b"c"]), max_size=90))
 def test_common_subsequence_of_many_passages(a, b):
