@@ -1,7 +1,8 @@
 """Connected components by alternating large and small stars.
 
 Each round hangs every node's larger neighbours, then its smaller ones, on the least node around it; a node's neighbours are
-never gathered, they meet the minimum by a join.  Edges of each round are a written table in the shared folder.
+never gathered, they meet the minimum by a join.  Edges and minima of each round are written tables in the shared folder: a
+join with a stored minimum is split by adaptive execution where a hub has many edges, one with an aggregate on its key is not.
 """
 
 from __future__ import annotations
@@ -33,9 +34,9 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if not last[0]:
             break
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = stored(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")))
+        large = stored(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        least = stored(large.groupBy("u").agg(F.min("v").alias("m")))
         hung = large.join(least, "u").select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v"))
         )).alias("e")).select("e.u", "e.v")

@@ -150,21 +150,28 @@ def ngram_join(
     """
     spark = docs.sparkSession
     bands = choose_bands(threshold, recall, rows)
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        """The small side of a join on a key that may be hot: against a stored table the other side can be split."""
+        path = scratch(spark, name)
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
     base = docs.select(F.col("`doc_id`").alias("doc_id"), F.col("`text`").alias("text"))
-    path = scratch(spark, "signatures")
-    signatures(base, bands, rows, n).write.parquet(path)
-    signed = spark.read.parquet(path)
+    signed = stored(signatures(base, bands, rows, n), "signatures")
 
     nodes = signed.filter("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"), F.min("key").alias("key"), F.min("bands").alias("bands")
     )
     bucket = nodes.select("node", F.posexplode("bands").alias("band", "hash"))
     least = bucket.groupBy("band", "hash").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    least = stored(least.drop("n"), "buckets")
     stars = bucket.join(least, ["band", "hash"]).select(F.col("node").alias("u"), F.col("least").alias("v"))
     found = components(stars)
 
     # members of components, dealt to block pairs
     sizes = found.groupBy("label").agg(F.count(F.lit(1)).alias("n")).select("label", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    sizes = stored(sizes, "sizes")
     members = (
         nodes.select("node", "key", "copies").join(found, "node").join(sizes, "label")
         .withColumn("part", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -177,16 +184,14 @@ def ngram_join(
     )
     parts = spark.conf.get("spark.sql.shuffle.partitions")
     dealt = dealt.repartition(int(parts), "work").sortWithinPartitions("work", "label", "i", "j", "node")
-    path = scratch(spark, "verified")
-    dealt.mapInArrow(_verifier(threshold, n), VERIFIED).write.parquet(path)
-    checked = spark.read.parquet(path)
+    checked = stored(dealt.mapInArrow(_verifier(threshold, n), VERIFIED), "verified")
 
     links = checked.groupBy("node").agg(F.sum("links").alias("links"))
     # a component that one task saw whole is settled; the others' pieces are joined up
     across = components(checked.filter("split").select(F.col("node").alias("u"), F.col("root").alias("v")))
     label = checked.filter("not split").select("node", F.col("root").alias("label")).unionByName(across)
     known = nodes.select("node", "first", "copies").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    classes = known.groupBy("label").agg(F.min("first").alias("class_id"))
+    classes = stored(known.groupBy("label").agg(F.min("first").alias("class_id")), "classes")
     known = known.join(classes, "label").join(links, "node", "left").select(
         "node", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
