@@ -1,7 +1,8 @@
 """Secret scans: a random forest takes false positives out of the candidates.
 
-A candidate is a run of token characters with a digit in it, or a value assigned to a name like ``password``.  Its features are its
-length, the character transitions in it (log-probabilities under a model counted over all documents), how much of it a
+A candidate is a run of token characters with a digit in it, a value assigned to a name like ``password`` (``dbPassword`` too),
+a token with a well-known prefix, dots included, what follows ``Bearer``, the password of a URL, or the header of a private key.
+Its features are its length, the character transitions in it (log-probabilities under a model counted over all documents), how much of it a
 dictionary covers, its path, and its neighbouring words.  Spark's random forest is trained on labelled findings, a bounded
 sample (``max_findings``, a parameter), and scores every candidate.
 """
@@ -26,16 +27,23 @@ from attesta.session import scratch
 
 # fixed values: names that hold secrets, well-known token prefixes, marks of placeholders and of sample paths
 NAMES = r"passw(?:or)?d|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential|private[_-]?key"
-PREFIXES = re.compile(r"^(AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|xox[abprs]-|sk-|sk_live_|rk_live_|glpat-|AIza|eyJ|SG\.)")
+PREFIX = r"AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|xox[abprs]-|sk-|sk_live_|rk_live_|glpat-|AIza|eyJ|SG\."
+KEY_HEADER = r"-----BEGIN (?:[A-Z0-9]{1,12} ){0,3}PRIVATE KEY-----"
+PREFIXES = re.compile(rf"^(?:{PREFIX}|{KEY_HEADER})")
 PLACEHOLDER = re.compile(r"example|sample|dummy|change.?me|your.?|placeholder|x{4,}|test|0{6,}|1234", re.I)
 SAMPLE_PATH = re.compile(r"test|example|sample|doc|fixture|mock", re.I)
 _CANDIDATE = re.compile(
-    rf"(?P<name>(?<![A-Za-z])(?:{NAMES})\"?\s{{0,3}}[=:]\s{{0,3}}[\"']?)(?P<value>[^\s\"'<>,;]{{6,}})"
+    rf"(?P<name>(?:(?<![A-Za-z])|(?-i:(?<=[a-z])(?=[A-Z])))(?:{NAMES})\"?\s{{0,3}}[=:]\s{{0,3}}[\"']?(?:(?:bearer|basic)\s{{1,3}})?)(?P<value>[^\s\"'<>,;]{{6,}})"
+    r"|(?<![A-Za-z])bearer\s{1,3}(?P<bearer>[A-Za-z0-9._~+/\-]{12,}={0,2})"
+    r"|(?<![A-Za-z])[a-z][a-z0-9+.\-]{1,20}://[^\s:/@\"'<>]{1,64}:(?P<url>[^\s/@\"'<>]{3,200})@"
+    rf"|(?-i:{KEY_HEADER})"
+    rf"|(?<![A-Za-z0-9+/_\-])(?-i:{PREFIX})[A-Za-z0-9_\-]{{6,}}(?:\.[A-Za-z0-9_\-]{{4,}})*"
     r"|(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{12,}={0,2}",
     re.I,
 )
-_ASSIGNED = re.compile(rf"(?:{NAMES})\"?\s*[=:]\s*[\"']?$", re.I)
+_ASSIGNED = re.compile(rf"(?:(?:{NAMES})\"?\s*[=:]\s*[\"']?(?:(?:bearer|basic)\s+)?|bearer\s+|://[^\s:/@\"'<>]{{1,64}}:)$", re.I)
 _HEX = re.compile(r"[0-9a-f]+$|[0-9A-F]+$")
+LONGEST = 24  # letters of a dictionary word
 AROUND = 48  # characters of each neighbourhood
 CLASSES = 63
 FEATURES = (
@@ -78,14 +86,14 @@ def dictionary(path: str) -> frozenset[str]:
     with open(path, encoding="utf-8") as f:
         pieces = json.load(f)["model"]["vocab"]
     words = (p.removesuffix("</w>") for p in pieces if p.endswith("</w>"))
-    return frozenset(w for w in words if 4 <= len(w) <= 12 and w.isalpha())
+    return frozenset(w for w in words if 4 <= len(w) <= LONGEST and w.isalpha())
 
 
 def coverage(value: str, words: frozenset[str]) -> float:
     """Share of the characters that dictionary words cover, longest first from the left."""
     low, i, covered = value.lower(), 0, 0
     while i < len(low):
-        for n in range(min(12, len(low) - i), 3, -1):
+        for n in range(min(LONGEST, len(low) - i), 3, -1):
             if low[i : i + n] in words:
                 covered += n
                 i += n
@@ -101,7 +109,7 @@ def describe(value: str, before: str, after: str, path: str | None, logp: np.nda
     counts, n = np.array(list(Counter(value).values())), len(value)
     share = counts / n
     kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.isalpha() else "s" for c in value]
-    near = lambda x: [w for w in re.findall(r"[^\W\d_]+", x.lower()) if len(w) > 3][:6]
+    near = lambda x: [w for w in re.findall(r"[^\W\d_]+", x.lower()) if len(w) > 3]
     known = lambda ws: sum(w in words for w in ws) / len(ws) if ws else 0.0
     return [
         math.log(n), float(steps.mean()), float(steps.min()), coverage(value, words),
@@ -117,7 +125,7 @@ def describe(value: str, before: str, after: str, path: str | None, logp: np.nda
 def find(text: str | None) -> Iterator[tuple[int, str, str, str]]:
     """(start, value, before, after) of each candidate; positions count characters."""
     for m in _CANDIDATE.finditer(text or ""):
-        a, b = m.span("value") if m["value"] is not None else m.span()
+        a, b = m.span(m.lastgroup or 0)
         yield a, text[a:b], text[max(0, a - AROUND) : a], text[b : b + AROUND]
 
 
