@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 IGNORED_MARKS = r"〔p\d+〕|<[^<>\n]{0,40}>"
 WHITE_SPACE = " \t\n\x0b\f\r"
 WORD_CHARS = r"[^\p{L}\p{N}]"
+# letters with one capital; all lie below 0x20000
+CAPITALS = {c: u for c in map(chr, range(0x20000)) for u in [c.upper() if len(c.upper()) == 1 else c.title()] if len(u) == 1 and u != c} | {"ß": "ẞ"}
 
 
 def squash(text: Column) -> Column:
@@ -34,6 +36,11 @@ def kept_positions(text: Column) -> Column:
     return F.filter(at, lambda i: i.isNotNull())
 
 
+def upper(text: Column) -> Column:
+    """Capitals one for one, so the length stays: ß → ẞ, and a letter without a single capital (ﬁ) is left; Spark's own gives SS and FI."""
+    return F.translate(text, "".join(CAPITALS), "".join(CAPITALS.values()))
+
+
 def word_chars(text: Column) -> Column:
     return F.regexp_replace(text, WORD_CHARS, "")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from attesta.functions import text
 from attesta.operators import evidence, joins, linking
 from attesta.plans.registry import plan
 from attesta.scale import micros
@@ -356,5 +357,5 @@ def j27(t):
   SELECT w.doc_id, w.raw, coalesce(f.fixed, w.raw) AS name FROM w LEFT JOIN f ON w.doc_id = f.doc_id AND w.raw = f.raw""")
 def j28(t):
     rows = t.documents.select("doc_id", F.split_part("text", F.lit(" "), F.lit(1)).alias("raw"))
-    fixes = rows.join(t.labels.filter("quality = 1"), "doc_id", "left_semi").withColumn("fixed", F.upper("raw"))
+    fixes = rows.join(t.labels.filter("quality = 1"), "doc_id", "left_semi").withColumn("fixed", text.upper(F.col("raw")))
     return joins.scoped_fixes(rows, fixes, "doc_id", "raw")

@@ -106,3 +106,8 @@ def test_merged_label(spark):
     lines = ["so it is Ann Lee：", "so it is Lee: ", "Ann Lee:", "so it is Lee", "nobody:", None]
     got = one(spark, lines, lambda c: text.merged_label(c, known))
     assert [tuple(g) if g else None for g in got] == [("so it is ", "Ann Lee"), ("so it is ", "Lee"), ("Ann ", "Lee"), None, None, None]
+
+
+def test_upper_keeps_the_length(spark):
+    given = ["Erß", "ﬁn ŉ ᾳ ᾲ", "straße é ø 𐐨", "", None]
+    assert one(spark, given, text.upper) == ["ERẞ", "ﬁN ŉ ᾼ ᾲ", "STRAẞE É Ø 𐐀", "", None]

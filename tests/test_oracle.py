@@ -29,3 +29,14 @@ def test_rows_only_plans_run(spark):
 def test_large_group_path_gives_the_same(spark, con, tiny_blocks, name):
     problem, _ = compare(queries()[name](spark, f"{DATA}/sf{SF}"), con, oracle_sql()[name])
     assert problem is None, problem
+
+
+def test_scoped_fix_of_letters_without_a_single_capital(spark, con, tmp_path):
+    docs = [(1, "Erß war"), (2, "ﬁn"), (3, "ça va"), (4, "weiß"), (5, ""), (6, None)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(i != 4)) for i, _ in docs], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    own = con.cursor()
+    for name in ("documents", "labels"):
+        own.execute(f"CREATE TEMP VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    problem, n = compare(queries()["j28_scoped_fix"](spark, str(tmp_path)), own, oracle_sql()["j28_scoped_fix"])
+    assert problem is None and n == 6, problem
