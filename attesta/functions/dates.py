@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 ERA_OFFSET = 1911
 NUMERALS = "一二三四五六七八九"
 TEN = "十"
+WRITTEN = f"[{NUMERALS}]?{TEN}[{NUMERALS}]?|[{NUMERALS}]"
 
 
 def era_date(text: Column) -> Column:
@@ -27,19 +28,15 @@ def era_date(text: Column) -> Column:
     return F.try_to_date(F.format_string("%04d-%02d-%02d", year, part(2), part(3)), "yyyy-MM-dd")
 
 
+def _in_digits(text: Column) -> Column:
+    """Valid numerals written as digits: 十 → 10, 三十 → 30, 二十一 → 21; the rest stays."""
+    tens = F.regexp_replace(text, f"(?<![{NUMERALS}]){TEN}", NUMERALS[0] + TEN)
+    return F.translate(F.regexp_replace(tens, f"{TEN}(?![{NUMERALS}])", "0"), NUMERALS + TEN, "123456789")
+
+
 def numeral(text: Column) -> Column:
     """Numeral 1-99 (or plain digits) → int; null for anything else."""
-    digit = F.create_map(*[x for i, c in enumerate(NUMERALS) for x in (F.lit(c), F.lit(i + 1))])
-    tens = F.regexp_extract(text, f"^([{NUMERALS}]?){TEN}([{NUMERALS}]?)$", 1)
-    ones = F.regexp_extract(text, f"^([{NUMERALS}]?){TEN}([{NUMERALS}]?)$", 2)
-    return (
-        F.when(text.rlike(r"^\d{1,2}$"), text.try_cast("int"))
-        .when(text.rlike(f"^[{NUMERALS}]$"), F.try_element_at(digit, text))
-        .when(
-            text.rlike(f"^[{NUMERALS}]?{TEN}[{NUMERALS}]?$"),
-            F.coalesce(F.try_element_at(digit, tens), F.lit(1)) * 10 + F.coalesce(F.try_element_at(digit, ones), F.lit(0)),
-        )
-    )
+    return F.when(text.rlike(rf"\A(\d{{1,2}}|{WRITTEN})\z"), _in_digits(text).try_cast("int"))
 
 
 def to_numeral(n: Column) -> Column:
@@ -54,17 +51,18 @@ def to_numeral(n: Column) -> Column:
 
 
 def range_list(text: Column) -> Column:
-    """``第8.13-十六及3`` → [3, 8, 13, 14, 15, 16]: digits or numerals, in ascending order, each once; null for anything else."""
-    number = lambda s: F.coalesce(F.when(s.rlike(r"^\d{1,4}$"), s.try_cast("int")), numeral(s))
-
-    def span(part: Column) -> Column:
-        ends = F.split(part, "[-–~]")
-        low = number(F.get(ends, F.lit(0)))
-        high = F.when(F.size(ends) == 1, low).when(F.size(ends) == 2, number(F.get(ends, F.lit(1))))
-        return F.when(low <= high, F.sequence(low, high))
-
-    spans = F.transform(F.split(F.regexp_replace(text, r"\s|第", ""), "[、,，.及]"), span)
-    return F.array_sort(F.array_distinct(F.flatten(spans)))  # a null span makes the whole null
+    """``第8.13-十六及3`` → [3, 8, 13, 14, 15, 16]: digits or numerals, in ascending order, each once; null for anything else.
+
+    The whole list is tested and rewritten in digits before it is cut, as functions of elements are interpreted.
+    """
+    number, marks = rf"(\d{{1,4}}|{WRITTEN})", "[、,，.及]"
+    span = f"{number}([-–~]{number})?"
+    bare = F.regexp_replace(text, r"\s|第", "")
+    plain = F.translate(_in_digits(bare), "–~、，.及", "--,,,,")
+    spans = F.transform(F.transform(F.split(plain, ","), lambda p: F.split(p, "-").try_cast("array<int>")), lambda e: F.when(
+        e[0] <= F.element_at(e, -1), F.sequence(e[0], F.element_at(e, -1))))
+    found = F.sort_array(F.array_distinct(F.flatten(spans)))  # a null span makes the whole null
+    return F.when(bare.rlike(rf"\A{span}({marks}{span})*\z"), found)
 
 
 def number_ranges(text: Column) -> Column:

@@ -101,6 +101,12 @@ def test_range_list(spark):
     assert one(spark, ["1, x", "2-y"], dates.number_ranges) == [None, None]
 
 
+def test_numerals_inside_lists(spark):
+    texts = ["十、三十", "二十一–二十三及十一~十二", "一-3，0，九十九", "一二", "二十十", "3、", "、3", "-3", "12345", "1十"]
+    assert one(spark, texts, dates.range_list) == [[10, 30], [11, 12, 21, 22, 23], [0, 1, 2, 3, 99], *[None] * 7]
+    assert one(spark, ["十", "二十", "十九", "七十五", "7", "07", "123", "", None], dates.numeral) == [10, 20, 19, 75, 7, 7, None, None, None]
+
+
 def test_merged_label(spark):
     known = F.array(*[F.lit(k) for k in ("Lee", "Ann Lee", "")])
     lines = ["so it is Ann Lee：", "so it is Lee: ", "Ann Lee:", "so it is Lee", "nobody:", None]

@@ -39,3 +39,8 @@ def test_no_cross_products(spark, name):
 
 def test_top_n_is_pruned_before_the_shuffle(spark):
     assert "WindowGroupLimit" in explain(queries()["o2_newest_n_hidden"](spark, f"{DATA}/sf0.001"))
+
+
+def test_a_range_list_is_tested_once_as_a_whole(spark):
+    plan = explain(queries()["f7_range_list"](spark, f"{DATA}/sf0.001")).upper()
+    assert 1 <= plan.count("RLIKE") <= 2  # the list and the one with junk; never per element or per column
