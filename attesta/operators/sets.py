@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from attesta.scale import stored
+
 
 def symmetric_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows on one side more often than on the other: (row, side, n), from one combined count."""
@@ -24,8 +26,14 @@ def in_both(a: DataFrame, b: DataFrame, group: Sequence[str], member: str) -> Da
 
 
 def cached_merge(cached: DataFrame, fresh: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Fresh rows replace cached rows of the same key; the others stay."""
-    return cached.join(fresh.select(*key).distinct(), list(key), "left_anti").unionByName(fresh)
+    """Fresh rows replace cached rows of the same key; the others stay.
+
+    Fresh rows and then their keys are written, so that they are worked out once and no task holds tables of groups and sorted
+    rows at the same time.
+    """
+    fresh = stored(fresh, "fresh-rows")
+    keys = stored(fresh.select(*key).distinct(), "fresh-keys")
+    return cached.join(keys, list(key), "left_anti").unionByName(fresh)
 
 
 def coverage(universe: DataFrame, assigned: DataFrame, unit: str, office: str | None = None) -> DataFrame:

@@ -44,3 +44,8 @@ def test_top_n_is_pruned_before_the_shuffle(spark):
 def test_a_range_list_is_tested_once_as_a_whole(spark):
     plan = explain(queries()["f7_range_list"](spark, f"{DATA}/sf0.001")).upper()
     assert 1 <= plan.count("RLIKE") <= 2  # the list and the one with junk; never per element or per column
+
+
+def test_fresh_rows_are_worked_out_before_the_merge(spark):
+    plan = explain(queries()["u5_cached_merge"](spark, f"{DATA}/sf0.001"))
+    assert "lineitem" not in plan and "Aggregate" not in plan  # a table of groups would stay beside the sorted rows of the join
