@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,10 +68,10 @@ def status_mark(name: Column) -> Column:
     )
 
 
-@F.pandas_udf(T.StringType())
-def nfkc(text: pd.Series) -> pd.Series:
-    """Unicode compatibility form; the one normalisation Spark has no expression for."""
-    return text.str.normalize("NFKC")
+@F.udf(T.StringType(), useArrow=False)
+def nfkc(text: str | None) -> str | None:
+    """Unicode compatibility form; the one normalisation Spark has no expression for.  Rows go in hundreds: ten thousand long texts would fill a worker."""
+    return text if text is None else unicodedata.normalize("NFKC", text)
 
 
 @F.pandas_udf(T.ArrayType(T.IntegerType()))

@@ -117,3 +117,7 @@ def test_merged_label(spark):
 def test_upper_keeps_the_length(spark):
     given = ["Erß", "ﬁn ŉ ᾳ ᾲ", "straße é ø 𐐨", "", None]
     assert one(spark, given, text.upper) == ["ERẞ", "ﬁN ŉ ᾼ ᾲ", "STRAẞE É Ø 𐐀", "", None]
+
+
+def test_compatibility_form_of_odd_texts(spark):
+    assert one(spark, ["ﬁ①", "e\u0301", "", None, "가"], names.nfkc) == ["fi1", "é", "", None, "가"]

@@ -49,3 +49,8 @@ def test_a_range_list_is_tested_once_as_a_whole(spark):
 def test_fresh_rows_are_worked_out_before_the_merge(spark):
     plan = explain(queries()["u5_cached_merge"](spark, f"{DATA}/sf0.001"))
     assert "lineitem" not in plan and "Aggregate" not in plan  # a table of groups would stay beside the sorted rows of the join
+
+
+def test_whole_texts_do_not_go_to_python_in_large_batches(spark):
+    plan = explain(queries()["f4_nfkc"](spark, f"{DATA}/sf0.001"))
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
