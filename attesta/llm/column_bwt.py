@@ -4,19 +4,22 @@ A window is a string of ``width`` bytes.  Its anchor is the leftmost of its 16-b
 windows have equal anchors wherever they stand; consecutive windows on one anchor form a segment of a document.  That lets
 Spark bring together, by anchor, everything that can be equal:
 
-1. anchors are shuffled by hash; those that stand in one document only are done;
-2. segments on shared anchors are shuffled by anchor;  each bucket of them is one collection of short strings, built column
-   by column: every round puts one more symbol in front of each string's suffix, finds where the longer suffixes belong
-   from the ranks in the transform so far, and merges them into the transform and its common-prefix array in one
-   sequential pass;
+1. documents are dealt into groups; each group sends its anchors, each once, to buckets by hash, and is told which of them
+   other groups have as well; anchors that stand in one document only are done;
+2. segments on shared anchors are shuffled by anchor, equal ones of a group as one.  In a bucket they are cut into parts, and
+   parts that have the same bytes around their anchor are brought together, all but eight bytes of a window; a part alone
+   with its bytes is done.  Some of these sets make a collection of short strings that is built column by column: every round puts
+   one more symbol in front of each string's suffix, finds where the longer suffixes belong from the ranks in the
+   transform so far, and merges them into the transform and its common-prefix array in one sequential pass;
 3. runs of common prefixes of ``width`` or more are classes of equal windows; a window goes if its class starts in a document
    with a smaller doc_id;
 4. the windows to remove meet their documents again, and bytes are removed.
 
-Rounds number at most 2 × ``width`` whatever the length of the documents.  Copies are combined before each shuffle: in a task,
-of equal anchors or equal segments only those of the smallest doc_id travel, the others are settled where they are.  A bucket
-is about ``bucket_bytes`` of text, so the columns stay in memory and spill is left to Spark's own shuffle files.  The distinct
-segments on one anchor are not split, so a bucket with a very frequent one is larger, without a bound.
+Rounds number at most ``width`` + 8 whatever the length of the documents.  Copies are combined before each shuffle: of equal
+anchors or equal segments of a group only one travels, and of segments that of the smallest doc_id; the others are settled where
+they are.  A bucket is about ``bucket_bytes`` of text, so the columns stay in memory and spill is left to Spark's own shuffle files.
+A set of parts that is too large for a collection is cut into shorter parts, so collections are bounded; the distinct segments
+on one anchor still meet in one task, which holds their text and places.
 """
 
 from __future__ import annotations
@@ -33,19 +36,24 @@ from pyspark.sql import functions as F
 from attesta.llm.common import arrow_schema, batch, mix, rows_of, spans, text_bytes
 
 WIDTH, GRAM = 50, 16
-PIECE_BYTES, HOLD_BYTES = 1 << 18, 16 << 20
+PIECE_BYTES = 1 << 16
+PARTS = 4  # buckets of segments for each bucket of anchors
+ZONE = 9  # distances of a window's anchor that are looked at together
 COLLECTION = 3_000  # strings that are built together: their columns fit a processor's cache
 A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # odd multipliers, any would do
 
 
-def anchors(data: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Segments of one byte string: first window, number of windows, hash of the anchor gram."""
+def _words(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as one number; nothing is copied."""
+    return np.ndarray((max(0, len(data) - 7),), "<u8", buffer=data, strides=(1,))
+
+
+def anchors(data: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Segments of one byte string: first window, number of windows, hash of the anchor gram, its place."""
     n = len(data) - width + 1
     if n <= 0:
-        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
-    x = data.astype(np.uint64)
-    for shift in (1, 2, 4):  # eight bytes in a word
-        x = x[:-shift] | x[shift:] << np.uint64(8 * shift)
+        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    x = _words(data)
     h = mix(x[:-8] * A + x[8:] * B)
     low = h & np.uint64(0xFFFFFFFF00000000) | np.arange(len(h), dtype=np.uint64)
     reach, grams = 1, width - GRAM + 1
@@ -55,30 +63,35 @@ def anchors(data: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarra
         reach += step
     at = (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
     first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-    return first, np.diff(np.append(first, n)), h[at[first]]
+    return first, np.diff(np.append(first, n)), h[at[first]], at[first]
 
 
 def all_anchors(texts: list[bytes], width: int = WIDTH):
-    """Segments of many strings: document, first window, windows, hash.  Short texts are hashed together."""
+    """Segments of many strings: document, first window, windows, hash."""
+    return all_grams(texts, width)[:4]
+
+
+def all_grams(texts: list[bytes], width: int = WIDTH):
+    """The same and the place of the anchor gram.  Short texts are hashed together."""
     out: list[tuple[np.ndarray, ...]] = []
     run: list[int] = []
 
     def done() -> None:
         sizes = np.array([len(texts[i]) for i in run], np.int64)
         ends = np.cumsum(sizes)
-        first, count, h = anchors(np.frombuffer(b"".join(texts[i] for i in run), np.uint8), width)
+        first, count, h, at = anchors(np.frombuffer(b"".join(texts[i] for i in run), np.uint8), width)
         # windows that cross an end are cut off: a segment is split at ends and clipped to the windows inside one text
         doc_lo = np.searchsorted(ends, first, "right")
         doc_hi = np.searchsorted(ends, first + count - 1, "right") if len(first) else doc_lo
         reps = doc_hi - doc_lo + 1
         doc = spans(doc_lo, reps)
-        first, last, h = np.repeat(first, reps), np.repeat(first + count - 1, reps), np.repeat(h, reps)
+        first, last, h, at = (np.repeat(x, reps) for x in (first, first + count - 1, h, at))
         begin = ends - sizes
         if len(doc):
             first, last = np.maximum(first, begin[doc]), np.minimum(last, ends[doc] - width)
             keep = last >= first
-            doc, first, last, h = doc[keep], first[keep], last[keep], h[keep]
-            out.append((np.array(run, np.int64)[doc], first - begin[doc], last - first + 1, h))
+            doc, first, last, h, at = doc[keep], first[keep], last[keep], h[keep], at[keep]
+            out.append((np.array(run, np.int64)[doc], first - begin[doc], last - first + 1, h, at - begin[doc]))
 
     held = 0
     for i, t in enumerate(texts):
@@ -92,7 +105,7 @@ def all_anchors(texts: list[bytes], width: int = WIDTH):
     if run:
         done()
     if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.int64))
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
@@ -184,24 +197,12 @@ def first_documents(strings: list[bytes], docs: np.ndarray, width: int = WIDTH)
     return out
 
 
+ASKED = "bucket int, grp int, a binary"
 MOVED = "bucket int, kind int, grp int, a binary, b binary, c binary"
-FOUND = "grp int, a binary, b binary"
+FOUND = "grp int, a binary"
 OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def _held(batches: Iterable[pa.RecordBatch]) -> Iterator[list[tuple]]:
-    """Rows in runs of up to ``HOLD_BYTES`` of text: the more documents a run has, the more copies meet."""
-    rows, held = [], 0
-    for *about, text in rows_of(batches):
-        rows.append((*about, text.encode("utf-8", "replace")))
-        held += len(rows[-1][-1])
-        if held >= HOLD_BYTES:
-            yield rows
-            rows, held = [], 0
-    if rows:
-        yield rows
-
-
 def _runs(changes: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(changes[:-1].tolist(), changes[1:].tolist()))
 
@@ -216,150 +217,165 @@ def _cuts(*columns: np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(change), n)
 
 
-def _send_anchors(buckets: int, width: int):
-    """Kind 0: anchors that stand in one document of this run, or the first of several; kind 1: answers known here."""
-    schema = arrow_schema(MOVED)
+def distinct(data: bytes, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers strings of eight bytes or more in ``data`` so that equal ones, and no others, have one number: the number of each
+    string, and one string of each number."""
+    words, ahead = _words(np.frombuffer(data, np.uint8)), range(0, int(size.max(initial=0)), 8)
+    h, last = size.astype(np.uint64), begin + size - 8
+    for k in ahead:
+        h = _hashed(h, words[np.minimum(begin + k, last)])
+    _, some, which = np.unique(h, return_index=True, return_inverse=True)
+    like = some[which]
+    copy = np.flatnonzero(like != np.arange(len(like)))
+    like = like[copy]
+    if (size[copy] != size[like]).any() or any(
+        (words[np.minimum(begin[copy] + k, last[copy])] != words[np.minimum(begin[like] + k, last[like])]).any() for k in ahead
+    ):  # different strings with one hash
+        number: dict[bytes, int] = {}
+        strings = _strings(data, begin, size)
+        which = np.fromiter((number.setdefault(x, len(number)) for x in strings), np.int64, len(strings))
+        some = np.unique(which, return_index=True)[1]
+    return which, some
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _held(batches):
-            about = np.array([r[:3] for r in rows], np.int64)  # grp, doc_id, tag
-            doc, _, _, h = all_anchors([r[3] for r in rows], width)
-            key = (h % np.uint64(buckets)).astype(np.int64) << 32 | (h >> np.uint64(32)).astype(np.int64)
-            order = np.lexsort((about[doc, 1], key))
-            key, doc = key[order], doc[order]
-            once = np.append(True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]))[: len(key)]
-            key, doc = key[once], doc[once]
-            cuts = _cuts(key)
-            ids = about[doc, 1]
-            here = ids[cuts[:-1]] != ids[cuts[1:] - 1]  # shared by documents of this run
-            known = np.repeat(here, np.diff(cuts))
-            # of anchors that are shared here one document tells the others; of the rest each document asks
-            out = [(int(g % buckets), 1, g, a, b, None) for g, a, b in _answers(about[doc[known]], key[known])]
-            send = ~known
-            send[cuts[:-1][here]] = True
-            key, doc = key[send], doc[send]
-            for lo, hi in _runs(_cuts(key >> 32)):
-                some, local = np.unique(doc[lo:hi], return_inverse=True)
-                low = (key[lo:hi] & 0xFFFFFFFF).astype("<u4")
-                out.append((int(key[lo] >> 32), 0, None, low.tobytes(), local.astype("<u4").tobytes(), about[some].tobytes()))
-            if out:
-                yield batch(schema, list(zip(*out)))
 
-    return run
+def _hashed(h: np.ndarray, word: np.ndarray) -> np.ndarray:
+    h = (h ^ word) * B
+    return h ^ h >> np.uint64(29)
 
 
-def _answers(about: np.ndarray, value: np.ndarray) -> Iterator[tuple[int, bytes, bytes]]:
-    """Rows (group, documents with the number of their values, values) from rows (grp, doc_id, tag) and a value each."""
-    order = np.lexsort((value if value.ndim == 1 else value[:, 0], about[:, 2], about[:, 1], about[:, 0]))
-    about, value = about[order], value[order]
-    cuts = _cuts(about[:, 0], about[:, 1], about[:, 2])
-    first, size = cuts[:-1], np.diff(cuts)
-    docs = np.column_stack([about[first, 1:], size])
-    groups = _cuts(about[first, 0])
-    for lo, hi in _runs(groups):
-        yield int(about[first[lo], 0]), docs[lo:hi].tobytes(), _packed(value[cuts[lo] : cuts[hi]].tobytes())
-
-
-def _values(table: pa.Table, width: int) -> dict[tuple[int, int], list[np.ndarray]]:
-    """What the answers of a group say of each document."""
-    out: dict[tuple[int, int], list[np.ndarray]] = {}
-    for a, b in zip(table.column("a").to_pylist(), table.column("b").to_pylist()):
-        value = np.frombuffer(zstandard.decompress(b), np.int64).reshape(-1, width)
-        at = 0
-        for doc, tag, n in np.frombuffer(a, np.int64).reshape(-1, 3).tolist():
-            out.setdefault((doc, tag), []).append(value[at : at + n])
-            at += n
-    return out
+def _strings(data: bytes, begin: np.ndarray, size: np.ndarray) -> list[bytes]:
+    return [data[x:y] for x, y in zip(begin.tolist(), (begin + size).tolist())]
+
+
+def _numbered(docs: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each row of a group, one for equal (doc_id, tag) and the same each time, and a row of each number."""
+    doc, tag = docs.column("doc_id").to_numpy(), docs.column("tag").to_numpy()
+    order = np.lexsort((tag, doc))
+    cuts = _cuts(doc[order], tag[order])
+    number = np.empty(len(doc), np.int64)
+    number[order] = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+    return number, order[cuts[:-1]]
+
+
+def _texts(docs: pa.Table) -> tuple[int, np.ndarray, list[bytes]]:
+    """Group, and doc_id and text by number; repeated rows are looked at once."""
+    rows, text = _numbered(docs)[1], docs.column("text")
+    return docs.column("grp")[0].as_py(), docs.column("doc_id").to_numpy()[rows], [text[i].as_py().encode("utf-8", "replace") for i in rows]
+
+
+def _keys(h: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket and 32 bits of each anchor; its hash is a least one, so its high bits are mostly 0 and are spread anew."""
+    return (h % np.uint64(buckets)).astype(np.int64) << 32 | (h * A >> np.uint64(32)).astype(np.int64)
+
+
+def _send_anchors(buckets: int, width: int):
+    """The anchors of a group, each once."""
+    schema = arrow_schema(ASKED)
+
+    def run(docs: pa.Table) -> pa.Table:
+        group, _, texts = _texts(docs)
+        key = np.sort(_keys(all_anchors(texts, width)[3], buckets))
+        key = key[_cuts(key)[:-1]]
+        low = key.astype("<u4")
+        out = [(int(key[lo] >> 32), group, low[lo:hi].tobytes()) for lo, hi in _runs(_cuts(key >> 32))]
+        return pa.Table.from_batches([batch(schema, list(zip(*out)) if out else [[]] * len(schema))])
+
+    return run
 
 
 def _shared_anchors():
-    """Of a bucket: the anchors that stand in two documents or more, by document."""
-    schema = arrow_schema(FOUND)
+    """Of a bucket: the anchors that two groups or more have, for each of them."""
+    schema = arrow_schema(ASKED)
 
     def run(table: pa.Table) -> pa.Table:
-        out, keys, docs = [], [], []
-        bucket = table.column("bucket")[0].as_py()
-        for row in table.to_pylist():
-            if row["kind"]:
-                out.append((row["grp"], row["a"], row["b"]))
-            else:
-                keys.append(np.frombuffer(row["a"], "<u4"))
-                docs.append(np.frombuffer(row["c"], np.int64).reshape(-1, 3)[np.frombuffer(row["b"], "<u4")])
-        if keys:
-            key, doc = np.concatenate(keys), np.concatenate(docs)
-            order = np.argsort(key, kind="stable")
-            key, doc = key[order], doc[order]
-            cuts = _cuts(key)
-            least, most = np.minimum.reduceat(doc[:, 1], cuts[:-1]), np.maximum.reduceat(doc[:, 1], cuts[:-1])
-            shared = np.repeat(least != most, np.diff(cuts))
-            out += _answers(doc[shared], key[shared].astype(np.int64) | bucket << 32)
-        return pa.Table.from_batches([batch(schema, list(zip(*out)) if out else [[], [], []])])
+        bucket, groups = table.column("bucket")[0].as_py(), table.column("grp").to_pylist()
+        low = [np.frombuffer(a, "<u4") for a in table.column("a").to_pylist()]
+        row = np.repeat(np.arange(len(low), dtype=np.uint64), [len(x) for x in low])
+        pair = np.sort(np.concatenate(low).astype(np.uint64) << np.uint64(32) | row)
+        same = np.append(pair[1:] >> np.uint64(32) == pair[:-1] >> np.uint64(32), False)
+        pair = pair[same | np.append(False, same[:-1])]
+        pair = np.sort(pair << np.uint64(32) | pair >> np.uint64(32))
+        row, low = (pair >> np.uint64(32)).astype(np.int64), pair.astype("<u4")
+        out = [(bucket, groups[row[lo]], _packed(low[lo:hi].tobytes())) for lo, hi in _runs(_cuts(row))]
+        return pa.Table.from_batches([batch(schema, list(zip(*out)) if out else [[]] * len(schema))])
 
     return run
 
 
+_ZSTD = zstandard.ZstdCompressor(level=1)
+
+
 def _packed(data: bytes) -> bytes:
-    return zstandard.compress(data, 1)
+    return _ZSTD.compress(data)
 
 
-def _send_segments(buckets: int, width: int):
-    """Kind 0: distinct segments on shared anchors with their places in the smallest document; kind 1: windows of the other
-    copies, which all go."""
+def _answers(group: np.ndarray, number: np.ndarray, first: np.ndarray, windows: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """Rows (group, runs of windows of its documents)."""
+    order = np.argsort(group, kind="stable")
+    values = np.stack([number, first, windows])[:, order].astype("<u4")
+    cuts = _cuts(group[order])
+    for lo, hi in _runs(cuts):
+        yield int(group[order[lo]]), _packed(values[:, lo:hi].tobytes())
+
+
+def _send_segments(buckets: int, parts: int, width: int):
+    """Kind 0: distinct segments on shared anchors with their places in the smallest document of the group; kind 1: windows of
+    the other copies, which all go."""
     schema = arrow_schema(MOVED)
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        asked, texts, about = _values(answers, 1), [], []
-        seen = set()
-        for g, doc, tag, text in rows_of(docs.select(["grp", "doc_id", "tag", "text"]).to_batches()):
-            if (doc, tag) in asked and (doc, tag) not in seen:  # repeated rows are looked at once
-                seen.add((doc, tag))
-                about.append((g, doc, tag))
-                texts.append(text.encode("utf-8", "replace"))
         out: list[tuple] = []
-        if texts:
-            doc, first, count, h = all_anchors(texts, width)
-            key = (h % np.uint64(buckets)).astype(np.int64) << 32 | (h >> np.uint64(32)).astype(np.int64)
-            wanted = [(k, v) for k, a in enumerate(about) for v in asked[a[1:]]]
-            of = np.repeat([k for k, _ in wanted], [len(v) for _, v in wanted]).astype(np.uint64)
-            told = np.concatenate([v[:, 0] for _, v in wanted])
-            # a pair (document, anchor) as one number; a chance match only sends a segment more
-            pair = lambda d, k: mix(mix(d.astype(np.uint64) + A) + k.astype(np.uint64))
-            ok = np.isin(pair(doc, key), pair(of, told))
-            out = _segments(texts, np.array(about, np.int64), doc[ok], first[ok], count[ok], key[ok], width, buckets)
+        if docs.num_rows:
+            group, ids, texts = _texts(docs)
+            doc, first, count, h, gram = all_grams(texts, width)
+            key = _keys(h, buckets)
+            order = np.argsort(key)
+            cuts = _cuts(key[order])
+            if len(order):
+                d = ids[doc[order]]
+                shared = np.minimum.reduceat(d, cuts[:-1]) != np.maximum.reduceat(d, cuts[:-1])
+                for b, a in zip(answers.column("bucket").to_pylist(), answers.column("a").to_pylist()):
+                    told = np.frombuffer(zstandard.decompress(a), "<u4").astype(np.int64) | b << 32
+                    shared[np.searchsorted(key[order[cuts[:-1]]], told)] = True
+                order = order[np.repeat(shared, np.diff(cuts))]
+                found = doc[order], first[order], count[order], key[order], gram[order] - first[order]
+                out = _segments(group, ids, texts, *found, parts, width)
         return pa.Table.from_batches([batch(schema, list(zip(*out)) if out else [[]] * len(schema))])
 
     return run
 
 
-def _segments(texts, about, doc, first, count, key, width, buckets) -> list[tuple]:
-    number: dict[bytes, int] = {}
-    strings = [texts[d][f : f + c + width - 1] for d, f, c in zip(doc.tolist(), first.tolist(), count.tolist())]
-    which = np.fromiter((number.setdefault(s, len(number)) for s in strings), np.int64, len(strings))
-    strings = list(number)
-    ids = about[doc, 1]
-    least = np.full(len(strings), np.iinfo(np.int64).max, np.int64)
-    np.minimum.at(least, which, ids)
-    other = ids > least[which]  # after a copy in a smaller document: all of its windows go
-    runs = np.column_stack([first, count])[other]
-    out = [(int(g % buckets), 1, g, a, b, None) for g, a, b in _answers(about[doc[other]], runs)]
-    doc, first, which, key = doc[~other], first[~other], which[~other], key[~other]
-    order = np.lexsort((which, key))
-    doc, first, which, key = doc[order], first[order], which[order], key[order]
-    for lo, hi in _runs(_cuts(key >> 32)):
-        some, local = np.unique(which[lo:hi], return_inverse=True)
-        text = b"".join(strings[k] for k in some)
-        of = np.zeros((len(some), 2), "<u4")
-        of[:, 0] = [len(strings[k]) for k in some]
-        of[local, 1] = key[lo:hi] & 0xFFFFFFFF
-        place = np.column_stack([local, about[doc[lo:hi]], first[lo:hi]])
-        out.append((int(key[lo] >> 32), 0, None, _packed(text), _packed(of.tobytes()), _packed(place.tobytes())))
+def _segments(group, ids, texts, doc, first, count, key, gram, parts, width) -> list[tuple]:
+    lengths, data = np.array([len(t) for t in texts], np.int64), b"".join(texts)
+    begin, size = (np.cumsum(lengths) - lengths)[doc] + first, count + width - 1
+    which, some = distinct(data, begin, size)
+    some = some[by := np.argsort(key[some])]  # strings in the order of their anchors
+    number = np.empty(len(some), np.int64)
+    number[by] = np.arange(len(some))
+    which = number[which]
+    least = np.full(len(some), np.iinfo(np.int64).max, np.int64)
+    np.minimum.at(least, which, ids[doc])
+    other = ids[doc] > least[which]  # after a copy in a smaller document: all of its windows go
+    runs = _answers(np.full(int(other.sum()), group), doc[other], first[other], count[other])
+    bucket = (key[some] >> 32) * parts + ((key[some] & 0xFFFFFFFF) * parts >> 32)
+    out = [(g % parts, 1, g, a, None, None) for g, a in runs]
+    place = np.flatnonzero(~other)
+    place = place[np.argsort(which[place], kind="stable")]
+    strings = _strings(data, begin[some], size[some])
+    of = np.stack([size[some], key[some] & 0xFFFFFFFF, gram[some]]).astype("<u4")
+    cuts = _cuts(bucket)
+    for (lo, hi), (x, y) in zip(_runs(cuts), _runs(np.searchsorted(which[place], cuts))):
+        at = place[x:y]
+        about = ids[doc[at]].astype("<i8").tobytes() + np.stack([which[at] - lo, doc[at], first[at]]).astype("<u4").tobytes()
+        text = b"".join(strings[lo:hi])
+        out.append((int(bucket[lo]), 0, group, _packed(text), _packed(of[:, lo:hi].tobytes()), _packed(about)))
     return out
 
 
-def collections(anchors_of: np.ndarray, strings: int = COLLECTION) -> Iterator[np.ndarray]:
+def collections(anchors_of: np.ndarray, among: np.ndarray, strings: int = COLLECTION) -> Iterator[np.ndarray]:
     """Strings by number, in collections of about ``strings``: those of one anchor stay together, and a string that is alone
     on its anchor can share no window with another and is left out."""
-    order = np.argsort(anchors_of, kind="stable")
+    order = among[np.argsort(anchors_of[among], kind="stable")]
     cuts = _cuts(anchors_of[order])
     held: list[np.ndarray] = []
     size = 0
@@ -374,52 +390,108 @@ def collections(anchors_of: np.ndarray, strings: int = COLLECTION) -> Iterator[n
         yield np.concatenate(held)
 
 
+def earliest(
+    data: bytes, begin: np.ndarray, size: np.ndarray, key: np.ndarray, gram: np.ndarray, docs: np.ndarray,
+    width: int = WIDTH, zone: int = ZONE, most: int = COLLECTION,
+) -> np.ndarray:
+    """As ``first_documents``, for distinct strings of ``data`` on many anchors: ``key`` numbers a string's anchor, ``gram`` is
+    the anchor's place in it.
+
+    Windows that have their anchor ``zone`` x k to ``zone`` x (k + 1) - 1 bytes behind their start have ``width`` - ``zone`` + 1
+    bytes around it in common.  A part of a string, its windows of one k, can share a window with another string only if
+    that has the same bytes there.  Parts that have a partner by the hash of these bytes are collected; more than
+    ``most`` distinct ones on the same bytes are cut once more.  In zones of 1 parts on the same bytes are equal.
+    """
+    windows, text_begin = size - width + 1, begin
+    begin = np.cumsum(windows) - windows
+    out = np.repeat(docs, windows)
+    low = (gram - windows + 1) // zone
+    reps = gram // zone - low + 1
+    string, behind = np.repeat(np.arange(len(size)), reps), zone * spans(low, reps)
+    core, common = (text_begin + gram)[string] - behind, width - zone + 1
+    words = _words(np.frombuffer(data, np.uint8))
+    h = mix(key[string].astype(np.uint64) + A * behind.astype(np.uint64))
+    for k in dict.fromkeys([*range(0, common - 7, 8), common - 8]):
+        h = _hashed(h, words[core + k])
+    _, group, many = np.unique(h, return_inverse=True, return_counts=True)
+    some = many[group] > 1
+    string, behind, group = string[some], behind[some], group[some]
+    first = np.maximum(gram[string] - behind - zone + 1, 0)
+    number = np.minimum(gram[string] - behind + 1, windows[string]) - first
+
+    which, part = distinct(data, text_begin[string] + first, number + width - 1)
+    least = np.full(len(part), np.iinfo(np.int64).max, np.int64)
+    np.minimum.at(least, which, docs[string])
+    on, of, start = group[part], string[part], text_begin[string[part]] + first[part]
+    found, end = np.repeat(least, number[part]), np.cumsum(number[part])
+    many = np.bincount(on)[on] if len(on) else on
+
+    def settle(chosen: np.ndarray, values: np.ndarray) -> None:
+        found[spans(end[chosen] - number[part[chosen]], number[part[chosen]])] = values
+
+    large = (many > most) & (zone > 1)
+    for chosen in collections(on, np.flatnonzero(~large), most):
+        settle(chosen, first_documents(_strings(data, start[chosen], number[part[chosen]] + width - 1), least[chosen], width))
+    if len(x := np.flatnonzero(large)):
+        again = start[x], number[part[x]] + width - 1, on[x], gram[of[x]] - first[part[x]], least[x]
+        settle(x, earliest(data, *again, width, zone // 3, most))
+    out[spans(begin[string] + first, number)] = found[spans((end - number[part])[which], number)]
+    return out
+
+
+def _after_others(data, begin, size, key, gram, least, width) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs (string, first window, number) of windows that a document before the string's first one has as well."""
+    order = np.argsort(key, kind="stable")
+    many = np.diff(_cuts(key[order]))
+    some = np.sort(order[np.repeat(many, many) > 1])  # the others are alone on their anchors
+    first = earliest(data, begin[some], size[some], key[some], gram[some], least[some], width)
+    windows = size[some] - width + 1
+    end = np.cumsum(windows + 1)
+    gone = np.zeros(int((windows + 1).sum()) + 1, np.int8)  # a zero after each string parts the runs
+    gone[1:][spans(end - windows - 1, windows)] = first < np.repeat(least[some], windows)
+    edge = np.flatnonzero(np.diff(gone)).reshape(-1, 2)
+    of = np.searchsorted(end, edge[:, 0], "right")
+    return some[of], edge[:, 0] - (end - windows - 1)[of], edge[:, 1] - edge[:, 0]
+
+
 def _repeated_windows(width: int):
-    """Of a bucket: the windows to remove, by document, as runs (first, number)."""
+    """Of a bucket: the windows to remove, by group, as runs (document, first, number)."""
     schema = arrow_schema(FOUND)
 
     def run(table: pa.Table) -> pa.Table:
-        out, number, where, keys = [], {}, [], []
+        out, texts, strings, places, known = [], [], [], [], 0
         for row in table.to_pylist():
             if row["kind"]:
-                out.append((row["grp"], row["a"], row["b"]))
+                out.append((row["grp"], row["a"]))
                 continue
-            of = np.frombuffer(zstandard.decompress(row["b"]), "<u4").reshape(-1, 2).astype(np.int64)
-            ends, data, local = np.cumsum(of[:, 0]), zstandard.decompress(row["a"]), []
-            for e, n, key in zip(ends.tolist(), of[:, 0].tolist(), of[:, 1].tolist()):
-                k = number.setdefault(data[e - n : e], len(number))
-                if k == len(keys):
-                    keys.append(key)
-                local.append(k)
-            at = np.frombuffer(zstandard.decompress(row["c"]), np.int64).reshape(-1, 5).copy()
-            at[:, 0] = np.array(local, np.int64)[at[:, 0]]
-            where.append(at)
-        if where:
-            at, strings = np.concatenate(where), list(number)  # string, grp, doc_id, tag, first window
-            least = np.full(len(strings), np.iinfo(np.int64).max, np.int64)
-            np.minimum.at(least, at[:, 0], at[:, 2])
-            windows = np.array([len(s) - width + 1 for s in strings], np.int64)
+            texts.append(zstandard.decompress(row["a"]))
+            strings.append(np.frombuffer(zstandard.decompress(row["b"]), "<u4").reshape(3, -1).astype(np.int64))
+            about = zstandard.decompress(row["c"])
+            n = len(about) // 20
+            place = np.empty((5, n), np.int64)  # group, doc_id, string, document, first window
+            place[0], place[1], place[2:] = row["grp"], np.frombuffer(about, "<i8", n), np.frombuffer(about, "<u4", offset=8 * n).reshape(3, n)
+            place[2] += known
+            known += strings[-1].shape[1]
+            places.append(place)
+        if places:
+            data, (size, key, gram), place = b"".join(texts), np.concatenate(strings, 1), np.concatenate(places, 1)
+            begin = np.cumsum(size) - size
+            which, some = distinct(data, begin, size)
+            group, doc, string, at, first = place[0], place[1], which[place[2]], place[3], place[4]
+            least = np.full(len(some), np.iinfo(np.int64).max, np.int64)
+            np.minimum.at(least, string, doc)
             # copies of a string that stands in a smaller document go whole
-            whole = at[:, 2] > least[at[:, 0]]
-            runs, about = [np.column_stack([at[whole, 4], windows[at[whole, 0]]])], [at[whole, 1:4]]
-            at = at[~whole]
-            at = at[np.argsort(at[:, 0], kind="stable")]
-            for some in collections(np.array(keys, np.int64)):
-                first = first_documents([strings[k] for k in some], least[some], width)
-                begin = np.cumsum(windows[some]) - windows[some]
-                by = np.argsort(some)
-                lo, hi = np.searchsorted(at[:, 0], some[by]), np.searchsorted(at[:, 0], some[by], "right")
-                mine, start = at[spans(lo, hi - lo)], np.repeat(begin[by], hi - lo)
-                size = windows[mine[:, 0]]
-                gone = np.zeros(int((size + 1).sum()) + 1, np.int8)  # a zero after each string parts the runs
-                end = np.cumsum(size + 1)
-                gone[1:][spans(end - size - 1, size)] = first[spans(start, size)] < np.repeat(mine[:, 2], size)
-                edge = np.flatnonzero(np.diff(gone)).reshape(-1, 2)
-                of = np.searchsorted(end, edge[:, 0], "right")
-                runs.append(np.column_stack([mine[of, 4] + edge[:, 0] - (end - size - 1)[of], edge[:, 1] - edge[:, 0]]))
-                about.append(mine[of, 1:4])
-            out += _answers(np.concatenate(about), np.concatenate(runs))
-        return pa.Table.from_batches([batch(schema, list(zip(*out)) if out else [[], [], []])])
+            whole = doc > least[string]
+            gone = [(group[whole], at[whole], first[whole], size[some][string[whole]] - width + 1)]
+            rest = np.flatnonzero(~whole)
+            rest = rest[np.argsort(string[rest], kind="stable")]
+            of, start, number = _after_others(data, begin[some], size[some], key[some], gram[some], least, width)
+            lo, hi = np.searchsorted(string[rest], of), np.searchsorted(string[rest], of, "right")
+            mine = rest[spans(lo, hi - lo)]
+            start, number = np.repeat(start, hi - lo), np.repeat(number, hi - lo)
+            gone.append((group[mine], at[mine], first[mine] + start, number))
+            out += _answers(*map(np.concatenate, zip(*gone)))
+        return pa.Table.from_batches([batch(schema, list(zip(*out)) if out else [[]] * len(schema))])
 
     return run
 
@@ -444,12 +516,12 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, bucket_bytes: int = 12 <
     """
     ddl = OUT + (", kept binary" if with_bytes else "")
     schema = arrow_schema(ddl)
-    buckets = max(8, -(-text_bytes(docs, "text") // bucket_bytes))
+    buckets = max(2, -(-text_bytes(docs, "text") // (bucket_bytes * PARTS)))
     body = F.coalesce("text", F.lit(""))
-    # doc_id without an alias: then the two meetings with the texts below share one exchange
+    # doc_id without an alias: then the three readings of the texts below share one exchange
     base = docs.select("doc_id", F.xxhash64(body).alias("tag"), body.alias("text"))
     keyed = base.filter("doc_id is not null").select(
-        F.pmod(F.hash("doc_id", "tag"), F.lit(buckets)).alias("grp"), "doc_id", "tag", "text"
+        F.pmod(F.hash("doc_id", "tag"), F.lit(buckets * PARTS)).alias("grp"), "doc_id", "tag", "text"
     )
 
     def row(doc: int | None, text: str, runs: list[np.ndarray]) -> tuple:
@@ -461,9 +533,14 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, bucket_bytes: int = 12 <
         return (*out, kept) if with_bytes else out
 
     def cut(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        runs = _values(answers, 2)
-        rows = rows_of(texts.select(["doc_id", "tag", "text"]).to_batches())
-        out = [row(doc, text, runs.get((doc, tag), [])) for doc, tag, text in rows]
+        values = [np.frombuffer(zstandard.decompress(a), "<u4").reshape(3, -1) for a in answers.column("a").to_pylist()]
+        number = _numbered(texts)[0] if texts.num_rows else np.zeros(0, np.int64)
+        of, *runs = np.concatenate([np.zeros((3, 0), "<u4"), *values], 1).astype(np.int64)
+        order = np.argsort(of, kind="stable")
+        runs = np.column_stack(runs)[order]
+        lo, hi = (np.searchsorted(of[order], number, side).tolist() for side in ("left", "right"))
+        rows = rows_of(texts.select(["doc_id", "text"]).to_batches())
+        out = [row(doc, text, [runs[x:y]] if y > x else []) for (doc, text), x, y in zip(rows, lo, hi)]
         return pa.Table.from_batches([batch(schema, list(zip(*out)) if out else [[]] * len(schema))])
 
     def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -471,10 +548,10 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, bucket_bytes: int = 12 <
             if b.num_rows:
                 yield batch(schema, list(zip(*[row(doc, text, []) for doc, text in rows_of([b])])))
 
-    sent = keyed.mapInArrow(_send_anchors(buckets, width), MOVED)
-    shared = sent.groupBy("bucket").applyInArrow(_shared_anchors(), FOUND)
     by_group = keyed.groupBy("grp")
-    segments = by_group.cogroup(shared.groupBy("grp")).applyInArrow(_send_segments(buckets, width), MOVED)
+    sent = by_group.applyInArrow(_send_anchors(buckets, width), ASKED)
+    shared = sent.groupBy("bucket").applyInArrow(_shared_anchors(), ASKED)
+    segments = by_group.cogroup(shared.groupBy("grp")).applyInArrow(_send_segments(buckets, PARTS, width), MOVED)
     gone = segments.groupBy("bucket").applyInArrow(_repeated_windows(width), FOUND)
     kept = by_group.cogroup(gone.groupBy("grp")).applyInArrow(cut, ddl)
     return kept.unionByName(base.filter("doc_id is null").select("doc_id", "text").mapInArrow(whole, ddl))

@@ -115,3 +115,68 @@ def test_kept_bytes(documents):
 def test_spans():
     runs = [np.array([[0, 1], [60, 2]]), np.array([[30, 1]])]
     assert cb.removed_spans(200, runs, 50).tolist() == [[0, 111]]
+
+
+def crowded(n, seed=7):
+    """Segments of texts that share an anchor and more or fewer bytes around it, one passage of all and some of a few."""
+    rng = random.Random(seed)
+    word = lambda k: bytes(rng.randrange(97, 123) for _ in range(k))
+    passage, common, ends = word(90), word(20), [word(12) for _ in range(5)]
+    texts = []
+    for _ in range(n):
+        texts.append(word(40) + common + word(40))
+        texts.append(word(rng.randrange(30)) + passage + word(rng.randrange(30)))
+        texts.append(word(30) + rng.choice(ends)[rng.randrange(12) :] + passage[20:60] + rng.choice(ends)[: rng.randrange(12)] + word(30))
+    doc, first, count, h, gram = cb.all_grams(texts)
+    strings = {}
+    for d, f, c, k, g in zip(doc.tolist(), first.tolist(), count.tolist(), h.tolist(), gram.tolist()):
+        at = strings.setdefault(texts[d][f : f + c + 49], [k & 0xFFFFFFFF, g - f, rng.randrange(1000)])
+        at[2] = min(at[2], rng.randrange(1000))
+    key, gram, docs = np.array(list(strings.values()), np.int64).T
+    return list(strings), key, gram, docs
+
+
+def first_of(strings, key, gram, docs, **kw):
+    size = np.array([len(s) for s in strings])
+    return cb.earliest(b"".join(strings), np.cumsum(size) - size, size, key, gram, docs, **kw).tolist()
+
+
+@pytest.mark.parametrize("most", [4, 3_000])
+def test_collections_are_bounded_and_hold_only_what_may_be_shared(most, monkeypatch):
+    strings, key, gram, docs = crowded(150)
+    assert np.unique(key, return_counts=True)[1].max() > 100  # strings on one anchor
+    least = {}
+    for s, d in zip(strings, docs.tolist()):
+        for i in range(len(s) - 49):
+            least[s[i : i + 50]] = min(d, least.get(s[i : i + 50], d))
+    built, build = [], cb.transform
+    monkeypatch.setattr(cb, "transform", lambda some: built.append(some) or build(some))
+    got = first_of(strings, key, gram, docs, most=most)
+    assert got == [least[s[i : i + 50]] for s in strings for i in range(len(s) - 49)]
+    assert max(map(len, built)) < 2 * most and max(len(s) for some in built for s in some) <= 58
+    built.clear()
+    alone = [k for k, s in enumerate(strings) if all(least[s[i : i + 50]] == docs[k] for i in range(len(s) - 49))]
+    other = [strings[k] for k in alone], key[alone], gram[alone], docs[alone]
+    first_of(*other)
+    assert sum(map(len, built)) < len(alone) / 2
+
+
+def test_equal_hashes_of_different_strings(monkeypatch):
+    strings, key, gram, docs = crowded(20)
+    want = first_of(strings, key, gram, docs)
+    monkeypatch.setattr(cb, "_hashed", lambda h, word: np.zeros_like(h))
+    assert first_of(strings, key, gram, docs) == want
+    data = b"".join(strings)
+    begin, size = np.arange(0, 3_000, 10) % 970, np.full(300, 40)
+    which, some = cb.distinct(data, begin, size)
+    text = [data[b : b + 40] for b in begin.tolist()]
+    assert len(some) == len(set(text)) and [text[some[k]] for k in which.tolist()] == text
+
+
+def test_passage_of_many_documents(documents):
+    rng = random.Random(11)
+    word = lambda k: "".join(rng.choice("abcdefgh") for _ in range(k))
+    passage = word(120)
+    rows = [(doc, word(rng.randrange(60)) + passage[rng.randrange(30) :] + word(rng.randrange(60))) for doc in rng.sample(range(1_000), 200)]
+    rows += [(rows[0][0], rows[1][1]), rows[2], (None, rows[3][1])]
+    assert found(documents(*rows).repartition(7), bucket_bytes=800) == brute(rows)
