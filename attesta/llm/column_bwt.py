@@ -334,9 +334,10 @@ def _send_segments(buckets: int, parts: int, width: int):
             if len(order):
                 d = ids[doc[order]]
                 shared = np.minimum.reduceat(d, cuts[:-1]) != np.maximum.reduceat(d, cuts[:-1])
-                for b, a in zip(answers.column("bucket").to_pylist(), answers.column("a").to_pylist()):
-                    told = np.frombuffer(zstandard.decompress(a), "<u4").astype(np.int64) | b << 32
-                    shared[np.searchsorted(key[order[cuts[:-1]]], told)] = True
+                pairs = zip(answers.column("bucket").to_pylist(), answers.column("a").to_pylist())
+                told = [np.frombuffer(zstandard.decompress(a), "<u4").astype(np.int64) | b << 32 for b, a in pairs]
+                if told:
+                    shared[np.searchsorted(key[order[cuts[:-1]]], np.concatenate(told))] = True
                 order = order[np.repeat(shared, np.diff(cuts))]
                 found = doc[order], first[order], count[order], key[order], gram[order] - first[order]
                 out = _segments(group, ids, texts, *found, parts, width)
@@ -501,9 +502,10 @@ def removed_spans(n: int, runs: list[np.ndarray], width: int) -> np.ndarray:
     if not runs:
         return np.zeros((0, 2), np.int64)
     run = np.concatenate(runs)
-    depth = np.bincount(run[:, 0], minlength=n + 1) - np.bincount(run[:, 0] + run[:, 1] + width - 1, minlength=n + 1)
-    gone = np.concatenate([[0], (np.cumsum(depth[:n]) > 0).view(np.int8), [0]])
-    return np.flatnonzero(np.diff(gone)).reshape(-1, 2)
+    run = run[np.argsort(run[:, 0], kind="stable")]
+    begin, reach = run[:, 0], np.maximum.accumulate(np.minimum(run[:, 0] + run[:, 1] + width - 1, n))
+    apart = np.append(True, begin[1:] > reach[:-1])[: len(run)]
+    return np.column_stack([begin[apart], reach[np.append(apart[1:], True)[: len(run)]]])
 
 
 def remove_repeats(docs: DataFrame, width: int = WIDTH, bucket_bytes: int = 12 << 20, with_bytes: bool = False) -> DataFrame:

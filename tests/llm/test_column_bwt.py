@@ -180,3 +180,13 @@ def test_passage_of_many_documents(documents):
     rows = [(doc, word(rng.randrange(60)) + passage[rng.randrange(30) :] + word(rng.randrange(60))) for doc in rng.sample(range(1_000), 200)]
     rows += [(rows[0][0], rows[1][1]), rows[2], (None, rows[3][1])]
     assert found(documents(*rows).repartition(7), bucket_bytes=800) == brute(rows)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 60), st.integers(1, 5)), min_size=1, max_size=8))
+def test_spans_against_bytes(runs):
+    gone = np.zeros(102, np.int8)
+    for first, number in runs:
+        gone[1 + first : 1 + first + number + 9] = 1
+    want = np.flatnonzero(np.diff(gone)).reshape(-1, 2)
+    assert cb.removed_spans(100, [np.array([r]) for r in runs], 10).tolist() == want.tolist()
